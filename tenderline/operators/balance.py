@@ -55,16 +55,16 @@ def join_to_unique(
     right: DataFrame,
     keys: list[str],
     how: str = "left",
-    measured: DataFrame | None = None,
+    codes: list[int] | None = None,
 ) -> DataFrame:
     """Join many rows to at most one row per key (``right`` is grouped by ``keys``).
 
     Rows of hot keys skip the shuffle: ``right`` keeps one row per key, so its part
     for the hot keys is bounded by their number (MAX_HOT_KEYS) and is broadcast.
-    All other rows take the ordinary join. ``measured`` is a cheaper frame with the
-    same key columns from which hot keys are found.
+    All other rows take the ordinary join. ``codes`` are the hot keys if known already.
     """
-    codes = hot_codes(left if measured is None else measured, keys)
+    if codes is None:
+        codes = hot_codes(left, keys)
     if not codes:
         return left.join(right, keys, how)
     hot = is_hot(keys, codes)

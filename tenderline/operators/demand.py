@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tenderline.catalog import DEMAND_COMPANY, DEMAND_REGION
 from tenderline.functions.scalar import year_of
@@ -24,20 +24,37 @@ def yearly_demand(materials: DataFrame, corrected: bool = False) -> DataFrame:
 
     As defined, every row counts once per row of the same material (description
     against long description), so a sum is multiplied by the number of such rows;
-    ``corrected`` keeps the plain sum. Two grouped inputs are joined instead of the
-    rows with themselves, so the work stays linear in the rows of a material.
+    ``corrected`` keeps the plain sum. Instead of joining the rows with themselves,
+    each row is counted under both texts in one pass; the groups, a few per
+    material, then look up their number of partners.
     """
-    sums = materials.groupBy(
-        *MATERIAL, year_of("po_item_first_release_date").alias("order_year")
-    ).agg(F.sum("po_item_quantity").alias("quantity"))
-    partners = materials.groupBy(
-        "manufacturer_name",
-        "manufacturer_part_no",
+    quantity = materials.schema["po_item_quantity"].dataType
+    as_order = F.struct(
+        F.col("description").alias("description"),
+        year_of("po_item_first_release_date").alias("order_year"),
+        F.col("po_item_quantity").alias("quantity"),
+        F.lit(False).alias("is_partner"),
+    )
+    as_partner = F.struct(
         F.col("customer_long_description").alias("description"),
-    ).agg(F.count(F.lit(1)).alias("partners"))
+        F.lit(None).cast("int").alias("order_year"),
+        F.lit(None).cast(quantity).alias("quantity"),
+        F.lit(True).alias("is_partner"),
+    )
+    rows = materials.where(
+        F.col("manufacturer_name").isNotNull() & F.col("manufacturer_part_no").isNotNull()
+    ).select("manufacturer_name", "manufacturer_part_no", F.inline(F.array(as_order, as_partner)))
+    groups = (
+        rows.where(F.col("description").isNotNull())
+        .groupBy(*MATERIAL, "order_year", "is_partner")
+        .agg(F.sum("quantity").alias("quantity"), F.count(F.lit(1)).alias("rows"))
+    )
+    partners = F.sum(F.when(F.col("is_partner"), F.col("rows"))).over(Window.partitionBy(*MATERIAL))
     total = F.col("quantity") if corrected else F.col("quantity") * F.col("partners")
-    return sums.join(partners, MATERIAL).select(
-        *MATERIAL, "order_year", total.cast(QUANTITY).alias("total_quantity")
+    return (
+        groups.withColumn("partners", partners)
+        .where(~F.col("is_partner") & F.col("partners").isNotNull())
+        .select(*MATERIAL, "order_year", total.cast(QUANTITY).alias("total_quantity"))
     )
 
 

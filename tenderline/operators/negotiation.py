@@ -19,10 +19,10 @@ from tenderline.operators.filters import known_by
 from tenderline.operators.timeline import (
     SLOT,
     in_order,
-    in_slot,
     repeat_rows,
     slot_sums,
     total_before,
+    whole,
     with_copies,
     with_slot,
 )
@@ -72,9 +72,8 @@ def compare_with_all(value_history: DataFrame) -> DataFrame:
 def next_status(request_history: DataFrame) -> DataFrame:
     """Request history with the status that follows each row."""
     codes = hot_codes(request_history, ["id"])
-    rows = with_slot(
-        with_copies(request_history, ["id", "status", "history_date"]), "id", "history_date", codes
-    )
+    distinct = with_copies(request_history, ["id", "status", "history_date"], "id", codes)
+    rows = with_slot(distinct, "id", "history_date", codes)
     ordered = in_order("id", ["history_date", "status"])
     following = rows.withColumn("has_next", F.lead(F.lit(1)).over(ordered)).withColumn(
         "next_status", F.lead("status").over(ordered)
@@ -132,14 +131,13 @@ def count_later_resends(
         events.withColumn("is_row", F.lit(0)), allowMissingColumns=True
     )
     both = with_slot(both, KEY, "history_date", codes)
+    along = in_order(KEY, [order[0], "is_row", *order[1:]])
     so_far = F.sum("resends").over(
-        in_order(KEY, [order[0], "is_row", *order[1:]]).rowsBetween(
-            Window.unboundedPreceding, Window.currentRow
-        )
+        along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    whole = F.sum("resends").over(in_slot(KEY))
+    of_slot = F.sum("resends").over(whole(along))
     counted = both.withColumn(
-        "later_resends", F.coalesce(whole, F.lit(0)) - F.coalesce(so_far, F.lit(0))
+        "later_resends", F.coalesce(of_slot, F.lit(0)) - F.coalesce(so_far, F.lit(0))
     )
     if codes:
         offsets = slot_sums(both, KEY, F.col("resends")).drop("earlier")
@@ -160,7 +158,7 @@ def resend_matches(value_history: DataFrame, request_history: DataFrame) -> Data
     dated = value_history.where(F.col("history_date").isNotNull())
     codes = _crowded(value_history.select(KEY), request_history.select(F.col("id").alias(KEY)))
     counted = count_later_resends(
-        with_copies(dated, HISTORY), request_history, HISTORY_ORDER, codes
+        with_copies(dated, HISTORY, KEY, codes), request_history, HISTORY_ORDER, codes
     )
     return counted.select(
         *HISTORY,
@@ -172,7 +170,7 @@ def resend_matches(value_history: DataFrame, request_history: DataFrame) -> Data
 def numbered_history(value_history: DataFrame) -> DataFrame:
     """Value history with a running label per request product."""
     codes = hot_codes(value_history, [KEY])
-    rows = with_slot(with_copies(value_history, HISTORY), KEY, "history_date", codes)
+    rows = with_slot(with_copies(value_history, HISTORY, KEY, codes), KEY, "history_date", codes)
     placed = total_before(rows, KEY, HISTORY_ORDER, "copies", "ahead", codes)
     return repeat_rows(placed, "copies", "copy").select(
         *HISTORY, _pending(F.col("ahead") + F.col("copy")).alias("sequence_label")
@@ -184,7 +182,7 @@ def _pending(number: Column) -> Column:
 
 
 def _crowded(*keys: DataFrame) -> list[int]:
-    """Hot request products over several inputs, found in one pass."""
+    """Keys that are hot over all inputs together, found in one pass."""
     together = keys[0]
     for more in keys[1:]:
         together = together.unionByName(more)
@@ -207,9 +205,6 @@ def negotiation_history(
     defined; without it every row appears once. The multiplicity is carried as a
     number through joins and numbering and unrolled at the very end.
     """
-    priced = with_copies(
-        of_field(request_values, fields, column=field_column), ["id", KEY], "value_copies"
-    )
     commercial = products.where(F.col("type") == COMMERCIAL).select(
         F.col("id").alias(KEY),
         F.col("pricebook_product_id").alias("product_id"),
@@ -217,16 +212,29 @@ def negotiation_history(
         "status",
         F.col("history_date").alias("request_created_at"),
     )
+    codes = _crowded(
+        value_history.select(KEY),
+        value_history.select(F.col("id").alias(KEY)),
+        request_values.select(KEY),
+        commercial.select(KEY),
+        request_history.select(F.col("id").alias(KEY)),
+    )
     asked = join_to_unique(
-        with_copies(commercial, commercial.columns, "product_copies"),
+        with_copies(commercial, commercial.columns, KEY, codes, "product_copies"),
         latest_per_product(value_history),
         [KEY],
         "left",
-        measured=commercial.select(KEY),
+        codes,
+    )
+    priced = with_copies(
+        of_field(request_values, fields, column=field_column), ["id", KEY], KEY, codes,
+        "value_copies",
     )
     known = with_copies(
         known_by(value_history, "history_date", as_of),
         ["id", "draft_value", "history_user_id", "history_date"],
+        "id",
+        codes,
     )
     rows = (
         asked.join(priced, KEY)
@@ -237,12 +245,6 @@ def negotiation_history(
             (F.col("product_copies") * F.col("value_copies") * F.col("copies")).alias("copies"),
         )
     )
-    codes = _crowded(
-        value_history.select(KEY),
-        request_values.select(KEY),
-        commercial.select(KEY),
-        request_history.select(F.col("id").alias(KEY)),
-    )
     order = [
         *HISTORY_ORDER, "product_id", "request_id", "status", "request_created_at", "is_latest",
     ]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tenderline.catalog import ATTRIBUTES, PRICEBOOK_HEADER, PRICEBOOK_PRODUCT
-from tenderline.operators.balance import join_to_unique, lookup_join
+from tenderline.operators.balance import hot_codes, join_to_unique, lookup_join
 
 
 def named_values(values: DataFrame, fields: DataFrame) -> DataFrame:
@@ -45,7 +45,10 @@ def attribute_pivot(
 
     The values, by far the largest input, are reduced before they meet anything
     else; a maximum does not change when the rows of a product are multiplied.
+    Products are placed by product once, for removing copies and for the join alike,
+    unless a hot product id makes it better to remove copies in the map tasks.
     """
+    codes = hot_codes(products, ["product_id"])
     wide = wide_values(values, fields, attributes).withColumnRenamed(
         "pb_product_id", "product_id"
     )
@@ -53,8 +56,10 @@ def attribute_pivot(
         F.col("id").alias("pricebook_id"),
         *[F.col(c).alias(a) for c, a in PRICEBOOK_HEADER.items()],
     ).distinct()
-    headed = products.select(*PRICEBOOK_PRODUCT).distinct().join(header, "pricebook_id")
-    joined = join_to_unique(headed, wide, ["product_id"], "inner", measured=products)
+    listed = products.select(*PRICEBOOK_PRODUCT)
+    single = (listed if codes else listed.repartition("product_id")).distinct()
+    headed = lookup_join(single, header, ["pricebook_id"])
+    joined = join_to_unique(headed, wide, ["product_id"], "inner", codes)
     return joined.select(
         *PRICEBOOK_PRODUCT, *attributes.values(), *PRICEBOOK_HEADER.values()
     )

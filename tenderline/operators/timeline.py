@@ -19,9 +19,17 @@ SLOT = "slot"
 UNDATED = 2_147_483_647
 
 
-def with_copies(df: DataFrame, columns: list[str], copies: str = "copies") -> DataFrame:
-    """Distinct rows and how often each occurs; map tasks reduce first."""
-    return df.groupBy(*columns).agg(F.count(F.lit(1)).alias(copies))
+def with_copies(
+    df: DataFrame, columns: list[str], key: str, codes: list[int], copies: str = "copies"
+) -> DataFrame:
+    """Distinct rows and how often each occurs.
+
+    Without hot keys the rows are placed by ``key`` right away, and the join or
+    window on it that follows needs no further shuffle. With hot keys map tasks
+    reduce their rows first and the groups are spread over all columns.
+    """
+    placed = df if codes else df.repartition(key)
+    return placed.groupBy(*columns).agg(F.count(F.lit(1)).alias(copies))
 
 
 def with_slot(df: DataFrame, key: str, dated: str, codes: list[int]) -> DataFrame:
@@ -31,23 +39,26 @@ def with_slot(df: DataFrame, key: str, dated: str, codes: list[int]) -> DataFram
     return df.withColumn(SLOT, slot.cast("int"))
 
 
-def in_slot(key: str) -> WindowSpec:
-    return Window.partitionBy(key, SLOT)
+def in_order(key: str, order: list[str]) -> WindowSpec:
+    return Window.partitionBy(key, SLOT).orderBy(*[F.asc_nulls_last(c) for c in order])
 
 
-def in_order(key: str, order: list[str]) -> WindowSpec:
-    return in_slot(key).orderBy(*[F.asc_nulls_last(c) for c in order])
+def whole(spec: WindowSpec) -> WindowSpec:
+    """All rows of the slot, on the sort that ``spec`` asks for anyway."""
+    return spec.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
 
 def slot_sums(df: DataFrame, key: str, value: Column) -> DataFrame:
     """Per slot of a hot key: the sum over earlier and over later slots."""
-    sums = df.where(F.col(SLOT).isNotNull()).groupBy(key, SLOT).agg(F.sum(value).alias("here"))
+    here = F.coalesce(F.sum(value), F.lit(0))
+    sums = df.where(F.col(SLOT).isNotNull()).groupBy(key, SLOT).agg(here.alias("here"))
     along = Window.partitionBy(key).orderBy(SLOT)
+    so_far = F.sum("here").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return sums.select(
         key,
         SLOT,
-        F.sum("here").over(along.rowsBetween(Window.unboundedPreceding, -1)).alias("earlier"),
-        F.sum("here").over(along.rowsBetween(1, Window.unboundedFollowing)).alias("later"),
+        (so_far - F.col("here")).alias("earlier"),
+        (F.sum("here").over(whole(along)) - so_far).alias("later"),
     )
 
 
@@ -69,24 +80,15 @@ def total_before(
 
 
 def repeat_rows(df: DataFrame, times: str, index: str) -> DataFrame:
-    """Each row ``times`` times, numbered from 1; arrays stay below 4,097 entries.
+    """Each row ``times`` times, numbered from 1.
 
-    Three digits of 4,096 are unrolled one after the other, which reaches 6.8e10
-    copies. Only a row with that many copies pays for the extra digits.
+    Unrolled in two steps of at most 65,536, so a very frequent row does not have
+    to hold all its numbers in one array.
     """
-    base = 4096
-    last = F.col(times) - 1
-    high = df.select("*", F.explode(F.sequence(F.lit(0), F.floor(last / (base * base)))).alias("_h"))
-    middle = high.select(
-        "*",
-        F.explode(
-            F.sequence(F.lit(0), F.least(F.lit(base - 1), F.floor((last - F.col("_h") * (base * base)) / base)))
-        ).alias("_m"),
-    )
-    start = F.col("_h") * (base * base) + F.col("_m") * base
-    return middle.select(
+    base = 65_536
+    chunks = df.select("*", F.expr(f"explode(sequence(0L, ({times} - 1) div {base})) AS chunk"))
+    start = F.col("chunk") * base
+    return chunks.select(
         *df.columns,
-        F.explode(
-            F.sequence(start + 1, F.least(start + base, F.col(times)))
-        ).alias(index),
+        F.explode(F.sequence(start + 1, F.least(start + base, F.col(times)))).alias(index),
     )
