@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 HOT_ROWS_CONF = "spark.tenderline.hotKeyRows"
 HOT_ROWS_DEFAULT = 1_000_000
 MAX_HOT_KEYS = 1000
+SEEN_AT_FLOOR = 1000
 
 LOOKUP_MAX_ROWS = 500_000
 LOOKUP_MAX_BYTES = 64 * 1024 * 1024
@@ -29,15 +30,21 @@ def hot_codes(df: DataFrame, keys: Sequence[str | Column]) -> list[int]:
 
     One pass over the key columns fills a fixed-size frequency sketch, so what
     reaches the driver is at most MAX_HOT_KEYS numbers whatever the input. A key is
-    reported above both a row floor and a thousandth of all rows. An estimate that
-    is off changes how the work is spread, never the result.
+    reported above both a row floor and a thousandth of all rows. The pass only looks
+    at as many rows as it takes to see a thousand of a key at the floor. It decides
+    how the work is spread; the joins and windows themselves read every row.
     """
     floor = int(df.sparkSession.conf.get(HOT_ROWS_CONF, str(HOT_ROWS_DEFAULT)))
-    sketch = df.select(key_code(keys).alias("code")).agg(
+    looked_at = df.select(key_code(keys).alias("code"))
+    if floor > SEEN_AT_FLOOR:
+        looked_at = looked_at.sample(SEEN_AT_FLOOR / floor, seed=17)
+    sketch = looked_at.agg(
         F.expr(f"approx_top_k(code, {MAX_HOT_KEYS}, 4096)").alias("top"),
         F.count(F.lit(1)).alias("rows"),
     )
-    least = F.greatest(F.lit(floor), F.col("rows") / F.lit(MAX_HOT_KEYS))
+    least = F.greatest(
+        F.lit(min(floor, SEEN_AT_FLOOR)), F.col("rows") / F.lit(MAX_HOT_KEYS)
+    )
     found = sketch.select(
         F.transform(
             F.filter("top", lambda t: t["count"] > least), lambda t: t["item"]
@@ -92,9 +99,18 @@ def small_enough(df: DataFrame) -> bool:
     return row["rows"] <= LOOKUP_MAX_ROWS and (row["bytes"] or 0) <= LOOKUP_MAX_BYTES
 
 
-def lookup_join(left: DataFrame, lookup: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+def lookup_join(
+    left: DataFrame,
+    lookup: DataFrame,
+    keys: list[str],
+    how: str = "inner",
+    distinct: bool = False,
+) -> DataFrame:
     """Join to a definition table: broadcast if measured small, else shuffled.
 
     Beyond the bound both sides are plain shuffles, which adaptive execution splits.
+    With ``distinct`` copies of lookup rows count once; the bound is checked with them.
     """
-    return left.join(F.broadcast(lookup) if small_enough(lookup) else lookup, keys, how)
+    small = small_enough(lookup)
+    side = lookup.distinct() if distinct else lookup
+    return left.join(F.broadcast(side) if small else side, keys, how)

@@ -40,7 +40,7 @@ def of_field(
 ) -> DataFrame:
     """Request values whose ``column`` names the wanted field."""
     wanted = fields.where(F.col("field_name") == field_name).select(F.col("id").alias(column))
-    return lookup_join(request_values, wanted.distinct(), [column], "left_semi")
+    return lookup_join(request_values, wanted, [column], "left_semi")
 
 
 def latest_per_product(value_history: DataFrame) -> DataFrame:

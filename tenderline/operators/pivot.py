@@ -55,10 +55,10 @@ def attribute_pivot(
     header = pricebooks.select(
         F.col("id").alias("pricebook_id"),
         *[F.col(c).alias(a) for c, a in PRICEBOOK_HEADER.items()],
-    ).distinct()
+    )
     listed = products.select(*PRICEBOOK_PRODUCT)
     single = (listed if codes else listed.repartition("product_id")).distinct()
-    headed = lookup_join(single, header, ["pricebook_id"])
+    headed = lookup_join(single, header, ["pricebook_id"], distinct=True)
     joined = join_to_unique(headed, wide, ["product_id"], "inner", codes)
     return joined.select(
         *PRICEBOOK_PRODUCT, *attributes.values(), *PRICEBOOK_HEADER.values()

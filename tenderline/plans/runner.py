@@ -79,8 +79,10 @@ def prepare(
     """The job with what the caller overrides; raises if anything is still open."""
     changes: dict[str, Any] = {}
     if source_table:
-        columns = job.sources[0].columns if job.sources else ()
-        changes["sources"] = (TableSource(source_table, columns=columns),)
+        if len(job.sources) > 1:
+            raise ValueError(f"{job.name}: only a job with one source can be pointed elsewhere")
+        first = job.sources[0] if job.sources else TableSource(source_table)
+        changes["sources"] = (replace(first, name=source_table, alias=first.key),)
     if target_table:
         changes["target"] = target_table
     if mode:
