@@ -99,7 +99,7 @@ def next_status(request_history: DataFrame) -> DataFrame:
             "next_status", F.when(F.col("has_next").isNull(), F.col("head")).otherwise(F.col("next_status"))
         )
     # Copies of a row follow each other; only the last one sees the next row.
-    return repeat_rows(following, "copies", "copy").select(
+    return repeat_rows(following, "copies", "copy", bool(codes)).select(
         "id",
         "status",
         "history_date",
@@ -172,7 +172,7 @@ def numbered_history(value_history: DataFrame) -> DataFrame:
     codes = hot_codes(value_history, [KEY])
     rows = with_slot(with_copies(value_history, HISTORY, KEY, codes), KEY, "history_date", codes)
     placed = total_before(rows, KEY, HISTORY_ORDER, "copies", "ahead", codes)
-    return repeat_rows(placed, "copies", "copy").select(
+    return repeat_rows(placed, "copies", "copy", bool(codes)).select(
         *HISTORY, _pending(F.col("ahead") + F.col("copy")).alias("sequence_label")
     )
 
@@ -262,7 +262,7 @@ def negotiation_history(
         .otherwise(_pending(F.col("ahead") + F.col("copy")))
     )
     return (
-        repeat_rows(placed, "copies", "copy")
+        repeat_rows(placed, "copies", "copy", bool(codes))
         .withColumn("status_label", label)
         .withColumn("unit_price", F.col("draft_value"))
         .select(*NEGOTIATION_HISTORY)

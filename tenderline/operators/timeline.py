@@ -1,7 +1,7 @@
 """Running totals along the dated rows of a key, without a task per key.
 
 A window over a key puts all its rows into one task. For the few keys too large for
-that, rows are cut by calendar day into slots: totals run inside a slot, and the sum
+that, rows are cut by the clock hour into slots: totals run inside a slot, and the sum
 of the slots before (or after) is added from a small table of slot sums. All other
 keys have a single slot and need neither the table nor the join.
 
@@ -13,10 +13,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from tenderline.operators.balance import is_hot
+from tenderline.operators.balance import hot_codes, is_hot
 
 SLOT = "slot"
 UNDATED = 2_147_483_647
+CHUNK = 65_536
 
 
 def with_copies(
@@ -33,9 +34,10 @@ def with_copies(
 
 
 def with_slot(df: DataFrame, key: str, dated: str, codes: list[int]) -> DataFrame:
-    """NULL slot for ordinary keys, the day number for hot ones (undated rows last)."""
-    day = F.coalesce(F.unix_date(F.col(dated).cast("date")), F.lit(UNDATED))
-    slot = F.when(is_hot([key], codes), day) if codes else F.lit(None)
+    """NULL slot for ordinary keys, the hour number for hot ones (undated rows last)."""
+    hour = F.unix_date(F.col(dated).cast("date")) * 24 + F.hour(dated)
+    placed = F.coalesce(hour, F.lit(UNDATED))
+    slot = F.when(is_hot([key], codes), placed) if codes else F.lit(None)
     return df.withColumn(SLOT, slot.cast("int"))
 
 
@@ -79,16 +81,41 @@ def total_before(
     )
 
 
-def repeat_rows(df: DataFrame, times: str, index: str) -> DataFrame:
-    """Each row ``times`` times, numbered from 1.
+def _chunked(df: DataFrame, times: str) -> DataFrame:
+    return df.select("*", F.expr(f"explode(sequence(0L, ({times} - 1) div {CHUNK})) AS chunk"))
 
-    Unrolled in two steps of at most 65,536, so a very frequent row does not have
-    to hold all its numbers in one array.
-    """
-    base = 65_536
-    chunks = df.select("*", F.expr(f"explode(sequence(0L, ({times} - 1) div {base})) AS chunk"))
-    start = F.col("chunk") * base
+
+def _unrolled(chunks: DataFrame, times: str, index: str) -> DataFrame:
+    start = F.col("chunk") * CHUNK
     return chunks.select(
-        *df.columns,
-        F.explode(F.sequence(start + 1, F.least(start + base, F.col(times)))).alias(index),
+        *[c for c in chunks.columns if c != "chunk"],
+        F.explode(F.sequence(start + 1, F.least(start + CHUNK, F.col(times)))).alias(index),
     )
+
+
+def repeat_rows(df: DataFrame, times: str, index: str, spread: bool = False) -> DataFrame:
+    """Each row ``times`` times, numbered from 1.
+
+    Unrolled in two steps of at most CHUNK rows, so a very frequent row does not have
+    to hold all its numbers in one array. With ``spread`` its chunks go to different
+    tasks in between.
+    """
+    chunks = _chunked(df, times)
+    if spread:
+        chunks = chunks.repartition(*[F.col(c) for c in chunks.columns])
+    return _unrolled(chunks, times, index)
+
+
+def sort_rows(df: DataFrame, order: list[str]) -> DataFrame:
+    """All rows in a total order, unknown values last.
+
+    Equal rows cannot be separated by a range of values. Where there are very many of
+    them, they are sorted as chunks of copies, which can.
+    """
+    by = [F.asc_nulls_last(c) for c in order]
+    codes = hot_codes(df, df.columns)
+    if not codes:
+        return df.orderBy(*by)
+    columns = df.columns
+    chunks = _chunked(with_copies(df, columns, columns[0], codes), "copies")
+    return _unrolled(chunks.orderBy(*by, "chunk"), "copies", "copy").select(*columns)

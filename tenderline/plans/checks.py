@@ -114,39 +114,41 @@ _YEARLY_PLAIN = f"""
 """
 _RECENT = f"BETWEEN {v.AS_OF_YEAR - 3} AND {v.AS_OF_YEAR - 1}"
 
-_NEGOTIATION_FROM = f"""
-    FROM requests_historicalrequestproduct rp
-    JOIN request_values rv ON rv.request_product_id = rp.id
-     AND rv.pricebook_value_id IN (SELECT id FROM pb_required_field WHERE field_name = 'unit_price')
-    JOIN requests_historicalrequestvalue h ON h.id = rv.id
-"""
-_NEGOTIATION_TO = f"""
-    WHERE rp.type = 'COMMERCIAL' AND h.history_date <= TIMESTAMP '{v.AS_OF}'
-"""
-_NEGOTIATION_SELECT = """
-    SELECT rp.pricebook_product_id AS product_id, rp.request_id, rp.status,
+# An offer is the newest if no other one is dated later or not at all.
+_OFFERS = f"""
+    SELECT q.pricebook_product_id AS product_id, q.request_id, q.status,
            h.draft_value AS unit_price, h.history_user_id, h.history_date,
-           CASE WHEN h.history_date <= rp.history_date THEN 'previous_approved'
-                WHEN rp.status = 'APPROVED' AND h.history_date >= ALL (
-                    SELECT o.history_date FROM requests_historicalrequestvalue o
-                    WHERE o.request_product_id = rp.id) THEN 'approved'
-                ELSE 'PENDING_' || CAST(ROW_NUMBER() OVER (
-                    PARTITION BY rp.id
-                    ORDER BY h.history_date, h.draft_value, h.history_user_id,
-                             rp.pricebook_product_id, rp.request_id, rp.status) AS STRING)
-           END AS status_label
+           q.history_date AS asked, row_number() OVER numbering AS place,
+           NOT EXISTS (
+               FROM requests_historicalrequestvalue o WHERE o.request_product_id = q.id
+               AND (o.history_date > h.history_date OR o.history_date IS NULL)) AS newest
+    FROM requests_historicalrequestvalue h
+    JOIN (FROM request_values SEMI JOIN (FROM pb_required_field WHERE field_name = 'unit_price') f
+          ON f.id = pricebook_value_id) v ON v.id = h.id
+    JOIN requests_historicalrequestproduct q ON q.id = v.request_product_id
+    {{resends}}
+    WHERE q.type = 'COMMERCIAL' AND h.history_date <= TIMESTAMP '{v.AS_OF}'
+    WINDOW numbering AS (PARTITION BY q.id ORDER BY h.history_date, h.draft_value,
+                         h.history_user_id, q.pricebook_product_id, q.request_id, q.status)
 """
 
 
 def _negotiation(resends: str) -> str:
     return _with(
-        _NEGOTIATION_SELECT + _NEGOTIATION_FROM + resends + _NEGOTIATION_TO, *NEGOTIATION_VIEWS
+        f"""
+        SELECT * EXCLUDE (asked, place, newest),
+               if(history_date <= asked, 'previous_approved',
+                  if(coalesce(status, '') = 'APPROVED' AND newest, 'approved',
+                     concat('PENDING_', place))) AS status_label
+        FROM ({_OFFERS.format(resends=resends)})
+        """,
+        *NEGOTIATION_VIEWS,
     )
 
 
-_RESENDS = """
-    LEFT JOIN requests_historicalrequest e ON e.id = rp.id AND h.history_date < e.history_date
-"""
+_RESENDS = (
+    "LEFT JOIN requests_historicalrequest e ON q.id = e.id AND e.history_date > h.history_date"
+)
 
 _ELEMENTS = " UNION ALL ".join(
     f"SELECT l_orderkey * 10 + l_linenumber AS id, row_id, CAST({e} AS INTEGER) AS element_id, "
@@ -277,10 +279,9 @@ CHECKS = {
         """
         SELECT u.id, u.first_name, u.last_name, c.id AS company_id, c.name AS company_name,
                r.name AS user_type
-        FROM users_user u
-        LEFT JOIN companies_customercompany c ON u.company_id = c.id
-        LEFT JOIN users_user_roles m ON m.user_id = u.id
-        LEFT JOIN roles_role r ON r.id = m.role_id
+        FROM roles_role r RIGHT JOIN users_user_roles m ON r.id = m.role_id
+        RIGHT JOIN users_user u ON u.id = m.user_id
+        LEFT JOIN companies_customercompany c ON c.id = u.company_id
         """,
         "users_user", "companies_customercompany", "users_user_roles", "roles_role",
     ),
@@ -327,14 +328,13 @@ CHECKS = {
     "demand_summary": _with(
         f"""
         SELECT p.id AS contract_product_id,
-               MAX(CASE WHEN y.order_year = {v.AS_OF_YEAR - 1} THEN y.total_quantity END)
-                   AS last_year_demand,
-               CAST(AVG(y.total_quantity) FILTER (y.order_year {_RECENT}) AS DECIMAL(38,6))
+               max(y.total_quantity) FILTER (y.order_year = {v.AS_OF_YEAR - 1}) AS last_year_demand,
+               CAST(sum(y.total_quantity) FILTER (y.order_year {_RECENT})
+                    / count(y.total_quantity) FILTER (y.order_year {_RECENT}) AS DECIMAL(38,6))
                    AS average_demand
-        FROM pricebook_info p LEFT JOIN ({_YEARLY}) y
-          ON p.manufacturer_name = y.manufacturer_name
-         AND p.manufacturer_part_no = y.manufacturer_part_no
-         AND p.customer_long_description = y.description
+        FROM ({_YEARLY}) y RIGHT JOIN pricebook_info p
+          ON (y.manufacturer_name, y.manufacturer_part_no, y.description)
+           = (p.manufacturer_name, p.manufacturer_part_no, p.customer_long_description)
         GROUP BY p.id
         """,
         "pricebook_info", "materials_table",

@@ -10,7 +10,7 @@ from tenderline import catalog as names
 from tenderline.functions.scalar import as_of_year, empty_column
 from tenderline.operators.benchmark import STORED, benchmark_history
 from tenderline.operators.demand import demand_summary, materials_in_scope, yearly_demand
-from tenderline.operators.filters import above_threshold
+from tenderline.operators.filters import above_threshold, changed_since
 from tenderline.operators.negotiation import negotiation_history
 from tenderline.operators.pivot import attribute_pivot
 from tenderline.operators.users import user_dimension
@@ -27,9 +27,12 @@ def _sales(frames: Frames, args: Args) -> DataFrame:
 
 
 def _pricebook(frames: Frames, args: Args) -> DataFrame:
+    values = frames["pricebooks_pricebookvalues"]
+    if args["since"] is not None:
+        values = changed_since(values, "updated_at", args["since"])
     return attribute_pivot(
         frames["pricebooks_pricebookproduct"],
-        frames["pricebooks_pricebookvalues"],
+        values,
         frames["pb_required_field"],
         frames["pricebooks_pricebook"],
         args["attributes"],
@@ -110,11 +113,11 @@ JOBS = {
         JobSpec(
             "pricebook_info", _PRICEBOOK_SOURCES,
             "contract_dashboard_pricebook_and_pricebook_product_info",
-            _pricebook, defaults={"attributes": names.ATTRIBUTES},
+            _pricebook, defaults={"attributes": names.ATTRIBUTES, "since": None},
         ),
         JobSpec(
             "pricebook_staging", _PRICEBOOK_SOURCES, "pricebook_analytics_staging",
-            _pricebook_staged, defaults={"attributes": names.ATTRIBUTES},
+            _pricebook_staged, defaults={"attributes": names.ATTRIBUTES, "since": None},
         ),
         JobSpec(
             "negotiation_history",

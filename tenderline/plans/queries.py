@@ -11,8 +11,9 @@ from tenderline.functions.json_fields import explode_elements, number_at, text_a
 from tenderline.functions.scalar import empty_column, epoch_seconds, year_of
 from tenderline.operators import benchmark, demand, filters, negotiation, pivot, users
 from tenderline.operators.balance import lookup_join
+from tenderline.operators.timeline import sort_rows
 from tenderline.plans.jobs import JOBS
-from tenderline.plans.runner import read_sources, run, run_sql, shared_folder
+from tenderline.plans.runner import read_sources, run_sql, run_staged, shared_folder
 from tenderline.plans.spec import TableSource, jobs_from_config
 from tenderline.plans.views import AS_OF, AS_OF_YEAR, REGION, view
 from tenderline.sinks import tables as sinks
@@ -369,8 +370,9 @@ def negotiation_history_dedup(spark, folder):
 
 @query
 def sort_history(spark, folder):
-    return view(spark, folder, "requests_historicalrequestvalue").orderBy(
-        *[F.asc_nulls_last(c) for c in ("request_product_id", *negotiation.HISTORY_ORDER)]
+    return sort_rows(
+        view(spark, folder, "requests_historicalrequestvalue"),
+        ["request_product_id", *negotiation.HISTORY_ORDER],
     )
 
 
@@ -497,9 +499,8 @@ def pricebook_staged(spark, folder):
     job = JOBS["pricebook_staging"]
     for source, frame in zip(job.sources, _pricebook_inputs(spark, folder)):
         sinks.overwrite(frame, inputs, source.name)
-    run(spark, job, inputs, store)
     target = JOBS["pricebook_info"].target
-    sinks.publish(spark, store, job.target, store, target, "id")
+    run_staged(spark, job, inputs, store, store, target, "id")
     return store.read(spark, target)
 
 

@@ -11,7 +11,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 from tenderline.plans.spec import JobSpec, TableSource
-from tenderline.sinks.tables import write
+from tenderline.sinks.tables import publish, write
 from tenderline.sources.stores import Store, check_columns
 
 log = logging.getLogger(__name__)
@@ -121,6 +121,22 @@ def run(
     return RunReport(ready.name, ready.target, ready.mode, rows)
 
 
+def run_staged(
+    spark: SparkSession,
+    job: JobSpec,
+    source: Store,
+    staging: Store,
+    target: Store,
+    table: str,
+    key: str,
+    args: dict[str, Any] | None = None,
+) -> RunReport:
+    """Run a job into its staging table, check that, and publish it as ``table``."""
+    staged = run(spark, job, source, staging, args)
+    rows = publish(spark, staging, staged.target, target, table, key)
+    return RunReport(job.name, table, staged.mode, rows)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below the one the cluster shares, for staging tables.
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tenderline.operators import balance, negotiation
 from tenderline.operators.balance import hot_codes, join_to_unique, lookup_join
+from tenderline.operators.timeline import sort_rows
 from tenderline.operators.users import user_dimension
 from tests.compare import of_duckdb, of_spark
 
@@ -82,6 +83,16 @@ def test_numbering(rows):
         FROM history""")
 
 
+def test_sorting(rows):
+    frame, con = rows
+    order = ["id", "history_date", "draft_value", "history_user_id", "status"]
+    found = [tuple(r) for r in sort_rows(frame.select(*order), order).collect()]
+    wanted = con.execute(
+        f"SELECT {', '.join(order)} FROM history ORDER BY " + ", ".join(f"{c} NULLS LAST" for c in order)
+    ).fetchall()
+    assert found == wanted
+
+
 def test_later_resends(rows):
     frame, con = rows
     assert of_spark(negotiation.resend_matches(frame, frame)) == of_duckdb(con, """
