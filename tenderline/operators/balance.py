@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 HOT_ROWS_CONF = "spark.tenderline.hotKeyRows"
-HOT_ROWS_DEFAULT = 1_000_000
+HOT_ROWS_DEFAULT = 5_000_000
 MAX_HOT_KEYS = 1000
 SEEN_AT_FLOOR = 1000
 
@@ -28,13 +28,17 @@ def key_code(keys: Sequence[str | Column]) -> Column:
 def hot_codes(df: DataFrame, keys: Sequence[str | Column]) -> list[int]:
     """Codes of the keys that hold more rows than one task should take.
 
-    One pass over the key columns fills a fixed-size frequency sketch, so what
-    reaches the driver is at most MAX_HOT_KEYS numbers whatever the input. A key is
-    reported above both a row floor and a thousandth of all rows. The pass only looks
-    at as many rows as it takes to see a thousand of a key at the floor. It decides
-    how the work is spread; the joins and windows themselves read every row.
+    An input with no more rows than the floor cannot have such a key; counting it
+    reads no columns of a file table. Beyond that, one pass over the key columns fills
+    a fixed-size frequency sketch, so what reaches the driver is at most MAX_HOT_KEYS
+    numbers whatever the input. A key is reported above both the row floor and a
+    thousandth of all rows. The pass only looks at as many rows as it takes to see a
+    thousand of a key at the floor. It decides how the work is spread; the joins and
+    windows themselves read every row.
     """
     floor = int(df.sparkSession.conf.get(HOT_ROWS_CONF, str(HOT_ROWS_DEFAULT)))
+    if df.count() <= floor:
+        return []
     looked_at = df.select(key_code(keys).alias("code"))
     if floor > SEEN_AT_FLOOR:
         looked_at = looked_at.sample(SEEN_AT_FLOOR / floor, seed=17)
@@ -91,6 +95,18 @@ def _row_bytes(df: DataFrame) -> Column:
     return size
 
 
+def broadcast_by_spark(df: DataFrame) -> bool:
+    """Spark's own estimate is below the limit under which it broadcasts by itself.
+
+    A client without the planner at hand does not know, and measures.
+    """
+    if not hasattr(df, "_jdf"):
+        return False
+    planned = df._jdf.queryExecution()
+    limit = planned.sparkSession().sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(planned.optimizedPlan().stats().sizeInBytes())) <= limit
+
+
 def small_enough(df: DataFrame) -> bool:
     """Measure a lookup side before broadcasting it: one aggregate, one row back."""
     row = df.agg(
@@ -106,11 +122,14 @@ def lookup_join(
     how: str = "inner",
     distinct: bool = False,
 ) -> DataFrame:
-    """Join to a definition table: broadcast if measured small, else shuffled.
+    """Join to a definition table: broadcast if small, else shuffled.
 
-    Beyond the bound both sides are plain shuffles, which adaptive execution splits.
-    With ``distinct`` copies of lookup rows count once; the bound is checked with them.
+    Where Spark knows the size of the table and broadcasts it anyway, nothing is done.
+    Otherwise, as for every JDBC table, it is measured. Beyond the bound both sides are
+    plain shuffles, which adaptive execution splits. With ``distinct`` copies of lookup
+    rows count once; the bound is checked with them.
     """
-    small = small_enough(lookup)
     side = lookup.distinct() if distinct else lookup
-    return left.join(F.broadcast(side) if small else side, keys, how)
+    if broadcast_by_spark(lookup) or not small_enough(lookup):
+        return left.join(side, keys, how)
+    return left.join(F.broadcast(side), keys, how)

@@ -18,10 +18,12 @@ from tenderline.operators.balance import hot_codes, join_to_unique, lookup_join
 from tenderline.operators.filters import known_by
 from tenderline.operators.timeline import (
     SLOT,
+    collapsed,
     in_order,
     repeat_rows,
     slot_sums,
     total_before,
+    unroll,
     whole,
     with_copies,
     with_slot,
@@ -72,8 +74,12 @@ def compare_with_all(value_history: DataFrame) -> DataFrame:
 def next_status(request_history: DataFrame) -> DataFrame:
     """Request history with the status that follows each row."""
     codes = hot_codes(request_history, ["id"])
-    distinct = with_copies(request_history, ["id", "status", "history_date"], "id", codes)
-    rows = with_slot(distinct, "id", "history_date", codes)
+    rows = with_slot(
+        with_copies(request_history, ["id", "status", "history_date"], codes),
+        "id",
+        "history_date",
+        codes,
+    )
     ordered = in_order("id", ["history_date", "status"])
     following = rows.withColumn("has_next", F.lead(F.lit(1)).over(ordered)).withColumn(
         "next_status", F.lead("status").over(ordered)
@@ -99,7 +105,7 @@ def next_status(request_history: DataFrame) -> DataFrame:
             "next_status", F.when(F.col("has_next").isNull(), F.col("head")).otherwise(F.col("next_status"))
         )
     # Copies of a row follow each other; only the last one sees the next row.
-    return repeat_rows(following, "copies", "copy", bool(codes)).select(
+    return unroll(following, codes).select(
         "id",
         "status",
         "history_date",
@@ -158,7 +164,7 @@ def resend_matches(value_history: DataFrame, request_history: DataFrame) -> Data
     dated = value_history.where(F.col("history_date").isNotNull())
     codes = _crowded(value_history.select(KEY), request_history.select(F.col("id").alias(KEY)))
     counted = count_later_resends(
-        with_copies(dated, HISTORY, KEY, codes), request_history, HISTORY_ORDER, codes
+        collapsed(dated, HISTORY, KEY, codes), request_history, HISTORY_ORDER, codes
     )
     return counted.select(
         *HISTORY,
@@ -170,9 +176,9 @@ def resend_matches(value_history: DataFrame, request_history: DataFrame) -> Data
 def numbered_history(value_history: DataFrame) -> DataFrame:
     """Value history with a running label per request product."""
     codes = hot_codes(value_history, [KEY])
-    rows = with_slot(with_copies(value_history, HISTORY, KEY, codes), KEY, "history_date", codes)
+    rows = with_slot(with_copies(value_history, HISTORY, codes), KEY, "history_date", codes)
     placed = total_before(rows, KEY, HISTORY_ORDER, "copies", "ahead", codes)
-    return repeat_rows(placed, "copies", "copy", bool(codes)).select(
+    return unroll(placed, codes).select(
         *HISTORY, _pending(F.col("ahead") + F.col("copy")).alias("sequence_label")
     )
 
@@ -220,20 +226,18 @@ def negotiation_history(
         request_history.select(F.col("id").alias(KEY)),
     )
     asked = join_to_unique(
-        with_copies(commercial, commercial.columns, KEY, codes, "product_copies"),
+        with_copies(commercial, commercial.columns, codes, "product_copies"),
         latest_per_product(value_history),
         [KEY],
         "left",
         codes,
     )
     priced = with_copies(
-        of_field(request_values, fields, column=field_column), ["id", KEY], KEY, codes,
-        "value_copies",
+        of_field(request_values, fields, column=field_column), ["id", KEY], codes, "value_copies"
     )
     known = with_copies(
         known_by(value_history, "history_date", as_of),
         ["id", "draft_value", "history_user_id", "history_date"],
-        "id",
         codes,
     )
     rows = (
@@ -261,9 +265,12 @@ def negotiation_history(
         .when((F.col("status") == APPROVED) & F.col("is_latest"), LABEL_APPROVED)
         .otherwise(_pending(F.col("ahead") + F.col("copy")))
     )
+    if fan_out:
+        placed = repeat_rows(placed, "copies", "copy", spread=bool(codes))
+    else:
+        placed = unroll(placed, codes)
     return (
-        repeat_rows(placed, "copies", "copy", bool(codes))
-        .withColumn("status_label", label)
+        placed.withColumn("status_label", label)
         .withColumn("unit_price", F.col("draft_value"))
         .select(*NEGOTIATION_HISTORY)
     )

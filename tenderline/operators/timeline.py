@@ -5,8 +5,8 @@ that, rows are cut by the clock hour into slots: totals run inside a slot, and t
 of the slots before (or after) is added from a small table of slot sums. All other
 keys have a single slot and need neither the table nor the join.
 
-Rows are collapsed to distinct rows with a number of copies beforehand, so copies
-of one row weigh as much as a single row.
+Where there are hot keys, rows are collapsed to distinct rows with a number of copies
+beforehand, so copies of one row weigh as much as a single row.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ UNDATED = 2_147_483_647
 CHUNK = 65_536
 
 
-def with_copies(
+def collapsed(
     df: DataFrame, columns: list[str], key: str, codes: list[int], copies: str = "copies"
 ) -> DataFrame:
     """Distinct rows and how often each occurs.
@@ -33,6 +33,15 @@ def with_copies(
     return placed.groupBy(*columns).agg(F.count(F.lit(1)).alias(copies))
 
 
+def with_copies(
+    df: DataFrame, columns: list[str], codes: list[int], copies: str = "copies"
+) -> DataFrame:
+    """Rows with a number of copies: collapsed for hot keys, else all rows, once each."""
+    if codes:
+        return collapsed(df, columns, columns[0], codes, copies)
+    return df.select(*columns, F.lit(1).cast("long").alias(copies))
+
+
 def with_slot(df: DataFrame, key: str, dated: str, codes: list[int]) -> DataFrame:
     """NULL slot for ordinary keys, the hour number for hot ones (undated rows last)."""
     hour = F.unix_date(F.col(dated).cast("date")) * 24 + F.hour(dated)
@@ -93,6 +102,13 @@ def _unrolled(chunks: DataFrame, times: str, index: str) -> DataFrame:
     )
 
 
+def unroll(df: DataFrame, codes: list[int], times: str = "copies", index: str = "copy") -> DataFrame:
+    """Undo ``with_copies``: one row per copy."""
+    if codes:
+        return repeat_rows(df, times, index, spread=True)
+    return df.withColumn(index, F.lit(1))
+
+
 def repeat_rows(df: DataFrame, times: str, index: str, spread: bool = False) -> DataFrame:
     """Each row ``times`` times, numbered from 1.
 
@@ -117,5 +133,5 @@ def sort_rows(df: DataFrame, order: list[str]) -> DataFrame:
     if not codes:
         return df.orderBy(*by)
     columns = df.columns
-    chunks = _chunked(with_copies(df, columns, columns[0], codes), "copies")
+    chunks = _chunked(with_copies(df, columns, codes), "copies")
     return _unrolled(chunks.orderBy(*by, "chunk"), "copies", "copy").select(*columns)

@@ -126,7 +126,9 @@ JOBS = {
                     "requests_historicalrequestproduct",
                     columns=("id", "request_id", "pricebook_product_id", "type", "status", "history_date"),
                 ),
-                TableSource("request_values", columns=("id", "request_product_id")),
+                TableSource(
+                    "request_values", columns=("id", "request_product_id", "pricebook_value_id")
+                ),
                 TableSource(
                     "requests_historicalrequestvalue",
                     columns=("id", "request_product_id", "draft_value", "history_user_id", "history_date"),

@@ -11,7 +11,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 from tenderline.plans.spec import JobSpec, TableSource
-from tenderline.sinks.tables import publish, write
+from tenderline.sinks.tables import overwrite, publish, write
 from tenderline.sources.stores import Store, check_columns
 
 log = logging.getLogger(__name__)
@@ -34,6 +34,15 @@ def read_sources(
     }
 
 
+def land_sources(
+    spark: SparkSession, sources: tuple[TableSource, ...], store: Store, landing: Store
+) -> None:
+    """Copy what a job needs of each source, so that the source is read only once."""
+    for s in sources:
+        frame = check_columns(store.read(spark, s.name), s.columns, s.name)
+        overwrite(frame.select(*s.columns) if s.columns else frame, landing, s.name)
+
+
 def sql_file(path: str) -> str:
     file = Path(path)
     if not file.is_file():
@@ -46,18 +55,17 @@ def run_sql(
 ) -> DataFrame:
     """One SQL statement over named frames, with ``:name`` parameters.
 
-    Views exist only while the text is resolved; the frame keeps its own plan.
+    Views exist only while the text is resolved; the frame keeps its own plan. A view
+    the caller has under one of the names is not replaced: that is an error.
     """
-    before = {t.name for t in spark.catalog.listTables() if t.isTemporary}
-    taken = sorted({n.lower() for n in frames} & {n.lower() for n in before})
-    if taken:
-        raise ValueError(f"temporary views of these names exist already: {taken}")
+    made = []
     try:
         for name, frame in frames.items():
             frame.createTempView(name)
+            made.append(name)
         return spark.sql(text.strip().rstrip(";"), args=args or {})
     finally:
-        for name in frames:
+        for name in made:
             spark.catalog.dropTempView(name)
 
 
@@ -105,16 +113,21 @@ def run(
     target_table: str | None = None,
     mode: str | None = None,
     sql: str | None = None,
+    landing: Store | None = None,
 ) -> RunReport:
     """Run a job with a single execution of its plan.
 
     Refuses to write onto one of its own sources: a lazy read would find it emptied.
+    With ``landing`` the sources are copied there first, and the job reads the copies.
     """
     ready = prepare(job, source_table, target_table, mode, sql)
     goal = target.identity(ready.target)
     for s in ready.sources:
         if source.identity(s.name) == goal:
             raise ValueError(f"{ready.name}: {ready.target} is also a source; use a staging table")
+    if landing is not None:
+        land_sources(spark, ready.sources, source, landing)
+        source = landing
     frames = read_sources(spark, ready.sources, source)
     rows = write(transform(spark, ready, frames, dict(args or {})), target, ready.target, ready.mode)
     log.info("%s wrote %d rows to %s (%s)", ready.name, rows, ready.target, ready.mode)

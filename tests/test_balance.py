@@ -166,15 +166,26 @@ def test_one_user_with_most_memberships(spark, rows):
         FROM u LEFT JOIN m ON m.user_id = u.id LEFT JOIN r ON r.id = m.role_id""")
 
 
-def test_lookups_beyond_the_bound_are_not_broadcast(spark, monkeypatch):
+@pytest.fixture
+def no_estimates(spark):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    yield lambda limit: spark.conf.set(name, limit)
+    spark.conf.unset(name)
+
+
+def test_lookups_beyond_the_bound_are_not_broadcast(spark, monkeypatch, no_estimates):
     left = spark.range(100).withColumnRenamed("id", "k")
     lookup = spark.range(50).select(F.col("id").alias("k"), F.lit("name").alias("name"))
 
     def plan(frame):
         return frame._jdf.queryExecution().optimizedPlan().toString()
 
+    expected = of_spark(left.join(lookup, "k"))
+    # Spark knows these sizes, so it is left to Spark until it stops broadcasting.
+    assert "broadcast" not in plan(lookup_join(left, lookup, ["k"]))
+    no_estimates("-1")
     assert "broadcast" in plan(lookup_join(left, lookup, ["k"]))
-    expected = of_spark(lookup_join(left, lookup, ["k"]))
+    assert of_spark(lookup_join(left, lookup, ["k"])) == expected
     monkeypatch.setattr(balance, "LOOKUP_MAX_ROWS", 10)
     assert "broadcast" not in plan(lookup_join(left, lookup, ["k"]))
     assert of_spark(lookup_join(left, lookup, ["k"])) == expected

@@ -1,6 +1,7 @@
 """Whole jobs over files, and the guards around them."""
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tenderline.catalog import CONFIGURED_PROJECTIONS, RATE_PAYLOAD_SCHEMA, USER_SUPPORT_COPIES
@@ -69,6 +70,19 @@ def test_job_result(spark, inputs, target, job, check, args):
     assert report.rows == sum(rows[1].values())
 
 
+def test_sources_can_be_landed_first(spark, inputs, target):
+    landing = FileStore(shared_folder(spark))
+    run(spark, JOBS["user_info"], inputs, target, landing=landing)
+    assert of_spark(target.read(spark, "contract_dashboard_user_info")) == of_duckdb(
+        connect(FOLDER), CHECKS["user_dimension"]
+    )
+    run(spark, JOBS["negotiation_history"], inputs, target, {"as_of": AS_OF}, landing=landing)
+    assert landing.columns(spark, "requests_historicalrequest") == ["id", "history_date"]
+    assert of_spark(target.read(spark, JOBS["negotiation_history"].target)) == of_duckdb(
+        connect(FOLDER), CHECKS["negotiation_history"]
+    )
+
+
 def test_job_with_text_from_the_caller(spark, inputs, target):
     report = run(
         spark, JOBS["bid_evaluation"], inputs, target, {"owner": "F"},
@@ -138,7 +152,7 @@ def test_views_under_both_names(spark, inputs, target):
 
 def test_sql_does_not_replace_the_callers_views(spark):
     spark.range(1).createOrReplaceTempView("taken")
-    with pytest.raises(ValueError, match="taken"):
+    with pytest.raises(AnalysisException, match="taken"):
         run_sql(spark, "SELECT * FROM taken", {"taken": spark.range(2)})
     assert spark.table("taken").count() == 1
     spark.catalog.dropTempView("taken")
