@@ -14,7 +14,7 @@ from tenderline.catalog import (
     UNIT_PRICE_FIELD,
 )
 from tenderline.functions.scalar import AsOf
-from tenderline.operators.balance import hot_codes, join_to_unique, lookup_join
+from tenderline.operators.balance import hot_codes, is_hot, join_to_unique, lookup_join
 from tenderline.operators.filters import known_by
 from tenderline.operators.timeline import (
     SLOT,
@@ -86,7 +86,7 @@ def next_status(request_history: DataFrame) -> DataFrame:
     )
     if codes:
         heads = (
-            rows.where(F.col(SLOT).isNotNull())
+            rows.where(is_hot(["id"], codes))
             .groupBy("id", SLOT)
             .agg(
                 F.min_by(
@@ -146,7 +146,7 @@ def count_later_resends(
         "later_resends", F.coalesce(of_slot, F.lit(0)) - F.coalesce(so_far, F.lit(0))
     )
     if codes:
-        offsets = slot_sums(both, KEY, F.col("resends")).drop("earlier")
+        offsets = slot_sums(both, KEY, F.col("resends"), codes).drop("earlier")
         counted = (
             counted.join(offsets, [KEY, SLOT], "left")
             .withColumn("later_resends", F.col("later_resends") + F.coalesce("later", F.lit(0)))

@@ -59,10 +59,14 @@ def whole(spec: WindowSpec) -> WindowSpec:
     return spec.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
 
-def slot_sums(df: DataFrame, key: str, value: Column) -> DataFrame:
-    """Per slot of a hot key: the sum over earlier and over later slots."""
+def slot_sums(df: DataFrame, key: str, value: Column, codes: list[int]) -> DataFrame:
+    """Per slot of a hot key: the sum over earlier and over later slots.
+
+    The condition is on the key itself, so that it reaches the inputs and only the
+    rows of hot keys are computed a second time.
+    """
     here = F.coalesce(F.sum(value), F.lit(0))
-    sums = df.where(F.col(SLOT).isNotNull()).groupBy(key, SLOT).agg(here.alias("here"))
+    sums = df.where(is_hot([key], codes)).groupBy(key, SLOT).agg(here.alias("here"))
     along = Window.partitionBy(key).orderBy(SLOT)
     so_far = F.sum("here").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return sums.select(
@@ -81,7 +85,7 @@ def total_before(
     local = F.coalesce(F.sum(value).over(ahead), F.lit(0))
     if not codes:
         return df.withColumn(out, local)
-    offsets = slot_sums(df, key, F.col(value)).drop("later")
+    offsets = slot_sums(df, key, F.col(value), codes).drop("later")
     return (
         df.withColumn(out, local)
         .join(offsets, [key, SLOT], "left")
