@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 HOT_ROWS_CONF = "spark.tenderline.hotKeyRows"
 HOT_ROWS_DEFAULT = 5_000_000
-MAX_HOT_KEYS = 1000
+MAX_HOT_KEYS = 10_000
+TRACKED_KEYS = 65_536
 SEEN_AT_FLOOR = 1000
 
 LOOKUP_MAX_ROWS = 500_000
@@ -31,10 +32,10 @@ def hot_codes(df: DataFrame, keys: Sequence[str | Column]) -> list[int]:
     An input with no more rows than the floor cannot have such a key; counting it
     reads no columns of a file table. Beyond that, one pass over the key columns fills
     a fixed-size frequency sketch, so what reaches the driver is at most MAX_HOT_KEYS
-    numbers whatever the input. A key is reported above both the row floor and a
-    thousandth of all rows. The pass only looks at as many rows as it takes to see a
-    thousand of a key at the floor. It decides how the work is spread; the joins and
-    windows themselves read every row.
+    numbers whatever the input. A key is reported above both the row floor and its
+    share of one in MAX_HOT_KEYS rows. The pass only looks at as many rows as it takes
+    to see a thousand of a key at the floor. It decides how the work is spread; the
+    joins and windows themselves read every row.
     """
     floor = int(df.sparkSession.conf.get(HOT_ROWS_CONF, str(HOT_ROWS_DEFAULT)))
     if df.count() <= floor:
@@ -42,9 +43,20 @@ def hot_codes(df: DataFrame, keys: Sequence[str | Column]) -> list[int]:
     looked_at = df.select(key_code(keys).alias("code"))
     if floor > SEEN_AT_FLOOR:
         looked_at = looked_at.sample(SEEN_AT_FLOOR / floor, seed=17)
-    sketch = looked_at.agg(
-        F.expr(f"approx_top_k(code, {MAX_HOT_KEYS}, 4096)").alias("top"),
-        F.count(F.lit(1)).alias("rows"),
+    # Sketches of many tasks meet in groups first, not all in one task.
+    grouped = (
+        looked_at.withColumn("part", F.spark_partition_id() % 256)
+        .groupBy("part")
+        .agg(
+            F.expr(f"approx_top_k_accumulate(code, {TRACKED_KEYS})").alias("state"),
+            F.count(F.lit(1)).alias("rows"),
+        )
+    )
+    sketch = grouped.agg(
+        F.expr(
+            f"approx_top_k_estimate(approx_top_k_combine(state, {TRACKED_KEYS}), {MAX_HOT_KEYS})"
+        ).alias("top"),
+        F.sum("rows").alias("rows"),
     )
     least = F.greatest(
         F.lit(min(floor, SEEN_AT_FLOOR)), F.col("rows") / F.lit(MAX_HOT_KEYS)
@@ -54,7 +66,7 @@ def hot_codes(df: DataFrame, keys: Sequence[str | Column]) -> list[int]:
             F.filter("top", lambda t: t["count"] > least), lambda t: t["item"]
         ).alias("codes")
     ).first()
-    return sorted(found["codes"] or [])
+    return sorted(found["codes"] or [])  # nothing sampled gives NULL
 
 
 def is_hot(keys: Sequence[str | Column], codes: list[int]) -> Column:

@@ -20,6 +20,7 @@ from tenderline.operators.timeline import (
     SLOT,
     collapsed,
     in_order,
+    join_slots,
     repeat_rows,
     slot_sums,
     total_before,
@@ -101,7 +102,7 @@ def next_status(request_history: DataFrame) -> DataFrame:
                 "id", SLOT, F.lead("head").over(Window.partitionBy("id").orderBy(SLOT)).alias("head")
             )
         )
-        following = following.join(heads, ["id", SLOT], "left").withColumn(
+        following = join_slots(following, heads, "id").withColumn(
             "next_status", F.when(F.col("has_next").isNull(), F.col("head")).otherwise(F.col("next_status"))
         )
     # Copies of a row follow each other; only the last one sees the next row.
@@ -148,7 +149,7 @@ def count_later_resends(
     if codes:
         offsets = slot_sums(both, KEY, F.col("resends"), codes).drop("earlier")
         counted = (
-            counted.join(offsets, [KEY, SLOT], "left")
+            join_slots(counted, offsets, KEY)
             .withColumn("later_resends", F.col("later_resends") + F.coalesce("later", F.lit(0)))
             .drop("later")
         )

@@ -77,6 +77,13 @@ def slot_sums(df: DataFrame, key: str, value: Column, codes: list[int]) -> DataF
     )
 
 
+def join_slots(df: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """Look up the slot of a row; an unknown key is a key like any other."""
+    named = table.withColumnsRenamed({key: "slot_key", SLOT: "slot_number"})
+    same = F.col(key).eqNullSafe(F.col("slot_key")) & (F.col(SLOT) == F.col("slot_number"))
+    return df.join(named, same, "left").drop("slot_key", "slot_number")
+
+
 def total_before(
     df: DataFrame, key: str, order: list[str], value: str, out: str, codes: list[int]
 ) -> DataFrame:
@@ -87,8 +94,7 @@ def total_before(
         return df.withColumn(out, local)
     offsets = slot_sums(df, key, F.col(value), codes).drop("later")
     return (
-        df.withColumn(out, local)
-        .join(offsets, [key, SLOT], "left")
+        join_slots(df.withColumn(out, local), offsets, key)
         .withColumn(out, F.col(out) + F.coalesce("earlier", F.lit(0)))
         .drop("earlier")
     )

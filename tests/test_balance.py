@@ -83,6 +83,22 @@ def test_numbering(rows):
         FROM history""")
 
 
+def test_an_unknown_key_can_be_hot_too(rows):
+    frame, con = rows
+    blank = frame.withColumns(
+        {c: F.when(F.col(c) != 1, F.col(c)) for c in ("id", "request_product_id")}
+    )
+    assert of_spark(negotiation.next_status(blank)) == of_duckdb(con, """
+        SELECT id, status, history_date, LEAD(status) OVER (
+            PARTITION BY id ORDER BY history_date NULLS LAST, status) AS next_status
+        FROM (SELECT * REPLACE (nullif(id, 1) AS id) FROM history)""")
+    assert of_spark(negotiation.numbered_history(blank)) == of_duckdb(con, """
+        SELECT nullif(request_product_id, 1) AS request_product_id, draft_value, history_user_id,
+               history_date, 'PENDING_' || row_number() OVER (PARTITION BY request_product_id
+                   ORDER BY history_date NULLS LAST, draft_value, history_user_id) AS sequence_label
+        FROM history""")
+
+
 def test_sorting(rows):
     frame, con = rows
     order = ["id", "history_date", "draft_value", "history_user_id", "status"]
