@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tenderline.llm.near_dedup import near_duplicates
 
+from tenderline.llm.suffix_dedup import repeated_bytes
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -15,5 +17,9 @@ def op8_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), shingle_words=4)
 
 
-QUERIES = {"op8_minhash": op8_minhash}
+def op10_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_bytes(table(spark, folder, "documents")).drop("starts", "ends")
+
+
+QUERIES = {"op8_minhash": op8_minhash, "op10_suffix_array": op10_suffix_array}
 CHECKS: dict[str, str] = {}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -55,3 +56,9 @@ def components(edges: DataFrame, name: str = "edges") -> DataFrame:
         if state == before:
             return now.select(F.col("a").alias("node"), F.col("b").alias("component"))
         before = state
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of finished steps now; it does so when the driver collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
