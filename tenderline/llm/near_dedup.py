@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tenderline.llm.shared import components, stored
+from tenderline.llm.shared import confirmed, ends, star_components, stored
 from tenderline.llm.text import LOWER, chunks, mixed, shingle_hashes, word_hashes, words
 
 BINS = 128
@@ -89,19 +89,11 @@ def _sets(size: int):
                 sets = [s.view(np.int64) for s in shingle_sets(part.column(1), size)]
                 ends = np.cumsum([0, *map(len, sets)], dtype=np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets)))
-                yield pa.RecordBatch.from_arrays([part.column(0), lists], names=["node", "shingles"])
+                yield pa.RecordBatch.from_arrays([part.column(0), lists], names=["node", "items"])
 
     return run
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("s"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("t"))
-    both = F.size(F.array_intersect("s", "t"))
-    return pairs.join(right, "b").join(left, "a").where(100 * both >= percent * (F.size("s") + F.size("t") - both)).select("a", "b").distinct()
-
-
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, percent: int = 80) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (least doc_id reachable over links), kept.
 
@@ -110,10 +102,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts; equal sets are one class with one representative.
 
     Candidates: 128 one-permutation minima, empty bins densified, 32 bands of 4. A pair at 0.8 shares no
-    band in about 5 of 10^8 cases. In each bucket a centre is compared with the members of other
-    components, on full sets. Then the centre leaves the bucket, and buckets that still hold several
-    components go round again with more centres, until none is left; so a bucket costs stars, not
-    pairs, and no pair of different components in it goes unseen.
+    band in about 5 of 10^8 cases. `star_components` compares them on full sets.
 
     Null or empty texts and texts without words have no shingle and no link. Rows with a null id take the
     component of their class, or null; kept is true for those with null. Repeated rows are rows of one
@@ -122,37 +111,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     signed = stored(rows.mapInArrow(_signatures(shingle_words), "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>"), "signatures")
     classes = signed.where("n_shingles > 0").groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
     classes = stored(classes.where("rep is not null"), "classes")
-    member = classes.select(F.col("rep").alias("node"), F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
-    shared = member.groupBy("bucket").agg(F.count("*").alias("k")).where("k > 1").drop("k")
-    buckets = stored(member.join(shared, "bucket").select("bucket", "node", "n", F.col("node").alias("comp")), "buckets")
-
-    tested, links, labels, centres = None, None, None, 1
-    while True:
-        picks = [F.min("node")] + [F.min_by("node", F.xxhash64("node", F.lit(i))) for i in range(1, centres)]
-        open_ = buckets.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.array_distinct(F.array(*picks)).alias("centres")).where("lo < hi").select("bucket", "centres")
-        live = stored(buckets.join(open_, "bucket"), "open")
-        hub = live.where(F.array_contains("centres", F.col("node"))).select("bucket", F.col("node").alias("c"), F.col("n").alias("cn"), F.col("comp").alias("cc"))
-        pairs = live.join(hub, "bucket").where(f"node <> c and comp <> cc and 100 * least(n, cn) >= {percent} * greatest(n, cn)")
-        pairs = pairs.select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        if live.isEmpty():
-            break
-        if not pairs.isEmpty():
-            tested = pairs if tested is None else tested.union(pairs)
-            ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-            sets = stored(rows.join(ends, "doc_id", "left_semi").mapInArrow(_sets(shingle_words), "node long, shingles array<long>"), "sets")
-            found = _confirmed(pairs, sets, percent)
-            links = stored(found if links is None else links.union(found), "links")
-            labels = components(links)
-        buckets = live.where(~F.array_contains("centres", F.col("node"))).select("bucket", "node", "n")
-        if labels is not None:
-            buckets = buckets.join(labels, "node", "left").select("bucket", "node", "n", F.coalesce("component", "node").alias("comp"))
-        else:
-            buckets = buckets.withColumn("comp", F.col("node"))
-        buckets = stored(buckets, "buckets")
-        centres = min(4 * centres, 64)
+    member = classes.select(F.explode("bands").alias("bucket"), F.col("rep").alias("node"), F.col("n_shingles").alias("n"))
+
+    def confirm(pairs: DataFrame) -> DataFrame:
+        texts = rows.withColumnRenamed("doc_id", "node").join(ends(pairs), "node", "left_semi")
+        sets = stored(texts.mapInArrow(_sets(shingle_words), "node long, items array<long>"), "sets")
+        return confirmed(pairs, sets, percent)
+
+    labels = star_components(member, confirm, percent)
 
     of_class = classes.select("d1", "d2", "n_shingles", "rep")
     out = signed.drop("bands").join(of_class, ["d1", "d2", "n_shingles"], "left")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tenderline.llm import decontamination
 from tenderline.llm.near_dedup import near_duplicates
 
 from tenderline.llm.suffix_dedup import repeated_bytes
@@ -13,6 +14,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op8_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), shingle_words=4)
 
@@ -21,5 +26,5 @@ def op10_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
     return repeated_bytes(table(spark, folder, "documents")).drop("starts", "ends")
 
 
-QUERIES = {"op8_minhash": op8_minhash, "op10_suffix_array": op10_suffix_array}
-CHECKS: dict[str, str] = {}
+QUERIES = {"op2_decontamination": op2_decontamination, "op8_minhash": op8_minhash, "op10_suffix_array": op10_suffix_array}
+CHECKS = {"op2_decontamination": decontamination.SQL}

@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,3 +63,49 @@ def release(spark: SparkSession) -> None:
     """Lets Spark remove the shuffle files of finished steps now; it does so when the driver collects its garbage."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+
+
+def star_components(buckets: DataFrame, confirm: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame | None:
+    """(node, component) over the confirmed links between nodes of one bucket; None when nothing is linked.
+
+    `buckets` has (bucket, node, n), n being the size of the node's set. In each bucket that holds several
+    components a centre is compared with the members of other components. Then the centre leaves the
+    bucket, and buckets that still hold several components go round again with more centres, until
+    none is left: so a bucket costs stars, not pairs, and no pair of different components in it goes
+    unseen. `confirm` takes pairs (a, b) and returns those that are links."""
+    alone = buckets.groupBy("bucket").agg(F.count("*").alias("k")).where("k > 1").drop("k")
+    buckets = stored(buckets.join(alone, "bucket").select("bucket", "node", "n", F.col("node").alias("comp")), "buckets")
+    tested, links, labels, centres = None, None, None, 1
+    while True:
+        picks = [F.min("node")] + [F.min_by("node", F.xxhash64("node", F.lit(i))) for i in range(1, centres)]
+        several = buckets.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.array_distinct(F.array(*picks)).alias("centres"))
+        live = stored(buckets.join(several.where("lo < hi").select("bucket", "centres"), "bucket"), "live")
+        if live.isEmpty():
+            return labels
+        hub = live.where(F.array_contains("centres", F.col("node"))).select("bucket", F.col("node").alias("c"), F.col("n").alias("cn"), F.col("comp").alias("cc"))
+        pairs = live.join(hub, "bucket").where(f"node <> c and comp <> cc and 100 * least(n, cn) >= {percent} * greatest(n, cn)")
+        pairs = pairs.select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct()
+        pairs = stored(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        if not pairs.isEmpty():
+            tested = pairs if tested is None else tested.union(pairs)
+            found = confirm(pairs)
+            links = stored(found if links is None else links.union(found), "links")
+            labels = components(links)
+        rest = live.where(~F.array_contains("centres", F.col("node"))).select("bucket", "node", "n")
+        if labels is None:
+            rest = rest.withColumn("comp", F.col("node"))
+        else:
+            rest = rest.join(labels, "node", "left").select("bucket", "node", "n", F.coalesce("component", "node").alias("comp"))
+        buckets, centres = stored(rest, "buckets"), min(4 * centres, 64)
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets (node, items) have 100 * intersection >= percent * union."""
+    left = sets.select(F.col("node").alias("a"), F.col("items").alias("s"))
+    right = sets.select(F.col("node").alias("b"), F.col("items").alias("t"))
+    both = F.size(F.array_intersect("s", "t"))
+    return pairs.join(right, "b").join(left, "a").where(100 * both >= percent * (F.size("s") + F.size("t") - both)).select("a", "b")
+
+
+def ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
