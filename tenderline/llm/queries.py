@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tenderline.llm import decontamination
+from tenderline.llm import decontamination, line_dedup
 from tenderline.llm.near_dedup import near_duplicates
 
 from tenderline.llm.suffix_dedup import repeated_bytes
@@ -18,6 +19,11 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    lines = line_dedup.without_duplicate_lines(table(spark, folder, "documents"))
+    return lines.select("doc_id", "n_lines", "n_kept", F.md5("text").alias("kept_md5"))
+
+
 def op8_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), shingle_words=4)
 
@@ -26,5 +32,5 @@ def op10_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
     return repeated_bytes(table(spark, folder, "documents")).drop("starts", "ends")
 
 
-QUERIES = {"op2_decontamination": op2_decontamination, "op8_minhash": op8_minhash, "op10_suffix_array": op10_suffix_array}
-CHECKS = {"op2_decontamination": decontamination.SQL}
+QUERIES = {"op2_decontamination": op2_decontamination, "op5_line_dedup": op5_line_dedup, "op8_minhash": op8_minhash, "op10_suffix_array": op10_suffix_array}
+CHECKS = {"op2_decontamination": decontamination.SQL, "op5_line_dedup": line_dedup.SQL}
