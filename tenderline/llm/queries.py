@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderline.llm import decontamination, line_dedup
+from tenderline.llm import decontamination, line_dedup, mixing
 from tenderline.llm.near_dedup import near_duplicates
 
 from tenderline.llm.suffix_dedup import repeated_bytes
@@ -15,6 +15,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mixed_documents(table(spark, folder, "documents"))
+
+
 def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -32,5 +36,5 @@ def op10_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
     return repeated_bytes(table(spark, folder, "documents")).drop("starts", "ends")
 
 
-QUERIES = {"op2_decontamination": op2_decontamination, "op5_line_dedup": op5_line_dedup, "op8_minhash": op8_minhash, "op10_suffix_array": op10_suffix_array}
-CHECKS = {"op2_decontamination": decontamination.SQL, "op5_line_dedup": line_dedup.SQL}
+QUERIES = {"op1_mixing": op1_mixing, "op2_decontamination": op2_decontamination, "op5_line_dedup": op5_line_dedup, "op8_minhash": op8_minhash, "op10_suffix_array": op10_suffix_array}
+CHECKS = {"op1_mixing": mixing.SQL, "op2_decontamination": decontamination.SQL, "op5_line_dedup": line_dedup.SQL}
