@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderline.llm import decontamination, line_dedup, mixing
+from tenderline.llm import decontamination, language_id, line_dedup, mixing, quality_rules, token_counts
 from tenderline.llm.near_dedup import near_duplicates
 
 from tenderline.llm.suffix_dedup import repeated_bytes
@@ -28,13 +29,40 @@ def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lines.select("doc_id", "n_lines", "n_kept", F.md5("text").alias("kept_md5"))
 
 
+def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = language_id.fit(docs.where(~language_id.held_out("doc_id")))
+    found = language_id.languages(docs, model)
+    return found.select("doc_id", language_id.held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 def op8_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), shingle_words=4)
 
 
+def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.quality(table(spark, folder, "documents"))
+
+
 def op10_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
     return repeated_bytes(table(spark, folder, "documents")).drop("starts", "ends")
 
 
-QUERIES = {"op1_mixing": op1_mixing, "op2_decontamination": op2_decontamination, "op5_line_dedup": op5_line_dedup, "op8_minhash": op8_minhash, "op10_suffix_array": op10_suffix_array}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_mixing,
+        op2_decontamination,
+        op5_line_dedup,
+        op6_token_counts,
+        op7_language_id,
+        op8_minhash,
+        op9_quality_rules,
+        op10_suffix_array,
+    )
+}
 CHECKS = {"op1_mixing": mixing.SQL, "op2_decontamination": decontamination.SQL, "op5_line_dedup": line_dedup.SQL}
