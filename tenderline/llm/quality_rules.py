@@ -78,37 +78,45 @@ def rules() -> dict[str, Column]:
     for name, value, good, bad in (
         ("length", n, lambda v: v.between(100, 50_000), lambda v: v < MIN_WORDS),
         ("word_length", per_word("word_chars"), lambda v: v.between(3, 10), lambda v: (v < 2) | (v > 15)),
-        ("symbols", per_word("n_symbols"), lambda v: v <= 0.02, lambda v: v > 0.1),
+        ("symbols", per_word("n_symbols"), lambda v: v <= 0.05, lambda v: v > 0.2),
         ("lines", F.col("n_dup_lines") / F.nullif(lines, F.lit(0)), lambda v: v <= 0.1, lambda v: v > 0.3),
         ("repetition", per_word("n_repeat_words"), lambda v: v <= 0.1, lambda v: v > 0.3),
         ("letters", per_word("n_alpha_words"), lambda v: v >= 0.8, lambda v: v < 0.6),
-        ("stop_words", F.when(n >= MIN_WORDS, F.col("n_stop_words")), lambda v: v >= 2, lambda v: v < 1),
+        ("stop_words", F.when(n >= MIN_WORDS, per_word("n_stop_words")), lambda v: v >= 0.1, lambda v: v < 0.05),
     ):
         out[name] = vote(value, good(value), bad(value))
     return out
 
 
-def fit_accuracies(votes: np.ndarray, counts: np.ndarray, rounds: int = 200, start: float = 0.8) -> tuple[np.ndarray, float]:
-    """Accuracy of each rule and share of good documents, by expectation-maximisation over vote patterns.
+def fit_accuracies(votes: np.ndarray, counts: np.ndarray, rounds: int = 300) -> tuple[np.ndarray, float]:
+    """Per rule the chance that its vote is right on good and on bad documents, and the share of good ones.
 
-    A rule that votes is right with its accuracy, whatever the class; abstaining says nothing. Accuracies
-    start above one half and stay between 0.55 and 0.99, which tells the good class from the bad."""
-    accuracy, share = np.full(votes.shape[1], start), 0.7
+    Expectation-maximisation over vote patterns; abstaining says nothing. It starts from the filter in which
+    all must pass (mostly bad where any rule votes against), which also tells which class is the good one.
+    A rule that votes the same way on both classes ends up without weight."""
     weight = counts / max(1, counts.sum())
+    p = np.where((votes < 0).any(axis=1), 0.2, 0.9)
+    accuracy, share = np.full((2, votes.shape[1]), 0.8), 0.7
     for _ in range(rounds):
-        p = posterior(votes, accuracy, share)
-        right = weight @ ((votes == 1) * p[:, None] + (votes == -1) * (1 - p)[:, None])
-        cast = weight @ (votes != 0)
-        new = np.clip((right + 0.01 * start) / (cast + 0.01), 0.55, 0.99)
-        moved = max(np.abs(new - accuracy).max(initial=0.0), abs((now := float(np.clip(weight @ p, 0.05, 0.95))) - share))
-        accuracy, share = new, now
+        right = np.stack([(weight * p) @ (votes > 0), (weight * (1 - p)) @ (votes < 0)])
+        cast = np.stack([(weight * p) @ (votes != 0), (weight * (1 - p)) @ (votes != 0)])
+        accuracy = np.clip((right + 0.8e-4) / (cast + 1e-4), 0.001, 0.999)
+        share = float(np.clip(weight @ p, 0.02, 0.98))
+        now = posterior(votes, accuracy, share)
+        moved, p = np.abs(now - p).max(initial=0.0), now
         if moved < 1e-9:
             break
     return accuracy, share
 
 
+def log_odds(accuracy: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What a vote for and a vote against add to the log odds of a good document."""
+    return np.log(accuracy[0] / (1 - accuracy[1])), np.log((1 - accuracy[0]) / accuracy[1])
+
+
 def posterior(votes: np.ndarray, accuracy: np.ndarray, share: float) -> np.ndarray:
-    return 1 / (1 + np.exp(-(np.log(share / (1 - share)) + votes @ np.log(accuracy / (1 - accuracy)))))
+    for_, against = log_odds(accuracy)
+    return 1 / (1 + np.exp(-(np.log(share / (1 - share)) + (votes > 0) @ for_ + (votes < 0) @ against)))
 
 
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
@@ -129,8 +137,9 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     votes = np.array([r.votes for r in patterns], dtype=float).reshape(len(patterns), len(named))
     accuracy, share = fit_accuracies(votes, np.array([r["count"] for r in patterns], dtype=float))
     odds = F.lit(float(np.log(share / (1 - share))))
-    for k, a in enumerate(accuracy):
-        odds = odds + F.get("votes", F.lit(k)) * F.lit(float(np.log(a / (1 - a))))
+    for k, (for_, against) in enumerate(zip(*log_odds(accuracy), strict=True)):
+        cast = F.get("votes", F.lit(k))
+        odds = odds + F.when(cast > 0, float(for_)).when(cast < 0, float(against)).otherwise(0.0)
     probability = 1 / (1 + F.exp(-odds))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     scored = stats.select("doc_id", *STATS, failed.alias("base_failed"), probability.alias("quality"))
