@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 from collections.abc import Callable
 
@@ -61,8 +62,10 @@ def components(edges: DataFrame, name: str = "edges") -> DataFrame:
 
 def release(spark: SparkSession) -> None:
     """Lets Spark remove the shuffle files of finished steps now; it does so when the driver collects its garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def star_components(buckets: DataFrame, confirm: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame | None:

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +15,8 @@ from tenderline.llm.shared import release, stored
 from tenderline.llm.text import chunks, mixed
 
 FIRST = 16
+#: Hot ranks: looked for in one document of SAMPLE; those in HOT_SHARE of them or more; HOT_RANKS at most.
+SAMPLE, HOT_SHARE, HOT_RANKS = 64, 1e-3, 1_000_000
 
 
 def _prefix_hashes(data: np.ndarray) -> np.ndarray:
@@ -53,39 +56,57 @@ def sampled(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndar
     return text[first], start[first] - offsets[text[first]], runs, h[at[first]].view(np.int64)
 
 
-def _samples(length: int):
+def _samples(length: int, hot: Broadcast | None):
+    """(doc_id, rank) of the samples of each text, without hot ranks."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = [batch.column(0), batch.column(1)]
-            for first, _, data, offsets in chunks(batch.column(2)):
-                text, start, runs, h = sampled(data, offsets, length)
-                take = pa.array(text + first)
-                yield pa.RecordBatch.from_arrays(
-                    [ids[0].take(take), ids[1].take(take), pa.array(start.astype(np.int32)), pa.array(runs.astype(np.int16)), pa.array(h)],
-                    names=["doc_id", "tag", "start", "windows", "rank"],
-                )
+            for first, _, data, offsets in chunks(batch.column(1)):
+                text, _, _, rank = sampled(data, offsets, length)
+                if hot is not None:
+                    cold = ~np.isin(rank, hot.value)
+                    text, rank = text[cold], rank[cold]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(text + first)), pa.array(rank)], names=["doc_id", "rank"])
 
     return run
 
 
-def _spans(length: int):
-    """For rows (doc_id, tag, text, starts, window counts, ranks): the bytes under each run."""
+def _spans(length: int, hot: Broadcast):
+    """For rows (doc_id, tag, text, ranks): the bytes under each run of windows with one of these ranks or a hot one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                text = batch.column(2)[i].as_buffer().to_pybytes()
-                starts, windows, ranks = (batch.column(k)[i].values for k in (3, 4, 5))
-                spans = [text[a : a + w + length - 1] for a, w in zip(starts.to_pylist(), windows.to_pylist(), strict=True)]
-                same = pa.array(np.full(len(spans), i))
+            for first, end, data, offsets in chunks(batch.column(2)):
+                text, start, windows, rank = sampled(data, offsets, length)
+                alive = np.isin(rank, hot.value)
+                index = np.searchsorted(text, np.arange(end - first + 1))
+                for i in range(end - first):
+                    known = batch.column(3)[first + i]
+                    if known.is_valid and index[i] < index[i + 1]:
+                        alive[index[i] : index[i + 1]] |= np.isin(rank[index[i] : index[i + 1]], known.values.to_numpy())
+                text, start, windows, rank = (x[alive] for x in (text, start, windows, rank))
+                whole = data.tobytes()
+                begin = offsets[text] + start
+                spans = [whole[x:y] for x, y in zip(begin.tolist(), (begin + windows + length - 1).tolist(), strict=True)]
+                take = pa.array(text + first)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(same), batch.column(1).take(same), starts, windows, ranks, pa.array(spans, pa.binary())],
+                    [batch.column(0).take(take), batch.column(1).take(take), pa.array(start.astype(np.int32)), pa.array(windows.astype(np.int16)), pa.array(rank), pa.array(spans, pa.binary())],
                     names=["doc_id", "tag", "start", "windows", "rank", "span"],
                 )
 
     return run
 
 
+def _hot_ranks(rows: DataFrame, length: int) -> np.ndarray:
+    """Ranks that a sample of one document in SAMPLE finds in about HOT_SHARE of the documents or more, if they
+    are few enough to be sent to all tasks. They only spread the work: being hot, they count as repeated."""
+    part = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(SAMPLE)) == 0)
+    floor = max(16, int(part.count() * HOT_SHARE))
+    ranks = part.select("doc_id", "text").mapInArrow(_samples(length, None), "doc_id long, rank long").groupBy("rank").count().where(F.col("count") >= floor)
+    found = ranks.select("rank").limit(HOT_RANKS + 1).toArrow().column(0).to_numpy()
+    return np.sort(found if len(found) <= HOT_RANKS else found[:0])
+
+
 def _remaining(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
@@ -136,7 +157,8 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Ranks by growing prefixes, dropping positions as soon as they are unique to a document:
     1. FIRST bytes, at one sampled position for each run of windows (about 1 of 18 positions). A window whose
-       sample occurs in one document cannot repeat.
+       sample occurs in one document cannot repeat. Samples are dealt by rank once; those in several
+       documents return to theirs. Ranks that very many documents have are known from a sample and not dealt.
     2. The bytes under the whole run of windows. Runs with equal bytes are one class; in all its documents
        but the least every window is removed.
     3. For the least document of classes that share a sample with others, single windows: ranks of half
@@ -145,28 +167,34 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Null text has no bytes. A row with a null id is neither changed nor a source. Rows that repeat an id are
     one document as to "smaller", each with its own text. Other columns are not read."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("tag"), F.col(text_col).alias("text"))
-    samples = rows.where("doc_id is not null").mapInArrow(_samples(length), "doc_id long, tag long, start int, windows short, rank long")
-    ranks = stored(samples.groupBy("rank").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("rank"), "ranks")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    named = rows.where("doc_id is not null and text is not null")
+    hot = spark.sparkContext.broadcast(_hot_ranks(named, length))
+    samples = named.mapInArrow(_samples(length, hot), "doc_id long, rank long").repartition("rank")
+    several = samples.groupBy("rank").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("rank")
+    alive = samples.join(several.hint("shuffle_hash"), "rank", "left_semi")
+    alive = stored(alive.groupBy("doc_id").agg(F.collect_set("rank").alias("ranks")), "alive")
     release(spark)
 
-    alive = samples.join(ranks.hint("shuffle_hash"), "rank", "left_semi")
-    alive = alive.groupBy("doc_id", "tag").agg(*[F.collect_list(c).alias(c) for c in ("start", "windows", "rank")])
-    known = rows.join(alive, ["doc_id", "tag"]).select("doc_id", "tag", F.col("text").cast("binary").alias("text"), "start", "windows", "rank")
-    spans = stored(known.mapInArrow(_spans(length), "doc_id long, tag long, start int, windows short, rank long, span binary"), "spans")
+    known = named.join(alive, "doc_id", "left").select("doc_id", F.xxhash64("text").alias("tag"), F.col("text").cast("binary").alias("text"), "ranks")
+    spans = known.mapInArrow(_spans(length, hot), "doc_id long, tag long, start int, windows short, rank long, span binary")
+    spans = stored(spans.withColumn("same", F.xxhash64("span")), "spans")
     release(spark)
 
-    classes = spans.groupBy("rank", "span").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.first("windows").alias("windows"))
+    classes = spans.groupBy("rank", "same").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
     classes = stored(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
     several = classes.groupBy("rank").agg(F.count("*").alias("k"), F.min("least").alias("lo"), F.max("most").alias("hi")).where("k > 1 and lo < hi")
-    contested = classes.join(several.select("rank"), "rank", "left_semi").select("id", F.col("least").alias("doc_id"), "span", "windows")
+    contested = classes.join(several.select("rank"), "rank", "left_semi").select("rank", "same", F.col("least").alias("doc_id"), "id")
+    contested = spans.join(contested, ["rank", "same", "doc_id"]).groupBy("id", "doc_id", "windows").agg(F.first("span").alias("span"))
     marks = stored(_doubled(contested, length), "marks")
-    hits = spans.join(classes.select("rank", "span", "least", "id"), ["rank", "span"]).select("doc_id", "tag", "start", "windows", "least", "id")
+    release(spark)
+    hits = spans.drop("span").join(classes.select("rank", "same", "least", "id"), ["rank", "same"]).select("doc_id", "tag", "start", "windows", "least", "id")
     hits = stored(hits, "hits")
     release(spark)
 
     copies = hits.where("doc_id > least").select("doc_id", "tag", F.col("start").alias("a"), F.expr(f"start + windows + {length - 1}").alias("b"))
     single = hits.where("doc_id = least").join(marks, "id").select("doc_id", "tag", F.expr("start + at").alias("a"), F.expr(f"start + at + {length}").alias("b"))
     removed = copies.union(single).groupBy("doc_id", "tag").agg(F.collect_list("a").alias("a"), F.collect_list("b").alias("b"))
-    whole = rows.join(removed, ["doc_id", "tag"], "left").select("doc_id", F.col("text").cast("binary").alias("text"), "a", "b")
+    tagged = rows.withColumn("tag", F.xxhash64("text"))
+    whole = tagged.join(removed, ["doc_id", "tag"], "left").select("doc_id", F.col("text").cast("binary").alias("text"), "a", "b")
     return whole.mapInArrow(_remaining, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, starts array<int>, ends array<int>")

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 18
 
 #: Word separators: the space and the bytes 0x09 to 0x0D.
 SEPARATOR = np.zeros(256, dtype=bool)
