@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tenderline.llm.shared import stored
+
 #: Token masks: 1 is compared, 0 is ignored. Each compares six tokens.
 MASKS = ("111111", "110101101", "11001010011")
 SPAN = 13
@@ -17,16 +19,21 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda t: t != "")
 
 
-def _windows(rows: DataFrame, masks: tuple[str, ...], *keep: str) -> DataFrame:
-    """Each start `at` and mask of the hashed tokens `h`, with a hash of the tokens that the mask compares."""
-    spots = rows.withColumn("at", F.explode(F.expr(f"if(size(h) < {min(map(len, masks))}, array(), sequence(0, size(h) - {min(map(len, masks))}))")))
-    seeds = []
+def _seeds(masks: tuple[str, ...]) -> Column:
+    """For hashed `tokens`, at each start one hash for each mask of the tokens that it compares; null where it does not fit."""
+    each = []
     for k, mask in enumerate(masks):
-        picked = [F.get("h", F.col("at") + i) for i, bit in enumerate(mask) if bit == "1"]
-        fits = F.col("at") + len(mask) <= F.size("h")
-        seeds.append(F.struct(F.lit(k).alias("mask"), F.when(fits, F.xxhash64(F.lit(k), *picked)).alias("seed")))
-    spots = spots.select(*keep, "h", "at", F.explode(F.array(*seeds)).alias("s"))
-    return spots.select(*keep, "h", "at", F.col("s.mask").alias("mask"), F.col("s.seed").alias("seed")).where("seed is not null")
+        picked = ", ".join(f"get(h, at + {i})" for i, bit in enumerate(mask) if bit == "1")
+        each.append(f"if(at + {len(mask)} <= size(h), xxhash64({k}, {picked}), null)")
+    least = min(map(len, masks))
+    # The outer transform binds the tokens once; a plain column would be worked out anew for each start.
+    return F.expr(f"transform(array(tokens), h -> flatten(transform(if(size(h) < {least}, array(), sequence(0, size(h) - {least})), at -> array({', '.join(each)}))))[0]")
+
+
+def _windows(rows: DataFrame, masks: tuple[str, ...], *keep: str) -> DataFrame:
+    """The seeds of each row with their start `at` and `mask`; only the columns of `keep` go with each of them."""
+    spots = rows.withColumn("seeds", _seeds(masks)).select(*keep, F.posexplode("seeds").alias("i", "seed"))
+    return spots.where("seed is not null").select(*keep, F.expr(f"i div {len(masks)}").cast("int").alias("at"), F.expr(f"i % {len(masks)}").alias("mask"), "seed")
 
 
 def leaks(
@@ -49,26 +56,28 @@ def leaks(
     the text does not agree. So substituted tokens are tolerated, inserted ones are not.
 
     All positions of all texts are searched. Items with fewer tokens than the shortest mask have no hit, nor do
-    null or empty texts. Null ids are rows like others. Repeated rows add up in `places`.
+    null or empty texts. Null ids are rows like others. Repeated rows count once in `places`.
     Seeds of the benchmark are broadcast only when fewer than BROADCAST_SEEDS were counted; else both
     sides are shuffled. Other columns are not read."""
     hashed = lambda c: F.transform(tokens(c), lambda t: F.xxhash64(t))
-    items = benchmark.select(F.col(item_col).alias("item_id"), hashed(F.col(item_text_col)).alias("h"))
+    items = benchmark.select(F.col(item_col).alias("item_id"), hashed(F.col(item_text_col)).alias("tokens"))
     widths = F.array(*[F.lit(len(m)) for m in masks])
-    seeds = _windows(items, masks, "item_id").withColumn("from", F.greatest(F.lit(0), F.expr("at") + F.get(widths, "mask") - span))
-    seeds = seeds.withColumn("to", F.least(F.size("h"), F.expr(f"at + {span}")))
-    seeds = seeds.select("seed", "item_id", F.get(widths, "mask").alias("width"), F.expr("slice(h, from + 1, to - from)").alias("part"), F.expr("at - from").alias("lead"), F.expr(f"least({span}, size(h))").alias("need"))
+    seeds = _windows(items, masks, "item_id", "tokens").withColumn("width", F.get(widths, "mask")).withColumn("from", F.expr(f"greatest(0, at + width - {span})"))
+    seeds = seeds.select("seed", F.struct("item_id", "width", F.expr(f"slice(tokens, from + 1, least(size(tokens), at + {span}) - from)").alias("part"), F.expr("at - from").alias("lead"), F.expr(f"least({span}, size(tokens))").alias("need")).alias("x"))
     if seeds.count() < BROADCAST_SEEDS:
         seeds = F.broadcast(seeds)
 
-    texts = docs.select(F.col(id_col).alias("doc_id"), hashed(F.col(text_col)).alias("h"))
-    hits = _windows(texts, masks, "doc_id").join(seeds, "seed")
-    same = F.expr("transform(part, (t, i) -> if(get(h, at - lead + i) = t, 1, 0))")
-    hits = hits.select("doc_id", "item_id", "at", "lead", "width", "need", same.alias("same"))
-    starts = "sequence(greatest(0, lead + width - need), least(lead, size(same) - need))"
-    good = f"exists({starts}, s -> 100 * aggregate(slice(same, s + 1, need), 0, (a, x) -> a + x) >= {percent} * need)"
-    hits = hits.where(F.expr(f"greatest(0, lead + width - need) <= least(lead, size(same) - need) and {good}"))
-    return hits.groupBy("doc_id", "item_id").agg(F.countDistinct("at").alias("places"), F.min("at").alias("first_at"))
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("tag"))
+    hits = _windows(texts.select("doc_id", "tag", hashed(F.col("text")).alias("tokens")), masks, "doc_id", "tag").join(seeds, "seed")
+    hits = stored(hits.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("at", "x")).alias("hits")), "hits")
+    # Each text with hits once more, its hits beside its tokens: a row of tokens is never copied for each hit.
+    found = texts.join(hits, texts.doc_id.eqNullSafe(hits.doc_id) & (texts.tag == hits.tag)).select(texts.doc_id, hashed(F.col("text")).alias("tokens"), "hits")
+    same = "transform(y.x.part, (t, i) -> if(get(h, y.at - y.x.lead + i) = t, 1, 0))"
+    starts = "sequence(greatest(0, y.x.lead + y.x.width - y.x.need), least(y.x.lead, size(y.x.part) - y.x.need))"
+    some = "greatest(0, y.x.lead + y.x.width - y.x.need) <= least(y.x.lead, size(y.x.part) - y.x.need)"
+    good = f"{some} and exists(transform(array({same}), z -> transform({starts}, s -> aggregate(slice(z, s + 1, y.x.need), 0, (a, v) -> a + v)))[0], k -> 100 * k >= {percent} * y.x.need)"
+    found = found.select("doc_id", F.explode(F.expr(f"transform(array(tokens), h -> filter(hits, y -> {good}))[0]")).alias("y"))
+    return found.groupBy("doc_id", F.col("y.x.item_id").alias("item_id")).agg(F.countDistinct("y.at").alias("places"), F.min("y.at").alias("first_at"))
 
 
 def _sql() -> str:

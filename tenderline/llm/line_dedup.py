@@ -7,11 +7,13 @@ import random
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tenderline.llm.shared import confirmed, ends, release, star_components, stored
+from tenderline.llm.shared import agree, ends, release, star_components, stored
 
 SHINGLE_CHARS = 9
 BANDS, BAND_ROWS = 12, 3
 PERCENT = 80
+#: Lines of about THIN_FROM characters and more are signed by one shingle in THIN.
+THIN, THIN_FROM = 3, 160
 
 _draw = random.Random(5)
 #: One order of the hashes for each minimum; the high five bits differ from order to order as long as they can.
@@ -45,20 +47,30 @@ def duplicate_lines(docs: DataFrame, size: int = SHINGLE_CHARS, percent: int = P
     distinct = stored(distinct.select(F.monotonically_increasing_id().alias("node"), F.col("owner.doc_id").alias("doc_id"), F.col("owner.line_no").alias("line_no"), "line"), "lines")
     release(spark)
 
+    # Long lines are signed by the shingles whose hash is a multiple of THIN; lines near the bound both ways.
     units = distinct.where(F.length("line") > size).select("node", _units(F.col("line")).alias("units"))
-    shingles = units.select("node", F.explode(F.expr(f"sequence(0, {_last(size)})")).alias("at"), "units")
-    hashed = shingles.select("node", F.xxhash64(F.expr(f"substring(units, 4 * at + 1, {4 * size})")).alias("h"))
-    minima = hashed.groupBy("node").agg(*[F.min(F.col("h").bitwiseXOR(F.lit(o))).alias(f"m{k}") for k, o in enumerate(ORDERS)], F.count("*").alias("n"))
-    bands = [F.xxhash64(F.lit(b), *[F.col(f"m{b * BAND_ROWS + r}") for r in range(BAND_ROWS)]) for b in range(BANDS)]
-    buckets = stored(minima.select(F.explode(F.array(*bands)).alias("bucket"), "node", "n"), "bands")
+    minima = []
+    for level, of_length in enumerate((f"length(units) < {4 * THIN_FROM * 5 // 4}", f"length(units) >= {4 * THIN_FROM * 4 // 5}")):
+        shingles = units.where(of_length).select("node", F.explode(F.expr(f"sequence(0, {_last(size)})")).alias("at"), "units")
+        hashed = shingles.select("node", F.xxhash64(F.expr(f"substring(units, 4 * at + 1, {4 * size})")).alias("h"))
+        hashed = hashed.where(f"h % {THIN} = 0") if level else hashed
+        minima.append(hashed.groupBy("node").agg(*[F.min(F.col("h").bitwiseXOR(F.lit(o))).alias(f"m{k}") for k, o in enumerate(ORDERS)]).withColumn("level", F.lit(level)))
+    bands = [F.xxhash64("level", F.lit(b), *[F.col(f"m{b * BAND_ROWS + r}") for r in range(BAND_ROWS)]) for b in range(BANDS)]
+    buckets = stored(minima[0].union(minima[1]).select(F.explode(F.array(*bands)).alias("bucket"), "node"), "bands")
     release(spark)
+    every = f"transform(sequence(0, {_last(size)}), at -> xxhash64(substring(units, 4 * at + 1, {4 * size})))"
 
     def confirm(pairs: DataFrame) -> DataFrame:
-        texts = distinct.join(ends(pairs), "node", "left_semi").select("node", _units(F.col("line")).alias("units"))
-        one = f"transform(sequence(0, {_last(size)}), at -> substring(units, 4 * at + 1, {4 * size}))"
-        return confirmed(pairs, stored(texts.select("node", F.array_distinct(F.expr(one)).alias("items")), "sets"), percent)
+        a, b = distinct.selectExpr("node as a", "line as s"), distinct.selectExpr("node as b", "line as t")
+        ab = pairs.join(b, "b").join(a, "a").where(f"100 * least(length(s), length(t)) >= {percent} * greatest(length(s), length(t)) - {100 * size}")
+        sets = [F.array_distinct(F.expr(every.replace("units", f"encode({c}, 'UTF-32')"))).alias(c) for c in "st"]
+        return ab.select("a", "b", *sets).where(agree("s", "t", percent)).select("a", "b")
 
-    labels = star_components(buckets, confirm, 1)
+    def items(nodes: DataFrame) -> DataFrame:
+        texts = distinct.join(nodes, "node", "left_semi").select("node", _units(F.col("line")).alias("units"))
+        return texts.select("node", F.explode(F.array_distinct(F.expr(every))).alias("item"))
+
+    labels = star_components(buckets, confirm, items, percent)
     owners = distinct.select("node", "doc_id", "line_no")
     if labels is None:
         return owners.drop("node")

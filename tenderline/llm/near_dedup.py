@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tenderline.llm.shared import confirmed, ends, star_components, stored
+from tenderline.llm.shared import agree, ends, star_components, stored
 from tenderline.llm.text import LOWER, chunks, mixed, shingle_hashes, word_hashes, words
 
 BINS = 128
@@ -111,14 +111,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     signed = stored(rows.mapInArrow(_signatures(shingle_words), "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>"), "signatures")
     classes = signed.where("n_shingles > 0").groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
     classes = stored(classes.where("rep is not null"), "classes")
-    member = classes.select(F.explode("bands").alias("bucket"), F.col("rep").alias("node"), F.col("n_shingles").alias("n"))
+    member = classes.select(F.explode("bands").alias("bucket"), F.col("rep").alias("node"))
+
+    sizes = classes.select(F.col("rep").alias("node"), "n_shingles")
+
+    def sets(nodes: DataFrame) -> DataFrame:
+        texts = rows.withColumnRenamed("doc_id", "node").join(nodes, "node", "left_semi")
+        return texts.mapInArrow(_sets(shingle_words), "node long, items array<long>")
 
     def confirm(pairs: DataFrame) -> DataFrame:
-        texts = rows.withColumnRenamed("doc_id", "node").join(ends(pairs), "node", "left_semi")
-        sets = stored(texts.mapInArrow(_sets(shingle_words), "node long, items array<long>"), "sets")
-        return confirmed(pairs, sets, percent)
+        ab = pairs.join(sizes.selectExpr("node as a", "n_shingles as n"), "a").join(sizes.selectExpr("node as b", "n_shingles as m"), "b")
+        ab = ab.where(f"100 * least(n, m) >= {percent} * greatest(n, m)").select("a", "b")
+        known = stored(sets(ends(ab)), "sets")
+        ab = ab.join(known.selectExpr("node as b", "items as t"), "b").join(known.selectExpr("node as a", "items as s"), "a")
+        return ab.where(agree("s", "t", percent)).select("a", "b").distinct()
+
+    def items(nodes: DataFrame) -> DataFrame:
+        return sets(nodes).select("node", F.explode("items").alias("item"))
 
-    labels = star_components(member, confirm, percent)
+    labels = star_components(member, confirm, items, percent)
 
     of_class = classes.select("d1", "d2", "n_shingles", "rep")
     out = signed.drop("bands").join(of_class, ["d1", "d2", "n_shingles"], "left")

@@ -8,7 +8,7 @@ import time
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -68,46 +68,52 @@ def release(spark: SparkSession) -> None:
         time.sleep(0.5)
 
 
-def star_components(buckets: DataFrame, confirm: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame | None:
-    """(node, component) over the confirmed links between nodes of one bucket; None when nothing is linked.
-
-    `buckets` has (bucket, node, n), n being the size of the node's set. In each bucket that holds several
-    components a centre is compared with the members of other components. Then the centre leaves the
-    bucket, and buckets that still hold several components go round again with more centres, until
-    none is left: so a bucket costs stars, not pairs, and no pair of different components in it goes
-    unseen. `confirm` takes pairs (a, b) and returns those that are links."""
-    alone = buckets.groupBy("bucket").agg(F.count("*").alias("k")).where("k > 1").drop("k")
-    buckets = stored(buckets.join(alone, "bucket").select("bucket", "node", "n", F.col("node").alias("comp")), "buckets")
-    tested, links, labels, centres = None, None, None, 1
-    while True:
-        picks = [F.min("node")] + [F.min_by("node", F.xxhash64("node", F.lit(i))) for i in range(1, centres)]
-        several = buckets.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.array_distinct(F.array(*picks)).alias("centres"))
-        live = stored(buckets.join(several.where("lo < hi").select("bucket", "centres"), "bucket"), "live")
-        if live.isEmpty():
-            return labels
-        hub = live.where(F.array_contains("centres", F.col("node"))).select("bucket", F.col("node").alias("c"), F.col("n").alias("cn"), F.col("comp").alias("cc"))
-        pairs = live.join(hub, "bucket").where(f"node <> c and comp <> cc and 100 * least(n, cn) >= {percent} * greatest(n, cn)")
-        pairs = pairs.select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct()
-        pairs = stored(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        if not pairs.isEmpty():
-            tested = pairs if tested is None else tested.union(pairs)
-            found = confirm(pairs)
-            links = stored(found if links is None else links.union(found), "links")
-            labels = components(links)
-        rest = live.where(~F.array_contains("centres", F.col("node"))).select("bucket", "node", "n")
-        if labels is None:
-            rest = rest.withColumn("comp", F.col("node"))
-        else:
-            rest = rest.join(labels, "node", "left").select("bucket", "node", "n", F.coalesce("component", "node").alias("comp"))
-        buckets, centres = stored(rest, "buckets"), min(4 * centres, 64)
-
-
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets (node, items) have 100 * intersection >= percent * union."""
-    left = sets.select(F.col("node").alias("a"), F.col("items").alias("s"))
-    right = sets.select(F.col("node").alias("b"), F.col("items").alias("t"))
-    both = F.size(F.array_intersect("s", "t"))
-    return pairs.join(right, "b").join(left, "a").where(100 * both >= percent * (F.size("s") + F.size("t") - both)).select("a", "b")
+def star_components(buckets: DataFrame, confirm: Callable[[DataFrame], DataFrame], items: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame | None:
+    """(node, component) over the links between nodes that share a bucket; None when nothing is linked.
+
+    `buckets` has (bucket, node); `confirm` takes pairs (a, b) and returns those linked, that is with
+    100 * intersection >= percent * union of their sets; `items` takes nodes and returns the (node, item) of their sets.
+
+    1. Stars: in each bucket the least node is compared with the others, so a bucket costs as many pairs
+       as it has members. The links give components.
+    2. Rest: members outside the component of their bucket's least node may still be linked to any
+       member. With f the items of a set that any other live set has, an intersection is at most the lesser f, so a
+       partner's size lies between percent / 100 of the own size and a bound that f sets. Members are joined on bucket
+       and class of size; only pairs within both bounds are compared. Nothing is left unseen:
+       a pair is in one component, or compared, or cannot be linked."""
+    alone = buckets.groupBy("bucket").agg(F.count("*").alias("k"), F.min("node").alias("hub")).where("k > 1").drop("k")
+    buckets = stored(buckets.join(alone, "bucket").select("bucket", "node", "hub"), "buckets")
+    stars = stored(buckets.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "stars")
+    links = stored(confirm(stars), "links")
+    labels = components(links)
+
+    named = buckets.join(labels, "node", "left").select("bucket", "node", "hub", F.coalesce("component", "node").alias("comp"))
+    hubs = labels.select(F.col("node").alias("hub"), F.col("component").alias("main"))
+    named = named.join(hubs, "hub", "left").select("bucket", "node", "comp", F.coalesce("main", "hub").alias("main"))
+    apart = named.groupBy("bucket").agg(F.max(F.col("comp") != F.col("main")).alias("apart")).where("apart")
+    live = stored(named.join(apart.select("bucket"), "bucket", "left_semi"), "live")
+    held = items(live.select("node").distinct())
+    single = held.groupBy("item").agg(F.count("*").alias("k"), F.min("node").alias("node")).select("node", F.when(F.col("k") == 1, 1).otherwise(0).alias("own"), "k")
+    own = single.where("k = 1").groupBy("node").agg(F.sum("own").alias("own"))
+    sizes = held.groupBy("node").agg(F.count("*").alias("n")).join(own, "node", "left").select("node", "n", F.expr("n - coalesce(own, 0)").alias("f"))
+    p = percent
+    sizes = stored(sizes.withColumn("most", F.expr(f"least(100 * n div {p}, ({100 + p} * f - {p} * n) div {p})")).where(f"100 * most >= {p} * n"), "sizes")
+    live = live.join(sizes, "node")
+    level = "cast(floor(ln({}) / ln(1.02)) as int)"
+    rest = live.where("comp <> main").withColumn("level", F.explode(F.expr(f"sequence({level.format(f'greatest(1, {p} * n / 100)')}, {level.format('most')})")))
+    rest = rest.select("bucket", "level", *[F.col(c).alias(f"c_{c}") for c in ("node", "comp", "n", "f")])
+    pairs = live.withColumn("level", F.expr(level.format("n"))).join(rest, ["bucket", "level"]).where(f"comp <> c_comp and {100 + p} * least(f, c_f) >= {p} * (n + c_n)")
+    pairs = pairs.select(F.least("node", "c_node").alias("a"), F.greatest("node", "c_node").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
+    more = stored(confirm(stored(pairs, "pairs")), "links")
+    if more.isEmpty():
+        return None if links.isEmpty() else labels
+    return components(links.union(more))
+
+
+def agree(s: str, t: str, percent: int) -> Column:
+    """Whether arrays of distinct items have 100 * intersection >= percent * union."""
+    both = F.size(F.array_intersect(s, t))
+    return 100 * both >= percent * (F.size(s) + F.size(t) - both)
 
 
 def ends(pairs: DataFrame) -> DataFrame:
