@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderline.llm import decontamination, language_id, line_dedup, mixing, quality_rules, token_counts
+from tenderline.llm import decontamination, language_id, line_dedup, mixing, quality_rules, token_counts, toxicity, warc
 from tenderline.llm.near_dedup import near_duplicates
 
 from tenderline.llm.suffix_dedup import repeated_bytes
@@ -24,6 +24,16 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
+    archives = warc.write_archives(table(spark, folder, "pages"))
+    return warc.page_records(warc.read_archives(spark, archives, with_payload=False))
+
+
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.severity(docs, toxicity.fit(toxicity.graded(table(spark, folder, "labels"), docs)))
+
+
 def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     lines = line_dedup.without_duplicate_lines(table(spark, folder, "documents"))
     return lines.select("doc_id", "n_lines", "n_kept", F.md5("text").alias("kept_md5"))
@@ -57,6 +67,8 @@ QUERIES = {
     for f in (
         op1_mixing,
         op2_decontamination,
+        op3_warc,
+        op4_toxicity,
         op5_line_dedup,
         op6_token_counts,
         op7_language_id,
@@ -65,4 +77,4 @@ QUERIES = {
         op10_suffix_array,
     )
 }
-CHECKS = {"op1_mixing": mixing.SQL, "op2_decontamination": decontamination.SQL, "op5_line_dedup": line_dedup.SQL}
+CHECKS = {"op1_mixing": mixing.SQL, "op2_decontamination": decontamination.SQL, "op3_warc": warc.SQL, "op5_line_dedup": line_dedup.SQL}
