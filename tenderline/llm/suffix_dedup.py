@@ -29,14 +29,15 @@ def _prefix_hashes(data: np.ndarray) -> np.ndarray:
 
 
 def sampled(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """Runs of windows of `length` bytes that sample the same position: (text, first window, windows, hash).
+    """Runs of windows of `length` bytes that sample the same position: (text, first window, windows, place of
+    the sample after the first window's start, hash).
 
     A window samples the first of its positions whose hash of FIRST bytes is least. That depends on
     the bytes of the window alone, so equal windows sample equal bytes at equal places."""
     width = length - FIRST + 1
     none = np.empty(0, np.int64)
     if len(data) < length:
-        return none, none, none, none
+        return none, none, none, none, none
     h = _prefix_hashes(data)
     least = (h >> np.uint64(32) << np.uint64(32)) | np.arange(len(h), dtype=np.uint64)
     size = 1
@@ -49,11 +50,11 @@ def sampled(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndar
     text = np.repeat(np.arange(len(counts)), counts)
     start = np.arange(len(text)) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(offsets[:-1], counts)
     if not len(start):
-        return none, none, none, none
+        return none, none, none, none, none
     at = at[start]
     first = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (text[1:] != text[:-1])])
     runs = np.diff(np.r_[first, len(start)])
-    return text[first], start[first] - offsets[text[first]], runs, h[at[first]].view(np.int64)
+    return text[first], start[first] - offsets[text[first]], runs, at[first] - start[first], h[at[first]].view(np.int64)
 
 
 def _samples(length: int, hot: Broadcast | None):
@@ -62,7 +63,7 @@ def _samples(length: int, hot: Broadcast | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, _, data, offsets in chunks(batch.column(1)):
-                text, _, _, rank = sampled(data, offsets, length)
+                text, _, _, _, rank = sampled(data, offsets, length)
                 if hot is not None:
                     cold = ~np.isin(rank, hot.value)
                     text, rank = text[cold], rank[cold]
@@ -77,21 +78,21 @@ def _spans(length: int, hot: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, end, data, offsets in chunks(batch.column(2)):
-                text, start, windows, rank = sampled(data, offsets, length)
+                text, start, windows, spot, rank = sampled(data, offsets, length)
                 alive = np.isin(rank, hot.value)
                 index = np.searchsorted(text, np.arange(end - first + 1))
                 for i in range(end - first):
                     known = batch.column(3)[first + i]
                     if known.is_valid and index[i] < index[i + 1]:
                         alive[index[i] : index[i + 1]] |= np.isin(rank[index[i] : index[i + 1]], known.values.to_numpy())
-                text, start, windows, rank = (x[alive] for x in (text, start, windows, rank))
+                text, start, windows, spot, rank = (x[alive] for x in (text, start, windows, spot, rank))
                 whole = data.tobytes()
                 begin = offsets[text] + start
                 spans = [whole[x:y] for x, y in zip(begin.tolist(), (begin + windows + length - 1).tolist(), strict=True)]
                 take = pa.array(text + first)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(take), batch.column(1).take(take), pa.array(start.astype(np.int32)), pa.array(windows.astype(np.int16)), pa.array(rank), pa.array(spans, pa.binary())],
-                    names=["doc_id", "tag", "start", "windows", "rank", "span"],
+                    [batch.column(0).take(take), batch.column(1).take(take), pa.array(start.astype(np.int32)), pa.array(windows.astype(np.int16)), pa.array(spot.astype(np.int16)), pa.array(rank), pa.array(spans, pa.binary())],
+                    names=["doc_id", "tag", "start", "windows", "spot", "rank", "span"],
                 )
 
     return run
@@ -132,21 +133,24 @@ def _remaining(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names=names)
 
 
-def _doubled(spans: DataFrame, length: int) -> DataFrame:
-    """(span id, window) of the windows that also start in a document smaller than the span's own.
+def _grown(spans: DataFrame, length: int) -> DataFrame:
+    """(id, at) of the windows of (id, doc_id, span, windows, spot) that also start in a document smaller than the span's own.
 
-    Prefix doubling: positions take a rank by their first half bytes; a rank in one document only is
-    unique and leaves; then pairs of ranks at the offset of the other half are ranked anew. A rank is
-    the least (document, position) of its class, which tells equal from different as an order would."""
-    half = (length + 1) // 2
-    spots = spans.select("id", "doc_id", "span", F.explode(F.sequence(F.lit(0), F.col("windows") + length - half - 1)).alias("at"))
-    spots = spots.select("id", "doc_id", "at", F.expr(f"substring(span, at + 1, {half})").alias("bytes"))
-    ranks = spots.groupBy("bytes").agg(F.min(F.struct("id", "at")).alias("rank"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-    ranked = spots.join(ranks.where("lo < hi").select("bytes", "rank"), "bytes").select("id", "doc_id", "at", "rank")
-    rest = ranked.select("id", (F.col("at") - (length - half)).alias("at"), F.col("rank").alias("next"))
-    pairs = ranked.join(rest, ["id", "at"]).select("id", "doc_id", "at", "rank", "next")
-    least = pairs.groupBy("rank", "next").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").drop("most")
-    return pairs.join(least, ["rank", "next"]).where("least < doc_id").select("id", "at")
+    A window holds the sampled FIRST bytes and, before or after them, at least half of its other bytes. So the
+    samples, which are known to repeat, grow by that half to either side; a side that then is in one document only
+    is unique and leaves. What is left grows to whole windows, each ranked by its halves."""
+    half = (length - FIRST) // 2
+    right = spans.where(f"spot + {FIRST + half} <= length(span)")
+    left = spans.where(f"spot > {half}")
+    sides = right.select("id", "doc_id", "span", F.expr(f"spot - {half}").alias("from"), (F.col("windows") - 1).alias("to"), F.lit(1).alias("side"), F.expr(f"xxhash64(substring(span, spot + 1, {FIRST + half}))").alias("grown"))
+    sides = sides.union(left.select("id", "doc_id", "span", F.lit(0), F.expr(f"least(windows - 1, spot - {half + 1})"), F.lit(0), F.expr(f"xxhash64(substring(span, spot - {half} + 1, {FIRST + half}))")))
+    shared = sides.groupBy("side", "grown").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("side", "grown")
+    alive = sides.join(shared, ["side", "grown"], "left_semi").withColumn("from", F.expr("greatest(0, from)"))
+    spots = alive.where("from <= to").select("id", "doc_id", "span", F.explode(F.sequence("from", "to")).alias("at"))
+    cut = length // 2
+    spots = spots.select("id", "doc_id", "at", F.expr(f"xxhash64(substring(span, at + 1, {cut}))").alias("first"), F.expr(f"xxhash64(substring(span, at + {cut + 1}, {length - cut}))").alias("second"))
+    least = spots.groupBy("first", "second").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").drop("most")
+    return spots.join(least, ["first", "second"]).where("least < doc_id").select("id", "at")
 
 
 def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50) -> DataFrame:
@@ -161,8 +165,8 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
        documents return to theirs. Ranks that very many documents have are known from a sample and not dealt.
     2. The bytes under the whole run of windows. Runs with equal bytes are one class; in all its documents
        but the least every window is removed.
-    3. For the least document of classes that share a sample with others, single windows: ranks of half
-       the length, then pairs of ranks at that offset (prefix doubling).
+    3. For the least document of classes that share a sample with others: the sample grown by half of the rest to
+       each side, then whole windows (`_grown`).
 
     Null text has no bytes. A row with a null id is neither changed nor a source. Rows that repeat an id are
     one document as to "smaller", each with its own text. Other columns are not read."""
@@ -177,7 +181,7 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     release(spark)
 
     known = named.join(alive, "doc_id", "left").select("doc_id", F.xxhash64("text").alias("tag"), F.col("text").cast("binary").alias("text"), "ranks")
-    spans = known.mapInArrow(_spans(length, hot), "doc_id long, tag long, start int, windows short, rank long, span binary")
+    spans = known.mapInArrow(_spans(length, hot), "doc_id long, tag long, start int, windows short, spot short, rank long, span binary")
     spans = stored(spans.withColumn("same", F.xxhash64("span")), "spans")
     release(spark)
 
@@ -185,10 +189,10 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     classes = stored(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
     several = classes.groupBy("rank").agg(F.count("*").alias("k"), F.min("least").alias("lo"), F.max("most").alias("hi")).where("k > 1 and lo < hi")
     contested = classes.join(several.select("rank"), "rank", "left_semi").select("rank", "same", F.col("least").alias("doc_id"), "id")
-    contested = spans.join(contested, ["rank", "same", "doc_id"]).groupBy("id", "doc_id", "windows").agg(F.first("span").alias("span"))
-    marks = stored(_doubled(contested, length), "marks")
+    contested = spans.join(contested, ["rank", "same", "doc_id"]).groupBy("id", "doc_id", "windows", "spot").agg(F.first("span").alias("span"))
+    marks = stored(_grown(contested, length), "marks")
     release(spark)
-    hits = spans.drop("span").join(classes.select("rank", "same", "least", "id"), ["rank", "same"]).select("doc_id", "tag", "start", "windows", "least", "id")
+    hits = spans.drop("span", "spot").join(classes.select("rank", "same", "least", "id"), ["rank", "same"]).select("doc_id", "tag", "start", "windows", "least", "id")
     hits = stored(hits, "hits")
     release(spark)
 
