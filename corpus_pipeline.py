@@ -1,28 +1,71 @@
-"""The stages that turn raw documents into a training mixture."""
+"""The stages that turn raw documents into a training mixture.
+
+Each stage reads what its predecessor kept and works on all of it. Ids are taken as unique; rows with a null id
+pass the stages as said in each."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tenderline.llm import toxicity
+from tenderline.llm.decontamination import leaks
+from tenderline.llm.line_dedup import without_duplicate_lines
+from tenderline.llm.mixing import mixed_documents
 from tenderline.llm.near_dedup import near_duplicates
+from tenderline.llm.shared import stored
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with p_toxic below one half, by a model of the labels; null ids are rows like others."""
+    model = toxicity.fit(toxicity.graded(spark.read.parquet(f"{sf_dir}/labels.parquet"), docs))
+    scored = toxicity.severity(docs, model, carry=COLUMNS[1:])
+    return scored.where("not toxic").select(*COLUMNS)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that others, or they themselves, have before; those left without any line go.
+
+    Documents that had no line stay as they are, and so do the lines of those with a null id."""
+    lines = without_duplicate_lines(docs, carry=("lang", "source", "n_chars")).where("n_kept > 0 or n_lines = 0")
+    return lines.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text")).otherwise(F.col("n_chars")).cast("long")).select(*COLUMNS)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the least id."""
-    kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
-    return named.union(docs.where("doc_id is null").select(*COLUMNS))
+    """One document of each group of near copies stays: the one with the least id. Null ids stay."""
+    gone = near_duplicates(docs).where("not kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark; if one with a null id has some, all with a null id go."""
+    found = leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(F.col("doc_id").alias("found")).distinct()
+    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("found")), "left_anti").select(*COLUMNS)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of the mixture, once for each epoch that takes from them, with `epoch` and `tokens_taken`."""
+    taken = mixed_documents(docs).select("doc_id", "epoch", "tokens_taken")
+    return docs.select(*COLUMNS).join(taken, "doc_id")
 
 
-STAGES = [("minhash near-dedup", near_dedup)]
+STAGES = [
+    ("toxicity", reject_toxic),
+    ("line dedup", line_dedup),
+    ("minhash near-dedup", near_dedup),
+    ("benchmark decontamination", decontaminate),
+    ("mixing", mix),
+]
 
+#: The classifier, the signatures and the components have no equivalent in SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents, each written to the shared folder and read again by the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -81,8 +81,8 @@ def duplicate_lines(docs: DataFrame, size: int = SHINGLE_CHARS, percent: int = P
     return alone.select("doc_id", "line_no").union(kept.select("first.doc_id", "first.line_no"))
 
 
-def without_duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE_CHARS, percent: int = PERCENT) -> DataFrame:
-    """Per row: doc_id, n_lines, n_kept, text with the lines that stay, in their order, joined by line feeds.
+def without_duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE_CHARS, percent: int = PERCENT, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Per row: doc_id, n_lines, n_kept, the columns of `carry`, text with the lines that stay, in their order, joined by line feeds.
 
     Lines end at line feeds; lines of white space alone are left out of the counts and of the text. Of equal or
     linked lines of all documents the one with the least (doc_id, line number) stays. A null text stays null.
@@ -92,8 +92,8 @@ def without_duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: s
     Only DataFrame functions. Distinct lines are hashed once; each shingle costs one hash and one minimum per
     order. 12 bands of 3: two lines at 0.8 share no band in 2 of 10,000 cases. Candidates are stars
     (`star_components`); the lines of a bucket are never paired with each other."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    kept = duplicate_lines(rows.where("doc_id is not null"), size, percent)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *carry)
+    kept = duplicate_lines(rows.where("doc_id is not null").select("doc_id", "text"), size, percent)
     kept = kept.groupBy("doc_id").agg(F.sort_array(F.collect_list("line_no")).alias("stay"))
     split = "transform(array(split(text, '\\n', -1)), l -> {})[0]"
     text = split.format("array_join(transform(coalesce(stay, cast(array() as array<int>)), i -> l[i]), '\\n')")
@@ -102,7 +102,7 @@ def without_duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: s
     joined = rows.join(kept, "doc_id", "left")
     whole = F.expr(split.format(f"array_join({real}, '\\n')"))
     stays = F.when(F.col("doc_id").isNull(), count).otherwise(F.coalesce(F.size("stay"), F.lit(0)).cast("long"))
-    return joined.select("doc_id", count.alias("n_lines"), stays.alias("n_kept"), F.when(F.col("text").isNotNull(), F.when(F.col("doc_id").isNull(), whole).otherwise(F.expr(text))).alias("text"))
+    return joined.select("doc_id", count.alias("n_lines"), stays.alias("n_kept"), *carry, F.when(F.col("text").isNotNull(), F.when(F.col("doc_id").isNull(), whole).otherwise(F.expr(text))).alias("text"))
 
 
 SQL = f"""

@@ -11,6 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+SEGMENTS = 32
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir; one of our own only where that is unset and all runs in one process."""
@@ -77,14 +79,17 @@ def star_components(buckets: DataFrame, confirm: Callable[[DataFrame], DataFrame
     1. Stars: in each bucket the least node is compared with the others, so a bucket costs as many pairs
        as it has members. The links give components.
     2. Rest: members outside the component of their bucket's least node may still be linked to any
-       member. With f the items of a set that any other live set has, an intersection is at most the lesser f, so a
-       partner's size lies between percent / 100 of the own size and a bound that f sets. Members are joined on bucket
-       and class of size; only pairs within both bounds are compared. Nothing is left unseen:
-       a pair is in one component, or compared, or cannot be linked."""
+       member. Items that no other live set has cannot be shared; of the others each set has a number in each of SEGMENTS
+       ranges of the hash, and an intersection is at most the sum of the lesser numbers. That also bounds a partner's
+       size. Members are joined on bucket and class of size, and only pairs within the bounds are
+       compared. Nothing is left unseen: a pair is in one component, or compared, or cannot be linked."""
+    spark, p = buckets.sparkSession, percent
     alone = buckets.groupBy("bucket").agg(F.count("*").alias("k"), F.min("node").alias("hub")).where("k > 1").drop("k")
     buckets = stored(buckets.join(alone, "bucket").select("bucket", "node", "hub"), "buckets")
     stars = stored(buckets.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "stars")
+    release(spark)
     links = stored(confirm(stars), "links")
+    release(spark)
     labels = components(links)
 
     named = buckets.join(labels, "node", "left").select("bucket", "node", "hub", F.coalesce("component", "node").alias("comp"))
@@ -92,19 +97,25 @@ def star_components(buckets: DataFrame, confirm: Callable[[DataFrame], DataFrame
     named = named.join(hubs, "hub", "left").select("bucket", "node", "comp", F.coalesce("main", "hub").alias("main"))
     apart = named.groupBy("bucket").agg(F.max(F.col("comp") != F.col("main")).alias("apart")).where("apart")
     live = stored(named.join(apart.select("bucket"), "bucket", "left_semi"), "live")
-    held = items(live.select("node").distinct())
-    single = held.groupBy("item").agg(F.count("*").alias("k"), F.min("node").alias("node")).select("node", F.when(F.col("k") == 1, 1).otherwise(0).alias("own"), "k")
-    own = single.where("k = 1").groupBy("node").agg(F.sum("own").alias("own"))
-    sizes = held.groupBy("node").agg(F.count("*").alias("n")).join(own, "node", "left").select("node", "n", F.expr("n - coalesce(own, 0)").alias("f"))
-    p = percent
-    sizes = stored(sizes.withColumn("most", F.expr(f"least(100 * n div {p}, ({100 + p} * f - {p} * n) div {p})")).where(f"100 * most >= {p} * n"), "sizes")
-    live = live.join(sizes, "node")
+    held = stored(items(live.select("node").distinct()), "held")
+    release(spark)
+    segment = F.shiftrightunsigned("item", 64 - SEGMENTS.bit_length() + 1)
+    numbers = [F.count_if(segment == k).cast("int").alias(f"s{k}") for k in range(SEGMENTS)]
+    single = held.groupBy("item").agg(F.count("*").alias("k"), F.min("node").alias("node")).where("k = 1").groupBy("node").agg(F.array(*numbers).alias("own"))
+    sizes = held.groupBy("node").agg(F.count("*").alias("n"), F.array(*numbers).alias("all")).join(single, "node", "left")
+    sizes = sizes.select("node", "n", F.expr("if(own is null, all, zip_with(all, own, (x, y) -> x - y))").alias("f"))
+    sizes = sizes.withColumn("most", F.expr(f"least(100 * n div {p}, ({100 + p} * aggregate(f, 0, (x, y) -> x + y) - {p} * n) div {p})")).where(f"100 * most >= {p} * n")
+    live = live.join(stored(sizes, "sizes"), "node")
     level = "cast(floor(ln({}) / ln(1.02)) as int)"
     rest = live.where("comp <> main").withColumn("level", F.explode(F.expr(f"sequence({level.format(f'greatest(1, {p} * n / 100)')}, {level.format('most')})")))
-    rest = rest.select("bucket", "level", *[F.col(c).alias(f"c_{c}") for c in ("node", "comp", "n", "f")])
-    pairs = live.withColumn("level", F.expr(level.format("n"))).join(rest, ["bucket", "level"]).where(f"comp <> c_comp and {100 + p} * least(f, c_f) >= {p} * (n + c_n)")
+    rest = rest.select("bucket", "level", *[F.col(c).alias(f"c_{c}") for c in ("node", "comp", "n", "f", "most")])
+    pairs = live.withColumn("level", F.expr(level.format("n"))).join(rest, ["bucket", "level"])
+    pairs = pairs.where(f"comp <> c_comp and n <= c_most and c_n <= most and {100 + p} * aggregate(zip_with(f, c_f, (x, y) -> least(x, y)), 0, (x, y) -> x + y) >= {p} * (n + c_n)")
     pairs = pairs.select(F.least("node", "c_node").alias("a"), F.greatest("node", "c_node").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-    more = stored(confirm(stored(pairs, "pairs")), "links")
+    pairs = stored(pairs, "pairs")
+    release(spark)
+    more = stored(confirm(pairs), "links")
+    release(spark)
     if more.isEmpty():
         return None if links.isEmpty() else labels
     return components(links.union(more))

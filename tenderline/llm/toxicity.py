@@ -139,8 +139,8 @@ def fit(labelled: DataFrame, sample: int = SAMPLE_DOCS, features: int = FEATURES
     return {"words": kept, "weights": weights, "thresholds": thresholds}
 
 
-def severity(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, expected_severity (the mean grade, 0 to levels - 1), p_toxic (P(grade > 0)), grade
+def severity(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """Per row: doc_id, the columns of `carry`, expected_severity (the mean grade, 0 to levels - 1), p_toxic (P(grade > 0)), grade
     (the most probable one, the least of equals), toxic (p_toxic >= 0.5).
 
     Features are logarithms of word counts in the whole text. A null or empty text has no features.
@@ -158,7 +158,8 @@ def severity(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
             upper = _sigmoid(np.array(scores, dtype=float)[:, None] - thresholds)
             p = np.c_[np.ones(len(scores)), upper] - np.c_[upper, np.zeros(len(scores))]
             columns = [pa.array(upper.sum(axis=1)), pa.array(upper[:, 0]), pa.array(p.argmax(axis=1).astype(np.int32)), pa.array(upper[:, 0] >= 0.5)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "expected_severity", "p_toxic", "grade", "toxic"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], *columns], names=["doc_id", *carry, "expected_severity", "p_toxic", "grade", "toxic"])
 
-    rows = docs.selectExpr(f"cast(`{id_col}` as bigint) as doc_id", f"`{text_col}` as text")
-    return rows.mapInArrow(run, "doc_id long, expected_severity double, p_toxic double, grade int, toxic boolean")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("__text"), *carry)
+    carried = "".join(f"`{c}` {rows.schema[c].dataType.simpleString()}, " for c in carry)
+    return rows.mapInArrow(run, f"doc_id long, {carried}expected_severity double, p_toxic double, grade int, toxic boolean")
