@@ -19,21 +19,18 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda t: t != "")
 
 
-def _seeds(masks: tuple[str, ...]) -> Column:
-    """For hashed `tokens`, at each start one hash for each mask of the tokens that it compares; null where it does not fit."""
-    each = []
-    for k, mask in enumerate(masks):
-        picked = ", ".join(f"get(h, at + {i})" for i, bit in enumerate(mask) if bit == "1")
-        each.append(f"if(at + {len(mask)} <= size(h), xxhash64({k}, {picked}), null)")
-    least = min(map(len, masks))
-    # The outer transform binds the tokens once; a plain column would be worked out anew for each start.
-    return F.expr(f"transform(array(tokens), h -> flatten(transform(if(size(h) < {least}, array(), sequence(0, size(h) - {least})), at -> array({', '.join(each)}))))[0]")
-
-
 def _windows(rows: DataFrame, masks: tuple[str, ...], *keep: str) -> DataFrame:
-    """The seeds of each row with their start `at` and `mask`; only the columns of `keep` go with each of them."""
-    spots = rows.withColumn("seeds", _seeds(masks)).select(*keep, F.posexplode("seeds").alias("i", "seed"))
-    return spots.where("seed is not null").select(*keep, F.expr(f"i div {len(masks)}").cast("int").alias("at"), F.expr(f"i % {len(masks)}").alias("mask"), "seed")
+    """For rows with hashed `tokens`: each start `at` and `mask` that fits, with the `seed`, a hash of the tokens
+    that the mask compares. Only the columns of `keep` go with each of them."""
+    # Tokens side by side with those that follow. The outer transform binds the tokens; a plain column would be worked out anew for each use.
+    shifted = ", ".join(f"slice(h, {i + 1}, size(h))" for i in range(max(map(len, masks))))
+    spots = rows.select(*keep, F.posexplode(F.expr(f"transform(array(tokens), h -> arrays_zip({shifted}))[0]")).alias("at", "t"))
+    token = [F.col("t").getField(str(i)) for i in range(max(map(len, masks)))]
+    seeds = []
+    for k, mask in enumerate(masks):
+        picked = [token[i] for i, bit in enumerate(mask) if bit == "1"]
+        seeds.append(F.when(token[len(mask) - 1].isNotNull(), F.xxhash64(F.lit(k), *picked)))
+    return spots.select(*keep, "at", F.posexplode(F.array(*seeds)).alias("mask", "seed")).where("seed is not null")
 
 
 def leaks(
