@@ -79,7 +79,7 @@ def _telling(x: np.ndarray, toxic: np.ndarray, limit: int) -> list[int]:
     """Columns picked one by one: that which most sets apart the toxic rows that no column picked before is in."""
     picked, open_ = [], toxic.copy()
     other, n0 = x[~toxic].sum(axis=0), max(1, int((~toxic).sum()))
-    while open_.any() and len(picked) < limit:
+    while open_.any() and len(picked) < min(limit, x.shape[1]):
         n1 = int(open_.sum())
         hits = x[open_].sum(axis=0)
         share = (hits + other) / (n1 + n0)

@@ -135,8 +135,8 @@ def plain_parts(data: bytes) -> Iterator[Part]:
         if isinstance(found, Part):
             if gap < at:
                 yield Part(gap, at - gap, reason)
-            yield found
             at = gap = at + found.length
+            yield found
             continue
         reason = reason if gap < at else found
         at = data.find(MARK, at + 1)
