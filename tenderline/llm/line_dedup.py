@@ -58,17 +58,16 @@ def duplicate_lines(docs: DataFrame, size: int = SHINGLE_CHARS, percent: int = P
     bands = [F.xxhash64("level", F.lit(b), *[F.col(f"m{b * BAND_ROWS + r}") for r in range(BAND_ROWS)]) for b in range(BANDS)]
     buckets = stored(minima[0].union(minima[1]).select(F.explode(F.array(*bands)).alias("bucket"), "node"), "bands")
     release(spark)
-    every = f"transform(sequence(0, {_last(size)}), at -> xxhash64(substring(units, 4 * at + 1, {4 * size})))"
+    # The outer transform binds the encoded line; a plain column would be encoded anew for each shingle.
+    every = f"array_distinct(transform(array(encode({{}}, 'UTF-32')), units -> transform(sequence(0, {_last(size)}), at -> xxhash64(substring(units, 4 * at + 1, {4 * size}))))[0])"
 
     def confirm(pairs: DataFrame) -> DataFrame:
         a, b = distinct.selectExpr("node as a", "line as s"), distinct.selectExpr("node as b", "line as t")
         ab = pairs.join(b, "b").join(a, "a").where(f"100 * least(length(s), length(t)) >= {percent} * greatest(length(s), length(t)) - {100 * size}")
-        sets = [F.array_distinct(F.expr(every.replace("units", f"encode({c}, 'UTF-32')"))).alias(c) for c in "st"]
-        return ab.select("a", "b", *sets).where(agree("s", "t", percent)).select("a", "b")
+        return ab.select("a", "b", *[F.expr(every.format(c)).alias(c) for c in "st"]).where(agree("s", "t", percent)).select("a", "b")
 
     def items(nodes: DataFrame) -> DataFrame:
-        texts = distinct.join(nodes, "node", "left_semi").select("node", _units(F.col("line")).alias("units"))
-        return texts.select("node", F.explode(F.array_distinct(F.expr(every))).alias("item"))
+        return distinct.join(nodes, "node", "left_semi").select("node", F.explode(F.expr(every.format("line"))).alias("item"))
 
     labels = star_components(buckets, confirm, items, percent)
     owners = distinct.select("node", "doc_id", "line_no")

@@ -135,7 +135,7 @@ def test_quality_base(spark):
     out = by_id(quality_rules.quality(frame(spark, [*ROWS, (20, "# b c " * 40 + "| line\n\n| line", "en", "s")])))
     r = out[20]
     assert (r.n_words, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed, r.kept) == (124, 42, 0, 124 - 4, True, False)
-    assert out[6].n_dup_lines == 2 and out[6].word_chars == 10 and out[3].n_words == 0
+    assert out[6].n_dup_lines == 2 and out[6].word_chars == 9 and out[3].n_words == 0
 
 
 def test_language_without_letters(spark):
