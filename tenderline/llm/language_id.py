@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tenderline.llm.shared import hashed_sample
 from tenderline.llm.text import texts_of
 
 #: Bounds of what the model learns from and holds.
@@ -52,12 +53,12 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(labelled: DataFrame, sample: int = SAMPLE_DOCS, words: int = WORDS_PER_LANG, grams: int = GRAMS_PER_LANG, seed: int = 7) -> dict:
-    """Log frequencies per language out of at most `sample` documents (doc_id, text, lang), chosen by a hash.
+    """Log frequencies per language out of about `sample` documents (doc_id, text, lang), chosen by a hash.
 
     Held are the `words` most frequent words and the `grams` most frequent n-grams of each length
     of each language; ties go by the unit itself."""
     known = labelled.where("text is not null and lang is not null")
-    chosen = known.orderBy(F.xxhash64(F.lit(seed), "doc_id", "text"), "doc_id", "lang").limit(sample).select("lang", "text")
+    chosen = hashed_sample(known, sample, seed, "doc_id").select("lang", "text")
     units = chosen.repartition(max(8, chosen.sparkSession.sparkContext.defaultParallelism)).mapInArrow(_counted, "lang string, kind int, unit string, n long")
     units = units.groupBy("lang", "kind", "unit").agg(F.sum("n").alias("n"))
     order = W.partitionBy("lang", "kind").orderBy(F.desc("n"), "unit")

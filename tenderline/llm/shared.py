@@ -129,3 +129,13 @@ def agree(s: str, t: str, percent: int) -> Column:
 
 def ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+
+
+def hashed_sample(rows: DataFrame, size: int, seed: int, *columns: str) -> DataFrame:
+    """About `size` of the rows, or all if there are fewer: those whose hash of the columns is low enough.
+
+    Rows are counted, not sorted, so no task gets more than its own."""
+    total = rows.count()
+    if total <= size:
+        return rows
+    return rows.where(F.pmod(F.xxhash64(F.lit(seed), *columns), F.lit(1 << 40)) < F.lit(size * (1 << 40) // total))

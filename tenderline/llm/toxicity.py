@@ -11,7 +11,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tenderline.llm.shared import stored
+from tenderline.llm.shared import hashed_sample, stored
 from tenderline.llm.text import texts_of
 
 #: Bounds of the sample that the model is fitted on and of its features.
@@ -23,9 +23,12 @@ MIN_Z = 6.0
 WORD = r"\p{L}+"
 
 
-def graded(labels: DataFrame, docs: DataFrame) -> DataFrame:
-    """(doc_id, text, grade) of labelled documents, grade being the 0 or 1 of `toxic`; labels without it are left out."""
-    return docs.select("doc_id", "text").join(labels.where("toxic is not null").select("doc_id", F.col("toxic").alias("grade")), "doc_id")
+def graded(labels: DataFrame, docs: DataFrame, sample: int = SAMPLE_DOCS, seed: int = 3) -> DataFrame:
+    """(doc_id, text, grade) of about `sample` labelled documents, grade being the 0 or 1 of `toxic`.
+
+    Labels without it are left out. The labels are sampled first, so what is broadcast is as many rows of two numbers."""
+    known = labels.where("toxic is not null").select("doc_id", F.col("toxic").alias("grade"))
+    return docs.select("doc_id", "text").join(F.broadcast(hashed_sample(known, sample, seed, "doc_id")), "doc_id")
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,7 +96,7 @@ def _telling(x: np.ndarray, toxic: np.ndarray, limit: int) -> list[int]:
 
 
 def fit(labelled: DataFrame, sample: int = SAMPLE_DOCS, features: int = FEATURES, split: int = 3, seed: int = 3) -> dict:
-    """A model out of at most `sample` rows (doc_id, text, grade), chosen by a hash; grades are 0, 1, 2 and so on.
+    """A model out of about `sample` rows (doc_id, text, grade), chosen by a hash; grades are 0, 1, 2 and so on.
 
     Candidate words are counted in Spark: at most `features` whose share among documents above grade 0
     exceeds that among the others by MIN_Z standard errors. The driver gets their occurrences in the sample, keeps those that
@@ -102,8 +105,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE_DOCS, features: int = FEATURES
     that severity has an order. Rows without text or grade are left out. Without rows, or with one grade only, or without
     a telling word, the model says grade 0 for all."""
     rows = labelled.where("text is not null and grade is not null")
-    chosen = rows.orderBy(F.xxhash64(F.lit(seed), "doc_id", "text"), "doc_id", "grade").limit(sample)
-    chosen = chosen.select("doc_id", F.col("grade").cast("int").alias("grade"), "text")
+    chosen = hashed_sample(rows, sample, seed, "doc_id").select("doc_id", F.col("grade").cast("int").alias("grade"), "text")
     many = max(8, chosen.sparkSession.sparkContext.defaultParallelism)
     bags = chosen.select("grade", "text").repartition(many, F.xxhash64("text")).mapInArrow(_features, "grade int, words array<string>, counts array<int>")
     bags = stored(bags.withColumn("row", F.monotonically_increasing_id()), "bags")
