@@ -19,6 +19,16 @@ def number_at(column: str, path: str, dtype: str = MONEY, lenient: bool = False)
     return number(text_at(column, path), dtype, lenient)
 
 
+def elements(column: str, lenient: bool = False) -> Column:
+    """The array in a text. Malformed text, or text that is no array, raises; with ``lenient`` it is NULL."""
+    text = F.trim(F.col(column))
+    if lenient:
+        return F.when(text.startswith("["), F.from_json(column, ELEMENTS))
+    wrong = F.raise_error(F.concat(F.lit(f"{column} is not an array: "), F.substring(text, 1, 60)))
+    read = F.from_json(column, ELEMENTS, {"mode": "FAILFAST"})
+    return F.when(text.isNull() | text.startswith("["), read).otherwise(wrong.cast(ELEMENTS))
+
+
 def latest_price(column: str, lenient: bool = False) -> Column:
     """Price of the array element with the greatest id; one without id wins.
 
@@ -26,7 +36,7 @@ def latest_price(column: str, lenient: bool = False) -> Column:
     the higher price is taken. Empty and NULL arrays give NULL.
     """
     ranked = F.transform(
-        F.from_json(column, ELEMENTS),
+        elements(column, lenient),
         lambda e: F.struct(
             e["id"].isNull().alias("without_id"),
             number(e["id"], "int", lenient).alias("id"),
@@ -37,10 +47,19 @@ def latest_price(column: str, lenient: bool = False) -> Column:
 
 
 def explode_elements(df: DataFrame, column: str, keep: list[str], lenient: bool = False) -> DataFrame:
-    """One row per element of the array, with its id and price as numbers."""
-    rows = df.select(*keep, F.explode(F.from_json(column, ELEMENTS)).alias("element"))
+    """One row per element of the array, with its id and price as numbers.
+
+    With ``lenient`` a text that cannot be read gives a row without numbers and with the
+    text itself as ``malformed``.
+    """
+    found = elements(column, lenient)
+    bad = F.col(column).isNotNull() & found.isNull() if lenient else F.lit(False)
+    none = F.array(F.lit(None).cast("struct<id:string,unit_price:string>"))
+    raw = [F.when(bad, F.col(column)).alias("malformed")] if lenient else []
+    rows = df.select(*keep, *raw, F.explode(F.when(bad, none).otherwise(found)).alias("element"))
     return rows.select(
         *keep,
+        *(["malformed"] if lenient else []),
         number(F.col("element.id"), "int", lenient).alias("element_id"),
         number(F.col("element.unit_price"), MONEY, lenient).alias("unit_price"),
     )

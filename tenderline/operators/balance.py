@@ -13,8 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 HOT_ROWS_CONF = "spark.tenderline.hotKeyRows"
 HOT_ROWS_DEFAULT = 5_000_000
-MAX_HOT_KEYS = 10_000
-TRACKED_KEYS = 65_536
+MAX_HOT_KEYS = 1_000_000
 SEEN_AT_FLOOR = 1000
 
 LOOKUP_MAX_ROWS = 500_000
@@ -30,12 +29,11 @@ def hot_codes(df: DataFrame, keys: Sequence[str | Column]) -> list[int]:
     """Codes of the keys that hold more rows than one task should take.
 
     An input with no more rows than the floor cannot have such a key; counting it
-    reads no columns of a file table. Beyond that, one pass over the key columns fills
-    a fixed-size frequency sketch, so what reaches the driver is at most MAX_HOT_KEYS
-    numbers whatever the input. A key is reported above both the row floor and its
-    share of one in MAX_HOT_KEYS rows. The pass only looks at as many rows as it takes
-    to see a thousand of a key at the floor. It decides how the work is spread; the
-    joins and windows themselves read every row.
+    reads no columns of a file table. Beyond that, the codes of a sample are counted,
+    reduced in the map tasks: as many rows as it takes to see a thousand of a key at the
+    floor. Every key above the floor is reported whatever the size of the input; there are
+    at most rows / floor of them, and never more than the MAX_HOT_KEYS most frequent. It
+    decides how the work is spread; results do not depend on it.
     """
     floor = int(df.sparkSession.conf.get(HOT_ROWS_CONF, str(HOT_ROWS_DEFAULT)))
     if df.count() <= floor:
@@ -43,30 +41,9 @@ def hot_codes(df: DataFrame, keys: Sequence[str | Column]) -> list[int]:
     looked_at = df.select(key_code(keys).alias("code"))
     if floor > SEEN_AT_FLOOR:
         looked_at = looked_at.sample(SEEN_AT_FLOOR / floor, seed=17)
-    # Sketches of many tasks meet in groups first, not all in one task.
-    grouped = (
-        looked_at.withColumn("part", F.spark_partition_id() % 256)
-        .groupBy("part")
-        .agg(
-            F.expr(f"approx_top_k_accumulate(code, {TRACKED_KEYS})").alias("state"),
-            F.count(F.lit(1)).alias("rows"),
-        )
-    )
-    sketch = grouped.agg(
-        F.expr(
-            f"approx_top_k_estimate(approx_top_k_combine(state, {TRACKED_KEYS}), {MAX_HOT_KEYS})"
-        ).alias("top"),
-        F.sum("rows").alias("rows"),
-    )
-    least = F.greatest(
-        F.lit(min(floor, SEEN_AT_FLOOR)), F.col("rows") / F.lit(MAX_HOT_KEYS)
-    )
-    found = sketch.select(
-        F.transform(
-            F.filter("top", lambda t: t["count"] > least), lambda t: t["item"]
-        ).alias("codes")
-    ).first()
-    return sorted(found["codes"] or [])  # nothing sampled gives NULL
+    counts = looked_at.groupBy("code").count().where(F.col("count") > min(floor, SEEN_AT_FLOOR))
+    found = counts.orderBy(F.desc("count"), "code").limit(MAX_HOT_KEYS).select("code").toArrow()
+    return sorted(found.column(0).to_pylist())
 
 
 def is_hot(keys: Sequence[str | Column], codes: list[int]) -> Column:
@@ -83,15 +60,19 @@ def join_to_unique(
     """Join many rows to at most one row per key (``right`` is grouped by ``keys``).
 
     Rows of hot keys skip the shuffle: ``right`` keeps one row per key, so its part
-    for the hot keys is bounded by their number (MAX_HOT_KEYS) and is broadcast.
-    All other rows take the ordinary join. ``codes`` are the hot keys if known already.
+    for the hot keys is bounded by their number; it is measured and broadcast if its bytes
+    allow it too. All other rows take the ordinary join. ``codes`` are the hot keys if
+    known already.
     """
     if codes is None:
         codes = hot_codes(left, keys)
     if not codes:
         return left.join(right, keys, how)
     hot = is_hot(keys, codes)
-    few = F.broadcast(right.where(hot))
+    few = right.where(hot)
+    if not small_enough(few):
+        return left.join(right, keys, how)
+    few = F.broadcast(few)
     return left.where(~hot).join(right, keys, how).unionByName(
         left.where(hot).join(few, keys, how)
     )

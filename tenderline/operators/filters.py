@@ -25,7 +25,7 @@ def known_by(df: DataFrame, column: str, as_of: AsOf) -> DataFrame:
 
 def high_water_mark(target: DataFrame, column: str, as_of: AsOf) -> AsOf:
     """Greatest loaded time, or the day before ``as_of`` for an empty target."""
-    found = target.agg(F.max(F.col(column).cast("string")).alias("mark")).first()["mark"]
+    found = target.agg(F.max(column).cast("string").alias("mark")).first()["mark"]
     return found or day_before(as_of)
 
 

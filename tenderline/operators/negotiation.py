@@ -33,6 +33,8 @@ from tenderline.operators.timeline import (
 KEY = "request_product_id"
 HISTORY = [KEY, "draft_value", "history_user_id", "history_date"]
 HISTORY_ORDER = ["history_date", "draft_value", "history_user_id"]
+# -0.0 and 0.0 tie in an order; their texts decide.
+TIE = "draft_text"
 
 
 def of_field(
@@ -117,7 +119,7 @@ def next_status(request_history: DataFrame) -> DataFrame:
 
 
 def _resend_counts(request_history: DataFrame) -> DataFrame:
-    dated = request_history.where(F.col("history_date").isNotNull())
+    dated = request_history.where(F.col("history_date").isNotNull() & F.col("id").isNotNull())
     return dated.groupBy(F.col("id").alias(KEY), "history_date").agg(
         F.count(F.lit(1)).alias("resends")
     )
@@ -160,17 +162,23 @@ def resend_matches(value_history: DataFrame, request_history: DataFrame) -> Data
     """Distinct history rows with the outcome of joining them to later events.
 
     ``matched_rows`` is the number of (row, later event) matches, ``joined_rows``
-    the number of rows a left join gives: at least one per copy.
+    the number of rows a left join gives: at least one per copy. Rows without a product
+    or a date match nothing and stay.
     """
-    dated = value_history.where(F.col("history_date").isNotNull())
+    known = F.col("history_date").isNotNull() & F.col(KEY).isNotNull()
+    dated = value_history.where(known)
     codes = _crowded(value_history.select(KEY), request_history.select(F.col("id").alias(KEY)))
     counted = count_later_resends(
         collapsed(dated, HISTORY, KEY, codes), request_history, HISTORY_ORDER, codes
     )
+    # Grouped by all columns in the map tasks: unknown products do not meet in one task.
+    alone = collapsed(value_history.where(~known), HISTORY, KEY, codes, spread=True)
     return counted.select(
         *HISTORY,
         (F.col("copies") * F.col("later_resends")).alias("matched_rows"),
         (F.col("copies") * F.greatest("later_resends", F.lit(1))).alias("joined_rows"),
+    ).unionByName(
+        alone.select(*HISTORY, F.lit(0).cast("long").alias("matched_rows"), F.col("copies").alias("joined_rows"))
     )
 
 
@@ -178,7 +186,8 @@ def numbered_history(value_history: DataFrame) -> DataFrame:
     """Value history with a running label per request product."""
     codes = hot_codes(value_history, [KEY])
     rows = with_slot(with_copies(value_history, HISTORY, codes), KEY, "history_date", codes)
-    placed = total_before(rows, KEY, HISTORY_ORDER, "copies", "ahead", codes)
+    rows = rows.withColumn(TIE, F.col("draft_value").cast("string"))
+    placed = total_before(rows, KEY, [*HISTORY_ORDER, TIE], "copies", "ahead", codes)
     return unroll(placed, codes).select(
         *HISTORY, _pending(F.col("ahead") + F.col("copy")).alias("sequence_label")
     )
@@ -219,12 +228,13 @@ def negotiation_history(
         "status",
         F.col("history_date").alias("request_created_at"),
     )
+    events = [request_history.select(F.col("id").alias(KEY))] if fan_out else []
     codes = _crowded(
         value_history.select(KEY),
         value_history.select(F.col("id").alias(KEY)),
         request_values.select(KEY),
         commercial.select(KEY),
-        request_history.select(F.col("id").alias(KEY)),
+        *events,
     )
     asked = join_to_unique(
         with_copies(commercial, commercial.columns, codes, "product_copies"),
@@ -251,8 +261,9 @@ def negotiation_history(
         )
     )
     order = [
-        *HISTORY_ORDER, "product_id", "request_id", "status", "request_created_at", "is_latest",
+        *HISTORY_ORDER, TIE, "product_id", "request_id", "status", "request_created_at", "is_latest",
     ]
+    rows = rows.withColumn(TIE, F.col("draft_value").cast("string"))
     if fan_out:
         rows = count_later_resends(rows, request_history, order, codes).withColumn(
             "copies", F.col("copies") * F.greatest("later_resends", F.lit(1))

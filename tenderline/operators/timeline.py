@@ -21,16 +21,25 @@ CHUNK = 65_536
 
 
 def collapsed(
-    df: DataFrame, columns: list[str], key: str, codes: list[int], copies: str = "copies"
+    df: DataFrame, columns: list[str], key: str, codes: list[int], copies: str = "copies",
+    spread: bool = False,
 ) -> DataFrame:
     """Distinct rows and how often each occurs.
 
     Without hot keys the rows are placed by ``key`` right away, and the join or
     window on it that follows needs no further shuffle. With hot keys map tasks
     reduce their rows first and the groups are spread over all columns.
+
+    Grouping takes -0.0 for 0.0, so floating columns are grouped by their text and
+    brought along as they are.
     """
-    placed = df if codes else df.repartition(key)
-    return placed.groupBy(*columns).agg(F.count(F.lit(1)).alias(copies))
+    placed = df if codes or spread else df.repartition(key)
+    texts = floating(df, columns)
+    keys = [F.col(c).cast("string").alias(f"text of {c}") if c in texts else F.col(c) for c in columns]
+    grouped = placed.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias(copies), *[F.first(c).alias(c) for c in texts]
+    )
+    return grouped.select(*columns, copies)
 
 
 def with_copies(
@@ -50,6 +59,10 @@ def with_slot(df: DataFrame, key: str, dated: str, codes: list[int]) -> DataFram
     return df.withColumn(SLOT, slot.cast("int"))
 
 
+def floating(df: DataFrame, columns: list[str]) -> list[str]:
+    return [c for c in columns if df.schema[c].dataType.typeName() in ("float", "double")]
+
+
 def in_order(key: str, order: list[str]) -> WindowSpec:
     return Window.partitionBy(key, SLOT).orderBy(*[F.asc_nulls_last(c) for c in order])
 
@@ -132,14 +145,15 @@ def repeat_rows(df: DataFrame, times: str, index: str, spread: bool = False) ->
     return _unrolled(chunks, times, index)
 
 
-def sort_rows(df: DataFrame, order: list[str]) -> DataFrame:
+def sort_rows(df: DataFrame, order: list[str], many_copies: bool = False) -> DataFrame:
     """All rows in a total order, unknown values last.
 
-    Equal rows cannot be separated by a range of values. Where there are very many of
-    them, they are sorted as chunks of copies, which can.
+    Equal rows cannot be separated by a range of values. With ``many_copies`` very
+    frequent rows are looked for, in a pass over all columns, and sorted as chunks of
+    copies, which can.
     """
-    by = [F.asc_nulls_last(c) for c in order]
-    codes = hot_codes(df, df.columns)
+    by = [F.asc_nulls_last(c) for c in order] + [F.col(c).cast("string") for c in floating(df, order)]
+    codes = hot_codes(df, df.columns) if many_copies else []
     if not codes:
         return df.orderBy(*by)
     columns = df.columns

@@ -7,9 +7,13 @@ from tenderline.plans import views as v
 from tenderline.plans.queries import LOADED_UNTIL, SAMPLE_RATES
 
 
+SUPPLIERS = "(SELECT max(s_suppkey) + 1 FROM supplier)"
+
+
 def _select(columns: dict[str, str], source: str) -> str:
     listed = ", ".join(
-        f'{e.replace("{ts}", "TIMESTAMP")} AS "{c}"' for c, e in columns.items()
+        f'{e.replace("{ts}", "TIMESTAMP").replace("{suppliers}", SUPPLIERS)} AS "{c}"'
+        for c, e in columns.items()
     )
     return f"SELECT {listed} FROM {source}"
 
@@ -183,9 +187,9 @@ CHECKS = {
     "scan_table": "SELECT * FROM orders",
     "scan_query": "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'",
     "scan_multi_source": """
-        SELECT 'bought' AS source_alias, count(*) AS row_count FROM orders
-        UNION ALL SELECT 'supplier', count(*) FROM supplier
-        UNION ALL SELECT 'customer', count(*) FROM customer
+        SELECT 'bought' AS source_alias, o_orderkey AS key FROM orders
+        UNION ALL SELECT 'supplier', s_suppkey FROM supplier
+        UNION ALL SELECT 'customer', c_custkey FROM customer
     """,
     "sql_text_transform": _with(
         """
@@ -308,7 +312,6 @@ CHECKS = {
         FROM requests_historicalrequestvalue h
         LEFT JOIN requests_historicalrequest e
           ON e.id = h.request_product_id AND h.history_date < e.history_date
-        WHERE h.history_date IS NOT NULL
         GROUP BY 1, 2, 3, 4
         """,
         "requests_historicalrequestvalue", "requests_historicalrequest",
@@ -379,7 +382,11 @@ CHECKS = {
     "negotiation_history": _negotiation(_RESENDS),
     "negotiation_history_dedup": _negotiation(""),
     "sort_history": _with(
-        "SELECT * FROM requests_historicalrequestvalue ORDER BY request_product_id, history_date",
+        """
+        SELECT *, rank() OVER (ORDER BY request_product_id NULLS LAST, history_date NULLS LAST,
+                               draft_value NULLS LAST, history_user_id NULLS LAST) AS place
+        FROM requests_historicalrequestvalue
+        """,
         "requests_historicalrequestvalue",
     ),
     "scalar_epoch": """
@@ -422,12 +429,13 @@ CHECKS = {
         SELECT event_id, user_id, event_type, value AS amount FROM events WHERE value > 100
     """,
     "copy_tables": """
-        SELECT 'orders' AS source, 'order_owners' AS target, count(*) AS row_count FROM orders
-        UNION ALL SELECT 'customer', 'customer_names', count(*) FROM customer
-        UNION ALL SELECT 'part', 'part_prices', count(*) FROM part
-        UNION ALL SELECT 'lineitem', 'line_dates', count(*) FROM lineitem
+        SELECT 'order_owners' AS target, concat_ws('|', o_orderkey, o_custkey, o_orderstatus) AS row_text FROM orders
+        UNION ALL SELECT 'customer_names', concat_ws('|', c_custkey, c_name) FROM customer
+        UNION ALL SELECT 'part_prices', concat_ws('|', p_partkey, CAST(p_retailprice AS DECIMAL(18,4))) FROM part
+        UNION ALL SELECT 'line_dates', concat_ws('|', l_orderkey, l_linenumber, CAST(l_shipdate AS DATE)) FROM lineitem
     """,
     "publish_staged": _pivot(),
+    "incremental_pricebook": _pivot(),
     "pricebook_staged": _pivot(", CAST(NULL AS DATE) AS last_download_date"),
     "preview_top5": _with(
         "SELECT * FROM contracts_contract ORDER BY id LIMIT 5", "contracts_contract"

@@ -4,19 +4,21 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tenderline import catalog as names
-from tenderline.functions.scalar import as_of_year, empty_column
+from tenderline.functions.scalar import AsOf, as_of_year, empty_column
 from tenderline.operators.benchmark import STORED, benchmark_history
 from tenderline.operators.demand import demand_summary, materials_in_scope, yearly_demand
 from tenderline.operators.filters import above_threshold, changed_since
 from tenderline.operators.negotiation import negotiation_history
 from tenderline.operators.pivot import attribute_pivot
 from tenderline.operators.users import user_dimension
+from tenderline.plans.runner import read_sources
 from tenderline.plans.spec import JobSpec, TableSource, projection_job
-from tenderline.sinks.tables import APPEND
+from tenderline.sinks.tables import APPEND, CopyResult, copy_tables, overwrite, publish
 from tenderline.sources.rates import all_accepted, of_currencies, to_rates
+from tenderline.sources.stores import Store
 
 Frames = dict[str, DataFrame]
 Args = dict[str, Any]
@@ -27,12 +29,9 @@ def _sales(frames: Frames, args: Args) -> DataFrame:
 
 
 def _pricebook(frames: Frames, args: Args) -> DataFrame:
-    values = frames["pricebooks_pricebookvalues"]
-    if args["since"] is not None:
-        values = changed_since(values, "updated_at", args["since"])
     return attribute_pivot(
         frames["pricebooks_pricebookproduct"],
-        values,
+        frames["pricebooks_pricebookvalues"],
         frames["pb_required_field"],
         frames["pricebooks_pricebook"],
         args["attributes"],
@@ -96,7 +95,7 @@ JOBS = {
     job.name: job
     for job in [
         JobSpec(
-            "sales_threshold", (TableSource("sales", columns=("amount",)),), "sales_transformed",
+            "sales_threshold", (TableSource("sales", needed=("amount",)),), "sales_transformed",
             _sales, defaults={"threshold": names.SALES_THRESHOLD},
         ),
         projection_job(
@@ -113,11 +112,11 @@ JOBS = {
         JobSpec(
             "pricebook_info", _PRICEBOOK_SOURCES,
             "contract_dashboard_pricebook_and_pricebook_product_info",
-            _pricebook, defaults={"attributes": names.ATTRIBUTES, "since": None},
+            _pricebook, defaults={"attributes": names.ATTRIBUTES},
         ),
         JobSpec(
             "pricebook_staging", _PRICEBOOK_SOURCES, "pricebook_analytics_staging",
-            _pricebook_staged, defaults={"attributes": names.ATTRIBUTES, "since": None},
+            _pricebook_staged, defaults={"attributes": names.ATTRIBUTES},
         ),
         JobSpec(
             "negotiation_history",
@@ -191,7 +190,7 @@ JOBS = {
         ),
         JobSpec(
             "currency_rates",
-            (TableSource("payloads", columns=("success", "base", "date", "rates")),),
+            (TableSource("payloads", needed=("success", "message", "base", "date", "rates")),),
             "currency_rates",
             _rates, defaults={"currencies": names.TARGET_CURRENCIES},
         ),
@@ -204,3 +203,33 @@ JOBS = {
         ],
     ]
 }
+
+
+def refresh_pricebook(
+    spark: SparkSession, source: Store, staging: Store, target: Store, since: AsOf,
+    column: str = "updated_at", attributes: list[str] | None = None,
+) -> int:
+    """Bring the pricebook table up to date with what changed after ``since``.
+
+    Products that changed, or of which a value changed, are computed anew in full and
+    replace their rows; all other rows stay. The table is put together in ``staging``,
+    checked and published, so a failure leaves the old one. Removed products are not seen.
+    """
+    job = JOBS["pricebook_info"]
+    frames = read_sources(spark, job.sources, source)
+    products, values = frames["pricebooks_pricebookproduct"], frames["pricebooks_pricebookvalues"]
+    changed = changed_since(products, column, since).select("product_id")
+    if column in values.columns:
+        later = changed_since(values, column, since).select(values.pb_product_id.alias("product_id"))
+        changed = changed.unionByName(later)
+    frames["pricebooks_pricebookproduct"] = products.join(changed.distinct(), "product_id", "left_semi").select(*products.columns)
+    keys = frames["pricebooks_pricebookproduct"].select("id").distinct()
+    fresh = _pricebook(frames, {"attributes": attributes or names.ATTRIBUTES})
+    kept = target.read(spark, job.target).join(keys, "id", "left_anti")
+    overwrite(kept.select(*fresh.columns).unionByName(fresh), staging, job.target)
+    return publish(spark, staging, job.target, target, job.target, "id")
+
+
+def copy_user_support(spark: SparkSession, source: Store, target: Store) -> list[CopyResult]:
+    """The four user-support tables, each with the columns its dashboard reads."""
+    return copy_tables(spark, names.USER_SUPPORT_COPIES, source, target)

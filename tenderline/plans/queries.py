@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tenderline import catalog as names
 from tenderline.functions.json_fields import explode_elements, number_at, text_at
@@ -12,8 +12,8 @@ from tenderline.functions.scalar import empty_column, epoch_seconds, year_of
 from tenderline.operators import benchmark, demand, filters, negotiation, pivot, users
 from tenderline.operators.balance import lookup_join
 from tenderline.operators.timeline import sort_rows
-from tenderline.plans.jobs import JOBS
-from tenderline.plans.runner import read_sources, run_sql, run_staged, shared_folder
+from tenderline.plans.jobs import JOBS, refresh_pricebook
+from tenderline.plans.runner import read_sources, run, run_sql, run_staged, shared_folder
 from tenderline.plans.spec import TableSource, jobs_from_config
 from tenderline.plans.views import AS_OF, AS_OF_YEAR, REGION, view
 from tenderline.sinks import tables as sinks
@@ -81,13 +81,11 @@ def scan_multi_source(spark, folder):
         ),
         _given(folder),
     )
-    counts = [
-        frame.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(alias).alias("source_alias"), "row_count"
-        )
-        for alias, frame in frames.items()
+    keys = [
+        frames[alias].select(F.lit(alias).alias("source_alias"), F.col(key).alias("key"))
+        for alias, key in (("bought", "o_orderkey"), ("supplier", "s_suppkey"), ("customer", "c_custkey"))
     ]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+    return keys[0].unionByName(keys[1]).unionByName(keys[2])
 
 
 @query
@@ -370,10 +368,19 @@ def negotiation_history_dedup(spark, folder):
 
 @query
 def sort_history(spark, folder):
-    return sort_rows(
+    ordered = sort_rows(
         view(spark, folder, "requests_historicalrequestvalue"),
         ["request_product_id", *negotiation.HISTORY_ORDER],
     )
+    # The place of a row: the rows of the parts before its own, and those before it.
+    store = _staging(spark)
+    store.replace(ordered.withColumn("at", F.monotonically_increasing_id()), "ordered")
+    rows = store.read(spark, "ordered").withColumn("part", F.shiftright("at", 33))
+    parts = rows.groupBy("part").count()
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("ahead", F.coalesce(F.sum("count").over(before), F.lit(0))).drop("count")
+    place = F.col("ahead") + F.col("at") - F.shiftleft("part", 33) + 1
+    return rows.join(parts, "part").withColumn("place", place).drop("part", "at", "ahead")
 
 
 # Scalars and JSON
@@ -479,10 +486,33 @@ def copy_tables(spark, folder):
         "part": ("part_prices", ["p_partkey", "p_retailprice"]),
         "lineitem": ("line_dates", ["l_orderkey", "l_linenumber", "l_shipdate"]),
     }
-    done = sinks.copy_tables(spark, copies, _given(folder), store)
-    return spark.createDataFrame(
-        [(r.source, r.target, r.rows) for r in done], "source string, target string, row_count long"
-    )
+    texts = {"part_prices": ["p_partkey", F.col("p_retailprice").cast("decimal(18,4)")],
+             "line_dates": ["l_orderkey", "l_linenumber", F.col("l_shipdate").cast("date")]}
+    copied = None
+    for done in sinks.copy_tables(spark, copies, _given(folder), store):
+        rows = store.read(spark, done.target)
+        text = F.concat_ws("|", *[F.col(c).cast("string") if isinstance(c, str) else c.cast("string") for c in texts.get(done.target, rows.columns)])
+        named = rows.select(F.lit(done.target).alias("target"), text.alias("row_text"))
+        copied = named if copied is None else copied.unionByName(named)
+    return copied
+
+
+@query
+def incremental_pricebook(spark, folder):
+    """A full load, then changes, then a refresh of what changed: equal to a fresh full load."""
+    source, target, staging = _staging(spark), _staging(spark), _staging(spark)
+    names_read = [s.name for s in JOBS["pricebook_info"].sources]
+    for name in names_read:
+        rows = view(spark, folder, name)
+        old = F.col("updated_at") > F.lit(LOADED_UNTIL).cast("timestamp_ntz")
+        if name == "pricebooks_pricebookproduct":
+            rows = rows.withColumn("status", F.when(old, F.lit("OLD")).otherwise(F.col("status")))
+        source.replace(rows, name)
+    run(spark, JOBS["pricebook_info"], source, target)
+    for name in names_read:
+        source.replace(view(spark, folder, name), name)
+    refresh_pricebook(spark, source, staging, target, LOADED_UNTIL)
+    return target.read(spark, JOBS["pricebook_info"].target)
 
 
 @query

@@ -30,16 +30,20 @@ def read_sources(
 ) -> dict[str, DataFrame]:
     """Alias to frame for every source; nothing is executed."""
     return {
-        s.key: check_columns(store.read(spark, s.name), s.columns, s.name) for s in sources
+        s.key: check_columns(store.read(spark, s.name), (*s.columns, *s.needed), s.name)
+        for s in sources
     }
 
 
 def land_sources(
     spark: SparkSession, sources: tuple[TableSource, ...], store: Store, landing: Store
 ) -> None:
-    """Copy what a job needs of each source, so that the source is read only once."""
+    """Copy what a job reads of each source, so that the source is read only once.
+
+    ``columns`` of a source are all that its job reads; without them all are copied.
+    """
     for s in sources:
-        frame = check_columns(store.read(spark, s.name), s.columns, s.name)
+        frame = check_columns(store.read(spark, s.name), (*s.columns, *s.needed), s.name)
         overwrite(frame.select(*s.columns) if s.columns else frame, landing, s.name)
 
 
@@ -115,7 +119,10 @@ def run(
     sql: str | None = None,
     landing: Store | None = None,
 ) -> RunReport:
-    """Run a job with a single execution of its plan.
+    """Run a job with one execution of its plan for the write.
+
+    Some transforms look at their inputs while the plan is built: jobs with joins and
+    windows count rows, and look for crowded keys in inputs above the row floor.
 
     Refuses to write onto one of its own sources: a lazy read would find it emptied.
     With ``landing`` the sources are copied there first, and the job reads the copies.
@@ -125,6 +132,10 @@ def run(
     for s in ready.sources:
         if source.identity(s.name) == goal:
             raise ValueError(f"{ready.name}: {ready.target} is also a source; use a staging table")
+        if landing is not None and landing.identity(s.name) in {
+            goal, *(source.identity(other.name) for other in ready.sources)
+        }:
+            raise ValueError(f"{ready.name}: landing {s.name} would replace a source or the target")
     if landing is not None:
         land_sources(spark, ready.sources, source, landing)
         source = landing
@@ -147,6 +158,7 @@ def run_staged(
     """Run a job into its staging table, check that, and publish it as ``table``."""
     staged = run(spark, job, source, staging, args)
     rows = publish(spark, staging, staged.target, target, table, key)
+    staging.drop(spark, staged.target)
     return RunReport(job.name, table, staged.mode, rows)
 
 
@@ -158,7 +170,8 @@ def shared_folder(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("spark.checkpoint.dir has to name a folder all executors share")
         import tempfile
 

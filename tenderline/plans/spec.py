@@ -16,12 +16,17 @@ Transform = Callable[[dict[str, DataFrame], dict[str, Any]], DataFrame]
 
 @dataclass(frozen=True)
 class TableSource:
-    """A table, the columns a job needs from it, and the names SQL may use for it."""
+    """A table, the columns a job reads from it, and the names SQL may use for it.
+
+    ``columns`` are all that is read; a job that passes others on names only those it
+    cannot do without, as ``needed``.
+    """
 
     name: str
     alias: str = ""
     view_name: str = ""
     columns: tuple[str, ...] = ()
+    needed: tuple[str, ...] = ()
 
     @property
     def key(self) -> str:

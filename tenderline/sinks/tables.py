@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 
 from tenderline.catalog import TRANSFER_PAGE
 from tenderline.operators.filters import project
-from tenderline.sources.stores import Store, count_rows
+from tenderline.sources.stores import RangeSlices, Store, count_rows
 
 OVERWRITE = "overwrite"
 APPEND = "append"
@@ -89,10 +89,13 @@ def insert_by_name(df: DataFrame, store: Store, table: str) -> int:
 
 def transfer(
     spark: SparkSession, text: str, source: Store, target: Store, table: str,
-    page: int = TRANSFER_PAGE,
+    page: int = TRANSFER_PAGE, cut: RangeSlices | None = None,
 ) -> int:
-    """Run a query in the source and replace the rows of the target, page by page."""
-    rows = counted(source.query(spark, text), lambda d: target.replace(d, table, True, None, page))
+    """Run a query in the source and replace the rows of the target, page by page.
+
+    A database answers in one task unless ``cut`` slices the query by a column of its result.
+    """
+    rows = counted(source.query(spark, text, cut), lambda d: target.replace(d, table, True, None, page))
     return confirmed(rows, spark, target, table)
 
 

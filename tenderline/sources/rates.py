@@ -21,8 +21,12 @@ def rates_from_rows(spark: SparkSession, rows: Sequence[dict]) -> DataFrame:
 
 
 def read_payloads(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
-    """Landed responses: one per line, or one per file with ``whole_files``."""
-    return spark.read.schema(RATE_PAYLOAD_SCHEMA).json(path, multiLine=whole_files)
+    """Landed responses: one per line, or one per file with ``whole_files``.
+
+    A response that is not JSON has its text in ``malformed`` and nothing else.
+    """
+    schema = f"{RATE_PAYLOAD_SCHEMA}, malformed string"
+    return spark.read.schema(schema).json(path, multiLine=whole_files, columnNameOfCorruptRecord="malformed")
 
 
 def _succeeded():
@@ -40,6 +44,12 @@ def rejected(payloads: DataFrame) -> DataFrame:
     )
 
 
+def malformed(payloads: DataFrame) -> DataFrame:
+    """The texts that are not JSON, to be stored apart."""
+    # Spark does not read the text of a bad record without another column.
+    return payloads.where(F.col("success").isNull() & F.col("malformed").isNotNull()).select("malformed")
+
+
 def all_accepted(payloads: DataFrame) -> DataFrame:
     """The strict form: a failed response fails the job when it runs."""
     message = F.coalesce("message", F.lit("Unknown error"))
@@ -59,7 +69,10 @@ def of_currencies(rates: DataFrame, currencies: Sequence[str] = TARGET_CURRENCIE
     return rates.where(F.col("target_currency").isin(list(currencies)))
 
 
-def read_symbols(spark: SparkSession, path: str, whole_files: bool = True) -> DataFrame:
-    """Currency codes and names, each pair once."""
+def read_symbols(spark: SparkSession, path: str, whole_files: bool = True, strict: bool = False) -> DataFrame:
+    """Currency codes and names, each pair once; with ``strict`` a failed or malformed response raises."""
     payloads = spark.read.schema(SYMBOLS_PAYLOAD_SCHEMA).json(path, multiLine=whole_files)
+    if strict:
+        failed = F.raise_error(F.lit("a symbols response failed")).cast("boolean")
+        payloads = payloads.where(F.when(_succeeded(), F.lit(True)).otherwise(failed))
     return accepted(payloads).select(F.explode("symbols").alias("code", "name")).distinct()

@@ -6,6 +6,7 @@ Everything read is lazy. Connection properties never show up in text.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from typing import Protocol
@@ -27,6 +28,8 @@ class Store(Protocol):
     def columns(self, spark: SparkSession, table: str) -> list[str] | None: ...
     def replace(self, df: DataFrame, table: str, keep_table: bool = False, types: str | None = None, page: int | None = None) -> None: ...
     def append(self, df: DataFrame, table: str, page: int | None = None) -> None: ...
+    def count(self, spark: SparkSession, table: str) -> int: ...
+    def drop(self, spark: SparkSession, table: str) -> None: ...
 
 
 @dataclass(frozen=True)
@@ -49,7 +52,11 @@ class RangeSlices:
 
 @dataclass(frozen=True)
 class HashSlices:
-    """Parallel read by the remainder of an integer column: even where ranges are not."""
+    """Parallel read by the remainder of an integer column: even where ranges are not.
+
+    The database reads the table once for each slice, unless it has an index on the very
+    expression; prefer ``range_slices`` over stored bounds for large tables.
+    """
 
     column: str
     slices: int
@@ -70,6 +77,11 @@ class JdbcStore:
     # A task that committed its rows and is then lost runs again and repeats them.
     may_repeat_rows = True
 
+    def cut(self, table: str) -> RangeSlices | HashSlices | None:
+        """The slices of a table, whichever way its name is written."""
+        wanted = self.qualified(table).lower()
+        return next((c for n, c in self.slices.items() if self.qualified(n).lower() == wanted), None)
+
     def qualified(self, table: str) -> str:
         return table if "." in table else f"{DEFAULT_SCHEMA}.{table}"
 
@@ -84,17 +96,19 @@ class JdbcStore:
             "fetchsize": str(FETCH_ROWS),
             "preferTimestampNTZ": "true",
         }
-        cut = self.slices.get(table)
+        cut = self.cut(table)
         return {**options, **cut.options()} if isinstance(cut, RangeSlices) else options
 
-    def query_options(self, text: str) -> dict[str, str]:
-        return {
+    def query_options(self, text: str, cut: RangeSlices | None = None) -> dict[str, str]:
+        text = text.strip().rstrip(";")
+        options = {
             **self.properties,
             "url": self.url,
-            "query": text.strip().rstrip(";"),
             "fetchsize": str(FETCH_ROWS),
             "preferTimestampNTZ": "true",
         }
+        # Spark slices tables only, so a sliced query is read as one.
+        return {**options, "dbtable": f"({text}) q", **cut.options()} if cut else {**options, "query": text}
 
     def write_options(
         self, table: str, keep_table: bool = False, types: str | None = None, page: int | None = None
@@ -114,7 +128,7 @@ class JdbcStore:
         return options
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
-        cut = self.slices.get(table)
+        cut = self.cut(table)
         if isinstance(cut, HashSlices):
             more = {**self.properties, "fetchsize": str(FETCH_ROWS), "preferTimestampNTZ": "true"}
             return spark.read.jdbc(
@@ -122,8 +136,16 @@ class JdbcStore:
             )
         return spark.read.format("jdbc").options(**self.read_options(table)).load()
 
-    def query(self, spark: SparkSession, text: str) -> DataFrame:
-        return spark.read.format("jdbc").options(**self.query_options(text)).load()
+    def query(self, spark: SparkSession, text: str, cut: RangeSlices | None = None) -> DataFrame:
+        """The rows of a query; one task without ``cut``."""
+        return spark.read.format("jdbc").options(**self.query_options(text, cut)).load()
+
+    def count(self, spark: SparkSession, table: str) -> int:
+        """Counted by the database: one row comes back."""
+        return int(self.query(spark, f"SELECT COUNT(*) AS n FROM {self.qualified(table)}").first()[0])
+
+    def drop(self, spark: SparkSession, table: str) -> None:
+        """Tables of a database are left to its owner."""
 
     def range_slices(self, spark: SparkSession, table: str, column: str, slices: int) -> RangeSlices | None:
         """Ranges over the values present; the database answers with one row."""
@@ -173,7 +195,7 @@ class FileStore:
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         return spark.read.parquet(self.path(table))
 
-    def query(self, spark: SparkSession, text: str) -> DataFrame:
+    def query(self, spark: SparkSession, text: str, cut: RangeSlices | None = None) -> DataFrame:
         """A query over ``{table}`` names in braces, resolved to tables of this store."""
         names = sorted({part.split("}")[0] for part in text.split("{")[1:]})
         return spark.sql(text.strip().rstrip(";"), **{n: self.read(spark, n) for n in names})
@@ -190,14 +212,37 @@ class FileStore:
         self, df: DataFrame, table: str, keep_table: bool = False,
         types: str | None = None, page: int | None = None,
     ) -> None:
-        df.write.mode("overwrite").parquet(self.path(table))
+        """Written beside the table and put in its place when whole: a failed write leaves the old one."""
+        path = self.path(table)
+        new, old = (f"{path}.{word}-{uuid.uuid4().hex}" for word in ("new", "old"))
+        df.write.parquet(new)
+        files, hadoop = self._files(df.sparkSession)
+        if files.exists(hadoop.Path(path)) and not files.rename(hadoop.Path(path), hadoop.Path(old)):
+            raise OSError(f"{path} cannot be moved aside; the new rows are in {new}")
+        if not files.rename(hadoop.Path(new), hadoop.Path(path)):
+            files.rename(hadoop.Path(old), hadoop.Path(path))
+            raise OSError(f"{path} cannot be replaced; the new rows are in {new}")
+        files.delete(hadoop.Path(old), True)
+        df.sparkSession.catalog.refreshByPath(path)
+
+    def _files(self, spark: SparkSession):
+        """The file system that the folder is in, as the session reaches it."""
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        return hadoop.Path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
+
+    def count(self, spark: SparkSession, table: str) -> int:
+        return self.read(spark, table).agg(F.count(F.lit(1))).first()[0]
+
+    def drop(self, spark: SparkSession, table: str) -> None:
+        files, hadoop = self._files(spark)
+        files.delete(hadoop.Path(self.path(table)), True)
 
     def append(self, df: DataFrame, table: str, page: int | None = None) -> None:
         df.write.mode("append").parquet(self.path(table))
 
 
 def count_rows(store: Store, spark: SparkSession, table: str) -> int:
-    return store.read(spark, table).agg(F.count(F.lit(1))).first()[0]
+    return store.count(spark, table)
 
 
 def check_columns(df: DataFrame, needed: Sequence[str], table: str) -> DataFrame:

@@ -116,7 +116,24 @@ def test_later_resends(rows):
                count(e.id) AS matched_rows, count(*) AS joined_rows
         FROM history h LEFT JOIN history e
           ON e.id = h.request_product_id AND h.history_date < e.history_date
-        WHERE h.history_date IS NOT NULL GROUP BY ALL""")
+        GROUP BY ALL""")
+
+
+def test_hot_and_cold_results_have_the_same_bits(spark):
+    zero = [(1, v, u, d) for v in (-0.0, 0.0, float("nan"), None) for u in (1, 1, 2) for d in ("2000-01-01 05:10:00", None)]
+    frame = spark.createDataFrame(
+        zero + [(None, -0.0, 1, "2000-01-01 05:10:00"), (None, 0.0, 1, None)],
+        "request_product_id long, draft_value double, history_user_id long, at string",
+    ).selectExpr("* except (at)", "CAST(at AS TIMESTAMP_NTZ) AS history_date")
+    events = spark.sql("SELECT id, 'a' AS status, TIMESTAMP_NTZ '2000-01-02 00:00:00' AS history_date FROM VALUES (1), (NULL) AS t(id)")
+    results = []
+    for floor in ("1", "5000000"):
+        spark.conf.set("spark.tenderline.hotKeyRows", floor)
+        out = [negotiation.numbered_history(frame), negotiation.resend_matches(frame, events), sort_rows(frame, ["history_date", "draft_value"], True)]
+        results.append([sorted(repr(tuple(r)) for r in df.collect()) for df in out])
+    spark.conf.unset("spark.tenderline.hotKeyRows")
+    assert results[0] == results[1]
+    assert sum("-0.0" in r for r in results[0][0]) == 7
 
 
 def test_negotiation_history(spark, rows):
@@ -137,8 +154,9 @@ def test_negotiation_history(spark, rows):
         SELECT p.pricebook_product_id AS product_id, p.request_id, p.status,
                h.draft_value AS unit_price, h.history_user_id, h.history_date,
                CASE WHEN h.history_date <= p.history_date THEN 'previous_approved'
-                    WHEN p.status = 'APPROVED' AND h.history_date >= ALL (
-                        SELECT o.history_date FROM history o WHERE o.request_product_id = p.id)
+                    WHEN p.status = 'APPROVED' AND NOT EXISTS (
+                        SELECT 1 FROM history o WHERE o.request_product_id = p.id
+                          AND coalesce(o.history_date > h.history_date, TRUE))
                     THEN 'approved'
                     ELSE 'PENDING_' || row_number() OVER (PARTITION BY p.id
                         ORDER BY h.history_date, h.draft_value, h.history_user_id) END AS status_label

@@ -233,6 +233,40 @@ def test_resend_matches(spark):
     assert (row["matched_rows"], row["joined_rows"]) == (4, 4)
 
 
+def test_resend_matches_keeps_unknown_products_and_dates(spark):
+    rows = resend_matches(
+        history(spark, [(None, 1.0, 1, "2000-02-01"), (1, 2.0, 1, None), (1, 2.0, 1, None)]),
+        events(spark, [(None, "a", "2000-03-01"), (1, "b", "2000-03-01")]),
+    ).collect()
+    assert sorted((r["draft_value"], r["matched_rows"], r["joined_rows"]) for r in rows) == [(1.0, 0, 1), (2.0, 0, 2)]
+
+
+def test_high_water_mark_compares_values(spark):
+    assert high_water_mark(spark.createDataFrame([(9,), (10,)], "n int"), "n", "2001-01-01") == "10"
+
+
+@pytest.mark.parametrize("text", ['[{"id": 1', "no json", '{"id": 1, "unit_price": "2"}'])
+def test_text_that_is_no_array(spark, text):
+    frame = spark.createDataFrame([(1, text), (2, None), (3, "[]")], "k int, t string")
+    with pytest.raises(Exception, match="not an array|MALFORMED|FAILFAST"):
+        explode_elements(frame, "t", ["k"]).collect()
+    with pytest.raises(Exception, match="not an array|MALFORMED|FAILFAST"):
+        frame.select(latest_price("t")).collect()
+    kept = explode_elements(frame, "t", ["k"], lenient=True).collect()
+    assert [(r["k"], r["malformed"], r["unit_price"]) for r in kept] == [(1, text, None)]
+    assert [r[0] for r in frame.select(latest_price("t", True)).collect()] == [None] * 3
+
+
+def test_malformed_and_failed_responses(spark, tmp_path):
+    (tmp_path / "lines").write_text('{"success": true, "rates": {"EUR": 1.0}}\nnot json\n')
+    payloads = rates.read_payloads(spark, str(tmp_path / "lines"))
+    assert [r[0] for r in rates.malformed(payloads).collect()] == ["not json"]
+    (tmp_path / "symbols").write_text('{"success": false}\n{"success": true, "symbols": {"EUR": "Euro"}}\n')
+    assert rates.read_symbols(spark, str(tmp_path / "symbols"), False).count() == 1
+    with pytest.raises(Exception, match="symbols response failed"):
+        rates.read_symbols(spark, str(tmp_path / "symbols"), False, strict=True).collect()
+
+
 def test_next_status_with_copies_and_unknown_dates(spark):
     rows = next_status(
         events(spark, [(1, "a", "2000-01-01")] * 2 + [(1, "b", "2000-01-02"), (1, "c", None)])

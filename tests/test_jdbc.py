@@ -57,3 +57,11 @@ def test_write_options():
 def test_same_table_is_recognised():
     assert store().identity("t") == JdbcStore("jdbc:postgresql://HOST:5432/db").identity("public.T")
     assert store().identity("t") != JdbcStore("jdbc:postgresql://host:5432/other").identity("t")
+
+
+def test_slices_by_any_name_and_sliced_query():
+    cut = RangeSlices("id", 1, 9, 4)
+    store = JdbcStore("jdbc:x", slices={"t": cut})
+    assert store.cut("public.t") is cut and store.cut("PUBLIC.T") is cut and store.cut("other.t") is None
+    options = store.query_options("SELECT id FROM t;", cut)
+    assert options["dbtable"] == "(SELECT id FROM t) q" and options["numPartitions"] == "4" and "query" not in options

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tenderline.catalog import CONFIGURED_PROJECTIONS, RATE_PAYLOAD_SCHEMA, USER_SUPPORT_COPIES
 from tenderline.plans.checks import CHECKS
-from tenderline.plans.jobs import JOBS
+from tenderline.plans.jobs import JOBS, copy_user_support
 from tenderline.plans.runner import prepare, run, run_sql, shared_folder, sql_file
 from tenderline.plans.spec import JobSpec, TableSource, jobs_from_config, parse_config
 from tenderline.plans.views import AS_OF, REGION, VIEW_NAMES, view
@@ -250,3 +250,37 @@ def test_one_failing_copy_does_not_stop_the_others(spark, target):
 def test_shared_folder_follows_the_session(spark):
     assert shared_folder(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
     assert shared_folder(spark) != shared_folder(spark)
+
+
+@pytest.mark.parametrize("name, check, args", JOB_CHECKS)
+def test_landing_changes_nothing(spark, inputs, target, name, check, args):
+    job, landing = JOBS[name], FileStore(shared_folder(spark))
+    run(spark, job, inputs, target, args)
+    plain = of_spark(target.read(spark, job.target))
+    other = FileStore(shared_folder(spark))
+    run(spark, job, inputs, other, args, landing=landing)
+    assert of_spark(other.read(spark, job.target)) == plain
+
+
+def test_landing_onto_source_or_target_is_refused(spark, inputs, target):
+    before = count_rows(inputs, spark, "benchmark_report_historical_data")
+    for landing in (inputs, target):
+        with pytest.raises(ValueError, match="landing"):
+            run(spark, JOBS["po_history"], inputs, target, landing=landing)
+    assert count_rows(inputs, spark, "benchmark_report_historical_data") == before
+    assert target.columns(spark, "benchmark_report_historical_data") is None
+
+
+def test_failed_write_leaves_the_table(spark, target):
+    target.replace(spark.range(5), "numbers")
+    with pytest.raises(Exception, match="broken"):
+        target.replace(spark.range(9).selectExpr("if(id = 7, raise_error('broken'), id) AS id"), "numbers")
+    assert count_rows(target, spark, "numbers") == 5
+
+
+def test_user_support_copies(spark, target):
+    source = FileStore(shared_folder(spark))
+    for name, (_, columns) in USER_SUPPORT_COPIES.items():
+        source.replace(spark.range(3).selectExpr(*[f"id AS `{c}`" for c in columns], "id AS other"), name)
+    for done in copy_user_support(spark, source, target):
+        assert done.rows == 3 and target.columns(spark, done.target) == USER_SUPPORT_COPIES[done.source][1]
