@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenderline.llm.shared import release, stored
-from tenderline.llm.text import chunks, mixed
+from tenderline.llm.text import BASE, chunks, mixed, powers
 
 FIRST = 16
 #: Hot ranks: looked for in one document of SAMPLE; those in HOT_SHARE of them or more; HOT_RANKS at most.
@@ -72,8 +72,16 @@ def _samples(length: int, hot: Broadcast | None):
     return run
 
 
-def _spans(length: int, hot: Broadcast):
-    """For rows (doc_id, tag, text, ranks): the bytes under each run of windows with one of these ranks or a hot one."""
+def _run_hashes(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A hash of the bytes data[begin : begin + size] of each run."""
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(data.astype(np.uint64) + np.uint64(1)) * powers(len(data) + 1)[:-1], dtype=np.uint64)])
+    # Divided by the power at the start, so that equal bytes are equal wherever they are.
+    inverse = powers(len(data) + 1, pow(BASE, -1, 1 << 64))
+    return mixed((sums[begin + size] - sums[begin]) * inverse[begin] + size.astype(np.uint64))
+
+
+def _runs(length: int, hot: Broadcast):
+    """For rows (doc_id, tag, text, ranks): the runs of windows with one of these ranks or a hot one, with a hash of their bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -86,18 +94,31 @@ def _spans(length: int, hot: Broadcast):
                     if known.is_valid and index[i] < index[i + 1]:
                         alive[index[i] : index[i + 1]] |= np.isin(rank[index[i] : index[i + 1]], known.values.to_numpy())
                 text, start, windows, spot, rank = (x[alive] for x in (text, start, windows, spot, rank))
-                whole = data.tobytes()
-                begin = offsets[text] + start
-                spans = [whole[x:y] for x, y in zip(begin.tolist(), (begin + windows + length - 1).tolist(), strict=True)]
+                same = _run_hashes(data, offsets[text] + start, windows + length - 1).view(np.int64)
                 take = pa.array(text + first)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(take), batch.column(1).take(take), pa.array(start.astype(np.int32)), pa.array(windows.astype(np.int16)), pa.array(spot.astype(np.int16)), pa.array(rank), pa.array(spans, pa.binary())],
-                    names=["doc_id", "tag", "start", "windows", "spot", "rank", "span"],
+                    [batch.column(0).take(take), batch.column(1).take(take), pa.array(start.astype(np.int32)), pa.array(windows.astype(np.int16)), pa.array(spot.astype(np.int16)), pa.array(rank), pa.array(same)],
+                    names=["doc_id", "tag", "start", "windows", "spot", "rank", "same"],
                 )
 
     return run
 
 
+def _bytes_of(length: int):
+    """For rows (doc_id, text, runs): the bytes of each run."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                data, runs = batch.column(1)[i].as_buffer().to_pybytes(), batch.column(2)[i].values
+                starts, windows = runs.field("start").to_pylist(), runs.field("windows").to_pylist()
+                spans = pa.array([data[a : a + w + length - 1] for a, w in zip(starts, windows, strict=True)], pa.binary())
+                same = batch.column(0).take(pa.array(np.full(len(starts), i)))
+                yield pa.RecordBatch.from_arrays([runs.field("id"), same, runs.field("windows"), runs.field("spot"), spans], names=["id", "doc_id", "windows", "spot", "span"])
+
+    return run
+
+
 def _hot_ranks(rows: DataFrame, length: int) -> np.ndarray:
     """Ranks that a sample of one document in SAMPLE finds in about HOT_SHARE of the documents or more, if they
     are few enough to be sent to all tasks. They only spread the work: being hot, they count as repeated."""
@@ -163,7 +184,7 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     1. FIRST bytes, at one sampled position for each run of windows (about 1 of 18 positions). A window whose
        sample occurs in one document cannot repeat. Samples are dealt by rank once; those in several
        documents return to theirs. Ranks that very many documents have are known from a sample and not dealt.
-    2. The bytes under the whole run of windows. Runs with equal bytes are one class; in all its documents
+    2. The bytes under the whole run of windows, as a hash beside the rank (128 bits). Runs with equal bytes are one class; in all its documents
        but the least every window is removed.
     3. For the least document of classes that share a sample with others: the sample grown by half of the rest to
        each side, then whole windows (`_grown`).
@@ -181,19 +202,26 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     release(spark)
 
     known = named.join(alive, "doc_id", "left").select("doc_id", F.xxhash64("text").alias("tag"), F.col("text").cast("binary").alias("text"), "ranks")
-    spans = known.mapInArrow(_spans(length, hot), "doc_id long, tag long, start int, windows short, spot short, rank long, span binary")
-    spans = stored(spans.withColumn("same", F.xxhash64("span")), "spans")
+    runs = stored(known.mapInArrow(_runs(length, hot), "doc_id long, tag long, start int, windows short, spot short, rank long, same long"), "runs")
     release(spark)
 
-    classes = spans.groupBy("rank", "same").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+    classes = runs.groupBy("rank", "same").agg(F.min(F.col("doc_id")).alias("least"), F.max("doc_id").alias("most"))
     classes = stored(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
+    release(spark)
     several = classes.groupBy("rank").agg(F.count("*").alias("k"), F.min("least").alias("lo"), F.max("most").alias("hi")).where("k > 1 and lo < hi")
-    contested = classes.join(several.select("rank"), "rank", "left_semi").select("rank", "same", F.col("least").alias("doc_id"), "id")
-    contested = spans.join(contested, ["rank", "same", "doc_id"]).groupBy("id", "doc_id", "windows", "spot").agg(F.first("span").alias("span"))
-    marks = stored(_grown(contested, length), "marks")
+    contested = classes.join(several.select("rank", F.lit(True).alias("contested")), "rank", "left")
+    hits = stored(runs.join(contested.select("rank", "same", "least", "id", "contested"), ["rank", "same"]).drop("rank", "same"), "hits")
+    release(spark)
+
+    # One run of each contested class, in its least document; their bytes come from the texts once more.
+    place = F.min(F.struct("tag", "start", "windows", "spot")).alias("r")
+    chosen = hits.where("contested and doc_id = least").groupBy("id", "doc_id").agg(place).select("doc_id", "r.tag", F.struct("id", "r.start", "r.windows", "r.spot").alias("run"))
+    chosen = chosen.groupBy("doc_id", "tag").agg(F.collect_list("run").alias("runs"))
+    texts = named.select("doc_id", F.xxhash64("text").alias("tag"), F.col("text").cast("binary").alias("text"))
+    texts = texts.join(chosen, ["doc_id", "tag"]).select("doc_id", "text", "runs")
+    spans = stored(texts.mapInArrow(_bytes_of(length), "id long, doc_id long, windows short, spot short, span binary"), "spans")
     release(spark)
-    hits = spans.drop("span", "spot").join(classes.select("rank", "same", "least", "id"), ["rank", "same"]).select("doc_id", "tag", "start", "windows", "least", "id")
-    hits = stored(hits, "hits")
+    marks = stored(_grown(spans, length), "marks")
     release(spark)
 
     copies = hits.where("doc_id > least").select("doc_id", "tag", F.col("start").alias("a"), F.expr(f"start + windows + {length - 1}").alias("b"))

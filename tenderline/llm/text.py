@@ -16,7 +16,7 @@ SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 
-_BASE = 0x9E3779B97F4A7C15
+BASE = 0x9E3779B97F4A7C15
 _U = np.uint64
 
 
@@ -49,8 +49,8 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, in
         first = end
 
 
-def powers(n: int) -> np.ndarray:
-    out = np.full(max(n, 1), _BASE, dtype=np.uint64)
+def powers(n: int, base: int = BASE) -> np.ndarray:
+    out = np.full(max(n, 1), base, dtype=np.uint64)
     out[0] = 1
     return np.cumprod(out, dtype=np.uint64)
 
@@ -102,7 +102,7 @@ def shingle_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
     count = len(hashes) - size + 1
     total = np.full(count, _U(size), dtype=np.uint64)
     for i in range(size):
-        total = mixed(total * _U(_BASE) + hashes[i : i + count])
+        total = mixed(total * _U(BASE) + hashes[i : i + count])
     return total
 
 
