@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tenderline.llm.shared import agree, ends, star_components, stored
+from tenderline.llm.shared import agree, discard, ends, star_components, stored
 from tenderline.llm.text import LOWER, chunks, mixed, shingle_hashes, word_hashes, words
 
 BINS = 128
@@ -124,7 +124,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         ab = ab.where(f"100 * least(n, m) >= {percent} * greatest(n, m)").select("a", "b")
         known = stored(sets(ends(ab)), "sets")
         ab = ab.join(known.selectExpr("node as b", "items as t"), "b").join(known.selectExpr("node as a", "items as s"), "a")
-        return ab.where(agree("s", "t", percent)).select("a", "b").distinct()
+        found = stored(ab.where(agree("s", "t", percent)).select("a", "b").distinct(), "found")
+        discard(known)
+        return found
 
     def items(nodes: DataFrame) -> DataFrame:
         return sets(nodes).select("node", F.explode("items").alias("item"))

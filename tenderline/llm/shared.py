@@ -40,6 +40,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Removes stored tables that no later step reads."""
+    for table in tables:
+        files = table.inputFiles()
+        if files:
+            context = table.sparkSession.sparkContext
+            folder = context._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+            folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def components(edges: DataFrame, name: str = "edges") -> DataFrame:
     """(node, component) of the undirected edges (a, b): component is the least node reachable.
 
@@ -55,7 +65,8 @@ def components(edges: DataFrame, name: str = "edges") -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "u")
         small = large.join(least, F.col("a") == F.col("u")).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         small = small.union(least.select("u", "m")).distinct()
-        now = stored(small, name)
+        last, now = now, stored(small, name)
+        discard(last)
         state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
         if state == before:
             return now.select(F.col("a").alias("node"), F.col("b").alias("component"))
@@ -96,8 +107,9 @@ def star_components(buckets: DataFrame, confirm: Callable[[DataFrame], DataFrame
     hubs = labels.select(F.col("node").alias("hub"), F.col("component").alias("main"))
     named = named.join(hubs, "hub", "left").select("bucket", "node", "comp", F.coalesce("main", "hub").alias("main"))
     apart = named.groupBy("bucket").agg(F.max(F.col("comp") != F.col("main")).alias("apart")).where("apart")
-    live = stored(named.join(apart.select("bucket"), "bucket", "left_semi"), "live")
-    held = stored(items(live.select("node").distinct()), "held")
+    members = stored(named.join(apart.select("bucket"), "bucket", "left_semi"), "live")
+    discard(buckets)
+    held = stored(items(members.select("node").distinct()), "held")
     release(spark)
     segment = F.shiftrightunsigned("item", 64 - SEGMENTS.bit_length() + 1)
     numbers = [F.count_if(segment == k).cast("int").alias(f"s{k}") for k in range(SEGMENTS)]
@@ -105,7 +117,9 @@ def star_components(buckets: DataFrame, confirm: Callable[[DataFrame], DataFrame
     sizes = held.groupBy("node").agg(F.count("*").alias("n"), F.array(*numbers).alias("all")).join(single, "node", "left")
     sizes = sizes.select("node", "n", F.expr("if(own is null, all, zip_with(all, own, (x, y) -> x - y))").alias("f"))
     sizes = sizes.withColumn("most", F.expr(f"least(100 * n div {p}, ({100 + p} * aggregate(f, 0, (x, y) -> x + y) - {p} * n) div {p})")).where(f"100 * most >= {p} * n")
-    live = live.join(stored(sizes, "sizes"), "node")
+    sizes = stored(sizes, "sizes")
+    discard(held)
+    live = members.join(sizes, "node")
     level = "cast(floor(ln({}) / ln(1.02)) as int)"
     rest = live.where("comp <> main").withColumn("level", F.explode(F.expr(f"sequence({level.format(f'greatest(1, {p} * n / 100)')}, {level.format('most')})")))
     rest = rest.select("bucket", "level", *[F.col(c).alias(f"c_{c}") for c in ("node", "comp", "n", "f", "most")])
@@ -113,8 +127,10 @@ def star_components(buckets: DataFrame, confirm: Callable[[DataFrame], DataFrame
     pairs = pairs.where(f"comp <> c_comp and n <= c_most and c_n <= most and {100 + p} * aggregate(zip_with(f, c_f, (x, y) -> least(x, y)), 0, (x, y) -> x + y) >= {p} * (n + c_n)")
     pairs = pairs.select(F.least("node", "c_node").alias("a"), F.greatest("node", "c_node").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
     pairs = stored(pairs, "pairs")
+    discard(members, sizes, stars)
     release(spark)
     more = stored(confirm(pairs), "links")
+    discard(pairs)
     release(spark)
     if more.isEmpty():
         return None if links.isEmpty() else labels

@@ -11,7 +11,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tenderline.llm.shared import release, stored
+from tenderline.llm.shared import discard, release, stored
 from tenderline.llm.text import BASE, chunks, mixed, powers
 
 FIRST = 16
@@ -203,6 +203,7 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     known = named.join(alive, "doc_id", "left").select("doc_id", F.xxhash64("text").alias("tag"), F.col("text").cast("binary").alias("text"), "ranks")
     runs = stored(known.mapInArrow(_runs(length, hot), "doc_id long, tag long, start int, windows short, spot short, rank long, same long"), "runs")
+    discard(alive)
     release(spark)
 
     classes = runs.groupBy("rank", "same").agg(F.min(F.col("doc_id")).alias("least"), F.max("doc_id").alias("most"))
@@ -211,6 +212,7 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     several = classes.groupBy("rank").agg(F.count("*").alias("k"), F.min("least").alias("lo"), F.max("most").alias("hi")).where("k > 1 and lo < hi")
     contested = classes.join(several.select("rank", F.lit(True).alias("contested")), "rank", "left")
     hits = stored(runs.join(contested.select("rank", "same", "least", "id", "contested"), ["rank", "same"]).drop("rank", "same"), "hits")
+    discard(runs, classes)
     release(spark)
 
     # One run of each contested class, in its least document; their bytes come from the texts once more.
@@ -222,6 +224,7 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spans = stored(texts.mapInArrow(_bytes_of(length), "id long, doc_id long, windows short, spot short, span binary"), "spans")
     release(spark)
     marks = stored(_grown(spans, length), "marks")
+    discard(spans)
     release(spark)
 
     copies = hits.where("doc_id > least").select("doc_id", "tag", F.col("start").alias("a"), F.expr(f"start + windows + {length - 1}").alias("b"))
