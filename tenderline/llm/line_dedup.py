@@ -30,21 +30,21 @@ def _last(size: int) -> str:
 
 
 def line_table(docs: DataFrame) -> DataFrame:
-    """(doc_id, line_no, line) of the lines with any sign but white space."""
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
+    """(doc_id, tag, line_no, line) of the lines with any sign but white space; the tag is a hash of the text."""
+    lines = docs.select("doc_id", F.xxhash64("text").alias("tag"), F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
     return lines.where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
 
 
 def duplicate_lines(docs: DataFrame, size: int = SHINGLE_CHARS, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, line_no) of the lines that stay, for rows (doc_id, text): of equal or linked lines, the first.
+    """(doc_id, tag, line_no) of the lines that stay, for rows (doc_id, text): of equal or linked lines, the first.
 
     Two lines are linked when 100 * intersection >= percent * union of their sets of distinct shingles of
     `size` characters; a shorter line is its own only shingle. Components of linked lines keep
-    their line with the least (doc_id, line_no)."""
+    their line with the least (doc_id, tag, line_no), the tag being a hash of the text."""
     spark = docs.sparkSession
     lines = line_table(docs)
-    distinct = lines.groupBy("line").agg(F.min(F.struct("doc_id", "line_no")).alias("owner"))
-    distinct = stored(distinct.select(F.monotonically_increasing_id().alias("node"), F.col("owner.doc_id").alias("doc_id"), F.col("owner.line_no").alias("line_no"), "line"), "lines")
+    distinct = lines.groupBy("line").agg(F.min(F.struct("doc_id", "tag", "line_no")).alias("owner"))
+    distinct = stored(distinct.select(F.monotonically_increasing_id().alias("node"), *[F.col(f"owner.{c}").alias(c) for c in ("doc_id", "tag", "line_no")], "line"), "lines")
     release(spark)
 
     # Long lines are signed by the shingles whose hash is a multiple of THIN; lines near the bound both ways.
@@ -70,14 +70,14 @@ def duplicate_lines(docs: DataFrame, size: int = SHINGLE_CHARS, percent: int = P
         return distinct.join(nodes, "node", "left_semi").select("node", F.explode(F.expr(every.format("line"))).alias("item"))
 
     labels = star_components(buckets, confirm, items, percent)
-    owners = distinct.select("node", "doc_id", "line_no")
+    owners = distinct.select("node", "doc_id", "tag", "line_no")
     if labels is None:
         return owners.drop("node")
     linked = labels.join(owners, "node")
-    first = linked.union(owners.join(labels.select(F.col("component").alias("node")).distinct(), "node").select("node", F.col("node").alias("component"), "doc_id", "line_no"))
-    kept = first.groupBy("component").agg(F.min(F.struct("doc_id", "line_no")).alias("first"))
+    first = linked.select("node", "component", "doc_id", "tag", "line_no").union(owners.join(labels.select(F.col("component").alias("node")).distinct(), "node").select("node", F.col("node").alias("component"), "doc_id", "tag", "line_no"))
+    kept = first.groupBy("component").agg(F.min(F.struct("doc_id", "tag", "line_no")).alias("first"))
     alone = owners.join(ends(labels.select(F.col("node").alias("a"), F.col("component").alias("b"))), "node", "left_anti")
-    return alone.select("doc_id", "line_no").union(kept.select("first.doc_id", "first.line_no"))
+    return alone.select("doc_id", "tag", "line_no").union(kept.select("first.doc_id", "first.tag", "first.line_no"))
 
 
 def without_duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE_CHARS, percent: int = PERCENT, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -85,8 +85,9 @@ def without_duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: s
 
     Lines end at line feeds; lines of white space alone are left out of the counts and of the text. Of equal or
     linked lines of all documents the one with the least (doc_id, line number) stays. A null text stays null.
-    Rows with a null id keep all their lines and take part in nothing. Repeated ids are parts of one document in the order
-    of their hashes: of equal lines one stays, in one of the rows. Other columns are not read.
+    Rows with a null id keep all their lines and take part in nothing. Rows that repeat an id with other texts are
+    documents of their own, in the order of the texts' hashes; rows that repeat id and text keep the same lines. Other
+    columns are not read.
 
     Only DataFrame functions. Distinct lines are hashed once; each shingle costs one hash and one minimum per
     order. 12 bands of 3: two lines at 0.8 share no band in 2 of 10,000 cases, and in about 1 of 1,000 where they are
@@ -94,14 +95,14 @@ def without_duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: s
     (`star_components`); the lines of a bucket are never paired with each other."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *carry)
     kept = duplicate_lines(rows.where("doc_id is not null").select("doc_id", "text"), size, percent)
-    kept = kept.groupBy("doc_id").agg(F.sort_array(F.collect_list("line_no")).alias("stay"))
+    kept = kept.groupBy("doc_id", "tag").agg(F.sort_array(F.collect_list("line_no")).alias("stay"))
     split = "transform(array(split(text, '\\n', -1)), l -> {})[0]"
-    text = split.format("array_join(transform(coalesce(stay, cast(array() as array<int>)), i -> l[i]), '\\n')")
+    text = split.format("array_join(transform(coalesce(__stay, cast(array() as array<int>)), i -> l[i]), '\\n')")
     real = "filter(l, x -> x rlike '[^\\\\x20\\\\x09-\\\\x0D]')"
     count = F.coalesce(F.expr(split.format(f"size({real})")), F.lit(0)).cast("long")
-    joined = rows.join(kept, "doc_id", "left")
+    joined = rows.withColumn("__tag", F.xxhash64("text")).join(kept.withColumnsRenamed({"doc_id": "__id", "tag": "__other", "stay": "__stay"}), (F.col("doc_id") == F.col("__id")) & (F.col("__tag") == F.col("__other")), "left")
     whole = F.expr(split.format(f"array_join({real}, '\\n')"))
-    stays = F.when(F.col("doc_id").isNull(), count).otherwise(F.coalesce(F.size("stay"), F.lit(0)).cast("long"))
+    stays = F.when(F.col("doc_id").isNull(), count).otherwise(F.coalesce(F.size("__stay"), F.lit(0)).cast("long"))
     return joined.select("doc_id", count.alias("n_lines"), stays.alias("n_kept"), *carry, F.when(F.col("text").isNotNull(), F.when(F.col("doc_id").isNull(), whole).otherwise(F.expr(text))).alias("text"))
 
 

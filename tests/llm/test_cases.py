@@ -98,6 +98,12 @@ def test_lines(spark):
     assert (out[1].n_kept, out[2].n_kept) == (1, 0)
 
 
+def test_lines_of_repeated_ids(spark):
+    rows = [(1, "only line of the first text", "en", "s"), (1, "a line\nanother one\na third one of this text", "en", "s"), (1, "a line\nanother one\na third one of this text", "en", "s")]
+    out = line_dedup.without_duplicate_lines(frame(spark, rows)).collect()
+    assert sorted((r.n_lines, r.n_kept) for r in out) == [(1, 1), (3, 3), (3, 3)]
+
+
 def test_mixing_takes_prefixes(spark):
     rows = [(i, "w " * (i % 7 + 1), "en" if i % 3 else None, f"src{i % 5}") for i in range(200)]
     out = mixing.mixed_documents(frame(spark, rows)).collect()
