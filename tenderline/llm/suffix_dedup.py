@@ -167,7 +167,9 @@ def _grown(spans: DataFrame, length: int) -> DataFrame:
     sides = sides.union(left.select("id", "doc_id", "span", F.lit(0), F.expr(f"least(windows - 1, spot - {half + 1})"), F.lit(0), F.expr(f"xxhash64(substring(span, spot - {half} + 1, {FIRST + half}))")))
     shared = sides.groupBy("side", "grown").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("side", "grown")
     alive = sides.join(shared, ["side", "grown"], "left_semi").withColumn("from", F.expr("greatest(0, from)"))
-    spots = alive.where("from <= to").select("id", "doc_id", "span", F.explode(F.sequence("from", "to")).alias("at"))
+    alive = stored(alive.where("from <= to").select("id", "doc_id", "span", "from", "to"), "grown")
+    release(alive.sparkSession)
+    spots = alive.select("id", "doc_id", "span", F.explode(F.sequence("from", "to")).alias("at"))
     cut = length // 2
     spots = spots.select("id", "doc_id", "at", F.expr(f"xxhash64(substring(span, at + 1, {cut}))").alias("first"), F.expr(f"xxhash64(substring(span, at + {cut + 1}, {length - cut}))").alias("second"))
     least = spots.groupBy("first", "second").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").drop("most")
