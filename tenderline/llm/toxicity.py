@@ -78,30 +78,13 @@ def fit_ordinal(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, grade
     return theta[:width], np.cumsum(np.r_[free[:1], free[1:] ** 2])
 
 
-def _telling(x: np.ndarray, toxic: np.ndarray, limit: int) -> list[int]:
-    """Columns picked one by one: that which most sets apart the toxic rows that no column picked before is in."""
-    picked, open_ = [], toxic.copy()
-    other, n0 = x[~toxic].sum(axis=0), max(1, int((~toxic).sum()))
-    while open_.any() and len(picked) < min(limit, x.shape[1]):
-        n1 = int(open_.sum())
-        hits = x[open_].sum(axis=0)
-        share = (hits + other) / (n1 + n0)
-        z = (hits / n1 - other / n0) / np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / n1 + 1 / n0))
-        best = int(z.argmax())
-        if hits[best] < MIN_DOCS or z[best] < MIN_Z:
-            break
-        picked.append(best)
-        open_ &= ~x[:, best]
-    return picked
-
-
 def fit(labelled: DataFrame, sample: int = SAMPLE_DOCS, features: int = FEATURES, split: int = 3, seed: int = 3) -> dict:
     """A model out of about `sample` rows (doc_id, text, grade), chosen by a hash; grades are 0, 1, 2 and so on.
 
-    Candidate words are counted in Spark: at most `features` whose share among documents above grade 0
-    exceeds that among the others by MIN_Z standard errors. The driver gets their occurrences in the sample, keeps those that
-    explain rows not yet explained, and fits the regression. Where the labels have only 0 and 1, the 1s
-    are split into `split` grades at quantiles of how much of the kept words they hold, so
+    Words are counted in Spark: features are at most `features` in MIN_DOCS documents above grade 0, whose share among those
+    exceeds that among the others by MIN_Z standard errors. Each of them counts, also one that mostly occurs beside a stronger
+    one: the driver gets their occurrences in the sample and fits the regression to all. Where the labels have only 0 and 1, the 1s
+    are split into `split` grades at quantiles of how much of these words they hold, so
     that severity has an order. Rows without text or grade are left out. Without rows, or with one grade only, or without
     a telling word, the model says grade 0 for all."""
     rows = labelled.where("text is not null and grade is not null")
@@ -115,30 +98,26 @@ def fit(labelled: DataFrame, sample: int = SAMPLE_DOCS, features: int = FEATURES
     if toxic in (0, total):
         return none
     held = bags.select("row", "grade", F.explode(F.arrays_zip("words", "counts")).alias("x")).select("row", "grade", F.col("x.words").alias("word"), F.col("x.counts").alias("n"))
-    seen = held.groupBy("word").agg(F.count(F.when(F.col("grade") > 0, 1)).alias("a"), F.count("*").alias("k")).where(f"k >= {MIN_DOCS}")
+    seen = held.groupBy("word").agg(F.count(F.when(F.col("grade") > 0, 1)).alias("a"), F.count("*").alias("k")).where(f"a >= {MIN_DOCS}")
     share = F.col("k") / float(total)
     error = F.sqrt(share * (1 - share) * (1 / float(toxic) + 1 / float(total - toxic)))
     z = (F.col("a") / float(toxic) - (F.col("k") - F.col("a")) / float(total - toxic)) / F.nullif(error, F.lit(0.0))
     words = [r["word"] for r in seen.withColumn("z", z).where(F.col("z") >= MIN_Z).orderBy(F.desc("z"), "word").limit(features).collect()]
-    known = held.where(F.col("word").isin(words)) if words else held.where("false")
+    if not words:
+        return none
+    known = held.where(F.col("word").isin(words))
     # One row for each sampled document, with its candidate words only.
     sparse = bags.select("row", "grade").join(known.groupBy("row").agg(F.collect_list(F.struct("word", "n")).alias("x")), "row", "left").select("grade", "x").collect()
     grades = np.array([r["grade"] for r in sparse])
     column = {w: i for i, w in enumerate(words)}
-    x = np.zeros((len(sparse), len(words)), dtype=bool)
-    for i, r in enumerate(sparse):
-        x[i, [column[e["word"]] for e in r["x"] or []]] = True
-    kept = {words[i]: k for k, i in enumerate(_telling(x, grades > 0, features))}
-    if not kept:
-        return none
-    at = [(i, kept[e["word"]], np.log1p(e["n"])) for i, r in enumerate(sparse) for e in r["x"] or [] if e["word"] in kept]
+    at = [(i, column[e["word"]], np.log1p(e["n"])) for i, r in enumerate(sparse) for e in r["x"] or []]
     r, c, v = (np.array([e[k] for e in at], dtype=d) for k, d in enumerate((np.int64, np.int64, float)))
     if grades.max() == 1 and split > 1:
         held_words = np.bincount(r, v, minlength=len(grades))
         cuts = np.unique(np.quantile(held_words[(grades > 0) & (held_words > 0)], np.arange(1, split) / split))
         grades = np.where(grades > 0, 1 + (held_words[:, None] > cuts).sum(axis=1), 0)
-    weights, thresholds = fit_ordinal(r, c, v, grades, len(kept), int(grades.max()) + 1)
-    return {"words": kept, "weights": weights, "thresholds": thresholds}
+    weights, thresholds = fit_ordinal(r, c, v, grades, len(words), int(grades.max()) + 1)
+    return {"words": column, "weights": weights, "thresholds": thresholds}
 
 
 def severity(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:

@@ -125,6 +125,16 @@ def test_toxicity_against_labels(spark):
     assert not any(r.toxic and r.label == 0 for r in out)
 
 
+def test_toxicity_recall_beside_false_alarms(spark):
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet").where("toxic is not null").selectExpr("doc_id", "toxic as label")
+    out = queries.QUERIES["op4_toxicity"](spark, FOLDER).join(labels, "doc_id").join(documents(spark).select("doc_id", "text"), "doc_id").collect()
+    insults = {"trash", "worthless", "idiot", "stupid", "loser", "pathetic", "disgusting", "clown", "scum", "moron"}
+    told = [r.toxic for r in out if insults & set(re.findall(r"\w+", (r.text or "").lower()))]
+    assert len(told) > 30 and all(told)
+    assert sum(r.toxic for r in out if r.label == 1) > 0.6 * sum(r.label == 1 for r in out)
+    assert not any(r.toxic for r in out if r.label == 0)
+
+
 def records(kinds):
     return [warc.record(i, f"http://x/{i}", b"<p>%d</p>" % i * 50, hashlib.sha1(b"<p>%d</p>" % i * 50).hexdigest(), None if k else i + 1, "2020-01-01T00:00:00Z") for i, k in enumerate(kinds)]
 

@@ -160,6 +160,15 @@ def test_toxicity_orders_grades(spark):
     assert not out[0].toxic and out[1].toxic and out[1].expected_severity < out[3].expected_severity
 
 
+def test_toxicity_weighs_words_beside_stronger_ones(spark):
+    # "vile" is in all toxic texts, "mean" and "nasty" only beside it; texts to judge hold them without it.
+    rows = [(i, f"plain words number {i}" + (" vile" if i % 4 == 0 else "") + (" mean" if i % 8 == 0 else "") + (" nasty" if i % 12 == 0 else ""), "en", "s") for i in range(480)]
+    model = toxicity.fit(frame(spark, rows).select("doc_id", "text", (F.col("doc_id") % 4 == 0).cast("int").alias("grade")))
+    assert set(model["words"]) == {"vile", "mean", "nasty"} and all(model["weights"] > 0)
+    out = by_id(toxicity.severity(frame(spark, [(1, "plain words", "en", "s"), (2, "mean mean nasty nasty words", "en", "s"), (3, "vile words", "en", "s")]), model))
+    assert not out[1].toxic and out[3].toxic and out[2].p_toxic > out[1].p_toxic
+
+
 def test_pipeline_stages_keep_columns(spark, tmp_path):
     frame(spark, ROWS).select("doc_id", F.lit(0).alias("quality"), (F.col("doc_id") % 2).alias("toxic")).write.parquet(str(tmp_path / "labels.parquet"))
     benchmark(spark).write.parquet(str(tmp_path / "benchmark.parquet"))
