@@ -48,7 +48,7 @@ def duplicate_lines(docs: DataFrame, size: int = SHINGLE_CHARS, percent: int = P
     release(spark)
 
     # Long lines are signed by the shingles whose hash is a multiple of THIN; lines near the bound both ways.
-    units = distinct.where(F.length("line") > size).select("node", _units(F.col("line")).alias("units"))
+    units = distinct.where(F.length("line") >= size).select("node", _units(F.col("line")).alias("units"))
     minima = []
     for level, of_length in enumerate((f"length(units) < {4 * THIN_FROM * 5 // 4}", f"length(units) >= {4 * THIN_FROM * 4 // 5}")):
         shingles = units.where(of_length).select("node", F.explode(F.expr(f"sequence(0, {_last(size)})")).alias("at"), "units")
@@ -63,7 +63,8 @@ def duplicate_lines(docs: DataFrame, size: int = SHINGLE_CHARS, percent: int = P
 
     def confirm(pairs: DataFrame) -> DataFrame:
         a, b = distinct.selectExpr("node as a", "line as s"), distinct.selectExpr("node as b", "line as t")
-        ab = pairs.join(b, "b").join(a, "a").where(f"100 * least(length(s), length(t)) >= {percent} * greatest(length(s), length(t)) - {100 * size}")
+        # No bound by length: a line that repeats inside itself has few distinct shingles.
+        ab = pairs.join(b, "b").join(a, "a")
         return ab.select("a", "b", *[F.expr(every.format(c)).alias(c) for c in "st"]).where(agree("s", "t", percent)).select("a", "b")
 
     def items(nodes: DataFrame) -> DataFrame:

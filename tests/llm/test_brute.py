@@ -14,6 +14,7 @@ import pytest
 import tokenizers
 
 from tenderline.llm import queries, suffix_dedup, token_counts, warc
+from tenderline.llm.line_dedup import without_duplicate_lines
 from tenderline.llm.near_dedup import near_duplicates
 from tests.compare import connect, of_duckdb, of_spark
 
@@ -68,6 +69,28 @@ def test_minhash_of_a_spread_group(spark):
     assert out == components_by_brute_force(rows, 4)
 
 
+def lines_kept_by_brute_force(lines):
+    """Numbers of the lines that stay, all in one document and distinct."""
+    sets = [{line[i : i + 9] for i in range(max(0, len(line) - 9) + 1)} for line in lines]
+    root = list(range(len(lines)))
+    for i, s in enumerate(sets):
+        for j, t in enumerate(sets[:i]):
+            if 100 * len(s & t) >= 80 * len(s | t):
+                least, other = sorted((root[i], root[j]))
+                root = [least if r == other else r for r in root]
+    return sorted(set(root))
+
+
+REPEATING = ["=" * 30, "=" * 80, "=" * 9, "=" * 8, "buy now and save. " * 10, "buy now and save. " * 40, "exactly 9", "another line that nothing else is like", "- " * 20, "- " * 45]
+
+
+def test_lines_that_repeat_inside_themselves(spark):
+    for lines in (REPEATING, REPEATING[::-1]):
+        out = without_duplicate_lines(spark.createDataFrame([(1, "\n".join(lines))], "doc_id long, text string")).first()
+        want = [lines[i] for i in lines_kept_by_brute_force(lines)]
+        assert len(want) < len(lines) - 3 and out.text.split("\n") == want
+
+
 def removed_by_brute_force(rows):
     first = {}
     for doc, data in sorted(rows):
