@@ -1,7 +1,7 @@
 """The stages that turn raw documents into a training mixture.
 
-Each stage reads what its predecessor kept and works on all of it. Ids are taken as unique; rows with a null id
-pass the stages as said in each."""
+Each stage reads what its predecessor kept and works on all of it. Ids are taken as unique before the mixing; rows with
+a null id pass the stages as said in each."""
 
 from __future__ import annotations
 
@@ -46,9 +46,14 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of the mixture, once for each epoch that takes from them, with `epoch` and `tokens_taken`."""
-    taken = mixed_documents(docs).select("doc_id", "epoch", "tokens_taken")
-    return docs.select(*COLUMNS).join(taken, "doc_id")
+    """Documents of the mixture, once for each epoch that takes from them, with `epoch` and `tokens_taken`.
+
+    Each row is a document of its own, also one with a null id or an id that other rows have: it is there at most once in an
+    epoch, and `tokens_taken` adds up to what the mixture takes. Rows are numbered in a stored table and joined by that
+    number, not by id."""
+    rows = stored(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("__row")), "rows")
+    taken = mixed_documents(rows, carry=("__row",)).select("__row", "epoch", "tokens_taken")
+    return rows.join(taken, "__row").select(*COLUMNS, "epoch", "tokens_taken")
 
 
 STAGES = [

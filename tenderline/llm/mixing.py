@@ -53,20 +53,20 @@ def budgets(leaves: DataFrame, budget: Column, epochs: int) -> DataFrame:
     return leaves.join(given, list(LEVELS)).select(*LEVELS, "tokens", F.floor("budget").alias("quota")).where("quota > 0")
 
 
-def mixture(docs: DataFrame, weights: DataFrame, percent: int, epochs: int = EPOCHS, seed: int = SEED) -> DataFrame:
-    """Rows (doc_id, domain, lang, source, epoch, tokens_taken) of a mixture of `percent` % of all tokens.
+def mixture(docs: DataFrame, weights: DataFrame, percent: int, epochs: int = EPOCHS, seed: int = SEED, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Rows (doc_id, domain, lang, source, epoch, tokens_taken, and the columns of `carry`) of a mixture of `percent` % of all tokens.
 
     `docs` has (doc_id, domain, lang, source, n_tokens); `weights` has the leaves with domain_weight,
     lang_weight and source_weight. A null domain, language or source is the node "(none)". Leaves without weights get
     nothing. In each epoch the documents of a leaf follow each other by md5(seed:epoch:doc_id); the leaf's
     quota is a prefix of the tokens of its epochs, so the last document may be taken in part. Documents
-    without tokens are left out; rows that repeat an id are documents of their own. If all leaves together hold
+    without tokens are left out; rows that repeat an id, and rows with a null id, are documents of their own. If all leaves together hold
     fewer tokens than asked for, all of all epochs is taken. An empty table gives none.
 
     Only DataFrame functions. Whole epochs need no order. The last epoch of a leaf is cut into slices by its
     order key; slices are summed, and only the slice in which the quota ends is put in order."""
     named = [F.coalesce(F.col(c), F.lit(NONE)).alias(c) for c in LEVELS]
-    docs = stored(docs.where("n_tokens > 0").select("doc_id", *named, "n_tokens"), "mix")
+    docs = stored(docs.where("n_tokens > 0").select("doc_id", *named, "n_tokens", *carry), "mix")
     weights = weights.select(*named, *[f"{c}_weight" for c in LEVELS]).dropDuplicates(list(LEVELS))
     leaves = docs.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens"))
     total = leaves.agg(F.sum("tokens")).first()[0] or 0
@@ -74,7 +74,7 @@ def mixture(docs: DataFrame, weights: DataFrame, percent: int, epochs: int = EPO
     quotas = stored(quotas.select(*LEVELS, F.expr("quota div tokens").alias("whole"), F.expr("quota % tokens").alias("rest")), "quotas")
 
     member = docs.join(quotas, list(LEVELS))
-    full = member.where("whole > 0").select("doc_id", *LEVELS, F.explode(F.expr("sequence(1, whole)")).alias("epoch"), F.col("n_tokens").alias("tokens_taken"))
+    full = member.where("whole > 0").select("doc_id", *LEVELS, F.explode(F.expr("sequence(1, whole)")).alias("epoch"), F.col("n_tokens").alias("tokens_taken"), *carry)
     key = F.md5(F.concat_ws(":", F.lit(str(seed)), (F.col("whole") + 1).cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     keyed = member.where("rest > 0").withColumn("key", key).withColumn("slice", F.substring("key", 1, SLICE_DIGITS))
     sums = keyed.groupBy(*LEVELS, "slice").agg(F.sum("n_tokens").alias("t"))
@@ -82,9 +82,9 @@ def mixture(docs: DataFrame, weights: DataFrame, percent: int, epochs: int = EPO
     sums = sums.withColumn("before", F.coalesce(F.sum("t").over(along), F.lit(0)))
     keyed = keyed.join(sums, [*LEVELS, "slice"]).where("before < rest")
     inside = keyed.where("before + t <= rest").withColumn("taken", F.col("n_tokens"))
-    along = W.partitionBy(*LEVELS, "slice").orderBy("key", "doc_id", "n_tokens").rowsBetween(W.unboundedPreceding, -1)
+    along = W.partitionBy(*LEVELS, "slice").orderBy("key", "doc_id", "n_tokens", *carry).rowsBetween(W.unboundedPreceding, -1)
     edge = keyed.where("before + t > rest").withColumn("taken", F.least("n_tokens", F.col("rest") - F.col("before") - F.coalesce(F.sum("n_tokens").over(along), F.lit(0))))
-    part = inside.unionByName(edge).where("taken > 0").select("doc_id", *LEVELS, (F.col("whole") + 1).alias("epoch"), F.col("taken").alias("tokens_taken"))
+    part = inside.unionByName(edge).where("taken > 0").select("doc_id", *LEVELS, (F.col("whole") + 1).alias("epoch"), F.col("taken").alias("tokens_taken"), *carry)
     return full.union(part)
 
 
@@ -98,12 +98,12 @@ WEIGHTS = {
 }
 
 
-def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The mixture over a table like `documents`; a source without a number counts as number 0."""
+def mixed_documents(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """The mixture over a table like `documents`, with the columns of `carry`; a source without a number counts as number 0."""
     number = "coalesce(try_cast(regexp_extract(source, '([0-9]+)', 1) as int), 0)"
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "source", F.expr(DOMAIN.format(n=number)).alias("domain"), word_count(F.col("text")).alias("n_tokens"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "source", F.expr(DOMAIN.format(n=number)).alias("domain"), word_count(F.col("text")).alias("n_tokens"), *carry)
     weights = rows.select(*LEVELS).distinct().select(*LEVELS, *[F.expr(e.format(n=number)).alias(c) for c, e in WEIGHTS.items()])
-    return mixture(rows, weights, PERCENT)
+    return mixture(rows, weights, PERCENT, carry=carry)
 
 
 def _sql() -> str:

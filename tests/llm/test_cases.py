@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -160,6 +162,21 @@ def test_toxicity_orders_grades(spark):
     assert not out[0].toxic and out[1].toxic and out[1].expected_severity < out[3].expected_severity
 
 
+def test_mix_keeps_null_and_repeated_ids(spark, tmp_path):
+    # A small leaf, all of which all epochs take, and a large one; each with null ids, exact copies and one id with two texts.
+    small = [(1, "a b c", "en", "src1"), (5, "x y", "en", "src1"), (5, "x y", "en", "src1"), (None, "n o p q", "en", "src1"), (None, "r", "en", "src1"), (6, "s t", "en", "src1"), (6, "u v w", "en", "src1")]
+    large = [(None if i % 5 == 0 else 100 + i // 3, "w " * (i % 7 + 1), "en", "src3") for i in range(300)]
+    rows = small + large
+    size = lambda text: len(text.split())
+    out = corpus_pipeline.mix(spark, frame(spark, rows).select(*corpus_pipeline.COLUMNS), str(tmp_path)).collect()
+    got = sorted(((str(r.doc_id), r.text, r.tokens_taken, r.epoch) for r in out if r.source == "src1"))
+    assert got == sorted((str(i), t, size(t), e) for i, t, _, _ in small for e in range(1, mixing.EPOCHS + 1))
+    total = sum(size(t) for _, t, _, _ in rows)
+    assert 0 <= total * mixing.PERCENT // 100 - sum(r.tokens_taken for r in out) < 2
+    taken, held = Counter((r.doc_id, r.text, r.epoch) for r in out if r.source == "src3"), Counter((i, t) for i, t, _, _ in large)
+    assert taken and all(n <= held[i, t] for (i, t, _), n in taken.items()) and any(i is None for i, _, _ in taken)
+
+
 def test_toxicity_weighs_words_beside_stronger_ones(spark):
     # "vile" is in all toxic texts, "mean" and "nasty" only beside it; texts to judge hold them without it.
     rows = [(i, f"plain words number {i}" + (" vile" if i % 4 == 0 else "") + (" mean" if i % 8 == 0 else "") + (" nasty" if i % 12 == 0 else ""), "en", "s") for i in range(480)]
