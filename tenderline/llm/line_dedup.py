@@ -12,8 +12,6 @@ from tenderline.llm.shared import agree, ends, release, star_components, stored
 SHINGLE_CHARS = 9
 BANDS, BAND_ROWS = 12, 3
 PERCENT = 80
-#: Lines of about THIN_FROM characters and more are signed by one shingle in THIN.
-THIN, THIN_FROM = 3, 160
 
 _draw = random.Random(5)
 #: One order of the hashes for each minimum; the high five bits differ from order to order as long as they can.
@@ -47,16 +45,12 @@ def duplicate_lines(docs: DataFrame, size: int = SHINGLE_CHARS, percent: int = P
     distinct = stored(distinct.select(F.monotonically_increasing_id().alias("node"), *[F.col(f"owner.{c}").alias(c) for c in ("doc_id", "tag", "line_no")], "line"), "lines")
     release(spark)
 
-    # Long lines are signed by the shingles whose hash is a multiple of THIN; lines near the bound both ways.
     units = distinct.where(F.length("line") >= size).select("node", _units(F.col("line")).alias("units"))
-    minima = []
-    for level, of_length in enumerate((f"length(units) < {4 * THIN_FROM * 5 // 4}", f"length(units) >= {4 * THIN_FROM * 4 // 5}")):
-        shingles = units.where(of_length).select("node", F.explode(F.expr(f"sequence(0, {_last(size)})")).alias("at"), "units")
-        hashed = shingles.select("node", F.xxhash64(F.expr(f"substring(units, 4 * at + 1, {4 * size})")).alias("h"))
-        hashed = hashed.where(f"h % {THIN} = 0") if level else hashed
-        minima.append(hashed.groupBy("node").agg(*[F.min(F.col("h").bitwiseXOR(F.lit(o))).alias(f"m{k}") for k, o in enumerate(ORDERS)]).withColumn("level", F.lit(level)))
-    bands = [F.xxhash64("level", F.lit(b), *[F.col(f"m{b * BAND_ROWS + r}") for r in range(BAND_ROWS)]) for b in range(BANDS)]
-    buckets = stored(minima[0].union(minima[1]).select(F.explode(F.array(*bands)).alias("bucket"), "node"), "bands")
+    shingles = units.select("node", F.explode(F.expr(f"sequence(0, {_last(size)})")).alias("at"), "units")
+    hashed = shingles.select("node", F.xxhash64(F.expr(f"substring(units, 4 * at + 1, {4 * size})")).alias("h"))
+    minima = hashed.groupBy("node").agg(*[F.min(F.col("h").bitwiseXOR(F.lit(o))).alias(f"m{k}") for k, o in enumerate(ORDERS)])
+    bands = [F.xxhash64(F.lit(b), *[F.col(f"m{b * BAND_ROWS + r}") for r in range(BAND_ROWS)]) for b in range(BANDS)]
+    buckets = stored(minima.select(F.explode(F.array(*bands)).alias("bucket"), "node"), "bands")
     release(spark)
     # The outer transform binds the encoded line; a plain column would be encoded anew for each shingle.
     every = f"array_distinct(transform(array(encode({{}}, 'UTF-32')), units -> transform(sequence(0, {_last(size)}), at -> xxhash64(substring(units, 4 * at + 1, {4 * size}))))[0])"
@@ -91,8 +85,7 @@ def without_duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: s
     columns are not read.
 
     Only DataFrame functions. Distinct lines are hashed once; each shingle costs one hash and one minimum per
-    order. 12 bands of 3: two lines at 0.8 share no band in 2 of 10,000 cases, and in about 1 of 1,000 where they are
-    signed by a third of their shingles. Candidates are stars
+    order. 12 bands of 3: two lines at 0.8 share no band in 2 of 10,000 cases, whatever their length. Candidates are stars
     (`star_components`); the lines of a bucket are never paired with each other."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *carry)
     kept = duplicate_lines(rows.where("doc_id is not null").select("doc_id", "text"), size, percent)

@@ -81,7 +81,7 @@ def lines_kept_by_brute_force(lines):
     return sorted(set(root))
 
 
-REPEATING = ["=" * 30, "=" * 80, "=" * 9, "=" * 8, "buy now and save. " * 10, "buy now and save. " * 40, "exactly 9", "another line that nothing else is like", "- " * 20, "- " * 45]
+REPEATING = ["=" * 30, "=" * 80, "=" * 300, "=" * 9, "=" * 8, "buy now and save. " * 10, "buy now and save. " * 40, "exactly 9", "another line that nothing else is like", "- " * 20, "- " * 45, "-+" * 150]
 
 
 def test_lines_that_repeat_inside_themselves(spark):
