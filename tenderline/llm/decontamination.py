@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,20 @@ PERCENT = 80
 BROADCAST_SEEDS = 500_000
 
 
+def light_masks(size: int, percent: int) -> list[tuple[int, str]]:
+    """(offset, mask) over an item of `size` tokens: whichever tokens differ, if few enough for `percent` % to agree, one mask misses them all.
+
+    If s tokens may differ, the item is cut into s + 2 blocks (or single tokens), and each mask leaves out s of them."""
+    spare = size * (100 - percent) // 100
+    blocks = min(size, spare + 2)
+    cuts = [size * k // blocks for k in range(blocks + 1)]
+    out = []
+    for gone in combinations(range(blocks), spare):
+        bits = "".join(("0" if k in gone else "1") * (cuts[k + 1] - cuts[k]) for k in range(blocks))
+        out.append((bits.index("1"), bits.strip("0")))
+    return out
+
+
 def tokens(text: Column) -> Column:
     """Runs of letters and digits, in lower case."""
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda t: t != "")
@@ -52,14 +68,23 @@ def leaks(
     agree with the text, laid out from the hit, in at least `percent` % of their places; a place outside
     the text does not agree. So substituted tokens are tolerated, inserted ones are not.
 
-    All positions of all texts are searched. Items with fewer tokens than the shortest mask have no hit, nor do
-    null or empty texts. Null ids are rows like others. Repeated rows count once in `places`.
+    Items with fewer than `span` tokens also have the masks of `light_masks`, each at its place in the item: whatever
+    is substituted within `percent`, one of them hits. Texts get those masks only for the numbers of tokens that such items have.
+
+    All positions of all texts are searched. Null and empty texts have no hit. Null ids are rows like others. Repeated rows count once in `places`.
     Seeds of the benchmark are broadcast only when fewer than BROADCAST_SEEDS were counted; else both
     sides are shuffled. Other columns are not read."""
     hashed = lambda c: F.transform(tokens(c), lambda t: F.xxhash64(t))
     items = benchmark.select(F.col(item_col).alias("item_id"), hashed(F.col(item_text_col)).alias("tokens"))
+    short = sorted(r.n for r in items.select(F.size("tokens").alias("n")).where(f"n > 0 and n < {span}").distinct().collect())
+    light = [(n, at, mask) for n in short for at, mask in light_masks(n, percent)]
+    base, masks = len(masks), masks + tuple(sorted({m for _, _, m in light} - set(masks)))
     widths = F.array(*[F.lit(len(m)) for m in masks])
-    seeds = _windows(items, masks, "item_id", "tokens").withColumn("width", F.get(widths, "mask")).withColumn("from", F.expr(f"greatest(0, at + width - {span})"))
+    seeds = _windows(items, masks, "item_id", "tokens")
+    fits = F.col("mask") < base
+    for n, at, mask in light:
+        fits |= (F.size("tokens") == n) & (F.col("at") == at) & (F.col("mask") == masks.index(mask))
+    seeds = seeds.where(fits).withColumn("width", F.get(widths, "mask")).withColumn("from", F.expr(f"greatest(0, at + width - {span})"))
     seeds = seeds.select("seed", F.struct("item_id", "width", F.expr(f"slice(tokens, from + 1, least(size(tokens), at + {span}) - from)").alias("part"), F.expr("at - from").alias("lead"), F.expr(f"least({span}, size(tokens))").alias("need")).alias("x"))
     if seeds.count() < BROADCAST_SEEDS:
         seeds = F.broadcast(seeds)
