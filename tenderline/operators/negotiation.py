@@ -80,7 +80,7 @@ def next_status(request_history: DataFrame) -> DataFrame:
     rows = with_slot(
         with_copies(request_history, ["id", "status", "history_date"], codes),
         "id",
-        "history_date",
+        ["history_date", "status"],
         codes,
     )
     ordered = in_order("id", ["history_date", "status"])
@@ -139,8 +139,9 @@ def count_later_resends(
     both = rows.withColumn("is_row", F.lit(1)).unionByName(
         events.withColumn("is_row", F.lit(0)), allowMissingColumns=True
     )
-    both = with_slot(both, KEY, "history_date", codes)
-    along = in_order(KEY, [order[0], "is_row", *order[1:]])
+    placed = [order[0], "is_row", *order[1:]]
+    both = with_slot(both, KEY, placed, codes)
+    along = in_order(KEY, placed)
     so_far = F.sum("resends").over(
         along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
@@ -185,9 +186,10 @@ def resend_matches(value_history: DataFrame, request_history: DataFrame) -> Data
 def numbered_history(value_history: DataFrame) -> DataFrame:
     """Value history with a running label per request product."""
     codes = hot_codes(value_history, [KEY])
-    rows = with_slot(with_copies(value_history, HISTORY, codes), KEY, "history_date", codes)
-    rows = rows.withColumn(TIE, F.col("draft_value").cast("string"))
-    placed = total_before(rows, KEY, [*HISTORY_ORDER, TIE], "copies", "ahead", codes)
+    rows = with_copies(value_history, HISTORY, codes).withColumn(TIE, F.col("draft_value").cast("string"))
+    order = [*HISTORY_ORDER, TIE]
+    rows = with_slot(rows, KEY, order, codes)
+    placed = total_before(rows, KEY, order, "copies", "ahead", codes)
     return unroll(placed, codes).select(
         *HISTORY, _pending(F.col("ahead") + F.col("copy")).alias("sequence_label")
     )
@@ -205,22 +207,22 @@ def _crowded(*keys: DataFrame) -> list[int]:
     return hot_codes(together, [KEY])
 
 
-def negotiation_history(
+#: A run: the rows of the history that differ in their number alone.
+RUN = ["product_id", "request_id", "status", "unit_price", "history_user_id", "history_date"]
+
+
+def _placed(
     products: DataFrame,
     request_values: DataFrame,
     value_history: DataFrame,
     request_history: DataFrame,
     fields: DataFrame,
     as_of: AsOf,
-    fan_out: bool = True,
-    field_column: str = "pricebook_value_id",
-) -> DataFrame:
-    """Price history of commercial request products with a label per row.
-
-    With ``fan_out`` a row appears once per later request event, as the history is
-    defined; without it every row appears once. The multiplicity is carried as a
-    number through joins and numbering and unrolled at the very end.
-    """
+    fan_out: bool,
+    field_column: str,
+) -> tuple[DataFrame, list[str], list[int]]:
+    """Rows of the history, each with how often it is there (``copies``) and how many come
+    before it (``ahead``); the columns that put them in order; and the hot keys."""
     commercial = products.where(F.col("type") == COMMERCIAL).select(
         F.col("id").alias(KEY),
         F.col("pricebook_product_id").alias("product_id"),
@@ -264,25 +266,92 @@ def negotiation_history(
         *HISTORY_ORDER, TIE, "product_id", "request_id", "status", "request_created_at", "is_latest",
     ]
     rows = rows.withColumn(TIE, F.col("draft_value").cast("string"))
+    along = order
     if fan_out:
         rows = count_later_resends(rows, request_history, order, codes).withColumn(
             "copies", F.col("copies") * F.greatest("later_resends", F.lit(1))
         )
-        order = [order[0], "is_row", *order[1:]]
+        along = [order[0], "is_row", *order[1:]]
     else:
-        rows = with_slot(rows, KEY, "history_date", codes)
-    placed = total_before(rows, KEY, order, "copies", "ahead", codes)
-    label = (
-        F.when(F.col("history_date") <= F.col("request_created_at"), LABEL_PREVIOUS)
-        .when((F.col("status") == APPROVED) & F.col("is_latest"), LABEL_APPROVED)
-        .otherwise(_pending(F.col("ahead") + F.col("copy")))
+        rows = with_slot(rows, KEY, order, codes)
+    return total_before(rows, KEY, along, "copies", "ahead", codes), order, codes
+
+
+def _fixed_label() -> Column:
+    """The label of rows that have no number in it, else NULL."""
+    return F.when(F.col("history_date") <= F.col("request_created_at"), LABEL_PREVIOUS).when(
+        (F.col("status") == APPROVED) & F.col("is_latest"), LABEL_APPROVED
+    )
+
+
+def negotiation_history(
+    products: DataFrame,
+    request_values: DataFrame,
+    value_history: DataFrame,
+    request_history: DataFrame,
+    fields: DataFrame,
+    as_of: AsOf,
+    fan_out: bool = True,
+    field_column: str = "pricebook_value_id",
+) -> DataFrame:
+    """Price history of commercial request products with a label per row.
+
+    With ``fan_out`` a row appears once per later request event, as the history is
+    defined; without it every row appears once. The multiplicity is carried as a
+    number through joins and numbering and unrolled at the very end.
+    """
+    placed, _, codes = _placed(
+        products, request_values, value_history, request_history, fields, as_of, fan_out, field_column
     )
     if fan_out:
         placed = repeat_rows(placed, "copies", "copy", spread=bool(codes))
     else:
         placed = unroll(placed, codes)
+    label = F.coalesce(_fixed_label(), _pending(F.col("ahead") + F.col("copy")))
     return (
         placed.withColumn("status_label", label)
         .withColumn("unit_price", F.col("draft_value"))
         .select(*NEGOTIATION_HISTORY)
     )
+
+
+def negotiation_runs(
+    products: DataFrame,
+    request_values: DataFrame,
+    value_history: DataFrame,
+    request_history: DataFrame,
+    fields: DataFrame,
+    as_of: AsOf,
+    fan_out: bool = True,
+    field_column: str = "pricebook_value_id",
+) -> DataFrame:
+    """The same history in runs: rows that differ in their number alone, as one row.
+
+    ``copies`` says how many rows a run stands for, ``first_number`` the number of the
+    first; ``fixed_label`` is NULL where labels carry numbers. There are at most as many runs as
+    priced history rows, however many later events each of them has: a history that is
+    quadratic in the events of a product is stored in linear size. ``expand_runs`` gives the rows.
+    Equal rows follow each other, so their numbers are without gaps. Runs are grouped on the
+    placing that the numbering already has, without another shuffle.
+    """
+    placed, order, _ = _placed(
+        products, request_values, value_history, request_history, fields, as_of, fan_out, field_column
+    )
+    # The text of the price stands for it: grouping takes -0.0 for 0.0.
+    alike = [c for c in order if c != "draft_value"]
+    return (
+        placed.groupBy(KEY, SLOT, *alike)
+        .agg(
+            F.first("draft_value").alias("unit_price"),
+            F.sum("copies").alias("copies"),
+            (F.min("ahead") + 1).alias("first_number"),
+        )
+        .select(*RUN, _fixed_label().alias("fixed_label"), "first_number", "copies")
+    )
+
+
+def expand_runs(runs: DataFrame, spread: bool = False) -> DataFrame:
+    """The history that stored runs stand for; with ``spread`` long runs are dealt to many tasks."""
+    rows = repeat_rows(runs, "copies", "copy", spread)
+    number = _pending(F.col("first_number") + F.col("copy") - 1)
+    return rows.withColumn("status_label", F.coalesce("fixed_label", number)).select(*NEGOTIATION_HISTORY)

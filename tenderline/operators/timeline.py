@@ -1,12 +1,14 @@
-"""Running totals along the dated rows of a key, without a task per key.
+"""Running totals along the ordered rows of a key, without a task per key.
 
 A window over a key puts all its rows into one task. For the few keys too large for
-that, rows are cut by the clock hour into slots: totals run inside a slot, and the sum
-of the slots before (or after) is added from a small table of slot sums. All other
-keys have a single slot and need neither the table nor the join.
+that, rows are dealt by ranges of (key, order) into partitions of about equal size, whatever
+the rows look like: all in one second, or without a date. The part of a key in one partition
+is a slot. Totals run inside a slot; an exclusive scan over the sums of a key's slots gives
+what to carry in. There are at most as many slots as partitions and hot keys together. All
+other keys have a single slot and need neither the table nor the join.
 
 Where there are hot keys, rows are collapsed to distinct rows with a number of copies
-beforehand, so copies of one row weigh as much as a single row.
+beforehand, so copies of one row, which no range can part, weigh as much as a single row.
 """
 
 from __future__ import annotations
@@ -14,9 +16,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from tenderline.operators.balance import hot_codes, is_hot
+from tenderline.sources.stores import staged
 
 SLOT = "slot"
-UNDATED = 2_147_483_647
 CHUNK = 65_536
 
 
@@ -51,12 +53,21 @@ def with_copies(
     return df.select(*columns, F.lit(1).cast("long").alias(copies))
 
 
-def with_slot(df: DataFrame, key: str, dated: str, codes: list[int]) -> DataFrame:
-    """NULL slot for ordinary keys, the hour number for hot ones (undated rows last)."""
-    hour = F.unix_date(F.col(dated).cast("date")) * 24 + F.hour(dated)
-    placed = F.coalesce(hour, F.lit(UNDATED))
-    slot = F.when(is_hot([key], codes), placed) if codes else F.lit(None)
-    return df.withColumn(SLOT, slot.cast("int"))
+def with_slot(df: DataFrame, key: str, order: list[str], codes: list[int]) -> DataFrame:
+    """NULL slot for ordinary keys; for hot ones the number of the range that a row falls into.
+
+    Ranges are over the key and then ``order``, unknown values last, so the slots of a key
+    are in that order and rows that tie share one. Their bounds come from a sample and would differ in
+    another run of the plan, so the rows of hot keys are staged with their slots.
+    """
+    alone = df.withColumn(SLOT, F.lit(None).cast("int"))
+    if not codes:
+        return alone
+    hot = is_hot([key], codes)
+    many = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    by = [F.asc_nulls_last(key), *[F.asc_nulls_last(c) for c in order]]
+    dealt = df.where(hot).repartitionByRange(many, *by).withColumn(SLOT, F.spark_partition_id())
+    return alone.where(~hot).unionByName(staged(dealt))
 
 
 def floating(df: DataFrame, columns: list[str]) -> list[str]:

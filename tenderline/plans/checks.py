@@ -122,7 +122,7 @@ _RECENT = f"BETWEEN {v.AS_OF_YEAR - 3} AND {v.AS_OF_YEAR - 1}"
 _OFFERS = f"""
     SELECT q.pricebook_product_id AS product_id, q.request_id, q.status,
            h.draft_value AS unit_price, h.history_user_id, h.history_date,
-           q.history_date AS asked, row_number() OVER numbering AS place,
+           q.history_date AS asked, q.id AS asked_id, row_number() OVER numbering AS place,
            NOT EXISTS (
                FROM requests_historicalrequestvalue o WHERE o.request_product_id = q.id
                AND (o.history_date > h.history_date OR o.history_date IS NULL)) AS newest
@@ -140,7 +140,7 @@ _OFFERS = f"""
 def _negotiation(resends: str) -> str:
     return _with(
         f"""
-        SELECT * EXCLUDE (asked, place, newest),
+        SELECT * EXCLUDE (asked, asked_id, place, newest),
                if(history_date <= asked, 'previous_approved',
                   if(coalesce(status, '') = 'APPROVED' AND newest, 'approved',
                      concat('PENDING_', place))) AS status_label
@@ -154,6 +154,19 @@ _RESENDS = (
     "LEFT JOIN requests_historicalrequest e ON q.id = e.id AND e.history_date > h.history_date"
 )
 
+_RUNS_OF_ROWS = _with(
+    f"""
+    SELECT * EXCLUDE (asked, asked_id, newest, place),
+           CASE WHEN history_date <= asked THEN 'previous_approved'
+                WHEN status = 'APPROVED' AND newest THEN 'approved' END AS fixed_label,
+           min(place) AS first_number, count(*) AS copies
+    FROM ({_OFFERS.format(resends=_RESENDS)})
+    GROUP BY asked_id, asked, newest, product_id, request_id, status, unit_price, history_user_id,
+             history_date
+    """,
+    *NEGOTIATION_VIEWS,
+)
+
 _ELEMENTS = " UNION ALL ".join(
     f"SELECT l_orderkey * 10 + l_linenumber AS id, row_id, CAST({e} AS INTEGER) AS element_id, "
     f"CAST({p} AS DECIMAL(18,2)) AS unit_price FROM runs "
@@ -381,6 +394,8 @@ CHECKS = {
     ),
     "negotiation_history": _negotiation(_RESENDS),
     "negotiation_history_dedup": _negotiation(""),
+    "negotiation_runs": _RUNS_OF_ROWS,
+    "negotiation_history_expanded": _negotiation(_RESENDS),
     "sort_history": _with(
         """
         SELECT *, rank() OVER (ORDER BY request_product_id NULLS LAST, history_date NULLS LAST,

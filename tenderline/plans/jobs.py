@@ -11,7 +11,7 @@ from tenderline.functions.scalar import AsOf, as_of_year, empty_column
 from tenderline.operators.benchmark import STORED, benchmark_history
 from tenderline.operators.demand import demand_summary, materials_in_scope, yearly_demand
 from tenderline.operators.filters import above_threshold, changed_since
-from tenderline.operators.negotiation import negotiation_history
+from tenderline.operators.negotiation import negotiation_history, negotiation_runs
 from tenderline.operators.pivot import attribute_pivot
 from tenderline.operators.users import user_dimension
 from tenderline.plans.runner import read_sources
@@ -43,7 +43,8 @@ def _pricebook_staged(frames: Frames, args: Args) -> DataFrame:
 
 
 def _negotiation(frames: Frames, args: Args) -> DataFrame:
-    return negotiation_history(
+    history = negotiation_runs if args["as_runs"] else negotiation_history
+    return history(
         frames["requests_historicalrequestproduct"],
         frames["request_values"],
         frames["requests_historicalrequestvalue"],
@@ -137,7 +138,7 @@ JOBS = {
             ),
             "contract_dashboard_negotiation_history_combined",
             _negotiation,
-            defaults={"fan_out": True, "field_column": "pricebook_value_id"},
+            defaults={"fan_out": True, "field_column": "pricebook_value_id", "as_runs": False},
         ),
         JobSpec(
             "historical_demand",

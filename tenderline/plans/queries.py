@@ -366,6 +366,22 @@ def negotiation_history_dedup(spark, folder):
     )
 
 
+@query
+def negotiation_runs(spark, folder):
+    return negotiation.negotiation_runs(*_negotiation_inputs(spark, folder), AS_OF)
+
+
+@query
+def negotiation_history_expanded(spark, folder):
+    """The job stores runs; the history is a view over what it stored."""
+    source, target = _staging(spark), _staging(spark)
+    job = JOBS["negotiation_history"]
+    for s, frame in zip(job.sources, _negotiation_inputs(spark, folder), strict=True):
+        source.replace(frame.select(*s.columns), s.name)
+    run(spark, job, source, target, {"as_of": AS_OF, "as_runs": True})
+    return negotiation.expand_runs(target.read(spark, job.target))
+
+
 @query
 def sort_history(spark, folder):
     ordered = sort_rows(

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import logging
-import uuid
 from dataclasses import dataclass, replace
 from pathlib import Path
 from typing import Any
@@ -12,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tenderline.plans.spec import JobSpec, TableSource
 from tenderline.sinks.tables import overwrite, publish, write
-from tenderline.sources.stores import Store, check_columns
+from tenderline.sources.stores import Store, check_columns, shared_folder  # noqa: F401 (callers take it from here)
 
 log = logging.getLogger(__name__)
 
@@ -160,20 +159,3 @@ def run_staged(
     rows = publish(spark, staging, staged.target, target, table, key)
     staging.drop(spark, staged.target)
     return RunReport(job.name, table, staged.mode, rows)
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder below the one the cluster shares, for staging tables.
-
-    The session's ``spark.checkpoint.dir`` decides; without it only a local session
-    gets a folder of its own.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        master = spark.sparkContext.master
-        if master != "local" and not master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir has to name a folder all executors share")
-        import tempfile
-
-        root = tempfile.mkdtemp(prefix="tenderline-")
-    return f"{root.rstrip('/')}/tenderline-{uuid.uuid4().hex}"

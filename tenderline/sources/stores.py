@@ -252,3 +252,31 @@ def check_columns(df: DataFrame, needed: Sequence[str], table: str) -> DataFrame
     if missing:
         raise ValueError(f"table {table} lacks the columns {missing}")
     return df
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder below the one the cluster shares, for staging tables.
+
+    The session's ``spark.checkpoint.dir`` decides; without it only a local session
+    gets a folder of its own.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir has to name a folder all executors share")
+        import tempfile
+
+        root = tempfile.mkdtemp(prefix="tenderline-")
+    return f"{root.rstrip('/')}/tenderline-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """The rows, computed once and read back from a staging table.
+
+    For what would come out differently if it were computed again, such as the numbers of
+    partitions. The table stays until the owner of the folder clears it: it is read lazily.
+    """
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -4,8 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tenderline.operators import balance, negotiation
-from tenderline.operators.balance import hot_codes, join_to_unique, lookup_join
-from tenderline.operators.timeline import sort_rows
+from tenderline.operators.balance import HOT_ROWS_CONF, hot_codes, join_to_unique, lookup_join
+from tenderline.operators.timeline import sort_rows, with_slot
 from tenderline.operators.users import user_dimension
 from tests.compare import of_duckdb, of_spark
 
@@ -33,12 +33,18 @@ def crowded(spark):
 
 @pytest.fixture(scope="module")
 def rows(spark):
-    spark.conf.set("spark.tenderline.hotKeyRows", "500")
     frame = crowded(spark)
     con = duckdb.connect()
     con.register("history", frame.toPandas())
-    yield frame, con
-    spark.conf.unset("spark.tenderline.hotKeyRows")
+    return frame, con
+
+
+@pytest.fixture(autouse=True)
+def floor(spark):
+    """The number of rows from which a key is hot; set for each test, as some change it."""
+    spark.conf.set(HOT_ROWS_CONF, "500")
+    yield
+    spark.conf.unset(HOT_ROWS_CONF)
 
 
 def test_hot_keys_are_found(spark, rows):
@@ -49,12 +55,9 @@ def test_hot_keys_are_found(spark, rows):
 
 
 def test_hot_keys_are_found_from_a_part_of_the_rows(spark):
-    spark.conf.set("spark.tenderline.hotKeyRows", "20000")
-    try:
-        frame = spark.range(90_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"))
-        assert len(hot_codes(frame, ["k"])) == 1
-    finally:
-        spark.conf.set("spark.tenderline.hotKeyRows", "500")
+    spark.conf.set(HOT_ROWS_CONF, "20000")
+    frame = spark.range(90_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"))
+    assert len(hot_codes(frame, ["k"])) == 1
 
 
 def test_comparison_with_all(rows):
@@ -119,6 +122,42 @@ def test_later_resends(rows):
         GROUP BY ALL""")
 
 
+def in_one_hour(spark, dated: bool):
+    """Distinct rows of one key, all within one clock hour or all without a date, and some of another."""
+    n = F.col("id")
+    moment = F.expr("TIMESTAMP_NTZ '2000-01-01 10:00:00' + make_dt_interval(0, 0, 0, id % 1800)")
+    key = F.when(n % 4 == 0, n % 50 + 10).otherwise(1).cast("long")
+    return spark.range(ROWS).select(
+        key.alias("request_product_id"),
+        F.when(n % 7 == 0, -0.0).otherwise((n % 400).cast("double")).alias("draft_value"),
+        (n % 900).alias("history_user_id"),
+        (moment if dated else F.lit(None).cast("timestamp_ntz")).alias("history_date"),
+        key.alias("id"), F.concat(F.lit("s"), n).alias("status"),
+    )
+
+
+@pytest.mark.parametrize("dated", [True, False])
+def test_one_hour_of_one_key_is_cut_into_several_slots(spark, dated):
+    frame = in_one_hour(spark, dated)
+    codes = hot_codes(frame, ["id"])
+    assert len(codes) == 1
+    order = ["history_date", "status"]
+    slots = with_slot(frame, "id", order, codes)
+    hot = [r["rows"] for r in slots.where("id = 1").groupBy("slot").agg(F.count("*").alias("rows")).collect()]
+    assert len(hot) == 8 and max(hot) < 3 * sum(hot) / len(hot)
+    assert slots.where("id <> 1 AND slot IS NOT NULL").isEmpty()
+    events = frame.select("id", "status", "history_date")
+    results = []
+    for floor in ("500", "5000000"):
+        spark.conf.set(HOT_ROWS_CONF, floor)
+        out = [
+            negotiation.next_status(events), negotiation.numbered_history(frame),
+            negotiation.resend_matches(frame, events.limit(600)),
+        ]
+        results.append([sorted(repr(tuple(r)) for r in df.collect()) for df in out])
+    assert results[0] == results[1]
+
+
 def test_hot_and_cold_results_have_the_same_bits(spark):
     zero = [(1, v, u, d) for v in (-0.0, 0.0, float("nan"), None) for u in (1, 1, 2) for d in ("2000-01-01 05:10:00", None)]
     frame = spark.createDataFrame(
@@ -128,10 +167,9 @@ def test_hot_and_cold_results_have_the_same_bits(spark):
     events = spark.sql("SELECT id, 'a' AS status, TIMESTAMP_NTZ '2000-01-02 00:00:00' AS history_date FROM VALUES (1), (NULL) AS t(id)")
     results = []
     for floor in ("1", "5000000"):
-        spark.conf.set("spark.tenderline.hotKeyRows", floor)
+        spark.conf.set(HOT_ROWS_CONF, floor)
         out = [negotiation.numbered_history(frame), negotiation.resend_matches(frame, events), sort_rows(frame, ["history_date", "draft_value"], True)]
         results.append([sorted(repr(tuple(r)) for r in df.collect()) for df in out])
-    spark.conf.unset("spark.tenderline.hotKeyRows")
     assert results[0] == results[1]
     assert sum("-0.0" in r for r in results[0][0]) == 7
 

@@ -8,7 +8,8 @@ FOLDER = "/root/testdata/sf0.001"
 NAMES = sorted(QUERIES)
 HOT = [
     "attribute_pivot", "compare_ge_all", "demand_summary", "join_left_range",
-    "negotiation_history", "negotiation_history_dedup", "user_dimension",
+    "negotiation_history", "negotiation_history_dedup", "negotiation_history_expanded",
+    "negotiation_runs", "user_dimension",
     "window_lead_status", "window_row_number_label",
 ]
 
