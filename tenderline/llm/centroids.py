@@ -35,13 +35,13 @@ def scaled(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
     return whole.withColumn("norm", F.aggregate("v", F.lit(0).cast("long"), lambda s, e: s + e.cast("long") * e.cast("long")))
 
 
-def first_centroids(kept: DataFrame, clusters: int = CLUSTERS, seed: int = SEED) -> np.ndarray:
+def first_centroids(kept: DataFrame, dimensions: int, clusters: int = CLUSTERS, seed: int = SEED) -> np.ndarray:
     """The vectors with the least sha256 of `seed:vec_id`, in that order; of equal ones that with the least components first.
 
     A null id comes after all others. There are as many as vectors if those are fewer."""
     order = F.sha2(F.concat(F.lit(f"{seed}:"), F.col("vec_id").cast("string")), 256)
     rows = kept.select(order.alias("h"), "v").orderBy(F.asc_nulls_last("h"), "v").limit(clusters).collect()
-    return np.array([r["v"] for r in rows], dtype=np.int64).reshape(len(rows), -1)
+    return np.array([r["v"] for r in rows], dtype=np.int64).reshape(len(rows), dimensions)
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -105,7 +105,7 @@ def cluster(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     The driver sees `clusters` rows a round. Vectors with null ids and repeated ids or vectors are vectors like others;
     those of another length, with a null or non-finite component, or null altogether, are left out. No vectors, no rows."""
     kept = stored(scaled(vectors, id_col, vector_col, dimensions), "vectors")
-    centroids = first_centroids(kept, clusters)
+    centroids = first_centroids(kept, dimensions, clusters)
     if not len(centroids):
         return kept.sparkSession.createDataFrame([], STATE), centroids
     state = stored(follow(kept, np.zeros_like(centroids), centroids), "dots")

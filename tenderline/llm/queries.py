@@ -6,9 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderline.llm import decontamination, language_id, line_dedup, mixing, quality_rules, token_counts, toxicity, warc
+from tenderline.llm import centroids, conversation_trie, decontamination, language_id, line_dedup, mixing, quality_rules, secret_scan, token_counts, toxicity, warc
 from tenderline.llm.near_dedup import near_duplicates
-
 from tenderline.llm.suffix_dedup import repeated_bytes
 
 
@@ -62,6 +61,18 @@ def op10_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
     return repeated_bytes(table(spark, folder, "documents")).drop("starts", "ends")
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_trie.prefix_trie(table(spark, folder, "conversations"))
+
+
+def op12_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.clusters_of(table(spark, folder, "embeddings"))
+
+
+def op13_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.scan_report(table(spark, folder, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -75,6 +86,9 @@ QUERIES = {
         op8_minhash,
         op9_quality_rules,
         op10_suffix_array,
+        op11_prefix_trie,
+        op12_centroids,
+        op13_secrets,
     )
 }
-CHECKS = {"op1_mixing": mixing.SQL, "op2_decontamination": decontamination.SQL, "op3_warc": warc.SQL, "op5_line_dedup": line_dedup.SQL}
+CHECKS = {"op1_mixing": mixing.SQL, "op2_decontamination": decontamination.SQL, "op3_warc": warc.SQL, "op5_line_dedup": line_dedup.SQL, "op11_prefix_trie": conversation_trie.SQL, "op12_centroids": centroids.SQL}
