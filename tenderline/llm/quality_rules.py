@@ -133,7 +133,8 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     stats = rows.mapInArrow(_stats, "doc_id long, " + ", ".join(f"{c} long" for c in STATS + EXTRA))
     named = rules()
     stats = stored(stats.select("*", F.array(*[v.cast("byte") for v in named.values()]).alias("votes")), "votes")
-    patterns = stats.groupBy("votes").count().collect()
+    # In a fixed order, so that sums over the patterns have the same bits however the rows came.
+    patterns = sorted(stats.groupBy("votes").count().collect(), key=lambda r: r.votes)
     votes = np.array([r.votes for r in patterns], dtype=float).reshape(len(patterns), len(named))
     accuracy, share = fit_accuracies(votes, np.array([r["count"] for r in patterns], dtype=float))
     odds = F.lit(float(np.log(share / (1 - share))))
