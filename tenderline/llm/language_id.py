@@ -11,68 +11,101 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
+import xxhash
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tenderline.llm.shared import hashed_sample
 from tenderline.llm.text import texts_of
 
-#: Bounds of what the model learns from and holds.
+#: Bound of what the model learns from: labelled documents, chosen by a hash.
 SAMPLE_DOCS = 20_000
-WORDS_PER_LANG = 50_000
-GRAMS_PER_LANG = 20_000
 LONGEST_GRAM = 5
-CACHED_WORDS = 1 << 18
+#: Words whose scores a worker remembers, and the longest word it does that for.
+CACHED_WORDS, CACHED_CHARS = 1 << 17, 64
 UNDETERMINED = "und"
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, kind, unit, n) of the words (kind 0) and of their character n-grams (kind n), summed by batch."""
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, word, n) of lower-case words, summed within slices of a batch, so that few are held at once."""
     letters = regex.compile(r"\p{L}+")
     for batch in batches:
-        words = Counter()
-        langs = batch.column(0).to_pylist()
-        at = 0
+        langs, at = batch.column(0).to_pylist(), 0
         for part in texts_of(batch.column(1), 256):
+            words = Counter()
             for text in part:
                 words.update((langs[at], w) for w in letters.findall(text.lower()))
                 at += 1
-        units = Counter()
-        for (lang, word), n in words.items():
-            units[lang, 0, word] += n
-            padded = f"_{word}_"
-            for size in range(1, LONGEST_GRAM + 1):
-                for i in range(len(padded) - size + 1):
-                    units[lang, size, padded[i : i + size]] += n
-        keys = list(units)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()), pa.array([k[2] for k in keys], pa.string()), pa.array(units.values(), pa.int64())],
-            names=["lang", "kind", "unit", "n"],
-        )
-
-
-def fit(labelled: DataFrame, sample: int = SAMPLE_DOCS, words: int = WORDS_PER_LANG, grams: int = GRAMS_PER_LANG, seed: int = 7) -> dict:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k[0] for k in words], pa.string()), pa.array([k[1] for k in words], pa.string()), pa.array(words.values(), pa.int64())], names=["lang", "word", "n"]
+            )
+
+
+def unit_counts(labelled: DataFrame) -> DataFrame:
+    """(lang, kind, unit, n) over rows (lang, text): kind 0 are the words, kind k their n-grams of k characters.
+
+    Words are counted first, and n-grams are taken from distinct words, weighted by their counts. A word stands
+    between two underscores for that."""
+    many = max(8, labelled.sparkSession.sparkContext.defaultParallelism)
+    words = labelled.select("lang", "text").repartition(many).mapInArrow(_words, "lang string, word string, n long")
+    words = words.groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    grams = "flatten(transform(sequence(1, {k}), k -> if(length(padded) < k, array(), transform(sequence(1, length(padded) - k + 1), i -> named_struct('kind', k, 'unit', substring(padded, i, k))))))"
+    units = words.withColumn("padded", F.concat(F.lit("_"), "word", F.lit("_"))).select("lang", "n", F.inline(F.expr(grams.format(k=LONGEST_GRAM))))
+    units = units.groupBy("lang", "kind", "unit").agg(F.sum("n").alias("n"))
+    return words.select("lang", F.lit(0).alias("kind"), F.col("word").alias("unit"), "n").unionByName(units)
+
+
+def code(unit: str) -> int:
+    return xxhash.xxh64_intdigest(unit.encode("utf-8", "surrogatepass"))
+
+
+def table(units: list[str], langs: np.ndarray, counts: np.ndarray, n_langs: int) -> dict[str, np.ndarray]:
+    """Log frequencies of units: sorted codes, and for each the languages that have it.
+
+    A unit that a language does not have has that language's frequency of one half. 64-bit codes stand for units; 12 bytes a unit and
+    6 bytes for each language that has it. Plain arrays, so that they can be broadcast."""
+    codes = np.fromiter(map(code, units), np.uint64, len(units))
+    order = np.lexsort((langs, codes))
+    codes, langs, counts = codes[order], langs[order], counts[order]
+    distinct, first = np.unique(codes, return_index=True)
+    totals = np.bincount(langs, counts, minlength=n_langs) + 0.5 * max(1, len(distinct))
+    logs, absent = np.log((counts + 0.5) / totals[langs]), np.log(0.5 / totals)
+    return {"codes": distinct, "starts": np.append(first, len(codes)).astype(np.int32), "langs": langs.astype(np.uint16), "logs": logs.astype(np.float32), "absent": absent.astype(np.float32)}
+
+
+def rows_of(known: dict[str, np.ndarray], units: list[str]) -> np.ndarray:
+    """One row of log frequencies for each of the units that any language has."""
+    wanted, codes, starts = np.fromiter(map(code, units), np.uint64, len(units)), known["codes"], known["starts"]
+    if not len(codes):
+        return np.zeros((0, len(known["absent"])), np.float32)
+    at = np.searchsorted(codes, wanted)
+    at = at[(at < len(codes)) & (codes[np.minimum(at, len(codes) - 1)] == wanted)]
+    out = np.tile(known["absent"], (len(at), 1))
+    for row, i in zip(out, at, strict=True):
+        own = slice(starts[i], starts[i + 1])
+        row[known["langs"][own]] = known["logs"][own]
+    return out
+
+
+def fit(labelled: DataFrame, sample: int = SAMPLE_DOCS, seed: int = 7) -> dict:
     """Log frequencies per language out of about `sample` documents (doc_id, text, lang), chosen by a hash.
 
-    Held are the `words` most frequent words and the `grams` most frequent n-grams of each length
-    of each language; ties go by the unit itself."""
+    Nothing else is bounded: all words of those documents and all their n-grams up to LONGEST_GRAM characters are held."""
     known = labelled.where("text is not null and lang is not null")
-    chosen = hashed_sample(known, sample, seed, "doc_id").select("lang", "text")
-    units = chosen.repartition(max(8, chosen.sparkSession.sparkContext.defaultParallelism)).mapInArrow(_counted, "lang string, kind int, unit string, n long")
-    units = units.groupBy("lang", "kind", "unit").agg(F.sum("n").alias("n"))
-    order = W.partitionBy("lang", "kind").orderBy(F.desc("n"), "unit")
-    units = units.withColumn("total", F.sum("n").over(W.partitionBy("lang", "kind"))).withColumn("place", F.row_number().over(order))
-    rows = units.where(F.expr(f"place <= if(kind = 0, {words}, {grams})")).select("lang", "kind", "unit", "n", "total").toArrow().to_pylist()
-    langs = sorted({r["lang"] for r in rows})
-    place = {lang: i for i, lang in enumerate(langs)}
-    totals = np.ones((LONGEST_GRAM + 1, len(langs)))
-    tables: list[dict[str, np.ndarray]] = [{} for _ in range(LONGEST_GRAM + 1)]
-    for r in rows:
-        totals[r["kind"], place[r["lang"]]] = r["total"]
-        tables[r["kind"]].setdefault(r["unit"], np.zeros(len(langs)))[place[r["lang"]]] = r["n"]
-    logs = [{u: np.log((c + 0.5) / (totals[k] + 0.5 * max(1, len(t)))).astype(np.float32) for u, c in t.items()} for k, t in enumerate(tables)]
-    return {"langs": langs, "words": logs[0], "grams": logs[1:]}
+    chosen = hashed_sample(known, sample, seed, "doc_id")
+    found = unit_counts(chosen).toArrow()
+    lang_of = found.column("lang").combine_chunks().dictionary_encode()
+    lang_of = lang_of if isinstance(lang_of, pa.DictionaryArray) else lang_of.combine_chunks()
+    names = lang_of.dictionary.to_pylist()
+    langs = sorted(names)
+    place = np.array([langs.index(n) for n in names], dtype=np.int64)
+    lang_at = place[lang_of.indices.to_numpy()] if names else np.zeros(0, np.int64)
+    kind, counts = found.column("kind").to_numpy(), found.column("n").to_numpy().astype(float)
+    tables = []
+    for k in range(LONGEST_GRAM + 1):
+        here = kind == k
+        tables.append(table(found.column("unit").filter(pa.array(here)).to_pylist(), lang_at[here], counts[here], len(langs)))
+    return {"langs": langs, "words": tables[0], "grams": tables[1:]}
 
 
 class Scores(dict):
@@ -92,14 +125,14 @@ class Scores(dict):
 
     def score(self, word: str) -> np.ndarray | float:
         """Log frequencies of a known word; else the mean over its longest n-grams of which any is known; else nothing."""
-        if (known := self.words.get(word)) is not None:
-            return known
+        known = rows_of(self.words, [word])
+        if len(known):
+            return known[0]
         padded = f"_{word}_"
         for size in range(LONGEST_GRAM, 0, -1):
-            table = self.grams[size - 1]
-            found = [g for i in range(len(padded) - size + 1) if (g := table.get(padded[i : i + size])) is not None]
-            if found:
-                return sum(found) / len(found)
+            found = rows_of(self.grams[size - 1], [padded[i : i + size] for i in range(len(padded) - size + 1)])
+            if len(found):
+                return found.mean(axis=0, dtype=np.float64)
         return 0.0
 
 
@@ -114,8 +147,17 @@ def predictor(model: dict):
             return UNDETERMINED, 0.0
         if len(state) > CACHED_WORDS:
             state = Scores(model)
-        at = np.fromiter(map(state.__getitem__, words), np.int64, len(words))
-        mean = state.rows[at].mean(axis=0, dtype=np.float64)
+        total = np.zeros(len(langs))
+        for first in range(0, len(words), 1 << 16):
+            some = words[first : first + (1 << 16)]
+            at = np.fromiter((state[w] for w in some if len(w) <= CACHED_CHARS), np.int64)
+            total += state.rows[at].sum(axis=0, dtype=np.float64)
+            for w in some:
+                if len(w) > CACHED_CHARS:
+                    total += state.score(w)
+            if len(state) > CACHED_WORDS:
+                state = Scores(model)
+        mean = total / len(words)
         best = int(mean.argmax())
         odds = np.exp((mean - mean[best]) * min(len(words), 10))
         return langs[best], float(1.0 / odds.sum())
