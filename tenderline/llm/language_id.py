@@ -21,8 +21,10 @@ from tenderline.llm.text import texts_of
 #: Bound of what the model learns from: labelled documents, chosen by a hash.
 SAMPLE_DOCS = 20_000
 LONGEST_GRAM = 5
-#: Words whose scores a worker remembers, and the longest word it does that for.
-CACHED_WORDS, CACHED_CHARS = 1 << 17, 64
+#: Bounds of what a worker remembers: words with their scores, and characters in those words.
+CACHED_WORDS, CACHED_CHARS = 1 << 17, 1 << 22
+#: Words that are looked up together.
+TOGETHER = 1 << 15
 UNDETERMINED = "und"
 
 
@@ -73,17 +75,22 @@ def table(units: list[str], langs: np.ndarray, counts: np.ndarray, n_langs: int)
     return {"codes": distinct, "starts": np.append(first, len(codes)).astype(np.int32), "langs": langs.astype(np.uint16), "logs": logs.astype(np.float32), "absent": absent.astype(np.float32)}
 
 
-def rows_of(known: dict[str, np.ndarray], units: list[str]) -> np.ndarray:
-    """One row of log frequencies for each of the units that any language has."""
-    wanted, codes, starts = np.fromiter(map(code, units), np.uint64, len(units)), known["codes"], known["starts"]
+def places(known: dict[str, np.ndarray], units: list[str]) -> np.ndarray:
+    """Where the units are in the table, -1 for those that are not."""
+    wanted, codes = np.fromiter(map(code, units), np.uint64, len(units)), known["codes"]
     if not len(codes):
-        return np.zeros((0, len(known["absent"])), np.float32)
-    at = np.searchsorted(codes, wanted)
-    at = at[(at < len(codes)) & (codes[np.minimum(at, len(codes) - 1)] == wanted)]
+        return np.full(len(units), -1)
+    at = np.minimum(np.searchsorted(codes, wanted), len(codes) - 1)
+    return np.where(codes[at] == wanted, at, -1)
+
+
+def rows_at(known: dict[str, np.ndarray], at: np.ndarray) -> np.ndarray:
+    """One row of log frequencies for each place."""
     out = np.tile(known["absent"], (len(at), 1))
-    for row, i in zip(out, at, strict=True):
-        own = slice(starts[i], starts[i + 1])
-        row[known["langs"][own]] = known["logs"][own]
+    many = known["starts"][at + 1] - known["starts"][at]
+    row = np.repeat(np.arange(len(at)), many)
+    flat = np.arange(len(row)) + np.repeat(known["starts"][at] - np.cumsum(many) + many, many)
+    out[row, known["langs"][flat]] = known["logs"][flat]
     return out
 
 
@@ -108,61 +115,83 @@ def fit(labelled: DataFrame, sample: int = SAMPLE_DOCS, seed: int = 7) -> dict:
     return {"langs": langs, "words": tables[0], "grams": tables[1:]}
 
 
-class Scores(dict):
-    """Row numbers of words in a matrix of log frequencies, one row for each word met, up to a bound."""
+def scores(model: dict, words: list[str]) -> np.ndarray:
+    """Per word the log frequencies of a known word; else the mean over its longest n-grams of which any is known; else nothing."""
+    out = np.zeros((len(words), len(model["langs"])), np.float32)
+    at = places(model["words"], words)
+    out[at >= 0] = rows_at(model["words"], at[at >= 0])
+    left = np.flatnonzero(at < 0)
+    for size in range(LONGEST_GRAM, 0, -1):
+        known, units, owner = model["grams"][size - 1], [], []
+        for i in left.tolist():
+            padded = f"_{words[i]}_"
+            units += [padded[k : k + size] for k in range(len(padded) - size + 1)]
+            owner.append(len(units))
+        at = places(known, units)
+        owner = np.repeat(np.arange(len(left)), np.diff(np.array(owner, dtype=np.int64), prepend=0))[at >= 0]
+        if len(owner):
+            first = np.flatnonzero(np.diff(owner, prepend=-1))
+            sums = np.add.reduceat(rows_at(known, at[at >= 0]).astype(np.float64), first, axis=0)
+            out[left[owner[first]]] = sums / np.diff(np.append(first, len(owner)))[:, None]
+            left = np.delete(left, owner[first])
+    return out
+
+
+class Predictor:
+    """Languages of texts; the scores of words met are remembered up to a bound."""
 
     def __init__(self, model: dict):
-        self.words, self.grams = model["words"], model["grams"]
-        self.rows = np.zeros((1024, len(model["langs"])), np.float32)
-
-    def __missing__(self, word: str) -> int:
-        if len(self) >= len(self.rows):
-            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-        at = len(self)
-        self.rows[at] = self.score(word)
-        self[word] = at
-        return at
-
-    def score(self, word: str) -> np.ndarray | float:
-        """Log frequencies of a known word; else the mean over its longest n-grams of which any is known; else nothing."""
-        known = rows_of(self.words, [word])
-        if len(known):
-            return known[0]
-        padded = f"_{word}_"
-        for size in range(LONGEST_GRAM, 0, -1):
-            found = rows_of(self.grams[size - 1], [padded[i : i + size] for i in range(len(padded) - size + 1)])
-            if len(found):
-                return found.mean(axis=0, dtype=np.float64)
-        return 0.0
-
-
-def predictor(model: dict):
-    letters, langs = regex.compile(r"\p{L}+"), model["langs"]
-    state = Scores(model)
-
-    def predict(text: str | None) -> tuple[str, float]:
-        nonlocal state
-        words = letters.findall(text.lower()) if text and langs else []
-        if not words:
-            return UNDETERMINED, 0.0
-        if len(state) > CACHED_WORDS:
-            state = Scores(model)
-        total = np.zeros(len(langs))
-        for first in range(0, len(words), 1 << 16):
-            some = words[first : first + (1 << 16)]
-            at = np.fromiter((state[w] for w in some if len(w) <= CACHED_CHARS), np.int64)
-            total += state.rows[at].sum(axis=0, dtype=np.float64)
-            for w in some:
-                if len(w) > CACHED_CHARS:
-                    total += state.score(w)
-            if len(state) > CACHED_WORDS:
-                state = Scores(model)
-        mean = total / len(words)
-        best = int(mean.argmax())
-        odds = np.exp((mean - mean[best]) * min(len(words), 10))
-        return langs[best], float(1.0 / odds.sum())
-
-    return predict
+        self.model, self.letters = model, regex.compile(r"\p{L}+")
+        self.forget()
+
+    def forget(self) -> None:
+        self.place, self.rows, self.chars = {}, np.zeros((0, len(self.model["langs"])), np.float32), 0
+
+    def learn(self, words: set[str]) -> None:
+        fresh = words - self.place.keys()
+        if len(self.place) + len(fresh) > CACHED_WORDS or self.chars > CACHED_CHARS:
+            self.forget()
+            fresh = words
+        ordered = list(fresh)
+        first = len(self.place)
+        if first + len(ordered) > len(self.rows):
+            grown = np.zeros((max(2 * len(self.rows), first + len(ordered)), self.rows.shape[1]), np.float32)
+            grown[:first] = self.rows[:first]
+            self.rows = grown
+        self.rows[first : first + len(ordered)] = scores(self.model, ordered)
+        self.place.update(zip(ordered, range(first, first + len(ordered)), strict=True))
+        self.chars += sum(map(len, ordered))
+
+    def __call__(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        langs = self.model["langs"]
+        totals, numbers, waiting, size = np.zeros((len(texts), len(langs))), np.zeros(len(texts)), [], 0
+
+        def add() -> None:
+            self.learn({w for _, words in waiting for w in words})
+            for i, words in waiting:
+                at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+                totals[i] += self.rows[at].sum(axis=0, dtype=np.float64)
+            waiting.clear()
+
+        for i, text in enumerate(texts):
+            words = self.letters.findall(text.lower()) if text and langs else []
+            numbers[i] = len(words)
+            for first in range(0, len(words), TOGETHER):
+                waiting.append((i, words[first : first + TOGETHER]))
+                size += len(waiting[-1][1])
+                if size >= TOGETHER:
+                    add()
+                    size = 0
+        add()
+        out = []
+        for total, n in zip(totals, numbers, strict=True):
+            if not n:
+                out.append((UNDETERMINED, 0.0))
+                continue
+            mean = total / n
+            best = int(mean.argmax())
+            out.append((langs[best], float(1.0 / np.exp((mean - mean[best]) * min(n, 10)).sum())))
+        return out
 
 
 def languages(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -181,10 +210,10 @@ def languages(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: st
         # Kept from task to task of a worker process, under a module of its own.
         kept = sys.modules.setdefault("tenderline_language_id", types.ModuleType("tenderline_language_id")).__dict__
         if kept.get("key") != key:
-            kept.update(key=key, predict=predictor(shared.value))
+            kept.update(key=key, predict=Predictor(shared.value))
         predict = kept["predict"]
         for batch in batches:
-            found = [predict(t) for part in texts_of(batch.column(1), 256) for t in part]
+            found = [f for part in texts_of(batch.column(1), 256) for f in predict(part)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], names=["doc_id", "lang_pred", "score"]
             )
