@@ -451,6 +451,12 @@ CHECKS = {
     """,
     "publish_staged": _pivot(),
     "incremental_pricebook": _pivot(),
+    "pricebook_change_refresh": _pivot(),
+    "publish_snapshot": _pivot(),
+    "snapshot_overwrite": """
+        SELECT 1 AS version, * FROM supplier WHERE s_suppkey % 2 = 0 UNION ALL SELECT 2, * FROM supplier
+    """,
+    "append_by_load": "SELECT * FROM customer",
     "pricebook_staged": _pivot(", CAST(NULL AS DATE) AS last_download_date"),
     "preview_top5": _with(
         "SELECT * FROM contracts_contract ORDER BY id LIMIT 5", "contracts_contract"

@@ -13,11 +13,13 @@ from tenderline.operators import benchmark, demand, filters, negotiation, pivot,
 from tenderline.operators.balance import lookup_join
 from tenderline.operators.timeline import sort_rows
 from tenderline.plans.jobs import JOBS, refresh_pricebook
+from tenderline.plans.refresh import refresh_by_changes
 from tenderline.plans.runner import read_sources, run, run_sql, run_staged, shared_folder
 from tenderline.plans.spec import TableSource, jobs_from_config
 from tenderline.plans.views import AS_OF, AS_OF_YEAR, REGION, view
 from tenderline.sinks import tables as sinks
 from tenderline.sources import rates
+from tenderline.sources.snapshots import SnapshotStore
 from tenderline.sources.stores import FileStore
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +53,10 @@ def _staging(spark: SparkSession) -> FileStore:
     return FileStore(shared_folder(spark))
 
 
+def _snapshots(spark: SparkSession) -> SnapshotStore:
+    return SnapshotStore(shared_folder(spark))
+
+
 def _given(folder: str) -> FileStore:
     return FileStore(folder, ".parquet")
 
@@ -531,6 +537,58 @@ def incremental_pricebook(spark, folder):
     return target.read(spark, JOBS["pricebook_info"].target)
 
 
+@query
+def pricebook_change_refresh(spark, folder):
+    """A load of inputs that differ everywhere, then a refresh: equal to a full load."""
+    source, target = _staging(spark), _snapshots(spark)
+    products, values, fields, headers = (s.name for s in JOBS["pricebook_info"].sources)
+    truth = {n: view(spark, folder, n) for n in (products, values, fields, headers)}
+    few = F.col("product_id") % 11 == 0
+    removed = truth[products].where("product_id % 13 = 0").withColumn("id", F.col("id") + 10_000_000)
+    before = {
+        products: truth[products].where("product_id % 17 <> 0").withColumn("status", F.when(few, "OLD").otherwise(F.col("status"))).unionByName(removed),
+        values: truth[values].where("pb_product_id % 19 <> 0").withColumn("field_value", F.when(F.col("pb_product_id") % 23 == 0, "old").otherwise(F.col("field_value"))),
+        fields: truth[fields].withColumn("field_name", F.when(F.col("field_name") == "sap_id", "another").otherwise(F.col("field_name"))),
+        headers: truth[headers].withColumn("currency", F.when(F.col("id") % 5 == 0, "XXX").otherwise(F.col("currency"))),
+    }
+    for frames in (before, truth):
+        for name, rows in frames.items():
+            source.replace(rows, name)
+        refresh_by_changes(spark, source, target, buckets=8)
+    return target.read(spark, JOBS["pricebook_info"].target)
+
+
+@query
+def snapshot_overwrite(spark, folder):
+    """The second version replaces the first at its commit; a reader of the first goes on reading it."""
+    store, suppliers = _snapshots(spark), _given(folder).read(spark, "supplier")
+    sinks.overwrite(suppliers.where("s_suppkey % 2 = 0"), store, "supplier_copy")
+    earlier = store.read(spark, "supplier_copy")
+    sinks.overwrite(suppliers, store, "supplier_copy")
+    both = [f.select(F.lit(v).alias("version"), "*") for v, f in ((1, earlier), (2, store.read(spark, "supplier_copy")))]
+    return both[0].unionByName(both[1])
+
+
+@query
+def append_by_load(spark, folder):
+    """Loads that are repeated, one of them with other rows at first: each is there once."""
+    store, customers = _snapshots(spark), _given(folder).read(spark, "customer")
+    parts = [customers.where(f"c_custkey % 3 = {k}") for k in range(3)]
+    for load, rows in (("a", parts[0].limit(5)), ("b", parts[1]), ("a", parts[0]), ("c", parts[2]), ("b", parts[1])):
+        sinks.append(rows, store, "customers", load)
+    return store.read(spark, "customers")
+
+
+@query
+def publish_snapshot(spark, folder):
+    """Checked and published within one store: by one commit, without copying a row."""
+    store = _snapshots(spark)
+    sinks.overwrite(attribute_pivot(spark, folder), store, "staged")
+    sinks.publish(spark, store, "staged", store, "published", "id")
+    store.drop(spark, "staged")
+    return store.read(spark, "published")
+
+
 @query
 def publish_staged(spark, folder):
     store = _staging(spark)

@@ -117,6 +117,7 @@ def run(
     mode: str | None = None,
     sql: str | None = None,
     landing: Store | None = None,
+    load: str | None = None,
 ) -> RunReport:
     """Run a job with one execution of its plan for the write.
 
@@ -125,6 +126,8 @@ def run(
 
     Refuses to write onto one of its own sources: a lazy read would find it emptied.
     With ``landing`` the sources are copied there first, and the job reads the copies.
+    ``load`` names this run of a job that appends, into a store of snapshots: the run can then
+    be repeated, and its rows are there once.
     """
     ready = prepare(job, source_table, target_table, mode, sql)
     goal = target.identity(ready.target)
@@ -139,7 +142,7 @@ def run(
         land_sources(spark, ready.sources, source, landing)
         source = landing
     frames = read_sources(spark, ready.sources, source)
-    rows = write(transform(spark, ready, frames, dict(args or {})), target, ready.target, ready.mode)
+    rows = write(transform(spark, ready, frames, dict(args or {})), target, ready.target, ready.mode, load)
     log.info("%s wrote %d rows to %s (%s)", ready.name, rows, ready.target, ready.mode)
     return RunReport(ready.name, ready.target, ready.mode, rows)
 

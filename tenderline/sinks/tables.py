@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 
 from tenderline.catalog import TRANSFER_PAGE
 from tenderline.operators.filters import project
+from tenderline.sources.snapshots import SnapshotStore
 from tenderline.sources.stores import RangeSlices, Store, count_rows
 
 OVERWRITE = "overwrite"
@@ -38,15 +39,20 @@ def overwrite(df: DataFrame, store: Store, table: str) -> int:
     return confirmed(rows, df.sparkSession, store, table)
 
 
-def append(df: DataFrame, store: Store, table: str) -> int:
-    return counted(df, lambda d: store.append(d, table))
+def append(df: DataFrame, store: Store, table: str, load: str | None = None) -> int:
+    """Add rows. Under the name of a ``load`` this can be repeated: the rows of a load are there once."""
+    if load is None:
+        return counted(df, lambda d: store.append(d, table))
+    if not isinstance(store, SnapshotStore):
+        raise ValueError(f"{table}: only a store of snapshots keeps a ledger of loads")
+    return counted(df, lambda d: store.append(d, table, load=load))
 
 
-def write(df: DataFrame, store: Store, table: str, mode: str) -> int:
+def write(df: DataFrame, store: Store, table: str, mode: str, load: str | None = None) -> int:
     if mode == OVERWRITE:
         return overwrite(df, store, table)
     if mode == APPEND:
-        return append(df, store, table)
+        return append(df, store, table, load)
     raise ValueError(f"write mode {mode!r} is neither {OVERWRITE!r} nor {APPEND!r}")
 
 
@@ -102,15 +108,24 @@ def transfer(
 def publish(
     spark: SparkSession, source: Store, staging: str, target: Store, table: str, key: str,
 ) -> int:
-    """Staging to final table, provided it has rows and no row lacks the key."""
+    """Staging to final table, provided it has rows and no row lacks the key.
+
+    Snapshots are published as checked, whatever is written to the staging table meanwhile; within one
+    store that is one commit, and no row is copied.
+    """
     if source.identity(staging) == target.identity(table):
         raise ValueError(f"{staging} cannot be published onto itself")
-    staged = source.read(spark, staging)
+    within = isinstance(source, SnapshotStore) and source == target
+    checked = source.manifest(spark, staging) if within else None
+    staged = source.read_manifest(spark, checked) if checked else source.read(spark, staging)
     seen = staged.agg(F.count(F.lit(1)).alias("rows"), F.count(key).alias("keyed")).first()
     if not seen["rows"] or seen["rows"] != seen["keyed"]:
         raise ValueError(
             f"{staging} is not publishable: {seen['rows']} rows, {seen['keyed']} with {key}"
         )
+    if checked:
+        source.adopt(spark, table, checked)
+        return seen["rows"]
     return overwrite(staged, target, table)
 
 
