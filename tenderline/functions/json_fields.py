@@ -63,3 +63,38 @@ def explode_elements(df: DataFrame, column: str, keep: list[str], lenient: bool
         number(F.col("element.id"), "int", lenient).alias("element_id"),
         number(F.col("element.unit_price"), MONEY, lenient).alias("unit_price"),
     )
+
+
+# Documents parsed once
+
+
+def document(column: str, lenient: bool = False) -> Column:
+    """The text as a VARIANT, parsed once for any number of paths. Malformed text raises; with ``lenient`` it is NULL."""
+    return (F.try_parse_json if lenient else F.parse_json)(F.col(column))
+
+
+def text_in(doc: str, path: str) -> Column:
+    """Text under a path of a parsed document; a missing path or a JSON null is NULL."""
+    return F.try_variant_get(doc, path, "string")
+
+
+def number_in(doc: str, path: str, dtype: str = MONEY, lenient: bool = False) -> Column:
+    return number(text_in(doc, path), dtype, lenient)
+
+
+def latest_price_in(doc: str, lenient: bool = False) -> Column:
+    """``latest_price`` of a parsed array; a document that is no array raises, or is NULL with ``lenient``."""
+    listed = F.schema_of_variant(doc).startswith("ARRAY")
+    items = F.try_variant_get(doc, "$", "array<variant>")
+    if not lenient:
+        wrong = F.raise_error(F.concat(F.lit(f"{doc} is not an array: "), F.substring(F.to_json(doc), 1, 60)))
+        items = F.when(F.col(doc).isNull() | listed, items).otherwise(wrong.cast("array<variant>"))
+    ranked = F.transform(
+        items,
+        lambda e: F.struct(
+            F.try_variant_get(e, "$.id", "string").isNull().alias("without_id"),
+            number(F.try_variant_get(e, "$.id", "string"), "int", lenient).alias("id"),
+            number(F.try_variant_get(e, "$.unit_price", "string"), MONEY, lenient).alias("price"),
+        ),
+    )
+    return F.array_max(ranked)["price"]

@@ -19,16 +19,19 @@ def materials_in_scope(
     return materials.where((F.col("region") == region) & (F.col("company_id") == company_id))
 
 
-def yearly_demand(materials: DataFrame, corrected: bool = False) -> DataFrame:
-    """Ordered quantity per material and year.
+#: What a partial is about: a material, a year of orders, and whether rows are counted as orders or as partners.
+GROUP = [*MATERIAL, "order_year", "is_partner"]
 
-    As defined, every row counts once per row of the same material (description
-    against long description), so a sum is multiplied by the number of such rows;
-    ``corrected`` keeps the plain sum. Instead of joining the rows with themselves,
-    each row is counted under both texts in one pass; the groups, a few per
-    material, then look up their number of partners.
+
+def demand_partials(materials: DataFrame, sign: str | None = None) -> DataFrame:
+    """Per material and year: ``quantity``, ``known`` (rows with a quantity) and ``rows``, as orders and as partners.
+
+    Each row is counted under both of its texts in one pass. All three are plain sums, so partials of
+    different rows can be added up (``merged_partials``). ``sign`` names a column that is negative for rows that are taken
+    away again.
     """
     quantity = materials.schema["po_item_quantity"].dataType
+    down = F.lit(False) if sign is None else F.col(sign) < 0
     as_order = F.struct(
         F.col("description").alias("description"),
         year_of("po_item_first_release_date").alias("order_year"),
@@ -43,21 +46,55 @@ def yearly_demand(materials: DataFrame, corrected: bool = False) -> DataFrame:
     )
     rows = materials.where(
         F.col("manufacturer_name").isNotNull() & F.col("manufacturer_part_no").isNotNull()
-    ).select("manufacturer_name", "manufacturer_part_no", F.inline(F.array(as_order, as_partner)))
-    groups = (
+    ).select(
+        "manufacturer_name", "manufacturer_part_no", down.alias("down"), F.inline(F.array(as_order, as_partner))
+    )
+    one = F.when(F.col("down"), -1).otherwise(1)
+    signed = F.when(F.col("down"), -F.col("quantity")).otherwise(F.col("quantity"))
+    return (
         rows.where(F.col("description").isNotNull())
-        .groupBy(*MATERIAL, "order_year", "is_partner")
-        .agg(F.sum("quantity").alias("quantity"), F.count(F.lit(1)).alias("rows"))
+        .groupBy(*GROUP)
+        .agg(
+            F.sum(signed).cast(QUANTITY).alias("quantity"),
+            F.sum(F.when(F.col("quantity").isNotNull(), one).otherwise(0)).alias("known"),
+            F.sum(one).alias("rows"),
+        )
     )
+
+
+def merged_partials(partials: DataFrame) -> DataFrame:
+    """Partials of several sets of rows as one of them all; groups without rows go."""
+    sums = [F.sum(c).alias(c) for c in ("known", "rows")]
+    merged = partials.groupBy(*GROUP).agg(F.sum("quantity").cast(QUANTITY).alias("quantity"), *sums)
+    return merged.where(F.col("rows") != 0)
+
+
+def yearly_from(partials: DataFrame, corrected: bool = False) -> DataFrame:
+    """Ordered quantity per material and year, from one partial per group.
+
+    The groups, a few per material, look up their number of partners.
+    """
     partners = F.sum(F.when(F.col("is_partner"), F.col("rows"))).over(Window.partitionBy(*MATERIAL))
-    total = F.col("quantity") if corrected else F.col("quantity") * F.col("partners")
+    quantity = F.when(F.col("known") != 0, F.col("quantity"))
+    total = quantity if corrected else quantity * F.col("partners")
     return (
-        groups.withColumn("partners", partners)
+        partials.withColumn("partners", partners)
         .where(~F.col("is_partner") & F.col("partners").isNotNull())
         .select(*MATERIAL, "order_year", total.cast(QUANTITY).alias("total_quantity"))
     )
 
 
+def yearly_demand(materials: DataFrame, corrected: bool = False) -> DataFrame:
+    """Ordered quantity per material and year.
+
+    As defined, every row counts once per row of the same material (description
+    against long description), so a sum is multiplied by the number of such rows;
+    ``corrected`` keeps the plain sum. Rows are reduced to partials in one pass instead of being joined
+    with themselves.
+    """
+    return yearly_from(demand_partials(materials), corrected)
+
+
 def demand_summary(products: DataFrame, yearly: DataFrame, year: int) -> DataFrame:
     """Demand of the year before ``year`` and the mean over the three years before.
 

@@ -222,6 +222,8 @@ CHECKS = {
         "pricebooks_pricebook",
     ),
     "rates_from_json": _RATES,
+    "rates_ingested": _RATES,
+    "scan_balanced_slices": "SELECT o_orderkey, o_totalprice, CAST(0 AS INTEGER) AS uneven_slices FROM orders",
     "rates_filter_symbols": f"SELECT * FROM ({_RATES}) WHERE target_currency <> 'GBP'",
     "rates_reject_failed": """
         SELECT 'quota' AS message, 'EUR' AS base, strftime(o_orderdate, '%Y-%m-%d') AS date
@@ -340,6 +342,8 @@ CHECKS = {
         "requests_historicalrequestvalue",
     ),
     "demand_yearly": _with(_YEARLY, "materials_table"),
+    "demand_state_yearly": _with(_YEARLY, "materials_table"),
+    "demand_state_yearly_corrected": _with(_YEARLY_PLAIN, "materials_table"),
     "demand_yearly_corrected": _with(_YEARLY_PLAIN, "materials_table"),
     "demand_summary": _with(
         f"""
@@ -432,6 +436,14 @@ CHECKS = {
                {_CASES['price_proposed']} AS price_proposed, {_CASES['dmp_result']} AS dmp_result,
                unit_price AS price_proposed_old_input
         FROM history_materialbenchmarkhistory LEFT JOIN latest USING (row_id)
+    "benchmark_of_documents": _LATEST + ", " + _with("", "history_materialbenchmarkhistory")[5:].replace(
+        "FROM lineitem", ", row_id, l_partkey, l_suppkey, l_returnflag, l_extendedprice FROM runs"
+    ) + f"""
+        SELECT id, user_id, "timestamp", input_data, plots_data, table_data, corrected_price,
+               corrected_currency, company_id, {_CASES['material_n']} AS material_n,
+               {_CASES['price_proposed']} AS price_proposed, {_CASES['dmp_result']} AS dmp_result,
+               unit_price AS price_proposed_old_input
+        FROM history_materialbenchmarkhistory LEFT JOIN latest USING (row_id)
     """,
     "sink_overwrite": "SELECT * FROM supplier",
     "sink_append": "SELECT * FROM supplier UNION ALL SELECT * FROM supplier",
@@ -443,6 +455,9 @@ CHECKS = {
     "transfer_filtered": """
         SELECT event_id, user_id, event_type, value AS amount FROM events WHERE value > 100
     """,
+    "transfer_paged": """
+        SELECT event_id, user_id, event_type, value AS amount FROM events WHERE value > 100
+    """,
     "copy_tables": """
         SELECT 'order_owners' AS target, concat_ws('|', o_orderkey, o_custkey, o_orderstatus) AS row_text FROM orders
         UNION ALL SELECT 'customer_names', concat_ws('|', c_custkey, c_name) FROM customer

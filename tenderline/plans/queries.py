@@ -13,14 +13,15 @@ from tenderline.operators import benchmark, demand, filters, negotiation, pivot,
 from tenderline.operators.balance import lookup_join
 from tenderline.operators.timeline import sort_rows
 from tenderline.plans.jobs import JOBS, refresh_pricebook
-from tenderline.plans.refresh import refresh_by_changes
+from tenderline.plans.refresh import add_demand, compact_demand, refresh_by_changes, yearly_demand_of
 from tenderline.plans.runner import read_sources, run, run_sql, run_staged, shared_folder
 from tenderline.plans.spec import TableSource, jobs_from_config
 from tenderline.plans.views import AS_OF, AS_OF_YEAR, REGION, view
 from tenderline.sinks import tables as sinks
-from tenderline.sources import rates
+from tenderline.sinks.paged import transfer_in_pages
+from tenderline.sources import landing, rates
 from tenderline.sources.snapshots import SnapshotStore
-from tenderline.sources.stores import FileStore
+from tenderline.sources.stores import FileStore, quantile_slices, sliced
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -76,6 +77,21 @@ def scan_query(spark, folder):
     )
 
 
+@query
+def scan_balanced_slices(spark, folder):
+    """A table in slices of about equal size, by measured bounds of a skewed column; with the number of slices off by more than a fifth."""
+    orders = _given(folder).read(spark, "orders").select("o_orderkey", (F.col("o_orderkey") * F.col("o_orderkey")).alias("skewed"), "o_totalprice")
+    cut = quantile_slices(orders, "skewed", 8)
+    parts = [part.withColumn("slice", F.lit(k)) for k, part in enumerate(sliced(orders, cut))]
+    rows = parts[0]
+    for more in parts[1:]:
+        rows = rows.unionByName(more)
+    sizes = rows.groupBy("slice").agg(F.count(F.lit(1)).alias("n"))
+    mean = orders.count() / len(parts)
+    off = sizes.agg(F.count_if((F.col("n") < 0.8 * mean) | (F.col("n") > 1.2 * mean)).alias("uneven")).first()["uneven"]
+    return rows.select("o_orderkey", "o_totalprice", F.lit(off).cast("int").alias("uneven_slices"))
+
+
 @query
 def scan_multi_source(spark, folder):
     frames = read_sources(
@@ -137,6 +153,22 @@ def rates_reject_failed(spark, folder):
     return rates.rejected(_responses(spark, folder))
 
 
+@query
+def rates_ingested(spark, folder):
+    """Responses that land in two steps, taken in by three calls: the second reads new files only, the third none."""
+    place, store = shared_folder(spark), _snapshots(spark)
+    responses = view(spark, folder, "rate_responses")
+    late = F.xxhash64("value") % 2 == 0
+    made = []
+    for rows in (responses.where(~late), responses.where(late), None):
+        if rows is not None:
+            rows.write.mode("append").text(place)
+        made.append(landing.ingest_rates(spark, place, store, currencies=None))
+    if [len(m) > 0 for m in made] != [True, True, False] or set(made[0]) & set(made[1]):
+        raise RuntimeError(f"responses were not taken in once: {made}")
+    return store.read(spark, landing.RATES)
+
+
 @query
 def currency_symbols(spark, folder):
     return rates.read_symbols(spark, _landed(spark, folder, "symbol_responses"), whole_files=False)
@@ -311,6 +343,31 @@ def demand_yearly_corrected(spark, folder):
     return demand.yearly_demand(_scope(spark, folder), corrected=True)
 
 
+def _demand_state(spark, folder):
+    """Demand after a load with rows that are wrong or missing, and a load of signed changes that mends it."""
+    store, rows = _snapshots(spark), _scope(spark, folder)
+    wrong = F.xxhash64("description", "po_item_quantity") % 5 == 0
+    mistaken = rows.where(wrong).withColumn("po_item_quantity", F.col("po_item_quantity") + 3)
+    add_demand(rows.where(~wrong).unionByName(mistaken.withColumn("po_item_quantity", F.col("po_item_quantity").cast(rows.schema["po_item_quantity"].dataType))), store, "first", None)
+    changes = mistaken.withColumn("po_item_quantity", F.col("po_item_quantity").cast(rows.schema["po_item_quantity"].dataType)).withColumn("change", F.lit(-1))
+    changes = changes.unionByName(rows.where(wrong).withColumn("change", F.lit(1)))
+    for _ in range(2):
+        add_demand(changes, store, "second")
+    return store
+
+
+@query
+def demand_state_yearly(spark, folder):
+    return yearly_demand_of(spark, _demand_state(spark, folder))
+
+
+@query
+def demand_state_yearly_corrected(spark, folder):
+    store = _demand_state(spark, folder)
+    compact_demand(spark, store)
+    return yearly_demand_of(spark, store, corrected=True)
+
+
 @query
 def demand_summary(spark, folder):
     return demand.demand_summary(
@@ -451,6 +508,14 @@ def benchmark_history(spark, folder):
     return benchmark.benchmark_history(view(spark, folder, "history_materialbenchmarkhistory"))
 
 
+@query
+def benchmark_of_documents(spark, folder):
+    """Documents are parsed once, when they land; the history reads the landing table."""
+    store = _staging(spark)
+    store.replace(benchmark.with_documents(view(spark, folder, "history_materialbenchmarkhistory")), "runs")
+    return benchmark.history_of_documents(store.read(spark, "runs"))
+
+
 # Sinks: each writes staged tables and gives back what can be read there.
 
 
@@ -499,6 +564,31 @@ def transfer_filtered(spark, folder):
     return store.read(spark, "sales_transformed")
 
 
+@query
+def transfer_paged(spark, folder):
+    """The same in pages of keys, lost after the third page and taken up again."""
+    store, given = _snapshots(spark), _given(folder)
+    text = "SELECT event_id, user_id, event_type, value AS amount FROM {events} WHERE value > 100"
+    rows = given.query(spark, text).count()
+
+    class Lost(RuntimeError):
+        pass
+
+    class Stops(SnapshotStore):
+        def append(self, df, table, page=None, load=None):
+            if load == "page-3":
+                raise Lost
+            super().append(df, table, page, load)
+
+    try:
+        transfer_in_pages(spark, text, given, Stops(store.root), "sales_transformed", "event_id", -(-rows // 8))
+    except Lost:
+        done = transfer_in_pages(spark, text, given, store, "sales_transformed", "event_id", -(-rows // 8))
+        if done.done_before != 3:
+            raise RuntimeError(f"pages were transferred twice: {done}") from None
+    return store.read(spark, "sales_transformed")
+
+
 @query
 def copy_tables(spark, folder):
     store = _staging(spark)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tenderline import catalog as names
 from tenderline.operators.changes import bucket_of, change_set, key_digests
+from tenderline.operators.demand import demand_partials, merged_partials, yearly_from
 from tenderline.operators.pivot import attribute_pivot
 from tenderline.plans.jobs import JOBS
 from tenderline.plans.runner import read_sources
@@ -101,3 +102,25 @@ def refresh_by_changes(
     for s, digests in now.items():
         target.replace(digests, _digest_table(s))
     return report
+
+
+DEMAND_STATE = "demand_partials"
+
+
+def add_demand(changes: DataFrame, store: SnapshotStore, load: str, sign: str | None = "change") -> None:
+    """Add rows of materials to the yearly demand, or take them away where ``sign`` is negative.
+
+    What is stored are the partials of each load, a few per material that occurs in it; earlier rows are not read.
+    A load that is repeated replaces itself.
+    """
+    store.append(demand_partials(changes, sign), DEMAND_STATE, load=load)
+
+
+def yearly_demand_of(spark: SparkSession, store: SnapshotStore, corrected: bool = False) -> DataFrame:
+    """Yearly demand of all rows added and not taken away, from the partials alone."""
+    return yearly_from(merged_partials(store.read(spark, DEMAND_STATE)), corrected)
+
+
+def compact_demand(spark: SparkSession, store: SnapshotStore) -> None:
+    """The partials of all loads as one; the ledger of loads is forgotten, so none of them may be repeated."""
+    store.replace(merged_partials(store.read(spark, DEMAND_STATE)), DEMAND_STATE)

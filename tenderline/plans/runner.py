@@ -9,6 +9,8 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tenderline.functions.scalar import AsOf
+from tenderline.operators.filters import changed_since
 from tenderline.plans.spec import JobSpec, TableSource
 from tenderline.sinks.tables import overwrite, publish, write
 from tenderline.sources.stores import Store, check_columns, shared_folder  # noqa: F401 (callers take it from here)
@@ -72,6 +74,15 @@ def run_sql(
             spark.catalog.dropTempView(name)
 
 
+def incremental(job: JobSpec, frames: dict[str, DataFrame], since: AsOf) -> dict[str, DataFrame]:
+    """The inputs with only the later rows of the source that the job filters by."""
+    if job.changed_by is None:
+        raise ValueError(f"{job.name} names no column that changes are told by")
+    source, column = job.changed_by
+    frame = check_columns(frames[source], (column,), source)
+    return {**frames, source: changed_since(frame, column, since)}
+
+
 def transform(
     spark: SparkSession, job: JobSpec, frames: dict[str, DataFrame], args: dict[str, Any]
 ) -> DataFrame:
@@ -118,6 +129,7 @@ def run(
     sql: str | None = None,
     landing: Store | None = None,
     load: str | None = None,
+    since: AsOf | None = None,
 ) -> RunReport:
     """Run a job with one execution of its plan for the write.
 
@@ -127,7 +139,8 @@ def run(
     Refuses to write onto one of its own sources: a lazy read would find it emptied.
     With ``landing`` the sources are copied there first, and the job reads the copies.
     ``load`` names this run of a job that appends, into a store of snapshots: the run can then
-    be repeated, and its rows are there once.
+    be repeated, and its rows are there once. With ``since`` only later rows are read of the
+    source that the job's configuration names.
     """
     ready = prepare(job, source_table, target_table, mode, sql)
     goal = target.identity(ready.target)
@@ -142,6 +155,8 @@ def run(
         land_sources(spark, ready.sources, source, landing)
         source = landing
     frames = read_sources(spark, ready.sources, source)
+    if since is not None:
+        frames = incremental(ready, frames, since)
     rows = write(transform(spark, ready, frames, dict(args or {})), target, ready.target, ready.mode, load)
     log.info("%s wrote %d rows to %s (%s)", ready.name, rows, ready.target, ready.mode)
     return RunReport(ready.name, ready.target, ready.mode, rows)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -46,6 +46,8 @@ class JobSpec:
     transform: Transform | str | None = None
     mode: str = OVERWRITE
     defaults: Mapping[str, Any] = field(default_factory=dict)
+    #: Source and column that an incremental run filters by: rows later than its ``since``.
+    changed_by: tuple[str, str] | None = None
 
     def __post_init__(self):
         if self.mode not in (OVERWRITE, APPEND):
@@ -103,17 +105,46 @@ def parse_config(text: str) -> dict[str, Any]:
     return yaml.load(text, Loader)
 
 
+KNOWN_KEYS = frozenset(
+    "source_table source_tables target_table write_mode columns join_tables filter_column".split()
+)
+
+
+def _filter_column(name: str, entry: Mapping[str, Any], sources: tuple[TableSource, ...]) -> tuple[str, str] | None:
+    """``table.column`` or ``schema.table.column`` of a declared source; a bare column where there is one source."""
+    text = entry.get("filter_column")
+    if not text:
+        return None
+    table, _, column = text.rpartition(".")
+    named = [s.key for s in sources if table in (s.name, s.name.split(".")[-1], *s.views)] if table else [s.key for s in sources]
+    if len(named) != 1:
+        raise ValueError(f"{name}: filter_column {text!r} does not name a column of one source")
+    return named[0], column
+
+
+def _check_joins(name: str, entry: Mapping[str, Any], sources: tuple[TableSource, ...]) -> None:
+    known = {n for s in sources for n in (s.name, s.name.split(".")[-1], *s.views)}
+    strange = sorted(set(entry.get("join_tables") or ()) - known)
+    if strange:
+        raise ValueError(f"{name}: join_tables {strange} are not among the sources")
+
+
 def jobs_from_config(text: str) -> dict[str, JobSpec]:
     """Jobs declared in a configuration file, each checked once.
 
     An entry has ``source_table`` with ``columns``, or ``source_tables`` for a SQL
     text given at run time; ``target_table`` and ``write_mode`` may be left to the caller.
+    ``join_tables`` has to name declared sources. ``filter_column`` names a column of one of them: a run that
+    is given ``since`` reads only later rows of that source. Any other key is an error.
     """
     jobs = {}
     for name, entry in (parse_config(text) or {}).items():
+        strange = sorted(set(entry) - KNOWN_KEYS)
+        if strange:
+            raise ValueError(f"{name}: unknown keys {strange}")
         mode = entry.get("write_mode") or OVERWRITE
         if "columns" in entry:
-            jobs[name] = projection_job(
+            job = projection_job(
                 name, entry.get("source_table"), entry.get("target_table"), entry["columns"], mode
             )
         elif "source_tables" in entry:
@@ -125,7 +156,9 @@ def jobs_from_config(text: str) -> dict[str, JobSpec]:
                 )
                 for s in entry["source_tables"]
             )
-            jobs[name] = JobSpec(name, sources, entry.get("target_table"), None, mode)
+            job = JobSpec(name, sources, entry.get("target_table"), None, mode)
         else:
             raise ValueError(f"{name}: neither columns nor source_tables")
+        _check_joins(name, entry, job.sources)
+        jobs[name] = replace(job, changed_by=_filter_column(name, entry, job.sources))
     return jobs

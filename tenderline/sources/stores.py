@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from datetime import date, datetime
 from dataclasses import dataclass, field
 from typing import Protocol
 
@@ -67,17 +68,62 @@ class HashSlices:
         return parts
 
 
+@dataclass(frozen=True)
+class QuantileSlices:
+    """Parallel read by ranges with about equal numbers of rows, from bounds that were measured.
+
+    A source with an index on the column reads each row once. Rows of one value stay together, and
+    rows without a value are with the first slice.
+    """
+
+    column: str
+    bounds: tuple[object, ...]
+
+    def predicates(self) -> list[str]:
+        at = [self._literal(b) for b in self.bounds]
+        if not at:
+            return ["1 = 1"]
+        inner = [f"{self.column} >= {a} AND {self.column} < {b}" for a, b in zip(at[:-1], at[1:], strict=True)]
+        return [f"({self.column} < {at[0]} OR {self.column} IS NULL)", *inner, f"{self.column} >= {at[-1]}"]
+
+    @staticmethod
+    def _literal(value: object) -> str:
+        if isinstance(value, datetime):
+            return f"TIMESTAMP '{value.isoformat(' ')}'"
+        if isinstance(value, date):
+            return f"DATE '{value.isoformat()}'"
+        return str(value)
+
+
+def quantile_slices(rows: DataFrame, column: str, slices: int) -> QuantileSlices:
+    """Slices over the values of a number, date or time column, measured in one pass over that column.
+
+    Quantiles are formed in the map tasks from sketches of a fixed size; ``slices`` numbers reach the driver.
+    The error of a bound is a hundredth of a slice.
+    """
+    shares = [k / slices for k in range(1, slices)]
+    if not shares:
+        return QuantileSlices(column, ())
+    found = rows.agg(F.percentile_approx(column, shares, 100 * slices).alias("at")).first()["at"]
+    return QuantileSlices(column, tuple(sorted(set(found or ()))))
+
+
+def sliced(rows: DataFrame, cut: QuantileSlices) -> list[DataFrame]:
+    """The slices of a table as frames, each with its condition on the source."""
+    return [rows.where(p) for p in cut.predicates()]
+
+
 @dataclass(frozen=True)
 class JdbcStore:
     url: str
     properties: dict[str, str] = field(default_factory=dict, repr=False, compare=False)
-    slices: dict[str, RangeSlices | HashSlices] = field(default_factory=dict, compare=False)
+    slices: dict[str, RangeSlices | HashSlices | QuantileSlices] = field(default_factory=dict, compare=False)
     writers: int | None = None
 
     # A task that committed its rows and is then lost runs again and repeats them.
     may_repeat_rows = True
 
-    def cut(self, table: str) -> RangeSlices | HashSlices | None:
+    def cut(self, table: str) -> RangeSlices | HashSlices | QuantileSlices | None:
         """The slices of a table, whichever way its name is written."""
         wanted = self.qualified(table).lower()
         return next((c for n, c in self.slices.items() if self.qualified(n).lower() == wanted), None)
@@ -129,7 +175,7 @@ class JdbcStore:
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         cut = self.cut(table)
-        if isinstance(cut, HashSlices):
+        if isinstance(cut, (HashSlices, QuantileSlices)):
             more = {**self.properties, "fetchsize": str(FETCH_ROWS), "preferTimestampNTZ": "true"}
             return spark.read.jdbc(
                 self.url, self.qualified(table), predicates=cut.predicates(), properties=more
@@ -155,6 +201,10 @@ class JdbcStore:
         ).first()
         return None if row[0] is None else RangeSlices(column, row[0], row[1], slices)
 
+    def quantile_slices(self, spark: SparkSession, table: str, column: str, slices: int) -> QuantileSlices:
+        """Even slices, from one read of the column alone."""
+        return quantile_slices(self.query(spark, f"SELECT {column} FROM {self.qualified(table)}"), column, slices)
+
     def columns(self, spark: SparkSession, table: str) -> list[str] | None:
         try:
             return self.read(spark, table).columns
