@@ -196,6 +196,16 @@ _SAMPLE = ", ".join(
     for r in SAMPLE_RATES
 )
 
+_BENCHMARKS = _LATEST + ", " + _with("", "history_materialbenchmarkhistory")[5:].replace(
+    "FROM lineitem", ", row_id, l_partkey, l_suppkey, l_returnflag, l_extendedprice FROM runs"
+    ) + f"""
+    SELECT id, user_id, "timestamp", input_data, plots_data, table_data, corrected_price,
+           corrected_currency, company_id, {_CASES['material_n']} AS material_n,
+           {_CASES['price_proposed']} AS price_proposed, {_CASES['dmp_result']} AS dmp_result,
+           unit_price AS price_proposed_old_input
+    FROM history_materialbenchmarkhistory LEFT JOIN latest USING (row_id)
+"""
+
 CHECKS = {
     "scan_table": "SELECT * FROM orders",
     "scan_query": "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'",
@@ -428,23 +438,8 @@ CHECKS = {
         SELECT l_orderkey * 10 + l_linenumber AS id, unit_price AS price_proposed_old_input
         FROM runs LEFT JOIN latest USING (row_id)
     """,
-    "benchmark_history": _LATEST + ", " + _with("", "history_materialbenchmarkhistory")[5:].replace(
-        "FROM lineitem", ", row_id, l_partkey, l_suppkey, l_returnflag, l_extendedprice FROM runs"
-    ) + f"""
-        SELECT id, user_id, "timestamp", input_data, plots_data, table_data, corrected_price,
-               corrected_currency, company_id, {_CASES['material_n']} AS material_n,
-               {_CASES['price_proposed']} AS price_proposed, {_CASES['dmp_result']} AS dmp_result,
-               unit_price AS price_proposed_old_input
-        FROM history_materialbenchmarkhistory LEFT JOIN latest USING (row_id)
-    "benchmark_of_documents": _LATEST + ", " + _with("", "history_materialbenchmarkhistory")[5:].replace(
-        "FROM lineitem", ", row_id, l_partkey, l_suppkey, l_returnflag, l_extendedprice FROM runs"
-    ) + f"""
-        SELECT id, user_id, "timestamp", input_data, plots_data, table_data, corrected_price,
-               corrected_currency, company_id, {_CASES['material_n']} AS material_n,
-               {_CASES['price_proposed']} AS price_proposed, {_CASES['dmp_result']} AS dmp_result,
-               unit_price AS price_proposed_old_input
-        FROM history_materialbenchmarkhistory LEFT JOIN latest USING (row_id)
-    """,
+    "benchmark_history": _BENCHMARKS,
+    "benchmark_of_documents": _BENCHMARKS,
     "sink_overwrite": "SELECT * FROM supplier",
     "sink_append": "SELECT * FROM supplier UNION ALL SELECT * FROM supplier",
     "sink_truncate_reload": """
