@@ -35,15 +35,7 @@ def latest_price(column: str, lenient: bool = False) -> Column:
     Compares inside the row, so there is nothing to shuffle. Between equal ids
     the higher price is taken. Empty and NULL arrays give NULL.
     """
-    ranked = F.transform(
-        elements(column, lenient),
-        lambda e: F.struct(
-            e["id"].isNull().alias("without_id"),
-            number(e["id"], "int", lenient).alias("id"),
-            number(e["unit_price"], MONEY, lenient).alias("price"),
-        ),
-    )
-    return F.array_max(ranked)["price"]
+    return F.array_max(_ranked(elements(column, lenient), lenient))["price"]
 
 
 def explode_elements(df: DataFrame, column: str, keep: list[str], lenient: bool = False) -> DataFrame:
@@ -84,17 +76,20 @@ def number_in(doc: str, path: str, dtype: str = MONEY, lenient: bool = False) ->
 
 def latest_price_in(doc: str, lenient: bool = False) -> Column:
     """``latest_price`` of a parsed array; a document that is no array raises, or is NULL with ``lenient``."""
+    get = F.try_variant_get if lenient else F.variant_get
     listed = F.schema_of_variant(doc).startswith("ARRAY")
-    items = F.try_variant_get(doc, "$", "array<variant>")
-    if not lenient:
-        wrong = F.raise_error(F.concat(F.lit(f"{doc} is not an array: "), F.substring(F.to_json(doc), 1, 60)))
-        items = F.when(F.col(doc).isNull() | listed, items).otherwise(wrong.cast("array<variant>"))
-    ranked = F.transform(
+    wrong = F.raise_error(F.concat(F.lit(f"{doc} is not an array: "), F.substring(F.to_json(doc), 1, 60)))
+    other = F.lit(None).cast(ELEMENTS) if lenient else wrong.cast(ELEMENTS)
+    items = F.when(F.col(doc).isNull() | listed, get(doc, "$", ELEMENTS)).otherwise(other)
+    return F.array_max(_ranked(items, lenient))["price"]
+
+
+def _ranked(items: Column, lenient: bool) -> Column:
+    return F.transform(
         items,
         lambda e: F.struct(
-            F.try_variant_get(e, "$.id", "string").isNull().alias("without_id"),
-            number(F.try_variant_get(e, "$.id", "string"), "int", lenient).alias("id"),
-            number(F.try_variant_get(e, "$.unit_price", "string"), MONEY, lenient).alias("price"),
+            e["id"].isNull().alias("without_id"),
+            number(e["id"], "int", lenient).alias("id"),
+            number(e["unit_price"], MONEY, lenient).alias("price"),
         ),
     )
-    return F.array_max(ranked)["price"]
