@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tenderline.llm.shared import agree, discard, ends, star_components, stored
+from tenderline.llm.shared import agree, components, discard, ends, star_components, stored
 from tenderline.llm.text import LOWER, chunks, mixed, shingle_hashes, word_hashes, words
 
 BINS = 128
@@ -73,8 +73,8 @@ def _signatures(size: int):
                 band = mixed(band * np.uint64(0x9E3779B97F4A7C15) + sig[:, :, i])
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, band.size + 1, band.shape[1], dtype=np.int32)), pa.array(np.ascontiguousarray(band).view(np.int64).ravel()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(np.array(d1, np.uint64).view(np.int64)), pa.array(np.array(d2, np.uint64).view(np.int64)), lists],
-                names=["doc_id", "n_shingles", "d1", "d2", "bands"],
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(np.array(d1, np.uint64).view(np.int64)), pa.array(np.array(d2, np.uint64).view(np.int64)), lists, batch.column(2)],
+                names=["doc_id", "n_shingles", "d1", "d2", "bands", "tag"],
             )
 
     return run
@@ -99,25 +99,34 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Two documents are linked when 100 * intersection >= percent * union of their sets of distinct word
     shingles (A-Z as a-z; with fewer words, the whole sequence is the one shingle). Sets come from whole
-    texts; equal sets are one class with one representative.
+    texts; equal sets are one class, and classes are the nodes of the graph, numbered apart from the ids.
 
     Candidates: 128 one-permutation minima, empty bins densified, 32 bands of 4. A pair at 0.8 shares no
     band in about 5 of 10^8 cases. `star_components` compares them on full sets.
 
-    Null or empty texts and texts without words have no shingle and no link. Rows with a null id take the
-    component of their class, or null; kept is true for those with null. Repeated rows are rows of one
+    Null or empty texts and texts without words have no shingle and no link. An id that several texts carry is
+    one document: its texts are linked with each other, too, in so far as they have shingles. Rows with a null id take the
+    component of their class, or null; they link nothing; kept is true for those with null. Repeated rows are rows of one
     class and each is returned. Other columns of the input are not read."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    signed = stored(rows.mapInArrow(_signatures(shingle_words), "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>"), "signatures")
-    classes = signed.where("n_shingles > 0").groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
-    classes = stored(classes.where("rep is not null"), "classes")
-    member = classes.select(F.explode("bands").alias("bucket"), F.col("rep").alias("node"))
-
-    sizes = classes.select(F.col("rep").alias("node"), "n_shingles")
+    tagged = rows.withColumn("tag", F.xxhash64("text"))
+    signatures = "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>, tag long"
+    signed = stored(tagged.mapInArrow(_signatures(shingle_words), signatures), "signatures")
+    owner = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "tag"))).alias("owner")
+    classes = signed.where("n_shingles > 0").groupBy("d1", "d2", "n_shingles").agg(owner, F.first("bands").alias("bands"))
+    classes = classes.where("owner is not null").select("d1", "d2", "n_shingles", "owner.*", "bands", F.monotonically_increasing_id().alias("node"))
+    classes = stored(classes, "classes")
+    member = classes.select(F.explode("bands").alias("bucket"), "node")
+
+    sizes = classes.select("node", "n_shingles")
+    # Rows that repeat id and text give the set of their class once; looked for, since it costs a shuffle of sets to make sure.
+    again = not signed.where("doc_id is not null").groupBy("doc_id", "tag").count().where("count > 1").isEmpty()
 
     def sets(nodes: DataFrame) -> DataFrame:
-        texts = rows.withColumnRenamed("doc_id", "node").join(nodes, "node", "left_semi")
-        return texts.mapInArrow(_sets(shingle_words), "node long, items array<long>")
+        wanted = classes.select("doc_id", "tag", "node").join(nodes, "node", "left_semi")
+        texts = tagged.join(wanted, ["doc_id", "tag"]).select("node", "text")
+        found = texts.mapInArrow(_sets(shingle_words), "node long, items array<long>")
+        return found.dropDuplicates(["node"]) if again else found
 
     def confirm(pairs: DataFrame) -> DataFrame:
         ab = pairs.join(sizes.selectExpr("node as a", "n_shingles as n"), "a").join(sizes.selectExpr("node as b", "n_shingles as m"), "b")
@@ -133,11 +142,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     labels = star_components(member, confirm, items, percent)
 
-    of_class = classes.select("d1", "d2", "n_shingles", "rep")
-    out = signed.drop("bands").join(of_class, ["d1", "d2", "n_shingles"], "left")
-    if labels is not None:
-        out = out.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-    else:
-        out = out.withColumn("component", F.lit(None).cast("long"))
-    component = F.coalesce("component", "rep", "doc_id")
+    of_class = signed.drop("bands", "tag").join(classes.select("d1", "d2", "n_shingles", "node"), ["d1", "d2", "n_shingles"], "left")
+    labels = _with_ids(of_class, labels)
+    out = of_class.withColumn("component", F.col("node")) if labels is None else of_class.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = out.where("node is not null").groupBy("component").agg(F.min("doc_id").alias("least"))
+    component = F.coalesce("least", "doc_id")
+    out = out.join(least, "component", "left")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))
+
+
+def _with_ids(of_class: DataFrame, labels: DataFrame | None) -> DataFrame | None:
+    """The components after classes that share an id are linked as well."""
+    shared = of_class.where("doc_id is not null and node is not null").groupBy("doc_id").agg(F.min("node").alias("b"), F.max("node").alias("other")).where("b <> other")
+    if shared.isEmpty():
+        return labels
+    edges = of_class.join(shared.select("doc_id", "b"), "doc_id").select(F.col("node").alias("a"), "b").where("a <> b")
+    if labels is not None:
+        edges = edges.union(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
+    return components(edges)

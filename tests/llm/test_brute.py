@@ -69,6 +69,26 @@ def test_minhash_of_a_spread_group(spark):
     assert out == components_by_brute_force(rows, 4)
 
 
+def test_minhash_where_ids_are_carried_by_two_texts(spark):
+    draw = random.Random(4)
+    base = [f"w{i}" for i in range(120)]
+    rows = [(i, " ".join("x%d" % draw.randrange(10**6) if draw.random() < draw.choice((0.01, 0.03, 0.06)) else w for w in base)) for i in range(300)]
+    expected = components_by_brute_force(rows, 4)
+    other = [(i, " ".join(f"own{i}x{k}" for k in range(40 + i % 50))) for i in range(300)]
+    again = rows[:40] + other[:20] + [(None, rows[7][1]), (5, None), (6, "")]
+    out = near_duplicates(spark.createDataFrame(rows + other + again, "doc_id long, text string"), shingle_words=4).collect()
+    assert len(out) == 663
+    assert {(r.doc_id, r.component_id) for r in out if r.doc_id is not None and r.n_shingles} == {(i, c) for i, (_, c) in expected.items()}
+    assert [(r.component_id, r.kept) for r in out if r.doc_id is None] == [(expected[7][1], False)]
+
+
+def test_minhash_links_the_texts_of_one_id(spark):
+    a, b, c = ("".join(f"{x}{i} " for i in range(30)) for x in "abc")
+    rows = [(9, a), (4, a), (9, b), (7, b), (8, c), (None, c), (None, "only one without an id")]
+    out = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.component_id or 0, r.kept) for r in out) == [(0, 0, True), (0, 8, False), (4, 4, True), (7, 4, False), (8, 8, True), (9, 4, False), (9, 4, False)]
+
+
 def lines_kept_by_brute_force(lines):
     """Numbers of the lines that stay, all in one document and distinct."""
     sets = [{line[i : i + 9] for i in range(max(0, len(line) - 9) + 1)} for line in lines]

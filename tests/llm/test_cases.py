@@ -200,3 +200,16 @@ def test_pipeline_stages_keep_columns(spark, tmp_path):
 def test_empty_archives(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.page_records(warc.read_archives(spark, warc.write_archives(pages))).count() == 0
+
+
+def test_pipeline_decides_on_each_row(spark, tmp_path):
+    """Null and repeated ids: what one row holds does not throw out another."""
+    benchmark(spark).write.parquet(str(tmp_path / "benchmark.parquet"))
+    leak = " ".join(f"word{i % 97} of{i}" for i in range(18, 62))
+    clean = [" ".join(f"{name}{i}" for i in range(60)) for name in ("red", "green", "blue")]
+    rows = [(None, leak, "en", "s"), (None, clean[0], "en", "s"), (5, leak + " x", "en", "s"), (5, clean[1], "en", "s"), (6, clean[2], "en", "s"), (6, clean[2], "en", "s")]
+    docs = frame(spark, rows).select(*corpus_pipeline.COLUMNS)
+    kept = corpus_pipeline.decontaminate(spark, docs, str(tmp_path)).collect()
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter([(None, clean[0]), (5, clean[1]), (6, clean[2]), (6, clean[2])])
+    kept = corpus_pipeline.near_dedup(spark, docs, str(tmp_path)).collect()
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter([(None, clean[0]), (5, leak + " x"), (5, clean[1]), (6, clean[2])])
