@@ -1,7 +1,7 @@
 """The stages that turn raw documents into a training mixture.
 
-Each stage reads what its predecessor kept and works on all of it. Ids are taken as unique before the mixing; rows with
-a null id pass the stages as said in each."""
+Each stage reads what its predecessor kept and works on all of it. Stages that drop rows decide on each row by itself, whatever
+ids are null or repeated; the line stage goes by id and text, as said there."""
 
 from __future__ import annotations
 
@@ -19,7 +19,7 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with p_toxic below one half, by a model of the labels; null ids are rows like others."""
+    """Documents with p_toxic below the cut of a model of the labels; null ids are rows like others."""
     model = toxicity.fit(toxicity.graded(spark.read.parquet(f"{sf_dir}/labels.parquet"), docs))
     scored = toxicity.severity(docs, model, carry=COLUMNS[1:])
     return scored.where("not toxic").select(*COLUMNS)
@@ -33,16 +33,29 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return lines.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text")).otherwise(F.col("n_chars")).cast("long")).select(*COLUMNS)
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The rows with a number of their own, `__row`, in a stored table, so that it stays the same."""
+    return stored(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("__row")), "rows")
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the least id. Null ids stay."""
-    gone = near_duplicates(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """One row of each group of near copies stays: that with the least id, null last.
+
+    Each row is a document of its own, also one with a null id or an id that other rows have: of several copies under one id,
+    one stays, and a row stays though another with its id goes."""
+    rows = _numbered(docs)
+    groups = near_duplicates(rows, id_col="__row").select(F.col("doc_id").alias("__row"), "component_id")
+    placed = groups.join(rows.select("__row", "doc_id"), "__row")
+    first = placed.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("__row"))).alias("first"), F.count("*").alias("n"))
+    gone = placed.join(first.where("n > 1"), "component_id").where("__row <> first.__row").select("__row")
+    return rows.join(gone, "__row", "left_anti").select(*COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark; if one with a null id has some, all with a null id go."""
-    found = leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(F.col("doc_id").alias("found")).distinct()
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("found")), "left_anti").select(*COLUMNS)
+    """Rows without a passage of the benchmark; other rows with the same id, or also without one, stay."""
+    rows = _numbered(docs)
+    found = leaks(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="__row").select(F.col("doc_id").alias("__row")).distinct()
+    return rows.join(found, "__row", "left_anti").select(*COLUMNS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +64,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Each row is a document of its own, also one with a null id or an id that other rows have: it is there at most once in an
     epoch, and `tokens_taken` adds up to what the mixture takes. Rows are numbered in a stored table and joined by that
     number, not by id."""
-    rows = stored(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("__row")), "rows")
+    rows = _numbered(docs)
     taken = mixed_documents(rows, carry=("__row",)).select("__row", "epoch", "tokens_taken")
     return rows.join(taken, "__row").select(*COLUMNS, "epoch", "tokens_taken")
 
