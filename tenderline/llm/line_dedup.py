@@ -7,7 +7,7 @@ import random
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tenderline.llm.shared import agree, ends, release, star_components, stored
+from tenderline.llm.shared import agree, ends, numbered, release, star_components, stored
 
 SHINGLE_CHARS = 9
 BANDS, BAND_ROWS = 12, 3
@@ -42,7 +42,9 @@ def duplicate_lines(docs: DataFrame, size: int = SHINGLE_CHARS, percent: int = P
     spark = docs.sparkSession
     lines = line_table(docs)
     distinct = lines.groupBy("line").agg(F.min(F.struct("doc_id", "tag", "line_no")).alias("owner"))
-    distinct = stored(distinct.select(F.monotonically_increasing_id().alias("node"), *[F.col(f"owner.{c}").alias(c) for c in ("doc_id", "tag", "line_no")], "line"), "lines")
+    place = ["doc_id", "tag", "line_no"]
+    direct = F.when(F.col("doc_id").between(0, (1 << 43) - 1) & (F.col("line_no") < 1 << 20), F.shiftleft("doc_id", 20) + F.col("line_no"))
+    distinct = numbered(distinct.select(*[F.col(f"owner.{c}").alias(c) for c in place], "line"), place, direct, "lines")
     release(spark)
 
     units = distinct.where(F.length("line") >= size).select("node", _units(F.col("line")).alias("units"))

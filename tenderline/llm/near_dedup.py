@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tenderline.llm.shared import agree, components, discard, ends, star_components, stored
+from tenderline.llm.shared import agree, components, discard, ends, numbered, star_components, stored
 from tenderline.llm.text import LOWER, chunks, mixed, shingle_hashes, word_hashes, words
 
 BINS = 128
@@ -114,8 +114,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     signed = stored(tagged.mapInArrow(_signatures(shingle_words), signatures), "signatures")
     owner = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "tag"))).alias("owner")
     classes = signed.where("n_shingles > 0").groupBy("d1", "d2", "n_shingles").agg(owner, F.first("bands").alias("bands"))
-    classes = classes.where("owner is not null").select("d1", "d2", "n_shingles", "owner.*", "bands", F.monotonically_increasing_id().alias("node"))
-    classes = stored(classes, "classes")
+    classes = classes.where("owner is not null").select("d1", "d2", "n_shingles", "owner.*", "bands")
+    classes = numbered(classes, ["doc_id", "tag", "d1", "d2"], F.col("doc_id"), "classes")
     member = classes.select(F.explode("bands").alias("bucket"), "node")
 
     sizes = classes.select("node", "n_shingles")

@@ -40,6 +40,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def numbered(rows: DataFrame, order: list[str], direct: Column, name: str) -> DataFrame:
+    """The rows in a stored table, each with a `node` of its own that grows along `order`.
+
+    `direct` is such a number for nearly all inputs (null where it is none). Where two rows have the same one, or one has none, all rows are
+    put in order and counted through instead. The least node of a bucket is then its earliest member, which others are likely to be copies of."""
+    table = stored(rows, name)
+    if table.groupBy(direct.alias("n")).count().where("count > 1 or n is null").isEmpty():
+        return table.withColumn("node", direct)
+    return stored(table.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("node", F.monotonically_increasing_id()), name)
+
+
 def discard(*tables: DataFrame) -> None:
     """Removes stored tables that no later step reads."""
     for table in tables:
