@@ -34,8 +34,12 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
-    """The rows with a number of their own, `__row`, in a stored table, so that it stays the same."""
-    return stored(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("__row")), "rows")
+    """The rows with a number of their own, `__row`, that grows with the id: the id itself where each row has one of its own."""
+    rows = docs.select(*COLUMNS)
+    if rows.groupBy("doc_id").count().where("count > 1 or doc_id is null").isEmpty():
+        return rows.withColumn("__row", F.col("doc_id"))
+    by = F.asc_nulls_last("doc_id")
+    return stored(rows.repartitionByRange(by, F.xxhash64("text")).sortWithinPartitions(by).withColumn("__row", F.monotonically_increasing_id()), "rows")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
