@@ -1,4 +1,4 @@
-"""Bytes that repeat across documents: prefix doubling over the positions that can still repeat."""
+"""Bytes that repeat across documents: positions sampled by content, grouped by hash (in place of prefix doubling)."""
 
 from __future__ import annotations
 
