@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SEGMENTS = 32
+#: Members of a bucket that are compared with the others in a round after the first.
+DRAWS = 4
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -92,33 +94,68 @@ def release(spark: SparkSession) -> None:
         time.sleep(0.5)
 
 
+def _least_first(x: str, y: str) -> list[Column]:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+
 def star_components(buckets: DataFrame, confirm: Callable[[DataFrame], DataFrame], items: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame | None:
     """(node, component) over the links between nodes that share a bucket; None when nothing is linked.
 
     `buckets` has (bucket, node); `confirm` takes pairs (a, b) and returns those linked, that is with
     100 * intersection >= percent * union of their sets; `items` takes nodes and returns the (node, item) of their sets.
 
-    1. Stars: in each bucket the least node is compared with the others, so a bucket costs as many pairs
-       as it has members. The links give components.
-    2. Rest: members outside the component of their bucket's least node may still be linked to any
+    1. Stars: in each bucket one member, its hub, is compared with the others, so a bucket costs as many pairs
+       as it has members. The hub is the member with most fellows over all its buckets: variants share more buckets with what they
+       are variants of than with each other. Of equals it is the least node. The links give components.
+    2. Draws: in buckets with members outside the hub's component, DRAWS members chosen by a hash are compared with those of
+       other components. A chosen member is in the hub's component as often as members are, so a round costs about
+       2 * DRAWS pairs for each member outside. Rounds go on while each leaves at most half of the members outside.
+    3. Rest: members still outside the component of their bucket's hub may be linked to any
        member. Items that no other live set has cannot be shared; of the others each set has a number in each of SEGMENTS
        ranges of the hash, and an intersection is at most the sum of the lesser numbers. That also bounds a partner's
        size. Members are joined on bucket and class of size, and only pairs within the bounds are
        compared. Nothing is left unseen: a pair is in one component, or compared, or cannot be linked."""
     spark, p = buckets.sparkSession, percent
-    alone = buckets.groupBy("bucket").agg(F.count("*").alias("k"), F.min("node").alias("hub")).where("k > 1").drop("k")
-    buckets = stored(buckets.join(alone, "bucket").select("bucket", "node", "hub"), "buckets")
-    stars = stored(buckets.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "stars")
+    counts = buckets.groupBy("bucket").agg(F.count("*").alias("k"), F.min("node").alias("least")).where("k > 1")
+    buckets = stored(buckets.join(counts, "bucket"), "buckets")
+    crowded = buckets.where("k > 2").select("bucket", "node", "k")
+    fellows = crowded.groupBy("node").agg(F.sum("k").alias("fellows"))
+    hubs = crowded.join(fellows, "node").groupBy("bucket").agg(F.max(F.struct("fellows", F.bitwise_not("node").alias("turned"))).alias("hub"))
+    hubs = hubs.select("bucket", F.bitwise_not("hub.turned").alias("hub"))
+    wide, buckets = buckets, stored(buckets.join(hubs, "bucket", "left").select("bucket", "node", F.coalesce("hub", "least").alias("hub")), "hubs")
+    discard(wide)
+    tried = stored(buckets.where("node <> hub").select(*_least_first("node", "hub")).distinct(), "stars")
     release(spark)
-    links = stored(confirm(stars), "links")
+    links = stored(confirm(tried), "links")
     release(spark)
-    labels = components(links)
-
-    named = buckets.join(labels, "node", "left").select("bucket", "node", "hub", F.coalesce("component", "node").alias("comp"))
-    hubs = labels.select(F.col("node").alias("hub"), F.col("component").alias("main"))
-    named = named.join(hubs, "hub", "left").select("bucket", "node", "comp", F.coalesce("main", "hub").alias("main"))
-    apart = named.groupBy("bucket").agg(F.max(F.col("comp") != F.col("main")).alias("apart")).where("apart")
-    members = stored(named.join(apart.select("bucket"), "bucket", "left_semi"), "live")
+    labels, linked, before = components(links), not links.isEmpty(), None
+    while True:
+        named = buckets.join(labels, "node", "left").select("bucket", "node", "hub", F.coalesce("component", "node").alias("comp"))
+        mains = labels.select(F.col("node").alias("hub"), F.col("component").alias("main"))
+        named = named.join(mains, "hub", "left").select("bucket", "node", "comp", F.coalesce("main", "hub").alias("main"))
+        apart = named.groupBy("bucket").agg(F.max(F.col("comp") != F.col("main")).alias("apart")).where("apart")
+        members = stored(named.join(apart.select("bucket"), "bucket", "left_semi"), "live")
+        outside = members.where("comp <> main").count()
+        if not outside:
+            return labels if linked else None
+        if before is not None and 2 * outside > before:
+            break
+        before = outside
+        draws = []
+        for k in range(DRAWS):
+            order = F.xxhash64(F.lit(outside), F.lit(k), "bucket", "node")
+            draws += [F.min_by("node", order).alias(f"node{k}"), F.min_by("comp", order).alias(f"comp{k}")]
+        drawn = members.groupBy("bucket").agg(*draws)
+        drawn = drawn.select("bucket", F.explode(F.array(*[F.struct(F.col(f"node{k}").alias("node"), F.col(f"comp{k}").alias("comp")) for k in range(DRAWS)])).alias("d")).select("bucket", F.col("d.node").alias("d_node"), F.col("d.comp").alias("d_comp"))
+        pairs = members.join(drawn, "bucket").where("comp <> d_comp").select(*_least_first("node", "d_node")).distinct().join(tried, ["a", "b"], "left_anti")
+        pairs = stored(pairs, "draws")
+        more = stored(confirm(pairs), "links")
+        release(spark)
+        tried = tried.union(pairs)
+        if more.isEmpty():
+            break
+        labels, linked = components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)), True
+        discard(members)
     discard(buckets)
     held = stored(items(members.select("node").distinct()), "held")
     release(spark)
@@ -136,16 +173,16 @@ def star_components(buckets: DataFrame, confirm: Callable[[DataFrame], DataFrame
     rest = rest.select("bucket", "level", *[F.col(c).alias(f"c_{c}") for c in ("node", "comp", "n", "f", "most")])
     pairs = live.withColumn("level", F.expr(level.format("n"))).join(rest, ["bucket", "level"])
     pairs = pairs.where(f"comp <> c_comp and n <= c_most and c_n <= most and {100 + p} * aggregate(zip_with(f, c_f, (x, y) -> least(x, y)), 0, (x, y) -> x + y) >= {p} * (n + c_n)")
-    pairs = pairs.select(F.least("node", "c_node").alias("a"), F.greatest("node", "c_node").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
+    pairs = pairs.select(*_least_first("node", "c_node")).distinct().join(tried, ["a", "b"], "left_anti")
     pairs = stored(pairs, "pairs")
-    discard(members, sizes, stars)
+    discard(members, sizes)
     release(spark)
     more = stored(confirm(pairs), "links")
     discard(pairs)
     release(spark)
     if more.isEmpty():
-        return None if links.isEmpty() else labels
-    return components(links.union(more))
+        return labels if linked else None
+    return components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
 
 def agree(s: str, t: str, percent: int) -> Column:

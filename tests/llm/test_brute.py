@@ -236,3 +236,16 @@ def test_pipeline(spark):
             assert all(d == c for d, (_, c) in components_by_brute_force(rows, 5).items())
     assert sizes == sorted(sizes, reverse=True) and sizes[-1] > 0
     assert docs.columns == [*pipeline.COLUMNS, "epoch", "tokens_taken"]
+
+
+@pytest.mark.parametrize("base", [True, False])
+def test_lines_of_a_spread_group(spark, base):
+    """Variants whose origin comes last or is not there: few are linked with the first of them."""
+    draw = random.Random(8)
+    origin = " ".join(f"word{i}" for i in range(40))
+    lines = ["".join(draw.choice("xyz#") if draw.random() < draw.choice((0.002, 0.008, 0.015)) else c for c in origin) for _ in range(250)]
+    far = ["".join(draw.choice("xyz#") if draw.random() < 0.02 else c for c in f"{k} unlike " * 30) for k in range(20) for _ in range(4)]
+    lines = list(dict.fromkeys(lines + far + [origin] * base))
+    out = without_duplicate_lines(spark.createDataFrame([(1, "\n".join(lines))], "doc_id long, text string")).first()
+    want = [lines[i] for i in lines_kept_by_brute_force(lines)]
+    assert 1 < len(want) < len(lines) and out.text.split("\n") == want
