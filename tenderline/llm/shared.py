@@ -11,9 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SEGMENTS = 32
+#: Words of 64 bits in the bitmap of a set.
+WORDS = 16
 #: Members of a bucket that are compared with the others in a round after the first.
-DRAWS = 4
+DRAWS = 1
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -111,9 +112,9 @@ def star_components(buckets: DataFrame, confirm: Callable[[DataFrame], DataFrame
        other components. A chosen member is in the hub's component as often as members are, so a round costs about
        2 * DRAWS pairs for each member outside. Rounds go on while each leaves at most half of the members outside.
     3. Rest: members still outside the component of their bucket's hub may be linked to any
-       member. Items that no other live set has cannot be shared; of the others each set has a number in each of SEGMENTS
-       ranges of the hash, and an intersection is at most the sum of the lesser numbers. That also bounds a partner's
-       size. Members are joined on bucket and class of size, and only pairs within the bounds are
+       member. Items that no other live set has cannot be shared, which bounds a partner's size. Each set also has a bitmap of 64 * WORDS places,
+       by ranges of the hash: a place that only one of two sets has stands for at least one item that is not shared, which bounds the
+       intersection, and closely for sets smaller than the bitmap. Members are joined on bucket and class of size, and only pairs within the bounds are
        compared. Nothing is left unseen: a pair is in one component, or compared, or cannot be linked."""
     spark, p = buckets.sparkSession, percent
     counts = buckets.groupBy("bucket").agg(F.count("*").alias("k"), F.min("node").alias("least")).where("k > 1")
@@ -159,12 +160,11 @@ def star_components(buckets: DataFrame, confirm: Callable[[DataFrame], DataFrame
     discard(buckets)
     held = stored(items(members.select("node").distinct()), "held")
     release(spark)
-    segment = F.shiftrightunsigned("item", 64 - SEGMENTS.bit_length() + 1)
-    numbers = [F.count_if(segment == k).cast("int").alias(f"s{k}") for k in range(SEGMENTS)]
-    single = held.groupBy("item").agg(F.count("*").alias("k"), F.min("node").alias("node")).where("k = 1").groupBy("node").agg(F.array(*numbers).alias("own"))
-    sizes = held.groupBy("node").agg(F.count("*").alias("n"), F.array(*numbers).alias("all")).join(single, "node", "left")
-    sizes = sizes.select("node", "n", F.expr("if(own is null, all, zip_with(all, own, (x, y) -> x - y))").alias("f"))
-    sizes = sizes.withColumn("most", F.expr(f"least(100 * n div {p}, ({100 + p} * aggregate(f, 0, (x, y) -> x + y) - {p} * n) div {p})")).where(f"100 * most >= {p} * n")
+    place = F.shiftrightunsigned("item", 54).cast("int")
+    bits = [F.bit_or(F.when(F.shiftright(place, 6) == k, F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(63))).otherwise(0)) for k in range(WORDS)]
+    single = held.groupBy("item").agg(F.count("*").alias("k"), F.min("node").alias("node")).where("k = 1").groupBy("node").agg(F.count("*").alias("own"))
+    sizes = held.groupBy("node").agg(F.count("*").alias("n"), F.array(*bits).alias("f")).join(single, "node", "left")
+    sizes = sizes.selectExpr("node", "n", "f", f"least(100 * n div {p}, ({100 + p} * (n - coalesce(own, 0)) - {p} * n) div {p}) as most").where(f"100 * most >= {p} * n")
     sizes = stored(sizes, "sizes")
     discard(held)
     live = members.join(sizes, "node")
@@ -172,7 +172,9 @@ def star_components(buckets: DataFrame, confirm: Callable[[DataFrame], DataFrame
     rest = live.where("comp <> main").withColumn("level", F.explode(F.expr(f"sequence({level.format(f'greatest(1, {p} * n / 100)')}, {level.format('most')})")))
     rest = rest.select("bucket", "level", *[F.col(c).alias(f"c_{c}") for c in ("node", "comp", "n", "f", "most")])
     pairs = live.withColumn("level", F.expr(level.format("n"))).join(rest, ["bucket", "level"])
-    pairs = pairs.where(f"comp <> c_comp and n <= c_most and c_n <= most and {100 + p} * aggregate(zip_with(f, c_f, (x, y) -> least(x, y)), 0, (x, y) -> x + y) >= {p} * (n + c_n)")
+    unlike = "aggregate(zip_with({}, {}, (x, y) -> bit_count(x & ~y)), 0, (x, y) -> x + y)"
+    both = f"least(n - {unlike.format('f', 'c_f')}, c_n - {unlike.format('c_f', 'f')})"
+    pairs = pairs.where(f"comp <> c_comp and n <= c_most and c_n <= most and {100 + p} * {both} >= {p} * (n + c_n)")
     pairs = pairs.select(*_least_first("node", "c_node")).distinct().join(tried, ["a", "b"], "left_anti")
     pairs = stored(pairs, "pairs")
     discard(members, sizes)
