@@ -112,10 +112,12 @@ def star_components(buckets: DataFrame, confirm: Callable[[DataFrame], DataFrame
        other components. A chosen member is in the hub's component as often as members are, so a round costs about
        2 * DRAWS pairs for each member outside. Rounds go on while each leaves at most half of the members outside.
     3. Rest: members still outside the component of their bucket's hub may be linked to any
-       member. Items that no other live set has cannot be shared, which bounds a partner's size. Each set also has a bitmap of 64 * WORDS places,
-       by ranges of the hash: a place that only one of two sets has stands for at least one item that is not shared, which bounds the
-       intersection, and closely for sets smaller than the bitmap. Members are joined on bucket and class of size, and only pairs within the bounds are
-       compared. Nothing is left unseen: a pair is in one component, or compared, or cannot be linked."""
+       live member. Items are put in one order, rarest first; a linked pair has its first shared item among the first
+       n - ceil(percent * n / 100) + 1 of each of its two sets, and few enough items before it. So members are joined on those
+       rare items, and not on what the whole group has. Items that no other live set has cannot be shared, which bounds a
+       partner's size. Each set also has a bitmap of 64 * WORDS places, by ranges of the hash: a place that only one of two
+       sets has stands for at least one item that is not shared, which bounds the intersection. Only pairs within
+       the bounds are compared. Nothing is left unseen: a pair is in one component, or compared, or cannot be linked."""
     spark, p = buckets.sparkSession, percent
     counts = buckets.groupBy("bucket").agg(F.count("*").alias("k"), F.min("node").alias("least")).where("k > 1")
     buckets = stored(buckets.join(counts, "bucket"), "buckets")
@@ -162,22 +164,23 @@ def star_components(buckets: DataFrame, confirm: Callable[[DataFrame], DataFrame
     release(spark)
     place = F.shiftrightunsigned("item", 54).cast("int")
     bits = [F.bit_or(F.when(F.shiftright(place, 6) == k, F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(63))).otherwise(0)) for k in range(WORDS)]
-    single = held.groupBy("item").agg(F.count("*").alias("k"), F.min("node").alias("node")).where("k = 1").groupBy("node").agg(F.count("*").alias("own"))
-    sizes = held.groupBy("node").agg(F.count("*").alias("n"), F.array(*bits).alias("f")).join(single, "node", "left")
-    sizes = sizes.selectExpr("node", "n", "f", f"least(100 * n div {p}, ({100 + p} * (n - coalesce(own, 0)) - {p} * n) div {p}) as most").where(f"100 * most >= {p} * n")
-    sizes = stored(sizes, "sizes")
+    shown = held.join(held.groupBy("item").agg(F.count("*").alias("k")), "item")
+    sets = shown.groupBy("node").agg(F.count("*").alias("n"), F.array(*bits).alias("f"), F.count_if(F.col("k") == 1).alias("own"), F.sort_array(F.collect_list(F.struct("k", "item"))).alias("rare"))
+    sets = sets.selectExpr("node", "n", "f", f"least(100 * n div {p}, ({100 + p} * (n - own) - {p} * n) div {p}) as most", f"slice(rare, 1, cast(n - ({p} * n + 99) div 100 + 1 as int)) as rare")
+    sets = stored(sets.where(f"100 * most >= {p} * n"), "sets")
     discard(held)
-    live = members.join(sizes, "node")
-    level = "cast(floor(ln({}) / ln(1.02)) as int)"
-    rest = live.where("comp <> main").withColumn("level", F.explode(F.expr(f"sequence({level.format(f'greatest(1, {p} * n / 100)')}, {level.format('most')})")))
-    rest = rest.select("bucket", "level", *[F.col(c).alias(f"c_{c}") for c in ("node", "comp", "n", "f", "most")])
-    pairs = live.withColumn("level", F.expr(level.format("n"))).join(rest, ["bucket", "level"])
+    release(spark)
+    named = members.groupBy("node").agg(F.first("comp").alias("comp"), F.max(F.col("comp") != F.col("main")).alias("outside"))
+    live = sets.join(named, "node").select("node", "comp", "outside", "n", "f", "most", F.posexplode("rare").alias("at", "x")).where("x.k > 1").withColumn("item", F.col("x.item")).drop("x")
+    rest = live.where("outside").select("item", *[F.col(c).alias(f"c_{c}") for c in ("node", "comp", "n", "f", "most", "at")])
     unlike = "aggregate(zip_with({}, {}, (x, y) -> bit_count(x & ~y)), 0, (x, y) -> x + y)"
+    after = "least(n - at, c_n - c_at)"
     both = f"least(n - {unlike.format('f', 'c_f')}, c_n - {unlike.format('c_f', 'f')})"
-    pairs = pairs.where(f"comp <> c_comp and n <= c_most and c_n <= most and {100 + p} * {both} >= {p} * (n + c_n)")
+    near = [f"{100 + p} * {bound} >= {p} * (n + c_n)" for bound in (after, both)]
+    pairs = live.join(rest, "item").where(f"comp <> c_comp and n <= c_most and c_n <= most and {' and '.join(near)}")
     pairs = pairs.select(*_least_first("node", "c_node")).distinct().join(tried, ["a", "b"], "left_anti")
     pairs = stored(pairs, "pairs")
-    discard(members, sizes)
+    discard(members, sets)
     release(spark)
     more = stored(confirm(pairs), "links")
     discard(pairs)
