@@ -15,6 +15,8 @@ HOT_ROWS_CONF = "spark.tenderline.hotKeyRows"
 HOT_ROWS_DEFAULT = 5_000_000
 MAX_HOT_KEYS = 1_000_000
 SEEN_AT_FLOOR = 1000
+ROWS_PER_TASK = 1_000_000
+SALTS = 64
 
 LOOKUP_MAX_ROWS = 500_000
 LOOKUP_MAX_BYTES = 64 * 1024 * 1024
@@ -25,7 +27,7 @@ def key_code(keys: Sequence[str | Column]) -> Column:
     return F.xxhash64(*keys)
 
 
-def hot_codes(df: DataFrame, keys: Sequence[str | Column]) -> list[int]:
+def hot_codes(df: DataFrame, keys: Sequence[str | Column], rows: int | None = None) -> list[int]:
     """Codes of the keys that hold more rows than one task should take.
 
     An input with no more rows than the floor cannot have such a key; counting it
@@ -33,10 +35,11 @@ def hot_codes(df: DataFrame, keys: Sequence[str | Column]) -> list[int]:
     reduced in the map tasks: as many rows as it takes to see a thousand of a key at the
     floor. Every key above the floor is reported whatever the size of the input; there are
     at most rows / floor of them, and never more than the MAX_HOT_KEYS most frequent. It
-    decides how the work is spread; results do not depend on it.
+    decides how the work is spread; results do not depend on it. ``rows`` is their number if
+    known already.
     """
     floor = int(df.sparkSession.conf.get(HOT_ROWS_CONF, str(HOT_ROWS_DEFAULT)))
-    if df.count() <= floor:
+    if (df.count() if rows is None else rows) <= floor:
         return []
     looked_at = df.select(key_code(keys).alias("code"))
     if floor > SEEN_AT_FLOOR:
@@ -50,6 +53,23 @@ def is_hot(keys: Sequence[str | Column], codes: list[int]) -> Column:
     return key_code(keys).isin(codes) if codes else F.lit(False)
 
 
+def placed(df: DataFrame, key: str, others: Sequence[str], rows: int, codes: list[int]) -> DataFrame:
+    """Rows placed by a key, those of hot keys by their other columns too.
+
+    For a grouping that sorts its input, as all do that keep texts: what a task sorts is
+    then a share of the rows, however few tasks read them and whatever these unfold.
+    There are as many shares as the session has, or more so that none is far above ROWS_PER_TASK.
+    """
+    by = [F.col(key)]
+    if codes:
+        salt = F.pmod(F.xxhash64(*others), F.lit(SALTS))
+        by.append(F.when(is_hot([key], codes), salt).otherwise(0))
+    shares = -(-rows // ROWS_PER_TASK)
+    if shares > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return df.repartition(shares, *by)
+    return df.repartition(*by)
+
+
 def join_to_unique(
     left: DataFrame,
     right: DataFrame,

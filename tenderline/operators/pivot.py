@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tenderline.catalog import ATTRIBUTES, PRICEBOOK_HEADER, PRICEBOOK_PRODUCT
-from tenderline.operators.balance import hot_codes, join_to_unique, lookup_join
+from tenderline.operators.balance import hot_codes, join_to_unique, lookup_join, placed
 
 
 def named_values(values: DataFrame, fields: DataFrame) -> DataFrame:
@@ -24,14 +24,19 @@ def wide_values(
     """One row per product: the greatest text per attribute.
 
     No filter on the attributes, so a product that only has other fields keeps a
-    row of NULLs. Map tasks reduce their own rows before the one shuffle, which
-    also takes the weight off products with very many values.
+    row of NULLs. Texts are reduced by sorting, so values are placed by product first:
+    a task that reads a source unfolds any number of them. The values of a product
+    with very many are dealt to several tasks and reduced there before they meet.
     """
     cells = [
         F.max(F.when(F.col("field_name") == name, F.col("field_value"))).alias(column)
         for name, column in attributes.items()
     ]
-    return named_values(values, fields).groupBy("pb_product_id").agg(*cells)
+    rows = values.count()
+    codes = hot_codes(values, ["pb_product_id"], rows)
+    named = named_values(values, fields)
+    named = placed(named, "pb_product_id", ["field_name", "field_value"], rows, codes)
+    return named.groupBy("pb_product_id").agg(*cells)
 
 
 def attribute_pivot(

@@ -264,3 +264,37 @@ def test_lookups_beyond_the_bound_are_not_broadcast(spark, monkeypatch, no_estim
     monkeypatch.setattr(balance, "LOOKUP_MAX_ROWS", 1000)
     monkeypatch.setattr(balance, "LOOKUP_MAX_BYTES", 100)
     assert "broadcast" not in plan(lookup_join(left, lookup, ["k"]))
+
+
+def _wide(spark, products):
+    from tenderline.operators.pivot import wide_values
+
+    fields = spark.createDataFrame([(1, "one"), (2, "two")], "id int, field_name string")
+    many = spark.range(products * 40, numPartitions=1)
+    values = many.selectExpr(f"id % {products} AS pb_product_id", "cast(id div 7 % 2 + 1 AS int) AS pb_required_field_id", "cast(id AS string) AS field_value")
+    return wide_values(values, fields, {"one": "a", "two": "b"}), values
+
+
+def test_values_are_placed_before_they_are_sorted(spark):
+    text = _wide(spark, 50)[0]._jdf.queryExecution().executedPlan().toString()
+    text = text[: text.find("== Initial Plan ==")]
+    assert text.rindex("SortAggregate") < text.index("Exchange hashpartitioning(pb_product_id")
+
+
+@pytest.mark.parametrize("products", [1, 50])
+def test_values_of_hot_products_are_dealt_to_several_tasks(spark, low_limit, products):
+    wide, values = _wide(spark, products)
+    text = wide._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_COL" in text and "Exchange hashpartitioning(pb_product_id#" in text
+    expected = {}
+    for p, f, v in values.collect():
+        cell = expected.setdefault(p, {})
+        cell[f] = max(cell.get(f, ""), v)
+    assert {r[0]: (r[1], r[2]) for r in wide.collect()} == {p: (c.get(1), c.get(2)) for p, c in expected.items()}
+
+
+def test_shares_grow_with_the_rows(spark):
+    from tenderline.operators.balance import ROWS_PER_TASK, placed
+
+    rows = spark.range(10).selectExpr("id", "id AS other")
+    assert placed(rows, "id", ["other"], 30 * ROWS_PER_TASK, []).rdd.getNumPartitions() == 30
