@@ -76,12 +76,16 @@ def number_in(doc: str, path: str, dtype: str = MONEY, lenient: bool = False) ->
 
 def latest_price_in(doc: str, lenient: bool = False) -> Column:
     """``latest_price`` of a parsed array; a document that is no array raises, or is NULL with ``lenient``."""
-    get = F.try_variant_get if lenient else F.variant_get
-    listed = F.schema_of_variant(doc).startswith("ARRAY")
     wrong = F.raise_error(F.concat(F.lit(f"{doc} is not an array: "), F.substring(F.to_json(doc), 1, 60)))
-    other = F.lit(None).cast(ELEMENTS) if lenient else wrong.cast(ELEMENTS)
-    items = F.when(F.col(doc).isNull() | listed, get(doc, "$", ELEMENTS)).otherwise(other)
-    return F.array_max(_ranked(items, lenient))["price"]
+    # Told by a path, which a scan can look up in its columns; the schema of a document is spelled out for each row.
+    listed = F.try_variant_get(doc, "$", "array<variant>").isNotNull()
+    if lenient:
+        items = F.when(listed, F.try_variant_get(doc, "$", ELEMENTS))
+        return F.array_max(_ranked(items, lenient))["price"]
+    items = F.when(listed, F.variant_get(doc, "$", ELEMENTS)).when(F.col(doc).isNotNull(), wrong.cast(ELEMENTS))
+    # Cast as one array, in compiled code, where a lambda would cast element by element.
+    typed = items.cast(f"array<struct<id:int,price:{MONEY}>>")
+    return F.array_max(F.transform(typed, lambda e: F.struct(e["id"].isNull().alias("without_id"), e["id"], e["price"])))["price"]
 
 
 def _ranked(items: Column, lenient: bool) -> Column:

@@ -187,3 +187,18 @@ def test_since_needs_a_column(spark):
     store.replace(spark.range(3), "pricebook")
     with pytest.raises(ValueError):
         run(spark, job, store, FileStore(shared_folder(spark)), since="2001-01-06")
+
+
+def test_prices_of_documents_do_not_need_the_schema_of_each(spark):
+    from tenderline.functions.json_fields import document, latest_price, latest_price_in
+
+    texts = [None, "[]", "[null, {\"id\": 3, \"unit_price\": \"1.00\"}]", '[{"id": "7", "unit_price": 2}, {"id": 12, "unit_price": "1.50"}]',
+             '[{"unit_price": "3.00"}, {"id": 99, "unit_price": "4.00"}]', '[{"id": 1, "unit_price": null}]', '[{"id": 1, "unit_price": "5"}, {"id": 1, "unit_price": "6"}]']
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("d", document("t"))
+    found = rows.select("t", latest_price_in("d").alias("a"), latest_price("t").alias("b"), latest_price_in("d", lenient=True).alias("c"))
+    assert "schema_of_variant" not in found._jdf.queryExecution().analyzed().toString().lower()
+    for r in found.collect():
+        assert r["a"] == r["b"] == r["c"], r
+    odd = spark.sql("SELECT parse_json(t) AS d FROM VALUES ('null') AS odd(t)")
+    with pytest.raises(Exception, match="d is not an array: null"):
+        odd.select(latest_price_in("d")).collect()
