@@ -15,7 +15,7 @@ HOT_ROWS_CONF = "spark.tenderline.hotKeyRows"
 HOT_ROWS_DEFAULT = 5_000_000
 MAX_HOT_KEYS = 1_000_000
 SEEN_AT_FLOOR = 1000
-ROWS_PER_TASK = 1_000_000
+ROWS_PER_TASK = 250_000
 SALTS = 64
 
 LOOKUP_MAX_ROWS = 500_000
@@ -53,21 +53,28 @@ def is_hot(keys: Sequence[str | Column], codes: list[int]) -> Column:
     return key_code(keys).isin(codes) if codes else F.lit(False)
 
 
+def by_shares(df: DataFrame, rows: int, *by: str | Column) -> DataFrame:
+    """The frame placed by columns, into a share for each ROWS_PER_TASK of ``rows``.
+
+    Their number is said, since adaptive execution would otherwise merge shares until there are about as
+    many as cores: a task would then take a part of all rows, however many there are. Inputs of one share
+    are left to it. Frames placed with the same ``rows`` can be joined without being placed again.
+    """
+    shares = -(-rows // ROWS_PER_TASK)
+    return df.repartition(shares, *by) if shares > 1 else df.repartition(*by)
+
+
 def placed(df: DataFrame, key: str, others: Sequence[str], rows: int, codes: list[int]) -> DataFrame:
     """Rows placed by a key, those of hot keys by their other columns too.
 
     For a grouping that sorts its input, as all do that keep texts: what a task sorts is
     then a share of the rows, however few tasks read them and whatever these unfold.
-    There are as many shares as the session has, or more so that none is far above ROWS_PER_TASK.
     """
     by = [F.col(key)]
     if codes:
         salt = F.pmod(F.xxhash64(*others), F.lit(SALTS))
         by.append(F.when(is_hot([key], codes), salt).otherwise(0))
-    shares = -(-rows // ROWS_PER_TASK)
-    if shares > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
-        return df.repartition(shares, *by)
-    return df.repartition(*by)
+    return by_shares(df, rows, *by)
 
 
 def join_to_unique(

@@ -16,8 +16,9 @@ from tenderline.sources.snapshots import SnapshotStore
 from tenderline.sources.stores import Store, staged
 
 BUCKETS = 64
-# Tasks that write one bucket, so that none has to take all rows of one.
+# Tasks that write one bucket, so that none has to take all rows of one: so many at least, and one for each so many of its products.
 WRITERS_PER_BUCKET = 4
+PRODUCTS_PER_WRITER = 250_000
 
 PRODUCTS, VALUES, FIELDS, HEADERS = (s.name for s in JOBS["pricebook_info"].sources)
 #: Per input the key that its digests go by, and the columns that the table depends on.
@@ -54,10 +55,11 @@ def _touched(frames: dict[str, DataFrame], changed: dict[str, DataFrame]) -> Dat
     return found.where("product_id IS NOT NULL").distinct()
 
 
-def _with_bucket(rows: DataFrame, buckets: int) -> DataFrame:
-    """Rows placed by bucket, each bucket in a few tasks."""
-    salt = F.pmod(F.xxhash64(*rows.columns), F.lit(WRITERS_PER_BUCKET))
-    many = max(buckets, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+def _with_bucket(rows: DataFrame, buckets: int, products: int) -> DataFrame:
+    """Rows placed by bucket, each bucket in a few tasks, or more where the ``products`` of all buckets are many."""
+    writers = max(WRITERS_PER_BUCKET, -(-products // (buckets * PRODUCTS_PER_WRITER)))
+    salt = F.pmod(F.xxhash64(*rows.columns), F.lit(writers))
+    many = max(buckets * writers, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return rows.withColumn("bucket", bucket_of("product_id", buckets)).repartition(many, "bucket", salt)
 
 
@@ -81,9 +83,10 @@ def refresh_by_changes(
     frames = read_sources(spark, job.sources, source)
     attributes = attributes or names.ATTRIBUTES
     now = {s: staged(key_digests(frames[s], key, list(columns))) for s, (key, columns) in WATCHED.items()}
+    listed = now[PRODUCTS].agg(F.sum("rows")).first()[0] or 0
     full = target.manifest(spark, job.target) is None or any(target.manifest(spark, _digest_table(s)) is None for s in WATCHED)
     if full:
-        target.replace_buckets(_with_bucket(attribute_pivot(*(frames[s] for s in WATCHED), attributes), buckets), job.target)
+        target.replace_buckets(_with_bucket(attribute_pivot(*(frames[s] for s in WATCHED), attributes), buckets, listed), job.target)
         report = Refresh(True, 0, ())
     else:
         changed = {s: staged(change_set(target.read(spark, _digest_table(s)), now[s])) for s in WATCHED}
@@ -98,7 +101,7 @@ def refresh_by_changes(
             fresh = attribute_pivot(*({**frames, **some}[s] for s in WATCHED), attributes)
             kept = target.read_buckets(spark, job.target, hit).join(products, "product_id", "left_anti")
             rows = kept.select(*fresh.columns).unionByName(fresh)
-            target.replace_buckets(_with_bucket(rows, buckets), job.target, hit)
+            target.replace_buckets(_with_bucket(rows, buckets, listed), job.target, hit)
     for s, digests in now.items():
         target.replace(digests, _digest_table(s))
     return report

@@ -298,3 +298,16 @@ def test_shares_grow_with_the_rows(spark):
 
     rows = spark.range(10).selectExpr("id", "id AS other")
     assert placed(rows, "id", ["other"], 30 * ROWS_PER_TASK, []).rdd.getNumPartitions() == 30
+
+
+def test_shares_of_values_are_not_merged(spark, monkeypatch):
+    """Adaptive execution would merge small shares to about as many as cores, so that each grows with the input."""
+    from tenderline.operators import balance
+
+    monkeypatch.setattr(balance, "ROWS_PER_TASK", 100)
+    wide, values = _wide(spark, 50)
+    assert values.count() == 2000
+    assert wide.rdd.getNumPartitions() == 20
+    assert {r[0]: (r[1], r[2]) for r in wide.collect()} == {
+        p: tuple(max(r[2] for r in values.collect() if r[0] == p and r[1] == f) for f in (1, 2)) for p in range(50)
+    }
