@@ -12,16 +12,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenderline.llm.shared import discard, release, stored
-from tenderline.llm.text import BASE, chunks, mixed, powers
+from tenderline.llm.text import BASE, BYTES, CHUNK_BYTES, chunks, mixed, powers
 
 FIRST = 16
+#: Spans whose bytes are gathered at once.
+SPANS = 1 << 15
 #: Hot ranks: looked for in one document of SAMPLE; those in HOT_SHARE of them or more; HOT_RANKS at most.
 SAMPLE, HOT_SHARE, HOT_RANKS = 64, 1e-3, 1_000_000
 
 
 def _prefix_hashes(data: np.ndarray) -> np.ndarray:
     """Hashes of the FIRST bytes at each position, doubled from those of one byte."""
-    h, size = mixed(data.astype(np.uint64) + np.uint64(1)), 1
+    h, size = BYTES[data], 1
     while size < FIRST:
         h = h[:-size] * np.uint64(pow(0x9E3779B97F4A7C15, size, 1 << 64)) + h[size:]
         size *= 2
@@ -46,15 +48,28 @@ def sampled(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndar
         least = np.minimum(least[:-step], least[step:])
         size += step
     at = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    counts = np.maximum(np.diff(offsets) - length + 1, 0)
-    text = np.repeat(np.arange(len(counts)), counts)
-    start = np.arange(len(text)) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(offsets[:-1], counts)
-    if not len(start):
+    # Windows go by their place in `data`; those across two texts are left out, and each text begins a run.
+    texts = np.flatnonzero(np.diff(offsets) >= length)
+    begins = offsets[texts]
+    new = np.zeros(len(at), bool)
+    new[1:] = at[1:] != at[:-1]
+    new[begins] = True
+    first = np.flatnonzero(new)
+    text = np.searchsorted(offsets, first, side="right") - 1
+    stops = offsets[text + 1] - length + 1
+    inside = first < stops
+    if not inside.any():
         return none, none, none, none, none
-    at = at[start]
-    first = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (text[1:] != text[:-1])])
-    runs = np.diff(np.r_[first, len(start)])
-    return text[first], start[first] - offsets[text[first]], runs, at[first] - start[first], h[at[first]].view(np.int64)
+    runs = np.minimum(np.r_[first[1:], len(at)], stops)[inside]
+    text, first = text[inside], first[inside]
+    return text, first - offsets[text], runs - first, at[first] - first, h[at[first]].view(np.int64)
+
+
+def _found(rank: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    """Whether each rank is among others that are in order."""
+    if not len(ordered):
+        return np.zeros(len(rank), bool)
+    return ordered[np.minimum(np.searchsorted(ordered, rank), len(ordered) - 1)] == rank
 
 
 def _samples(length: int, hot: Broadcast | None):
@@ -65,36 +80,54 @@ def _samples(length: int, hot: Broadcast | None):
             for first, _, data, offsets in chunks(batch.column(1)):
                 text, _, _, _, rank = sampled(data, offsets, length)
                 if hot is not None:
-                    cold = ~np.isin(rank, hot.value)
+                    cold = ~_found(rank, hot.value)
                     text, rank = text[cold], rank[cold]
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(text + first)), pa.array(rank)], names=["doc_id", "rank"])
 
     return run
 
 
-def _run_hashes(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """A hash of the bytes data[begin : begin + size] of each run."""
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(data.astype(np.uint64) + np.uint64(1)) * powers(len(data) + 1)[:-1], dtype=np.uint64)])
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of BASE and of its inverse."""
+    return powers(n), powers(n, pow(BASE, -1, 1 << 64))
+
+
+def _run_hashes(data: np.ndarray, begin: np.ndarray, size: np.ndarray, power: np.ndarray, inverse: np.ndarray) -> np.ndarray:
+    """A hash of the bytes data[begin : begin + size] of each run, with the powers of BASE and of its inverse."""
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(BYTES[data] * power[: len(data)], dtype=np.uint64, out=sums[1:])
     # Divided by the power at the start, so that equal bytes are equal wherever they are.
-    inverse = powers(len(data) + 1, pow(BASE, -1, 1 << 64))
     return mixed((sums[begin + size] - sums[begin]) * inverse[begin] + size.astype(np.uint64))
 
 
+def _among(text: np.ndarray, rank: np.ndarray, ranks: pa.ListArray) -> np.ndarray:
+    """Whether each rank is in the list of its text."""
+    listed, bounds = ranks.values.to_numpy(), ranks.offsets.to_numpy()
+    sizes = np.where(ranks.is_valid().to_numpy(zero_copy_only=False), np.diff(bounds), 0)
+    if not sizes.sum():
+        return np.zeros(len(rank), bool)
+    ends = np.cumsum(sizes)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    listed = listed[np.arange(ends[-1]) + np.repeat(bounds[:-1] - (ends - sizes), sizes)]
+    # Text and rank in one number. One met by chance lets a run pass that the grouping of runs then finds in no other document.
+    names = [mixed(r.view(np.uint64) + t.astype(np.uint64) * np.uint64(BASE)) for t, r in ((owner, listed), (text, rank))]
+    return _found(names[1], np.sort(names[0]))
+
+
 def _runs(length: int, hot: Broadcast):
     """For rows (doc_id, tag, text, ranks): the runs of windows with one of these ranks or a hot one, with a hash of their bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = _powers(CHUNK_BYTES)
         for batch in batches:
             for first, end, data, offsets in chunks(batch.column(2)):
+                power, inverse = held if len(data) <= CHUNK_BYTES else _powers(len(data))
                 text, start, windows, spot, rank = sampled(data, offsets, length)
-                alive = np.isin(rank, hot.value)
-                index = np.searchsorted(text, np.arange(end - first + 1))
-                for i in range(end - first):
-                    known = batch.column(3)[first + i]
-                    if known.is_valid and index[i] < index[i + 1]:
-                        alive[index[i] : index[i + 1]] |= np.isin(rank[index[i] : index[i + 1]], known.values.to_numpy())
+                alive = _found(rank, hot.value)
+                rest = np.flatnonzero(~alive)
+                alive[rest] = _among(text[rest], rank[rest], batch.column(3).slice(first, end - first))
                 text, start, windows, spot, rank = (x[alive] for x in (text, start, windows, spot, rank))
-                same = _run_hashes(data, offsets[text] + start, windows + length - 1).view(np.int64)
+                same = _run_hashes(data, offsets[text] + start, windows + length - 1, power, inverse).view(np.int64)
                 take = pa.array(text + first)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(take), batch.column(1).take(take), pa.array(start.astype(np.int32)), pa.array(windows.astype(np.int16)), pa.array(spot.astype(np.int16)), pa.array(rank), pa.array(same)],
@@ -109,12 +142,19 @@ def _bytes_of(length: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                data, runs = batch.column(1)[i].as_buffer().to_pybytes(), batch.column(2)[i].values
-                starts, windows = runs.field("start").to_pylist(), runs.field("windows").to_pylist()
-                spans = pa.array([data[a : a + w + length - 1] for a, w in zip(starts, windows, strict=True)], pa.binary())
-                same = batch.column(0).take(pa.array(np.full(len(starts), i)))
-                yield pa.RecordBatch.from_arrays([runs.field("id"), same, runs.field("windows"), runs.field("spot"), spans], names=["id", "doc_id", "windows", "spot", "span"])
+            for first, end, data, offsets in chunks(batch.column(1)):
+                lists = batch.column(2).slice(first, end - first)
+                bounds = lists.offsets.to_numpy()
+                owner = np.repeat(np.arange(end - first), np.diff(bounds))
+                for at in range(0, len(owner), SPANS):
+                    runs, of = lists.values.slice(bounds[0] + at, min(SPANS, len(owner) - at)), owner[at : at + SPANS]
+                    begin = offsets[of] + runs.field("start").to_numpy()
+                    size = runs.field("windows").to_numpy().astype(np.int64) + length - 1
+                    ends = np.cumsum(size)
+                    span = data[np.arange(ends[-1]) + np.repeat(begin - (ends - size), size)]
+                    spans = pa.Array.from_buffers(pa.binary(), len(of), [None, pa.py_buffer(np.r_[0, ends].astype(np.int32)), pa.py_buffer(span)])
+                    same = batch.column(0).take(pa.array(of + first))
+                    yield pa.RecordBatch.from_arrays([runs.field("id"), same, runs.field("windows"), runs.field("spot"), spans], names=["id", "doc_id", "windows", "spot", "span"])
 
     return run
 

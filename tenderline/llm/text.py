@@ -64,6 +64,10 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(33))
 
 
+#: A hash of each byte.
+BYTES = mixed(np.arange(256, dtype=np.uint64) + _U(1))
+
+
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of all words in the bytes, and per text the index of its first word (n + 1)."""
     if not len(data):

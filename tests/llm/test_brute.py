@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tokenizers
 
@@ -249,3 +250,33 @@ def test_lines_of_a_spread_group(spark, base):
     out = without_duplicate_lines(spark.createDataFrame([(1, "\n".join(lines))], "doc_id long, text string")).first()
     want = [lines[i] for i in lines_kept_by_brute_force(lines)]
     assert 1 < len(want) < len(lines) and out.text.split("\n") == want
+
+
+@pytest.mark.parametrize("few", [3, 1 << 15])
+def test_tasks_of_op10_take_many_texts_at_once(monkeypatch, few):
+    """One batch of spans for a chunk of texts, not one for each text; ranks are looked up for all texts of a chunk."""
+    monkeypatch.setattr(suffix_dedup, "SPANS", few)
+    texts = [b"", b"ab" * 40, b"x" * 49, bytes(range(97, 123)) * 5, b"ab" * 40 + b"c" * 60]
+    offsets = np.cumsum([0, *map(len, texts)])
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    text, start, windows, spot, rank = suffix_dedup.sampled(data, offsets, 50)
+    h = [int(x) >> 32 for x in suffix_dedup._prefix_hashes(data)]
+    expected = []
+    for t, body in enumerate(texts):
+        for p in range(len(body) - 49):
+            at = min(range(offsets[t] + p, offsets[t] + p + 35), key=h.__getitem__) - offsets[t]
+            if expected and expected[-1][0] == t and expected[-1][1] + expected[-1][3] == at:
+                expected[-1][2] += 1
+            else:
+                expected.append([t, p, 1, at - p])
+    assert [list(r) for r in zip(*(x.tolist() for x in (text, start, windows, spot)))] == expected
+    lists = pa.array([None, rank[text == 1].tolist()[:1], [], rank[text == 3].tolist()[1:], [5]], pa.list_(pa.int64()))
+    listed = [r in (lists[t].as_py() or []) for t, r in zip(text.tolist(), rank.tolist())]
+    assert suffix_dedup._among(text, rank, lists).tolist() == listed
+    kind = pa.struct([("id", pa.int64()), ("start", pa.int32()), ("windows", pa.int16()), ("spot", pa.int16())])
+    runs = [[(i, int(start[i]), int(windows[i]), int(spot[i])) for i in np.flatnonzero(text == t)] for t in (1, 3, 4)]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 3, 4]), pa.array([texts[t] for t in (1, 3, 4)]), pa.array(runs, pa.list_(kind))], names=["doc_id", "text", "runs"])
+    made = list(suffix_dedup._bytes_of(50)(iter([batch])))
+    spans = [(r["id"], r["doc_id"], r["span"]) for b in made for r in b.to_pylist()]
+    assert spans == [(i, t, texts[t][start[i] : start[i] + windows[i] + 49]) for i, t in enumerate(text.tolist())]
+    assert len(made) == -(-len(spans) // few)
