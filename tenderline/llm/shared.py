@@ -33,13 +33,13 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """The rows as a Parquet table in the shared folder: computed once, read often, safe when executors go.
 
     Tables stay until the owner of the folder clears it, since results are read from them lazily."""
     spark, schema = df.sparkSession, df.schema
     path = new_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(schema).parquet(path)
 
 

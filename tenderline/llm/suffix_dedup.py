@@ -15,6 +15,8 @@ from tenderline.llm.shared import discard, release, stored
 from tenderline.llm.text import BASE, BYTES, CHUNK_BYTES, chunks, mixed, powers
 
 FIRST = 16
+#: Of the tables between steps, which stand beside the shuffles of the step that reads them.
+CODEC = "zstd"
 #: Spans whose bytes are gathered at once.
 SPANS = 1 << 15
 #: Hot ranks: looked for in one document of SAMPLE; those in HOT_SHARE of them or more; HOT_RANKS at most.
@@ -207,7 +209,7 @@ def _grown(spans: DataFrame, length: int) -> DataFrame:
     sides = sides.union(left.select("id", "doc_id", "span", F.lit(0), F.expr(f"least(windows - 1, spot - {half + 1})"), F.lit(0), F.expr(f"xxhash64(substring(span, spot - {half} + 1, {FIRST + half}))")))
     shared = sides.groupBy("side", "grown").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("side", "grown")
     alive = sides.join(shared, ["side", "grown"], "left_semi").withColumn("from", F.expr("greatest(0, from)"))
-    alive = stored(alive.where("from <= to").select("id", "doc_id", "span", "from", "to"), "grown")
+    alive = stored(alive.where("from <= to").select("id", "doc_id", "span", "from", "to"), "grown", CODEC)
     release(alive.sparkSession)
     spots = alive.select("id", "doc_id", "span", F.explode(F.sequence("from", "to")).alias("at"))
     cut = length // 2
@@ -240,20 +242,20 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     samples = named.mapInArrow(_samples(length, hot), "doc_id long, rank long").repartition("rank")
     several = samples.groupBy("rank").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("rank")
     alive = samples.join(several.hint("shuffle_hash"), "rank", "left_semi")
-    alive = stored(alive.groupBy("doc_id").agg(F.collect_set("rank").alias("ranks")), "alive")
+    alive = stored(alive.groupBy("doc_id").agg(F.collect_set("rank").alias("ranks")), "alive", CODEC)
     release(spark)
 
     known = named.join(alive, "doc_id", "left").select("doc_id", F.xxhash64("text").alias("tag"), F.col("text").cast("binary").alias("text"), "ranks")
-    runs = stored(known.mapInArrow(_runs(length, hot), "doc_id long, tag long, start int, windows short, spot short, rank long, same long"), "runs")
+    runs = stored(known.mapInArrow(_runs(length, hot), "doc_id long, tag long, start int, windows short, spot short, rank long, same long"), "runs", CODEC)
     discard(alive)
     release(spark)
 
     classes = runs.groupBy("rank", "same").agg(F.min(F.col("doc_id")).alias("least"), F.max("doc_id").alias("most"))
-    classes = stored(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
+    classes = stored(classes.withColumn("id", F.monotonically_increasing_id()), "classes", CODEC)
     release(spark)
     several = classes.groupBy("rank").agg(F.count("*").alias("k"), F.min("least").alias("lo"), F.max("most").alias("hi")).where("k > 1 and lo < hi")
     contested = classes.join(several.select("rank", F.lit(True).alias("contested")), "rank", "left")
-    hits = stored(runs.join(contested.select("rank", "same", "least", "id", "contested"), ["rank", "same"]).drop("rank", "same"), "hits")
+    hits = stored(runs.join(contested.select("rank", "same", "least", "id", "contested"), ["rank", "same"]).drop("rank", "same"), "hits", CODEC)
     discard(runs, classes)
     release(spark)
 
@@ -263,9 +265,9 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     chosen = chosen.groupBy("doc_id", "tag").agg(F.collect_list("run").alias("runs"))
     texts = named.select("doc_id", F.xxhash64("text").alias("tag"), F.col("text").cast("binary").alias("text"))
     texts = texts.join(chosen, ["doc_id", "tag"]).select("doc_id", "text", "runs")
-    spans = stored(texts.mapInArrow(_bytes_of(length), "id long, doc_id long, windows short, spot short, span binary"), "spans")
+    spans = stored(texts.mapInArrow(_bytes_of(length), "id long, doc_id long, windows short, spot short, span binary"), "spans", CODEC)
     release(spark)
-    marks = stored(_grown(spans, length), "marks")
+    marks = stored(_grown(spans, length), "marks", CODEC)
     discard(spans)
     release(spark)
 

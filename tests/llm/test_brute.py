@@ -280,3 +280,10 @@ def test_tasks_of_op10_take_many_texts_at_once(monkeypatch, few):
     spans = [(r["id"], r["doc_id"], r["span"]) for b in made for r in b.to_pylist()]
     assert spans == [(i, t, texts[t][start[i] : start[i] + windows[i] + 49]) for i, t in enumerate(text.tolist())]
     assert len(made) == -(-len(spans) // few)
+
+
+def test_stored_tables_take_a_codec(spark):
+    from tenderline.llm.shared import stored
+
+    rows = stored(spark.range(3), "codec", suffix_dedup.CODEC)
+    assert all(".zstd." in f for f in rows.inputFiles()) and rows.count() == 3
