@@ -8,13 +8,15 @@ import time
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Words of 64 bits in the bitmap of a set.
 WORDS = 16
 #: Members of a bucket that are compared with the others in a round after the first.
 DRAWS = 1
+#: Members of a bucket, at most, that are all compared with each other when the hub leaves some outside.
+SMALL = 32
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -43,15 +45,15 @@ def stored(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def numbered(rows: DataFrame, order: list[str], direct: Column, name: str) -> DataFrame:
+def numbered(rows: DataFrame, order: list[str], direct: Column, name: str, codec: str | None = None) -> DataFrame:
     """The rows in a stored table, each with a `node` of its own that grows along `order`.
 
     `direct` is such a number for nearly all inputs (null where it is none). Where two rows have the same one, or one has none, all rows are
     put in order and counted through instead. The least node of a bucket is then its earliest member, which others are likely to be copies of."""
-    table = stored(rows, name)
+    table = stored(rows, name, codec)
     if table.groupBy(direct.alias("n")).count().where("count > 1 or n is null").isEmpty():
         return table.withColumn("node", direct)
-    return stored(table.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("node", F.monotonically_increasing_id()), name)
+    return stored(table.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("node", F.monotonically_increasing_id()), name, codec)
 
 
 def discard(*tables: DataFrame) -> None:
@@ -108,24 +110,29 @@ def star_components(buckets: DataFrame, confirm: Callable[[DataFrame], DataFrame
     1. Stars: in each bucket one member, its hub, is compared with the others, so a bucket costs as many pairs
        as it has members. The hub is the member with most fellows over all its buckets: variants share more buckets with what they
        are variants of than with each other. Of equals it is the least node. The links give components.
-    2. Draws: in buckets with members outside the hub's component, DRAWS members chosen by a hash are compared with those of
+    2. Small buckets: those of up to SMALL members, some of them outside the hub's component, are done with by comparing all
+       their pairs in different components, at most SMALL / 2 for each of their rows.
+    3. Draws: in larger buckets with members outside the hub's component, DRAWS members chosen by a hash are compared with those of
        other components. A chosen member is in the hub's component as often as members are, so a round costs about
        2 * DRAWS pairs for each member outside. Rounds go on while each leaves at most half of the members outside.
-    3. Rest: members still outside the component of their bucket's hub may be linked to any
-       live member. Items are put in one order, rarest first; a linked pair has its first shared item among the first
+    4. Rest: members still outside the component of their larger bucket's hub may be linked to any
+       live member of such buckets. Items are put in one order, rarest first; a linked pair has its first shared item among the first
        n - ceil(percent * n / 100) + 1 of each of its two sets, and few enough items before it. So members are joined on those
        rare items, and not on what the whole group has. Items that no other live set has cannot be shared, which bounds a
        partner's size. Each set also has a bitmap of 64 * WORDS places, by ranges of the hash: a place that only one of two
        sets has stands for at least one item that is not shared, which bounds the intersection. Only pairs within
        the bounds are compared. Nothing is left unseen: a pair is in one component, or compared, or cannot be linked."""
     spark, p = buckets.sparkSession, percent
+    # Dealt once, for the counts and for the join with them.
+    buckets = buckets.repartition("bucket")
     counts = buckets.groupBy("bucket").agg(F.count("*").alias("k"), F.min("node").alias("least")).where("k > 1")
-    buckets = stored(buckets.join(counts, "bucket"), "buckets")
+    buckets = stored(buckets.join(counts.hint("shuffle_hash"), "bucket"), "buckets")
+    release(spark)
     crowded = buckets.where("k > 2").select("bucket", "node", "k")
     fellows = crowded.groupBy("node").agg(F.sum("k").alias("fellows"))
     hubs = crowded.join(fellows, "node").groupBy("bucket").agg(F.max(F.struct("fellows", F.bitwise_not("node").alias("turned"))).alias("hub"))
     hubs = hubs.select("bucket", F.bitwise_not("hub.turned").alias("hub"))
-    wide, buckets = buckets, stored(buckets.join(hubs, "bucket", "left").select("bucket", "node", F.coalesce("hub", "least").alias("hub")), "hubs")
+    wide, buckets = buckets, stored(buckets.join(hubs, "bucket", "left").select("bucket", "node", "k", F.coalesce("hub", "least").alias("hub")), "hubs")
     discard(wide)
     tried = stored(buckets.where("node <> hub").select(*_least_first("node", "hub")).distinct(), "stars")
     release(spark)
@@ -133,13 +140,15 @@ def star_components(buckets: DataFrame, confirm: Callable[[DataFrame], DataFrame
     release(spark)
     labels, linked, before = components(links), not links.isEmpty(), None
     while True:
-        named = buckets.join(labels, "node", "left").select("bucket", "node", "hub", F.coalesce("component", "node").alias("comp"))
+        named = buckets.join(labels, "node", "left").select("bucket", "node", "k", "hub", F.coalesce("component", "node").alias("comp"))
         mains = labels.select(F.col("node").alias("hub"), F.col("component").alias("main"))
-        named = named.join(mains, "hub", "left").select("bucket", "node", "comp", F.coalesce("main", "hub").alias("main"))
+        named = named.join(mains, "hub", "left").select("bucket", "node", "k", "comp", F.coalesce("main", "hub").alias("main"))
         apart = named.groupBy("bucket").agg(F.max(F.col("comp") != F.col("main")).alias("apart")).where("apart")
-        members = stored(named.join(apart.select("bucket"), "bucket", "left_semi"), "live")
+        live = stored(named.join(apart.select("bucket"), "bucket", "left_semi"), "live")
+        members = live.where(F.col("k") > SMALL)
         outside = members.where("comp <> main").count()
-        if not outside:
+        small = live.where(F.col("k") <= SMALL) if before is None else live.limit(0)
+        if not outside and small.isEmpty():
             return labels if linked else None
         if before is not None and 2 * outside > before:
             break
@@ -150,21 +159,26 @@ def star_components(buckets: DataFrame, confirm: Callable[[DataFrame], DataFrame
             draws += [F.min_by("node", order).alias(f"node{k}"), F.min_by("comp", order).alias(f"comp{k}")]
         drawn = members.groupBy("bucket").agg(*draws)
         drawn = drawn.select("bucket", F.explode(F.array(*[F.struct(F.col(f"node{k}").alias("node"), F.col(f"comp{k}").alias("comp")) for k in range(DRAWS)])).alias("d")).select("bucket", F.col("d.node").alias("d_node"), F.col("d.comp").alias("d_comp"))
-        pairs = members.join(drawn, "bucket").where("comp <> d_comp").select(*_least_first("node", "d_node")).distinct().join(tried, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "draws")
+        pairs = members.join(drawn, "bucket").where("comp <> d_comp").select(*_least_first("node", "d_node"))
+        others = small.select("bucket", F.col("node").alias("other"), F.col("comp").alias("other_comp"))
+        pairs = pairs.union(small.join(others, "bucket").where("node < other and comp <> other_comp").select("node", "other"))
+        pairs = stored(pairs.distinct().join(tried, ["a", "b"], "left_anti"), "draws")
         more = stored(confirm(pairs), "links")
         release(spark)
         tried = tried.union(pairs)
+        if more.isEmpty() and not outside:
+            return labels if linked else None
         if more.isEmpty():
             break
         labels, linked = components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)), True
-        discard(members)
+        discard(live)
     discard(buckets)
     held = stored(items(members.select("node").distinct()), "held")
     release(spark)
     place = F.shiftrightunsigned("item", 54).cast("int")
     bits = [F.bit_or(F.when(F.shiftright(place, 6) == k, F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(63))).otherwise(0)) for k in range(WORDS)]
-    shown = held.join(held.groupBy("item").agg(F.count("*").alias("k")), "item")
+    # Dealt by item once; the rows of an item are one for each live member at most.
+    shown = held.withColumn("k", F.count("*").over(Window.partitionBy("item")))
     sets = shown.groupBy("node").agg(F.count("*").alias("n"), F.array(*bits).alias("f"), F.count_if(F.col("k") == 1).alias("own"), F.sort_array(F.collect_list(F.struct("k", "item"))).alias("rare"))
     sets = sets.selectExpr("node", "n", "f", f"least(100 * n div {p}, ({100 + p} * (n - own) - {p} * n) div {p}) as most", f"slice(rare, 1, cast(n - ({p} * n + 99) div 100 + 1 as int)) as rare")
     sets = stored(sets.where(f"100 * most >= {p} * n"), "sets")
