@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenderline.llm.shared import discard, release, stored
@@ -208,14 +208,15 @@ def _grown(spans: DataFrame, length: int) -> DataFrame:
     sides = right.select("id", "doc_id", "span", F.expr(f"spot - {half}").alias("from"), (F.col("windows") - 1).alias("to"), F.lit(1).alias("side"), F.expr(f"xxhash64(substring(span, spot + 1, {FIRST + half}))").alias("grown"))
     sides = sides.union(left.select("id", "doc_id", "span", F.lit(0), F.expr(f"least(windows - 1, spot - {half + 1})"), F.lit(0), F.expr(f"xxhash64(substring(span, spot - {half} + 1, {FIRST + half}))")))
     shared = sides.groupBy("side", "grown").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("side", "grown")
-    alive = sides.join(shared, ["side", "grown"], "left_semi").withColumn("from", F.expr("greatest(0, from)"))
+    # Joins are with what is left of the groups, looked up by hash, so that the many rows beside it need not be sorted.
+    alive = sides.join(shared.hint("shuffle_hash"), ["side", "grown"], "left_semi").withColumn("from", F.expr("greatest(0, from)"))
     alive = stored(alive.where("from <= to").select("id", "doc_id", "span", "from", "to"), "grown", CODEC)
     release(alive.sparkSession)
     spots = alive.select("id", "doc_id", "span", F.explode(F.sequence("from", "to")).alias("at"))
     cut = length // 2
     spots = spots.select("id", "doc_id", "at", F.expr(f"xxhash64(substring(span, at + 1, {cut}))").alias("first"), F.expr(f"xxhash64(substring(span, at + {cut + 1}, {length - cut}))").alias("second"))
     least = spots.groupBy("first", "second").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").drop("most")
-    return spots.join(least, ["first", "second"]).where("least < doc_id").select("id", "at")
+    return spots.join(least.hint("shuffle_hash"), ["first", "second"]).where("least < doc_id").select("id", "at")
 
 
 def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50) -> DataFrame:
@@ -239,9 +240,10 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     named = rows.where("doc_id is not null and text is not null")
     hot = spark.sparkContext.broadcast(_hot_ranks(named, length))
-    samples = named.mapInArrow(_samples(length, hot), "doc_id long, rank long").repartition("rank")
-    several = samples.groupBy("rank").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("rank")
-    alive = samples.join(several.hint("shuffle_hash"), "rank", "left_semi")
+    samples = named.mapInArrow(_samples(length, hot), "doc_id long, rank long")
+    # A window, since both sides of a join would make and deal the samples, each for itself.
+    same = Window.partitionBy("rank")
+    alive = samples.select("doc_id", "rank", F.min("doc_id").over(same).alias("lo"), F.max("doc_id").over(same).alias("hi")).where("lo < hi")
     alive = stored(alive.groupBy("doc_id").agg(F.collect_set("rank").alias("ranks")), "alive", CODEC)
     release(spark)
 
@@ -254,14 +256,14 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     classes = stored(classes.withColumn("id", F.monotonically_increasing_id()), "classes", CODEC)
     release(spark)
     several = classes.groupBy("rank").agg(F.count("*").alias("k"), F.min("least").alias("lo"), F.max("most").alias("hi")).where("k > 1 and lo < hi")
-    contested = classes.join(several.select("rank", F.lit(True).alias("contested")), "rank", "left")
-    hits = stored(runs.join(contested.select("rank", "same", "least", "id", "contested"), ["rank", "same"]).drop("rank", "same"), "hits", CODEC)
+    contested = classes.join(several.select("rank", F.lit(True).alias("contested")).hint("shuffle_hash"), "rank", "left")
+    hits = stored(runs.join(contested.select("rank", "same", "least", "id", "contested").hint("shuffle_hash"), ["rank", "same"]).drop("rank", "same"), "hits", CODEC)
     discard(runs, classes)
     release(spark)
 
     # One run of each contested class, in its least document; their bytes come from the texts once more.
-    place = F.min(F.struct("tag", "start", "windows", "spot")).alias("r")
-    chosen = hits.where("contested and doc_id = least").groupBy("id", "doc_id").agg(place).select("doc_id", "r.tag", F.struct("id", "r.start", "r.windows", "r.spot").alias("run"))
+    chosen = hits.where("contested and doc_id = least").select("id", "doc_id", "tag", "start", "windows", "spot").dropDuplicates(["id", "doc_id"])
+    chosen = chosen.select("doc_id", "tag", F.struct("id", "start", "windows", "spot").alias("run"))
     chosen = chosen.groupBy("doc_id", "tag").agg(F.collect_list("run").alias("runs"))
     texts = named.select("doc_id", F.xxhash64("text").alias("tag"), F.col("text").cast("binary").alias("text"))
     texts = texts.join(chosen, ["doc_id", "tag"]).select("doc_id", "text", "runs")
@@ -272,7 +274,7 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     release(spark)
 
     copies = hits.where("doc_id > least").select("doc_id", "tag", F.col("start").alias("a"), F.expr(f"start + windows + {length - 1}").alias("b"))
-    single = hits.where("doc_id = least").join(marks, "id").select("doc_id", "tag", F.expr("start + at").alias("a"), F.expr(f"start + at + {length}").alias("b"))
+    single = hits.where("doc_id = least").join(marks.hint("shuffle_hash"), "id").select("doc_id", "tag", F.expr("start + at").alias("a"), F.expr(f"start + at + {length}").alias("b"))
     removed = copies.union(single).groupBy("doc_id", "tag").agg(F.collect_list("a").alias("a"), F.collect_list("b").alias("b"))
     tagged = rows.withColumn("tag", F.xxhash64("text"))
     whole = tagged.join(removed, ["doc_id", "tag"], "left").select("doc_id", F.col("text").cast("binary").alias("text"), "a", "b")

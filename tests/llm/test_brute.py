@@ -287,3 +287,26 @@ def test_stored_tables_take_a_codec(spark):
 
     rows = stored(spark.range(3), "codec", suffix_dedup.CODEC)
     assert all(".zstd." in f for f in rows.inputFiles()) and rows.count() == 3
+
+
+def test_windows_are_looked_up_without_sorting(spark):
+    text = bytes(range(97, 123)) * 4
+    spans = spark.createDataFrame([(k, k, 5, 4, bytearray(text[k : 54 + k])) for k in (0, 26)], "id long, doc_id long, windows short, spot short, span binary")
+    found = suffix_dedup._grown(spans, 50)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+    assert {(r.id, r.at) for r in found.collect()} == {(26, at) for at in range(5)}
+
+
+def test_samples_are_made_once(spark, monkeypatch):
+    plans, stored = {}, suffix_dedup.stored
+
+    def kept(rows, name, codec=None):
+        plans[name] = rows._jdf.queryExecution().executedPlan().toString()
+        return stored(rows, name, codec)
+
+    monkeypatch.setattr(suffix_dedup, "stored", kept)
+    text = "".join(random.Random(4).choices("abcdefgh", k=90))
+    out = suffix_dedup.repeated_bytes(spark.createDataFrame([(1, text), (2, "x" + text)], "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.n_removed) for r in out} == {(1, 0), (2, 90)}
+    assert plans["alive"].count("MapInArrow") == 1
