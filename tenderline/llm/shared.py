@@ -106,6 +106,7 @@ def star_components(buckets: DataFrame, confirm: Callable[[DataFrame], DataFrame
 
     `buckets` has (bucket, node); `confirm` takes pairs (a, b) and returns those linked, that is with
     100 * intersection >= percent * union of their sets; `items` takes nodes and returns the (node, item) of their sets.
+    The pairs of the first call of `confirm` name all nodes that share a bucket; later calls, and `items`, get no others.
 
     1. Stars: in each bucket one member, its hub, is compared with the others, so a bucket costs as many pairs
        as it has members. The hub is the member with most fellows over all its buckets: variants share more buckets with what they

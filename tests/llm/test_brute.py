@@ -14,7 +14,7 @@ import pyarrow as pa
 import pytest
 import tokenizers
 
-from tenderline.llm import queries, suffix_dedup, token_counts, warc
+from tenderline.llm import line_dedup, queries, suffix_dedup, token_counts, warc
 from tenderline.llm.line_dedup import without_duplicate_lines
 from tenderline.llm.near_dedup import near_duplicates
 from tests.compare import connect, of_duckdb, of_spark
@@ -239,6 +239,48 @@ def test_pipeline(spark):
     assert docs.columns == [*pipeline.COLUMNS, "epoch", "tokens_taken"]
 
 
+def test_lines_are_not_sorted_or_dealt_more_than_needed(spark, monkeypatch):
+    """Texts are grouped by hash, and those that are compared are taken out of all lines once for all comparisons."""
+    draw = random.Random(4)
+    words = ["".join(draw.choices("abcdefghijklmnop", k=7)) for _ in range(30)]
+    rows = [(i, " ".join(draw.choices(words, k=40)) + "\n" + " ".join(words) + f" {i}") for i in range(60)]
+    plans, write = [], line_dedup.stored
+    monkeypatch.setattr(line_dedup, "stored", lambda df, name, codec=None: (plans.append((name, df._jdf.queryExecution().executedPlan().toString())), write(df, name, codec))[1])
+    out = line_dedup.without_duplicate_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    lines = list(dict.fromkeys(line for _, text in rows for line in text.split("\n")))
+    assert sum(r.n_kept for r in out.select("n_kept").collect()) == len(lines_kept_by_brute_force(lines))
+    found = dict(plans)
+    assert "SortAggregate" not in found["lines"] and "Sort " not in found["lines"]
+    assert [name for name, _ in plans].count("texts") == [name for name, _ in plans].count("marks") == 1
+
+
+def test_marks_never_keep_linked_lines_apart(spark):
+    """The bound by marks, over pairs of all similarities, also of lines that repeat inside themselves."""
+    draw = random.Random(6)
+    base = "".join(draw.choices("abcdefgh ", k=150))
+    lines = list(dict.fromkeys([base * k for k in (1, 2, 7)] + [base[:cut] + "".join(draw.choices("xyz", k=draw.randrange(40))) + base[cut:] for cut in range(0, 150, 4)]))
+    table = spark.createDataFrame(list(enumerate(lines)), "node long, line string")
+    marks = {r.node: r for r in line_dedup._marks(line_dedup._hashed(table, 9)).collect()}
+    sets = [{line[i : i + 9] for i in range(len(line) - 8)} for line in lines]
+    linked = 0
+    for a in range(len(lines)):
+        assert marks[a].n == len(lines[a]) - 8
+        assert sum(w.bit_count() if w >= 0 else (w + (1 << 64)).bit_count() for w in marks[a].f) <= len(sets[a])
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                linked += 1
+                apart = sum(((x ^ y) & ((1 << 64) - 1)).bit_count() for x, y in zip(marks[a].f, marks[b].f, strict=True))
+                assert 20 * (marks[a].n + marks[b].n) >= 180 * apart
+    assert linked > 20
+
+
+@pytest.mark.parametrize("first", [0, (1 << 32) - 3, 1 << 40, -5])
+def test_line_numbers_of_any_id(spark, first):
+    rows = [(first + i, f"the very same line of all the texts\nline {i * 7919} of its own, in text {i}") for i in range(4)]
+    out = {r.doc_id: (r.n_lines, r.n_kept) for r in line_dedup.without_duplicate_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out == {first: (2, 2), **{first + i: (2, 1) for i in (1, 2, 3)}}
+
+
 @pytest.mark.parametrize("base", [True, False])
 def test_lines_of_a_spread_group(spark, base):
     """Variants whose origin comes last or is not there: few are linked with the first of them."""
