@@ -19,6 +19,10 @@ FIRST = 16
 CODEC = "zstd"
 #: Spans whose bytes are gathered at once.
 SPANS = 1 << 15
+#: Groups of a window's places for its sample, each with a string that all windows of the group have.
+GROUPS = 3
+#: Bits of the ranks that are dealt; ranks equal by chance let runs pass that later steps find unique.
+RANK_BITS = 48
 #: Hot ranks: looked for in one document of SAMPLE; those in HOT_SHARE of them or more; HOT_RANKS at most.
 SAMPLE, HOT_SHARE, HOT_RANKS = 64, 1e-3, 1_000_000
 
@@ -32,9 +36,9 @@ def _prefix_hashes(data: np.ndarray) -> np.ndarray:
     return mixed(h)
 
 
-def sampled(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+def sampled(data: np.ndarray, offsets: np.ndarray, length: int, h: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
     """Runs of windows of `length` bytes that sample the same position: (text, first window, windows, place of
-    the sample after the first window's start, hash).
+    the sample after the first window's start, hash). `h` has the hashes of `data` where they are known.
 
     A window samples the first of its positions whose hash of FIRST bytes is least. That depends on
     the bytes of the window alone, so equal windows sample equal bytes at equal places."""
@@ -42,7 +46,7 @@ def sampled(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndar
     none = np.empty(0, np.int64)
     if len(data) < length:
         return none, none, none, none, none
-    h = _prefix_hashes(data)
+    h = _prefix_hashes(data) if h is None else h
     least = (h >> np.uint64(32) << np.uint64(32)) | np.arange(len(h), dtype=np.uint64)
     size = 1
     while size < width:
@@ -67,6 +71,35 @@ def sampled(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndar
     return text, first - offsets[text], runs - first, at[first] - first, h[at[first]].view(np.int64)
 
 
+def grown(h: np.ndarray, at: np.ndarray, windows: np.ndarray, spot: np.ndarray, length: int) -> np.ndarray:
+    """GROUPS ranks for the run of each sample at `at`, of strings of about three quarters of a window that hold the sample.
+
+    Windows go in groups by the place of the sample after their start. What is before the sample at the first place of a
+    group, and after it at the last, is in all windows of the group; with the sample it is ranked. 0 stands for a
+    group that no window of the run is in. `h` has the hashes of the bytes."""
+    spare = length - FIRST
+    edges = [round(k * (spare + 1) / GROUPS) for k in range(GROUPS + 1)]
+    ranks = np.zeros((len(at), GROUPS), np.uint64)
+    for k, (low, high) in enumerate(zip(edges, [e - 1 for e in edges[1:]], strict=False)):
+        if low > high:
+            continue
+        needed = (spot >= low) & (spot - windows < high)
+        begin, rest = at[needed] - low, low + spare - high
+        rank = np.full(len(begin), k + 1, np.uint64)
+        # FIRST bytes at a time; the last may lie over those before.
+        for step in (*range(0, rest, FIRST), rest):
+            rank = mixed(rank * np.uint64(BASE) + h[begin + step])
+        ranks[needed, k] = np.maximum(rank >> np.uint64(64 - RANK_BITS), np.uint64(1))
+    return ranks.view(np.int64)
+
+
+def _ranked(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """(text, first window, windows, place of the sample, ranks of its groups) of the runs of a chunk."""
+    h = _prefix_hashes(data)
+    text, start, windows, spot, _ = sampled(data, offsets, length, h)
+    return text, start, windows, spot, grown(h, offsets[text] + start + spot, windows, spot, length)
+
+
 def _found(rank: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     """Whether each rank is among others that are in order."""
     if not len(ordered):
@@ -75,15 +108,17 @@ def _found(rank: np.ndarray, ordered: np.ndarray) -> np.ndarray:
 
 
 def _samples(length: int, hot: Broadcast | None):
-    """(doc_id, rank) of the samples of each text, without hot ranks."""
+    """(doc_id, rank) of the groups of each text's runs, without hot ranks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, _, data, offsets in chunks(batch.column(1)):
-                text, _, _, _, rank = sampled(data, offsets, length)
+                text, _, _, _, ranks = _ranked(data, offsets, length)
+                text, rank = np.repeat(text, GROUPS), ranks.ravel()
+                cold = rank != 0
                 if hot is not None:
-                    cold = ~_found(rank, hot.value)
-                    text, rank = text[cold], rank[cold]
+                    cold &= ~_found(rank, hot.value)
+                text, rank = text[cold], rank[cold]
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(text + first)), pa.array(rank)], names=["doc_id", "rank"])
 
     return run
@@ -117,23 +152,28 @@ def _among(text: np.ndarray, rank: np.ndarray, ranks: pa.ListArray) -> np.ndarra
 
 
 def _runs(length: int, hot: Broadcast):
-    """For rows (doc_id, tag, text, ranks): the runs of windows with one of these ranks or a hot one, with a hash of their bytes."""
+    """For rows (doc_id, tag, text, ranks): the runs of windows with a group that has one of these ranks or a hot one.
+
+    k0 and so on are the ranks of such groups, or 0; same is a hash of the bytes under the run."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = _powers(CHUNK_BYTES)
         for batch in batches:
             for first, end, data, offsets in chunks(batch.column(2)):
                 power, inverse = held if len(data) <= CHUNK_BYTES else _powers(len(data))
-                text, start, windows, spot, rank = sampled(data, offsets, length)
+                text, start, windows, spot, ranks = _ranked(data, offsets, length)
+                held_by, rank = np.repeat(text, GROUPS), ranks.ravel()
                 alive = _found(rank, hot.value)
-                rest = np.flatnonzero(~alive)
-                alive[rest] = _among(text[rest], rank[rest], batch.column(3).slice(first, end - first))
-                text, start, windows, spot, rank = (x[alive] for x in (text, start, windows, spot, rank))
+                rest = np.flatnonzero(~alive & (rank != 0))
+                alive[rest] = _among(held_by[rest], rank[rest], batch.column(3).slice(first, end - first))
+                ranks = np.where(alive, rank, 0).reshape(-1, GROUPS)
+                alive = ranks.any(axis=1)
+                text, start, windows, spot, ranks = (x[alive] for x in (text, start, windows, spot, ranks))
                 same = _run_hashes(data, offsets[text] + start, windows + length - 1, power, inverse).view(np.int64)
                 take = pa.array(text + first)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(take), batch.column(1).take(take), pa.array(start.astype(np.int32)), pa.array(windows.astype(np.int16)), pa.array(spot.astype(np.int16)), pa.array(rank), pa.array(same)],
-                    names=["doc_id", "tag", "start", "windows", "spot", "rank", "same"],
+                    [batch.column(0).take(take), batch.column(1).take(take), pa.array(start.astype(np.int32)), pa.array(windows.astype(np.int16)), pa.array(spot.astype(np.int16)), *[pa.array(k.copy()) for k in ranks.T], pa.array(same)],
+                    names=["doc_id", "tag", "start", "windows", "spot", *[f"k{k}" for k in range(GROUPS)], "same"],
                 )
 
     return run
@@ -199,9 +239,8 @@ def _remaining(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _grown(spans: DataFrame, length: int) -> DataFrame:
     """(id, at) of the windows of (id, doc_id, span, windows, spot) that also start in a document smaller than the span's own.
 
-    A window holds the sampled FIRST bytes and, before or after them, at least half of its other bytes. So the
-    samples, which are known to repeat, grow by that half to either side; a side that then is in one document only
-    is unique and leaves. What is left grows to whole windows, each ranked by its halves."""
+    A window holds the sampled FIRST bytes and, before or after them, at least half of its other bytes: a side. One
+    that is in one of these documents only leaves. What is left grows to whole windows, each ranked by its halves."""
     half = (length - FIRST) // 2
     right = spans.where(f"spot + {FIRST + half} <= length(span)")
     left = spans.where(f"spot > {half}")
@@ -216,6 +255,9 @@ def _grown(spans: DataFrame, length: int) -> DataFrame:
     cut = length // 2
     spots = spots.select("id", "doc_id", "at", F.expr(f"xxhash64(substring(span, at + 1, {cut}))").alias("first"), F.expr(f"xxhash64(substring(span, at + {cut + 1}, {length - cut}))").alias("second"))
     least = spots.groupBy("first", "second").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").drop("most")
+    # Stored, so that the windows dealt to be grouped are gone before they are dealt to be looked up.
+    least = stored(least, "least", CODEC)
+    release(alive.sparkSession)
     return spots.join(least.hint("shuffle_hash"), ["first", "second"]).where("least < doc_id").select("id", "at")
 
 
@@ -225,14 +267,15 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Removed is each byte under a string of `length` bytes that also starts in a document with a smaller
     id; strings are those of the input, never across documents. Texts are taken whole, as UTF-8.
 
-    Ranks by growing prefixes, dropping positions as soon as they are unique to a document:
-    1. FIRST bytes, at one sampled position for each run of windows (about 1 of 18 positions). A window whose
-       sample occurs in one document cannot repeat. Samples are dealt by rank once; those in several
-       documents return to theirs. Ranks that very many documents have are known from a sample and not dealt.
-    2. The bytes under the whole run of windows, as a hash beside the rank (128 bits). Runs with equal bytes are one class; in all its documents
+    Ranks by growing strings, dropping positions as soon as they are unique to a document:
+    1. Strings of about three quarters of a window, up to GROUPS for each run of windows that sample one position of FIRST
+       bytes (about 1 of 18 positions), see `grown`. A window whose string occurs in one document cannot repeat.
+       FIRST bytes alone are not ranked: the more text there is the more of them repeat by chance, and what they let
+       pass would grow faster than the input. Ranks are dealt once; those in several documents return to
+       theirs. Ranks that very many documents have are known from a sample and not dealt.
+    2. The bytes under the whole run of windows, as a hash beside the ranks. Runs with equal bytes are one class; in all its documents
        but the least every window is removed.
-    3. For the least document of classes that share a sample with others: the sample grown by half of the rest to
-       each side, then whole windows (`_grown`).
+    3. For the least document of classes that share a rank with others: whole windows (`_grown`).
 
     Null text has no bytes. A row with a null id is neither changed nor a source. Rows that repeat an id are
     one document as to "smaller", each with its own text. Other columns are not read."""
@@ -244,29 +287,41 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # A window, since both sides of a join would make and deal the samples, each for itself.
     same = Window.partitionBy("rank")
     alive = samples.select("doc_id", "rank", F.min("doc_id").over(same).alias("lo"), F.max("doc_id").over(same).alias("hi")).where("lo < hi")
-    alive = stored(alive.groupBy("doc_id").agg(F.collect_set("rank").alias("ranks")), "alive", CODEC)
+    # A tag tells rows that repeat an id; it would be most of what is dealt of a run, so others have none.
+    many = rows.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id", F.lit(True).alias("many"))
+    alive = stored(alive.groupBy("doc_id").agg(F.collect_set("rank").alias("ranks")).join(many, "doc_id", "full"), "alive", CODEC)
     release(spark)
 
-    known = named.join(alive, "doc_id", "left").select("doc_id", F.xxhash64("text").alias("tag"), F.col("text").cast("binary").alias("text"), "ranks")
-    runs = stored(known.mapInArrow(_runs(length, hot), "doc_id long, tag long, start int, windows short, spot short, rank long, same long"), "runs", CODEC)
+    known = named.join(alive.hint("shuffle_hash"), "doc_id", "left").select("doc_id", F.expr("if(many, xxhash64(text), null)").alias("tag"), F.col("text").cast("binary").alias("text"), "ranks")
+    name = [f"k{k}" for k in range(GROUPS)] + ["same"]
+    runs = stored(known.mapInArrow(_runs(length, hot), f"doc_id long, tag long, start int, windows short, spot short, {', '.join(f'{k} long' for k in name)}"), "runs", CODEC)
     discard(alive)
     release(spark)
 
-    classes = runs.groupBy("rank", "same").agg(F.min(F.col("doc_id")).alias("least"), F.max("doc_id").alias("most"))
+    classes = runs.groupBy(*name).agg(F.min("doc_id").alias("least"))
     classes = stored(classes.withColumn("id", F.monotonically_increasing_id()), "classes", CODEC)
     release(spark)
-    several = classes.groupBy("rank").agg(F.count("*").alias("k"), F.min("least").alias("lo"), F.max("most").alias("hi")).where("k > 1 and lo < hi")
-    contested = classes.join(several.select("rank", F.lit(True).alias("contested")).hint("shuffle_hash"), "rank", "left")
-    hits = stored(runs.join(contested.select("rank", "same", "least", "id", "contested").hint("shuffle_hash"), ["rank", "same"]).drop("rank", "same"), "hits", CODEC)
-    discard(runs, classes)
+    held = classes.select("id", "least", F.explode(F.array(*name[:-1])).alias("rank")).where("rank <> 0")
+    shared = held.groupBy("rank").agg(F.min("least").alias("lo"), F.max("least").alias("hi")).where("lo < hi").select("rank")
+    contested = stored(held.join(shared.hint("shuffle_hash"), "rank", "left_semi").select("id").distinct(), "contested", CODEC)
+    release(spark)
+    flagged = classes.join(contested.withColumn("contested", F.lit(True)).hint("shuffle_hash"), "id", "left")
+    # Few wide columns are dealt: compressed rows cost more by the number of their parts than by their bytes.
+    named_by = [F.xxhash64(*name[:-1]).alias("key"), "same"]
+    dealt = runs.select(*named_by, "doc_id", "tag", F.expr("shiftleft(cast(start as bigint), 30) | shiftleft(cast(windows as bigint), 15) | spot").alias("place"))
+    dealt = dealt.join(flagged.select(*named_by, "least", "id", "contested").hint("shuffle_hash"), ["key", "same"]).where("doc_id > least or contested")
+    places = ["cast(shiftright(place, 30) as int) as start", "cast(shiftright(place, 15) & 32767 as short) as windows", "cast(place & 32767 as short) as spot"]
+    hits = stored(dealt.selectExpr("doc_id", "tag", *places, "least", "id", "contested"), "hits", CODEC)
+    discard(runs, classes, contested)
     release(spark)
 
+    theirs = "doc_id = of and (tag is null or tag = xxhash64(text))"
     # One run of each contested class, in its least document; their bytes come from the texts once more.
     chosen = hits.where("contested and doc_id = least").select("id", "doc_id", "tag", "start", "windows", "spot").dropDuplicates(["id", "doc_id"])
     chosen = chosen.select("doc_id", "tag", F.struct("id", "start", "windows", "spot").alias("run"))
     chosen = chosen.groupBy("doc_id", "tag").agg(F.collect_list("run").alias("runs"))
-    texts = named.select("doc_id", F.xxhash64("text").alias("tag"), F.col("text").cast("binary").alias("text"))
-    texts = texts.join(chosen, ["doc_id", "tag"]).select("doc_id", "text", "runs")
+    chosen = chosen.withColumnRenamed("doc_id", "of").hint("shuffle_hash")
+    texts = named.join(chosen, F.expr(theirs)).select("doc_id", F.col("text").cast("binary").alias("text"), "runs")
     spans = stored(texts.mapInArrow(_bytes_of(length), "id long, doc_id long, windows short, spot short, span binary"), "spans", CODEC)
     release(spark)
     marks = stored(_grown(spans, length), "marks", CODEC)
@@ -276,6 +331,6 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     copies = hits.where("doc_id > least").select("doc_id", "tag", F.col("start").alias("a"), F.expr(f"start + windows + {length - 1}").alias("b"))
     single = hits.where("doc_id = least").join(marks.hint("shuffle_hash"), "id").select("doc_id", "tag", F.expr("start + at").alias("a"), F.expr(f"start + at + {length}").alias("b"))
     removed = copies.union(single).groupBy("doc_id", "tag").agg(F.collect_list("a").alias("a"), F.collect_list("b").alias("b"))
-    tagged = rows.withColumn("tag", F.xxhash64("text"))
-    whole = tagged.join(removed, ["doc_id", "tag"], "left").select("doc_id", F.col("text").cast("binary").alias("text"), "a", "b")
+    removed = removed.withColumnRenamed("doc_id", "of").hint("shuffle_hash")
+    whole = rows.join(removed, F.expr(theirs), "left").select("doc_id", F.col("text").cast("binary").alias("text"), "a", "b")
     return whole.mapInArrow(_remaining, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, starts array<int>, ends array<int>")

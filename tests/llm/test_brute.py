@@ -352,3 +352,69 @@ def test_samples_are_made_once(spark, monkeypatch):
     out = suffix_dedup.repeated_bytes(spark.createDataFrame([(1, text), (2, "x" + text)], "doc_id long, text string")).collect()
     assert {(r.doc_id, r.n_removed) for r in out} == {(1, 0), (2, 90)}
     assert plans["alive"].count("MapInArrow") == 1
+
+
+def test_strings_that_repeat_by_chance_are_not_kept(spark, monkeypatch):
+    """Pieces of 24 bytes that all documents have, and no window of 50: op10 keeps no run of them."""
+    kept, stored = {}, suffix_dedup.stored
+
+    def counted(rows, name, codec=None):
+        out = stored(rows, name, codec)
+        kept[name] = out.count()
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "stored", counted)
+    draw = random.Random(12)
+    drawn = lambda n: "".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+    pieces = [drawn(24) for _ in range(12)]
+    rows = [(i, "".join(draw.choice(pieces) + drawn(10) for _ in range(20))) for i in range(12)]
+    out = suffix_dedup.repeated_bytes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [r.n_removed for r in out] == [0] * 12
+    assert kept["runs"] == kept["spans"] == 0
+
+
+@pytest.mark.parametrize("length", [16, 17, 20, 35, 50, 90])
+def test_ranks_of_groups(length):
+    """Each window of a run is in one group, whose string it has; ranks are equal when strings are."""
+    draw = random.Random(length)
+    parts = ["".join(draw.choices("ab", k=70)) for _ in range(6)]
+    texts = ["".join(draw.choices(parts, k=draw.randrange(5))).encode() for _ in range(12)]
+    offsets = np.cumsum([0, *map(len, texts)])
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    h = suffix_dedup._prefix_hashes(data)
+    text, start, windows, spot, rank = suffix_dedup.sampled(data, offsets, length)
+    assert all((x == y).all() for x, y in zip(suffix_dedup.sampled(data, offsets, length, h), (text, start, windows, spot, rank), strict=True))
+    ranks = suffix_dedup.grown(h, offsets[text] + start + spot, windows, spot, length)
+    spare, groups = length - suffix_dedup.FIRST, suffix_dedup.GROUPS
+    edges = [round(k * (spare + 1) / groups) for k in range(groups + 1)]
+    strings = {}
+    for t, a, w, s, found in zip(text, start, windows, spot, ranks.tolist(), strict=True):
+        for k in range(groups):
+            inside = [p for p in range(w) if edges[k] <= s - p < edges[k + 1]]
+            assert (found[k] != 0) == bool(inside)
+            if inside:
+                begin, end = a + s - edges[k], a + s + suffix_dedup.FIRST + spare - (edges[k + 1] - 1)
+                assert all(a + p <= begin and end <= a + p + length for p in inside)
+                strings.setdefault((k, texts[t][begin:end]), set()).add(found[k])
+    assert all(len(x) == 1 for x in strings.values())
+    assert len(set.union(*strings.values())) == len(strings)
+
+
+def test_rows_that_repeat_an_id_keep_their_own_bytes(spark):
+    draw = random.Random(3)
+    parts = ["".join(draw.choices("abcdefgh", k=draw.randrange(40, 120))) for _ in range(12)]
+    rows = [(i // 3 if i % 2 else i, "".join(draw.choices(parts, k=draw.randrange(5)))) for i in range(60)]
+    rows += [rows[7], rows[20], (None, parts[0]), (3, None)]
+    out = suffix_dedup.repeated_bytes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    first, want = {}, []
+    for doc, text in sorted(r for r in rows if None not in r):
+        for i in range(len(text) - 49):
+            first.setdefault(text[i : i + 50], doc)
+    for doc, text in rows:
+        gone = bytearray(len(text or ""))
+        for i in range(len(gone) - 49 if doc is not None else 0):
+            if first[text[i : i + 50]] < doc:
+                gone[i : i + 50] = b"\1" * 50
+        want.append((doc, len(gone), sum(gone), hashlib.sha256(bytes(x for x, g in zip((text or "").encode(), gone, strict=True) if not g)).hexdigest()))
+    assert sorted(map(str, want)) == sorted(str((r.doc_id, r.n_bytes, r.n_removed, r.kept_sha256)) for r in out)
+    assert sum(r.n_removed > 0 for r in out) > 20
